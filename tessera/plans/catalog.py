@@ -239,3 +239,321 @@ def select_mrmr_sparse(spark, sf):
     finally:
         src.release()
     return S.selection_frame(spark, sel).select("rank", "feat", r6(F.col("score")).alias("score"))
+
+
+# ------------------------------------------------------------- sources and checks
+
+from tessera.operators import checks as K  # noqa: E402
+from tessera.operators import recommend as RC  # noqa: E402
+from tessera.operators import svm as SV  # noqa: E402
+from tessera.operators.split import hash_split  # noqa: E402
+from tessera.sources import labeled as LB  # noqa: E402
+from tessera.sources import ratings as RS  # noqa: E402
+from tessera.sources.tables import table  # noqa: E402
+
+TOP_K = 10
+SUBSET_N = 3
+SVM_STEPS = 3
+SVC_FULL_BATCH = 1_000_000_000     # >= rows: every iteration uses the whole table
+SVC_BATCH = 100
+ALS_LAMBDA_RANK1 = 0.1
+
+
+@query("ratings_parse")
+def ratings_parse(spark, sf):
+    """Parse ``user::item::rating::ts`` lines; good rows."""
+    good, _ = RS.split_rating_lines(V.rating_lines(spark, sf))
+    return good.select("user", "item", F.col("rating").cast("double").alias("rating"), "ts")
+
+
+@query("ratings_bad_lines")
+def ratings_bad_lines(spark, sf):
+    """Lines that do not have 4 parseable fields."""
+    _, bad = RS.split_rating_lines(V.rating_lines(spark, sf))
+    return bad
+
+
+@query("ratings_csv_scan")
+def ratings_csv_scan(spark, sf):
+    """The delimited feed parsed with the declared schema."""
+    parsed = RS.parse_csv_lines(V.rating_csv_lines(spark, sf))
+    return parsed.select(F.col("userid").alias("user"), F.col("movieid").alias("item"),
+                         "rating", F.col("timestamp").alias("ts"))
+
+
+@query("labeled_parse")
+def labeled_parse(spark, sf):
+    """S3: ``label,tag,f1 ... fn`` lines; (id, label, k, v) exploded."""
+    good, _ = LB.split_labeled_lines(V.svm_lines(spark, sf))
+    return good.select(F.col("tag").cast("bigint").alias("id"), "label",
+                       F.posexplode("features").alias("k", "v")).select(
+        "id", "label", F.col("k").cast("int").alias("k"), "v")
+
+
+def _doc_labels(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "n_chars")
+    lab = table(spark, sf, "labels")
+    return d.join(lab, "doc_id")
+
+
+@query("label_domain_violations")
+def label_domain_violations(spark, sf):
+    """Labelled documents whose label quality + toxic is not 0 or 1."""
+    rows = _doc_labels(spark, sf).select("doc_id", (F.col("quality") + F.col("toxic"))
+                                         .cast("double").alias("label"))
+    return K.label_violations(rows, "label")
+
+
+@query("byte_range_violations")
+def byte_range_violations(spark, sf):
+    """P5: documents whose (n_chars, quality, toxic) vector leaves the byte domain."""
+    rows = _doc_labels(spark, sf).select(
+        "doc_id", F.array(F.col("n_chars").cast("double"), F.col("quality").cast("double"),
+                          F.col("toxic").cast("double")).alias("features"))
+    return K.byte_violations(rows, "features").select("doc_id")
+
+
+@query("dimension_check")
+def dimension_check(spark, sf):
+    """Smallest and largest embedding length."""
+    e = table(spark, sf, "embeddings")
+    return K.dimensions(e, "embedding").select("min_dim", "max_dim")
+
+
+# ------------------------------------------------------------------------ splits
+
+@query("split_train")
+def split_train(spark, sf):
+    """L1/L2: the 80% side of the key-hash split of RAT."""
+    return V.rating_split(spark, sf)[0]
+
+
+@query("split_test")
+def split_test(spark, sf):
+    """L1/L2: the 20% side output."""
+    return V.rating_split(spark, sf)[1]
+
+
+@query("split_counts")
+def split_counts(spark, sf):
+    """A1: row counts of both sides in one pass."""
+    r = V.ratings(spark, sf)
+    from tessera.operators.split import hash_bucket, BUCKETS
+    train = hash_bucket(["user", "item"]) < F.lit(int(round(V.TRAIN_FRACTION * BUCKETS)))
+    return r.agg(F.sum(train.cast("bigint")).alias("n_train"),
+                 F.sum((~train).cast("bigint")).alias("n_test"))
+
+
+@query("subset_ids")
+def subset_ids(spark, sf):
+    """T4/A4: the 3 smallest user ids and item ids of RAT."""
+    r = V.ratings(spark, sf)
+    u = RC.first_ids(r, "user", SUBSET_N).select(F.lit("user").alias("kind"),
+                                                  F.col("user").cast("bigint").alias("id"))
+    i = RC.first_ids(r, "item", SUBSET_N).select(F.lit("item").alias("kind"),
+                                                  F.col("item").cast("bigint").alias("id"))
+    return u.unionByName(i)
+
+
+# --------------------------------------------------------------- recommendation
+
+@query("factor_predict")
+def factor_predict(spark, sf):
+    """Score every test pair; cold-start pairs get a null prediction."""
+    _, test = V.rating_split(spark, sf)
+    uf, vf = V.factor_tables(spark, sf)
+    p = RC.predict_pairs(test, uf, vf, drop_cold=False)
+    return p.select("user", "item", "rating", r6(F.col("prediction")).alias("prediction"))
+
+
+@query("factor_predict_drop")
+def factor_predict_drop(spark, sf):
+    """The same with cold-start pairs dropped."""
+    _, test = V.rating_split(spark, sf)
+    uf, vf = V.factor_tables(spark, sf)
+    p = RC.predict_pairs(test, uf, vf, drop_cold=True)
+    return p.select("user", "item", "rating", r6(F.col("prediction")).alias("prediction"))
+
+
+@query("rmse")
+def rmse(spark, sf):
+    """A3: RMSE of the factor predictions on the test split."""
+    _, test = V.rating_split(spark, sf)
+    uf, vf = V.factor_tables(spark, sf)
+    return RC.rmse(RC.predict_pairs(test, uf, vf)).select(r6(F.col("rmse")).alias("rmse"))
+
+
+def _topk_out(df, left: str, right: str):
+    return df.select(F.col("id").cast("int").alias(left), "rank",
+                     F.col("other").cast("int").alias(right), "score")
+
+
+@query("topk_items_per_user")
+def topk_items_per_user(spark, sf):
+    """10 best items for every user with factors."""
+    uf, vf = V.factor_tables(spark, sf)
+    return _topk_out(RC.top_k(uf, vf, TOP_K), "user", "item")
+
+
+@query("topk_users_per_item")
+def topk_users_per_item(spark, sf):
+    """10 best users for every item with factors."""
+    uf, vf = V.factor_tables(spark, sf)
+    return _topk_out(RC.top_k(vf, uf, TOP_K), "item", "user")
+
+
+@query("topk_user_subset")
+def topk_user_subset(spark, sf):
+    """10 best items for the 3 smallest user ids of RAT."""
+    uf, vf = V.factor_tables(spark, sf)
+    ids = RC.first_ids(V.ratings(spark, sf), "user", SUBSET_N).withColumnRenamed("user", "id")
+    return _topk_out(RC.top_k_subset(ids, uf, vf, TOP_K), "user", "item")
+
+
+@query("topk_item_subset")
+def topk_item_subset(spark, sf):
+    """10 best users for the 3 smallest item ids of RAT."""
+    uf, vf = V.factor_tables(spark, sf)
+    ids = RC.first_ids(V.ratings(spark, sf), "item", SUBSET_N).withColumnRenamed("item", "id")
+    return _topk_out(RC.top_k_subset(ids, vf, uf, TOP_K), "item", "user")
+
+
+@query("als_rank1_steps")
+def als_rank1_steps(spark, sf):
+    """ALS-WR update rule at rank 1: items start at 1, solve users, then items."""
+    train, _ = V.rating_split(spark, sf)
+    items0 = train.select(F.col("item").alias("id")).distinct().withColumn("f", F.lit(1.0))
+    users = RC.rank1_half_step(train, items0, "user", "item", ALS_LAMBDA_RANK1)
+    items = RC.rank1_half_step(train, users, "item", "user", ALS_LAMBDA_RANK1)
+    return items.select(F.col("id").alias("item"), r6(F.col("f")).alias("v"))
+
+
+def _als(spark, sf, setting=None):
+    train, test = V.rating_split(spark, sf)
+    return RC.fit_als(train, setting=setting), train, test
+
+
+@query("als_fit")
+def als_fit(spark, sf):
+    """E5: Spark ALS (maxIter 5, regParam 0.01); both factor tables (rows-only check)."""
+    model, _, _ = _als(spark, sf)
+    u = model.userFactors.select(F.lit("user").alias("kind"), "id")
+    i = model.itemFactors.select(F.lit("item").alias("kind"), "id")
+    return u.unionByName(i)
+
+
+@query("als_predict")
+def als_predict(spark, sf):
+    """J1/J2 with the trained model: test predictions, cold start dropped."""
+    model, _, test = _als(spark, sf)
+    return model.transform(test).select("user", "item", "rating",
+                                        F.col("prediction").cast("double").alias("prediction"))
+
+
+@query("als_predict_flink_setting")
+def als_predict_flink_setting(spark, sf):
+    """10 iterations, rank 10, lambda 0.1; (rating, prediction_result)."""
+    model, _, test = _als(spark, sf, RC.FLINK_SETTING)
+    return model.transform(test).select(
+        "rating", F.col("prediction").cast("double").alias("prediction_result"))
+
+
+@query("als_recs_users")
+def als_recs_users(spark, sf):
+    """T5 via the model: top 10 items for every user."""
+    model, _, _ = _als(spark, sf)
+    return RC.flatten_recommendations(model.recommendForAllUsers(TOP_K), "user", "item")
+
+
+@query("als_recs_items")
+def als_recs_items(spark, sf):
+    """T6 via the model: top 10 users for every item."""
+    model, _, _ = _als(spark, sf)
+    return RC.flatten_recommendations(model.recommendForAllItems(TOP_K), "item", "user")
+
+
+# --------------------------------------------------------------------------- SVM
+
+def _weights_frame(spark, w):
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(w)], "k int, w double")
+
+
+@query("svc_training_rows")
+def svc_training_rows(spark, sf):
+    """(label, weight, features) rows with their length."""
+    v = V.svm_vectors(spark, sf)
+    rows = SV.svc_rows(v.withColumnRenamed("y", "label"), "features", "label", "wt")
+    return rows.select("label", "weight", F.size("features").alias("n_features"))
+
+
+@query("svm_sgd_weights")
+def svm_sgd_weights(spark, sf):
+    """Weights after 3 subgradient steps on SVMV."""
+    v = V.svm_vectors(spark, sf).select(F.col("y").alias("label"), "features")
+    w = SV.sgd_svm(v, SVM_STEPS)
+    return _weights_frame(spark, w).select("k", r6(F.col("w")).alias("w"))
+
+
+@query("hinge_gradient")
+def hinge_gradient(spark, sf):
+    """Mean hinge subgradient at the weights after one step."""
+    v = V.svm_vectors(spark, sf).select(F.col("y").alias("label"), "features")
+    w1 = SV.sgd_svm(v, 1)
+    g, _, _, n = SV.gradient_sums(v, w1)
+    return _weights_frame(spark, [x / n for x in g]).select(
+        "k", r6(F.col("w")).alias("g"))
+
+
+def _svc(spark, sf, **params):
+    v = V.svm_vectors(spark, sf).withColumnRenamed("y", "label")
+    est = SV.LinearSvc(weightCol="wt", idCol="id", maxIter=SVM_STEPS, **params)
+    return est.fit(v), v
+
+
+@query("svc_weights")
+def svc_weights(spark, sf):
+    """Weighted full-batch steps, L2 penalty (lr 0.1, reg 0.01)."""
+    model, _ = _svc(spark, sf, globalBatchSize=SVC_FULL_BATCH, reg=0.01, elasticNet=0.0)
+    return model.weights(spark).select("k", r6(F.col("w")).alias("w"))
+
+
+@query("svc_elastic_net")
+def svc_elastic_net(spark, sf):
+    """Weighted full-batch steps with elastic net (lr 0.5, reg 0.01, alpha 0.5)."""
+    model, _ = _svc(spark, sf, globalBatchSize=SVC_FULL_BATCH, learningRate=0.5, reg=0.01,
+                    elasticNet=0.5)
+    return model.weights(spark).select("k", r6(F.col("w")).alias("w"))
+
+
+@query("svc_minibatch")
+def svc_minibatch(spark, sf):
+    """Hash-sampled batches of ~100 rows per iteration (lr 0.1, reg 0.01)."""
+    model, _ = _svc(spark, sf, globalBatchSize=SVC_BATCH, reg=0.01)
+    return model.weights(spark).select("k", r6(F.col("w")).alias("w"))
+
+
+def _svm_test_split(spark, sf):
+    """Train on the 80% id-hash side of the parsed SVMLINE, test on the rest."""
+    good, _ = LB.split_labeled_lines(V.svm_lines(spark, sf))
+    rows = good.select(F.col("tag").cast("bigint").alias("id"), "label", "features")
+    return hash_split(rows, ["id"], V.TRAIN_FRACTION)
+
+
+@query("svm_predict")
+def svm_predict(spark, sf):
+    """Test predictions after 3 steps on the training side."""
+    train, test = _svm_test_split(spark, sf)
+    w = SV.sgd_svm(train, SVM_STEPS)
+    return SV.predict(test, w).select("id", "prediction", "label")
+
+
+@query("svm_accuracy")
+def svm_accuracy(spark, sf):
+    """Test accuracy after 3 steps, with the train and test counts."""
+    train, test = _svm_test_split(spark, sf)
+    w = SV.sgd_svm(train, SVM_STEPS)
+    acc = SV.accuracy(SV.predict(test, w))
+    n_train = train.count()
+    return acc.select(r6(F.col("accuracy")).alias("accuracy"),
+                      F.lit(n_train).cast("bigint").alias("n_train"),
+                      F.lit(test.count()).cast("bigint").alias("n_test"))

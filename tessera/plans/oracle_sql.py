@@ -36,10 +36,10 @@ FAC = SPLIT + """,
 emb_n AS (SELECT count(*) AS n FROM embeddings),
 vecs AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS features
          FROM embeddings),
-uf AS (SELECT u.id, vecs.features FROM (SELECT DISTINCT "user" AS id FROM train) u, emb_n
-       JOIN vecs ON vecs.vec_id = CAST(u.id AS BIGINT) % emb_n.n),
-vf AS (SELECT i.id, vecs.features FROM (SELECT DISTINCT item AS id FROM train) i, emb_n
-       JOIN vecs ON vecs.vec_id = CAST(i.id AS BIGINT) % emb_n.n)"""
+uf AS (SELECT u.id, vecs.features FROM (SELECT DISTINCT "user" AS id FROM train) u
+       JOIN vecs ON vecs.vec_id = CAST(u.id AS BIGINT) % (SELECT n FROM emb_n)),
+vf AS (SELECT i.id, vecs.features FROM (SELECT DISTINCT item AS id FROM train) i
+       JOIN vecs ON vecs.vec_id = CAST(i.id AS BIGINT) % (SELECT n FROM emb_n))"""
 
 EMB = """emb AS (
   SELECT vec_id AS id, CAST(label % 3 AS TINYINT) AS y,
@@ -158,3 +158,78 @@ def selection_sql(view: str, criterion: str, n: int, beta: float = 0.5) -> str:
 {greedy_ctes(criterion, n, beta)},
 sel AS ({selected_union(n)})
 SELECT CAST(rank AS INTEGER) AS rank, feat, {R('score')} AS score FROM sel"""
+
+
+# ------------------------------------------------------------------ SVM chains
+
+SVML = """svml_all AS (
+  SELECT vec_id AS id, CAST(CAST(label < 5 AS INTEGER) AS DOUBLE) AS y,
+         list_transform(embedding, lambda v: CAST(CAST(round(CAST(v AS DOUBLE) * 1000.0::DOUBLE) AS INTEGER)
+                                                   AS DOUBLE)) AS features
+  FROM embeddings),
+svml_b AS (SELECT *, ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % 1000000 AS bucket
+           FROM svml_all),
+svm_train AS (SELECT id, y, 1.0::DOUBLE AS wt, features FROM svml_b WHERE bucket < 800000),
+svm_test AS (SELECT id, y, features FROM svml_b WHERE bucket >= 800000)"""
+
+SVMV_UNWEIGHTED = SVMV + """,
+svm_train AS (SELECT id, y, 1.0::DOUBLE AS wt, features FROM svmv)"""
+
+SVMV_WEIGHTED = SVMV + """,
+svm_train AS (SELECT id, y, wt, features FROM svmv)"""
+
+
+def sgd_chain(steps: int, rule: str, step: float = 1.0, reg: float = 0.01, tol: float = 0.001,
+              lr: float = 0.1, alpha: float = 0.0, fraction: float = 1.0) -> str:
+    """CTEs xk, w0..w{steps} over ``svm_train(id, y, wt, features)``.
+
+    rule 'sgd': w <- w (1 - st reg) - st g/n, st = step/sqrt(i), stop when
+    ||dw|| < tol max(||w||, 1).  rule 'svc': w <- soft(w (1 - lr reg (1-a)) - lr g/wsum,
+    lr reg a), stop when the mean weighted loss changes by less than tol.
+    """
+    parts = ["""xk AS (SELECT id, y, wt, generate_subscripts(features, 1) - 1 AS k, unnest(features) AS x
+        FROM svm_train)""",
+             """w0 AS (SELECT DISTINCT k, 0.0::DOUBLE AS w, false AS done, NULL::DOUBLE AS loss FROM xk)"""]
+    cut = int(round(fraction * 1_000_000))
+    for i in range(1, steps + 1):
+        p = f"w{i - 1}"
+        batch = "" if fraction >= 1.0 else (
+            f" WHERE ('0x' || substr(md5(concat_ws('::', CAST(xk.id AS VARCHAR), '{i}')), 1, 8))::BIGINT"
+            f" % 1000000 < {cut}")
+        parts.append(f"""b{i} AS (SELECT xk.* FROM xk{batch})""")
+        parts.append(f"""m{i} AS (SELECT b.id, any_value(b.y) AS y, any_value(b.wt) AS wt,
+                sum(b.x * w.w) AS margin
+         FROM b{i} b JOIN {p} w ON b.k = w.k GROUP BY b.id)""")
+        parts.append(f"""s{i} AS (SELECT sum(wt * greatest(0.0, 1.0 - (2 * y - 1) * margin)) AS loss,
+                sum(wt) AS wsum, count(*) AS n FROM m{i})""")
+        parts.append(f"""g{i} AS (SELECT b.k, sum(CASE WHEN (2 * m.y - 1) * m.margin < 1.0
+                                    THEN -m.wt * (2 * m.y - 1) * b.x ELSE 0.0 END) AS g
+         FROM b{i} b JOIN m{i} m ON b.id = m.id GROUP BY b.k)""")
+        if rule == "sgd":
+            st = step / (i ** 0.5)
+            parts.append(f"""n{i} AS (SELECT w.k, w.w AS old,
+                CASE WHEN w.done THEN w.w
+                     ELSE w.w * (1.0 - {st!r} * {reg!r}) - {st!r} * coalesce(g.g, 0.0) / (SELECT n FROM s{i})
+                END AS w, w.done
+         FROM {p} w LEFT JOIN g{i} g ON w.k = g.k)""")
+            parts.append(f"""w{i} AS (SELECT k, w, done OR (
+                  (SELECT sqrt(sum((w - old) * (w - old))) FROM n{i})
+                  < {tol!r} * greatest((SELECT sqrt(sum(w * w)) FROM n{i}), 1.0)) AS done,
+                NULL::DOUBLE AS loss FROM n{i})""")
+        else:
+            shrink = 1.0 - lr * reg * (1.0 - alpha)
+            thr = lr * reg * alpha
+            parts.append(f"""v{i} AS (SELECT w.k,
+                w.w * {shrink!r} - {lr!r} * (coalesce(g.g, 0.0) / (SELECT wsum FROM s{i})) AS v,
+                w.w AS old, w.done, w.loss AS prev
+         FROM {p} w LEFT JOIN g{i} g ON w.k = g.k)""")
+            mean = f"((SELECT loss FROM s{i}) / (SELECT wsum FROM s{i}))"
+            stop = f"(prev IS NOT NULL AND abs(prev - {mean}) < {tol!r})"
+            parts.append(f"""w{i} AS (SELECT k,
+                CASE WHEN done OR {stop} THEN old
+                     WHEN abs(v) - {thr!r} > 0.0 THEN sign(v) * (abs(v) - {thr!r})
+                     ELSE 0.0 END AS w,
+                done OR {stop} AS done,
+                CASE WHEN done OR {stop} THEN prev ELSE {mean} END AS loss
+         FROM v{i})""")
+    return ",\n".join(parts)

@@ -99,3 +99,151 @@ red AS ({info_select(cells_given(_J))})
 SELECT CAST(k AS INTEGER) AS k, {R('mi')} AS mi, {R('cmi')} AS cmi FROM red"""
 
 ORACLES["select_mrmr_sparse"] = selection_sql(SPA, "mrmr", Q.SELECT_N)
+
+
+# ------------------------------------------------------------- sources and checks
+
+from tessera.plans.oracle_sql import (FAC, RAT, RATLINE, SPLIT, SVML, SVMV,  # noqa: E402
+                                      SVMV_UNWEIGHTED, SVMV_WEIGHTED, sgd_chain)
+
+_RATPARSE = RATLINE + """,
+p AS (SELECT value, string_split(value, '::') AS f FROM ratline),
+t AS (SELECT value,
+             CASE WHEN len(f) = 4 THEN TRY_CAST(f[1] AS INTEGER) END AS "user",
+             CASE WHEN len(f) = 4 THEN TRY_CAST(f[2] AS INTEGER) END AS item,
+             CASE WHEN len(f) = 4 THEN TRY_CAST(f[3] AS FLOAT) END AS rating,
+             CASE WHEN len(f) = 4 THEN TRY_CAST(f[4] AS BIGINT) END AS ts
+      FROM p)"""
+_GOOD = '"user" IS NOT NULL AND item IS NOT NULL AND rating IS NOT NULL AND ts IS NOT NULL'
+
+ORACLES["ratings_parse"] = f"""WITH {_RATPARSE}
+SELECT "user", item, CAST(rating AS DOUBLE) AS rating, ts FROM t WHERE {_GOOD}"""
+
+ORACLES["ratings_bad_lines"] = f"""WITH {_RATPARSE}
+SELECT value AS line FROM t WHERE NOT ({_GOOD})"""
+
+ORACLES["ratings_csv_scan"] = f"""WITH {RAT}
+SELECT CAST("user" AS BIGINT) AS "user", CAST(item AS BIGINT) AS item, rating,
+       CAST(ts AS VARCHAR) AS ts FROM rat"""
+
+ORACLES["labeled_parse"] = """WITH e AS (
+  SELECT vec_id AS id, CAST(CAST(label < 5 AS INTEGER) AS DOUBLE) AS label,
+         generate_subscripts(embedding, 1) - 1 AS k, unnest(embedding) AS e FROM embeddings)
+SELECT id, label, CAST(k AS INTEGER) AS k,
+       CAST(CAST(round(CAST(e AS DOUBLE) * 1000.0::DOUBLE) AS INTEGER) AS DOUBLE) AS v FROM e"""
+
+ORACLES["label_domain_violations"] = """SELECT doc_id, CAST(quality + toxic AS DOUBLE) AS label
+FROM documents JOIN labels USING (doc_id)
+WHERE CAST(quality + toxic AS DOUBLE) NOT IN (0.0, 1.0)"""
+
+ORACLES["byte_range_violations"] = """SELECT doc_id FROM (
+  SELECT doc_id, [CAST(n_chars AS DOUBLE), CAST(quality AS DOUBLE), CAST(toxic AS DOUBLE)] AS f
+  FROM documents JOIN labels USING (doc_id))
+WHERE len(list_filter(f, lambda v: v < -128 OR v > 127 OR v % 1 <> 0)) > 0"""
+
+ORACLES["dimension_check"] = """SELECT CAST(min(len(embedding)) AS INTEGER) AS min_dim,
+       CAST(max(len(embedding)) AS INTEGER) AS max_dim FROM embeddings"""
+
+# ------------------------------------------------------------------------ splits
+
+ORACLES["split_train"] = f"WITH {SPLIT}\nSELECT * FROM train"
+ORACLES["split_test"] = f"WITH {SPLIT}\nSELECT * FROM test"
+ORACLES["split_counts"] = f"""WITH {SPLIT}
+SELECT CAST(count(*) FILTER (WHERE bucket < 800000) AS BIGINT) AS n_train,
+       CAST(count(*) FILTER (WHERE bucket >= 800000) AS BIGINT) AS n_test FROM rat_b"""
+
+ORACLES["subset_ids"] = f"""WITH {RAT}
+SELECT * FROM (SELECT 'user' AS kind, CAST("user" AS BIGINT) AS id
+               FROM (SELECT DISTINCT "user" FROM rat) ORDER BY id LIMIT {Q.SUBSET_N})
+UNION ALL
+SELECT * FROM (SELECT 'item' AS kind, CAST(item AS BIGINT) AS id
+               FROM (SELECT DISTINCT item FROM rat) ORDER BY id LIMIT {Q.SUBSET_N})"""
+
+# --------------------------------------------------------------- recommendation
+
+_DOT = "list_dot_product(uf.features, vf.features)"
+
+ORACLES["factor_predict"] = f"""WITH {FAC}
+SELECT t."user", t.item, t.rating, {R(_DOT)} AS prediction
+FROM test t LEFT JOIN uf ON uf.id = t."user" LEFT JOIN vf ON vf.id = t.item"""
+
+ORACLES["factor_predict_drop"] = f"""WITH {FAC}
+SELECT t."user", t.item, t.rating, {R(_DOT)} AS prediction
+FROM test t JOIN uf ON uf.id = t."user" JOIN vf ON vf.id = t.item"""
+
+ORACLES["rmse"] = f"""WITH {FAC},
+p AS (SELECT t.rating - {_DOT} AS e
+      FROM test t JOIN uf ON uf.id = t."user" JOIN vf ON vf.id = t.item)
+SELECT {R('sqrt(avg(e * e))')} AS rmse FROM p"""
+
+
+def _topk(left: str, right: str, lname: str, rname: str, subset: str = "") -> str:
+    where = f"WHERE l.id IN ({subset})" if subset else ""
+    return f"""WITH {FAC},
+s AS (SELECT l.id AS lid, r.id AS rid,
+             round(list_dot_product(l.features, r.features), 6) + 0.0 AS score
+      FROM {left} l CROSS JOIN {right} r {where}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lid ORDER BY score DESC, rid) AS rank FROM s)
+SELECT CAST(lid AS INTEGER) AS {lname}, CAST(rank AS INTEGER) AS rank,
+       CAST(rid AS INTEGER) AS {rname}, score
+FROM ranked WHERE rank <= {Q.TOP_K}"""
+
+
+ORACLES["topk_items_per_user"] = _topk("uf", "vf", '"user"', "item")
+ORACLES["topk_users_per_item"] = _topk("vf", "uf", "item", '"user"')
+ORACLES["topk_user_subset"] = _topk(
+    "uf", "vf", '"user"', "item",
+    f'SELECT "user" FROM (SELECT DISTINCT "user" FROM rat) ORDER BY 1 LIMIT {Q.SUBSET_N}')
+ORACLES["topk_item_subset"] = _topk(
+    "vf", "uf", "item", '"user"',
+    f"SELECT item FROM (SELECT DISTINCT item FROM rat) ORDER BY 1 LIMIT {Q.SUBSET_N}")
+
+ORACLES["als_rank1_steps"] = f"""WITH {SPLIT},
+items0 AS (SELECT DISTINCT item AS id, 1.0::DOUBLE AS f FROM train),
+u AS (SELECT t."user" AS id,
+             sum(t.rating * i.f) / (sum(i.f * i.f) + {Q.ALS_LAMBDA_RANK1!r}::DOUBLE * count(*)) AS f
+      FROM train t JOIN items0 i ON i.id = t.item GROUP BY t."user"),
+v AS (SELECT t.item AS id,
+             sum(t.rating * u.f) / (sum(u.f * u.f) + {Q.ALS_LAMBDA_RANK1!r}::DOUBLE * count(*)) AS f
+      FROM train t JOIN u ON u.id = t."user" GROUP BY t.item)
+SELECT id AS item, {R('f')} AS v FROM v"""
+
+# --------------------------------------------------------------------------- SVM
+
+ORACLES["svc_training_rows"] = f"""WITH {SVMV}
+SELECT y AS label, wt AS weight, CAST(len(features) AS INTEGER) AS n_features FROM svmv"""
+
+ORACLES["svm_sgd_weights"] = f"""WITH {SVMV_UNWEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'sgd')}
+SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
+
+ORACLES["hinge_gradient"] = f"""WITH {SVMV_UNWEIGHTED},
+{sgd_chain(2, 'sgd')}
+SELECT CAST(k AS INTEGER) AS k, {R('g / (SELECT n FROM s2)')} AS g FROM g2"""
+
+ORACLES["svc_weights"] = f"""WITH {SVMV_WEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'svc', lr=0.1, reg=0.01, alpha=0.0, tol=1e-6)}
+SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
+
+ORACLES["svc_elastic_net"] = f"""WITH {SVMV_WEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'svc', lr=0.5, reg=0.01, alpha=0.5, tol=1e-6)}
+SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
+
+ORACLES["svc_minibatch"] = f"""WITH {SVMV_WEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'svc', lr=0.1, reg=0.01, alpha=0.0, tol=1e-6, fraction=Q.SVC_BATCH / 500)}
+SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
+
+_SVM_PRED = f"""WITH {SVML},
+{sgd_chain(Q.SVM_STEPS, 'sgd')},
+tk AS (SELECT id, y, generate_subscripts(features, 1) - 1 AS k, unnest(features) AS x FROM svm_test),
+pm AS (SELECT tk.id, any_value(tk.y) AS label, sum(tk.x * w.w) AS margin
+       FROM tk JOIN w{Q.SVM_STEPS} w ON tk.k = w.k GROUP BY tk.id),
+pred AS (SELECT id, CAST(margin > 0 AS DOUBLE) AS prediction, label FROM pm)"""
+
+ORACLES["svm_predict"] = _SVM_PRED + "\nSELECT id, prediction, label FROM pred"
+
+ORACLES["svm_accuracy"] = _SVM_PRED + f"""
+SELECT {R('avg(CAST(CAST(prediction AS INTEGER) = CAST(label AS INTEGER) AS DOUBLE))')} AS accuracy,
+       (SELECT CAST(count(*) AS BIGINT) FROM svm_train) AS n_train,
+       (SELECT CAST(count(*) AS BIGINT) FROM svm_test) AS n_test
+FROM pred"""
