@@ -53,3 +53,23 @@ def require_same_dimension(df: DataFrame, features: str = "features") -> int:
         raise ValueError("the training data should all have the same dimension "
                          f"(found {row['min_dim']} and {row['max_dim']})")
     return int(row["min_dim"])
+
+
+def require_training_table(df: DataFrame, features: str = "features", label: str = "label") -> tuple[int, int]:
+    """P4 + A5 in one pass: binary labels and one common dimension.
+
+    Returns (dimension, rows).
+    """
+    row = df.selectExpr(
+        f"count_if(CAST({label} AS DOUBLE) IS NULL OR CAST({label} AS DOUBLE) NOT IN (0.0D, 1.0D)) AS bad",
+        f"min_by({label}, CAST({label} AS DOUBLE) IN (0.0D, 1.0D)) AS example",
+        f"min(size({features})) AS min_dim", f"max(size({features})) AS max_dim",
+        "count(1) AS n").first()
+    if row["n"] == 0:
+        raise ValueError("no training rows")
+    if row["bad"]:
+        raise ValueError(f"only binary classification is supported, but found label: {row['example']}")
+    if row["min_dim"] != row["max_dim"]:
+        raise ValueError("the training data should all have the same dimension "
+                         f"(found {row['min_dim']} and {row['max_dim']})")
+    return int(row["min_dim"]), int(row["n"])

@@ -40,33 +40,35 @@ def check_criterion(name: str) -> str:
 
 def initial_state(rel: DataFrame) -> DataFrame:
     """State before any selection, from (k, rel)."""
-    return rel.select(F.col("k").cast("int").alias("k"), F.col("rel").cast("double").alias("rel"),
-                      F.lit(0.0).alias("sum_m"), F.lit(0.0).alias("sum_c"),
-                      F.lit(None).cast("double").alias("max_d"), F.lit(0.0).alias("sum_pos"),
-                      F.lit(True).alias("valid"))
+    return rel.selectExpr("CAST(k AS INT) AS k", "CAST(rel AS DOUBLE) AS rel", "0.0D AS sum_m",
+                          "0.0D AS sum_c", "CAST(NULL AS DOUBLE) AS max_d", "0.0D AS sum_pos",
+                          "true AS valid")
 
 
-def score(criterion: str, n_selected: int, beta: float = DEFAULT_BETA) -> Column:
-    """Score column of a state row once ``n_selected`` features are chosen."""
+def score_sql(criterion: str, n_selected: int, beta: float = DEFAULT_BETA) -> str:
+    """SQL text of the score of a state row once ``n_selected`` features are chosen."""
     crit = check_criterion(criterion)
-    r = F.col("rel")
     if n_selected == 0 or crit == "mim":
-        return r
-    s = float(n_selected)
+        return "rel"
+    s = f"{float(n_selected)!r}D"
     if crit == "mifs":
-        return r - F.lit(float(beta)) * F.col("sum_m")
+        return f"rel - {float(beta)!r}D * sum_m"
     if crit == "jmi":
-        return r - (F.col("sum_m") - F.col("sum_c")) / F.lit(s)
+        return f"rel - (sum_m - sum_c) / {s}"
     if crit == "mrmr":
-        return r - F.col("sum_m") / F.lit(s)
+        return f"rel - sum_m / {s}"
     if crit == "icap":
-        return r - F.col("sum_pos")
-    return r - F.col("max_d")      # cmim, if
+        return "rel - sum_pos"
+    return "rel - max_d"       # cmim, if
+
+
+def score(criterion: str, n_selected: int, beta: float = DEFAULT_BETA) -> Column:
+    return F.expr(score_sql(criterion, n_selected, beta))
 
 
 def mark_selected(state: DataFrame, feature: int) -> DataFrame:
     """The round's winner leaves the candidate set (J3: winner is a literal)."""
-    return state.withColumn("valid", F.col("valid") & (F.col("k") != F.lit(int(feature))))
+    return state.withColumn("valid", F.expr(f"valid AND k <> {int(feature)}"))
 
 
 def update(state: DataFrame, info: DataFrame, broadcast_info: bool) -> DataFrame:
@@ -76,15 +78,48 @@ def update(state: DataFrame, info: DataFrame, broadcast_info: bool) -> DataFrame
     broadcast only when the caller has checked the feature count.
     """
     side = F.broadcast(info) if broadcast_info else info
-    j = state.join(side, "k", "left")
-    m = F.coalesce(F.col("mi"), F.lit(0.0))
-    c = F.coalesce(F.col("cmi"), F.lit(0.0))
-    d = m - c
-    v = F.col("valid")
-    return j.select(
+    j = state.join(side, "k", "left").selectExpr(
+        "k", "rel", "sum_m", "sum_c", "max_d", "sum_pos", "valid",
+        "coalesce(mi, 0.0D) AS m", "coalesce(mi, 0.0D) - coalesce(cmi, 0.0D) AS d",
+        "coalesce(cmi, 0.0D) AS c")
+    return j.selectExpr(
         "k", "rel",
-        F.when(v, F.col("sum_m") + m).otherwise(F.col("sum_m")).alias("sum_m"),
-        F.when(v, F.col("sum_c") + c).otherwise(F.col("sum_c")).alias("sum_c"),
-        F.when(v, F.greatest(F.col("max_d"), d)).otherwise(F.col("max_d")).alias("max_d"),
-        F.when(v, F.col("sum_pos") + F.greatest(d, F.lit(0.0))).otherwise(F.col("sum_pos")).alias("sum_pos"),
+        "CASE WHEN valid THEN sum_m + m ELSE sum_m END AS sum_m",
+        "CASE WHEN valid THEN sum_c + c ELSE sum_c END AS sum_c",
+        "CASE WHEN valid THEN greatest(max_d, d) ELSE max_d END AS max_d",
+        "CASE WHEN valid THEN sum_pos + greatest(d, 0.0D) ELSE sum_pos END AS sum_pos",
+        "valid")
+
+
+# ------------------------------------------------------- several criteria at once
+
+def initial_states(rel: DataFrame, criteria: list[str]) -> DataFrame:
+    """One state row per (criterion, feature)."""
+    names = ", ".join(f"'{check_criterion(c)}'" for c in criteria)
+    return initial_state(rel).selectExpr(f"explode(array({names})) AS crit", "*")
+
+
+def score_case_sql(criteria: list[str], n_selected: int, beta: float = DEFAULT_BETA) -> str:
+    """Score of a multi-criterion state row, dispatched on its ``crit`` column."""
+    arms = " ".join(f"WHEN '{c}' THEN {score_sql(c, n_selected, beta)}" for c in criteria)
+    return f"CASE crit {arms} END"
+
+
+def update_many(state: DataFrame, info: DataFrame, winners: dict[str, int],
+                broadcast_info: bool) -> DataFrame:
+    """Mark each criterion's winner and fold in (j, k, mi, cmi) of that winner."""
+    arms = " ".join(f"WHEN '{c}' THEN {int(j)}" for c, j in winners.items())
+    marked = state.selectExpr("*", f"CASE crit {arms} END AS j").selectExpr(
+        "crit", "k", "rel", "sum_m", "sum_c", "max_d", "sum_pos", "valid AND k <> j AS valid", "j")
+    side = F.broadcast(info) if broadcast_info else info
+    j = marked.join(side, ["j", "k"], "left").selectExpr(
+        "crit", "k", "rel", "sum_m", "sum_c", "max_d", "sum_pos", "valid",
+        "coalesce(mi, 0.0D) AS m", "coalesce(mi, 0.0D) - coalesce(cmi, 0.0D) AS d",
+        "coalesce(cmi, 0.0D) AS c")
+    return j.selectExpr(
+        "crit", "k", "rel",
+        "CASE WHEN valid THEN sum_m + m ELSE sum_m END AS sum_m",
+        "CASE WHEN valid THEN sum_c + c ELSE sum_c END AS sum_c",
+        "CASE WHEN valid THEN greatest(max_d, d) ELSE max_d END AS max_d",
+        "CASE WHEN valid THEN sum_pos + greatest(d, 0.0D) ELSE sum_pos END AS sum_pos",
         "valid")

@@ -37,9 +37,21 @@ def long_form(df: DataFrame, x: str = "x", y: str = "y", id_col: str | None = No
 
 def dense_cells(df: DataFrame, x: str = "x", y: str = "y", given: int | None = None) -> DataFrame:
     """Cells (k, v, z, y, c).  ``z`` is x[given], or 0 when no feature is given."""
-    z = F.col(x).getItem(int(given)) if given is not None else F.lit(0).cast("tinyint")
-    exploded = df.select(F.col(y).alias("y"), z.alias("z"), F.posexplode(x).alias("k", "v"))
-    return exploded.groupBy(*CELL_KEYS).agg(F.count(F.lit(1)).alias("c"))
+    z = f"{x}[{int(given)}]" if given is not None else "CAST(0 AS TINYINT)"
+    exploded = df.selectExpr(f"{y} AS y", f"{z} AS z", f"posexplode({x}) AS (k, v)")
+    return exploded.groupBy(*CELL_KEYS).agg(F.expr("count(1) AS c"))
+
+
+def dense_cells_many(df: DataFrame, given: list[int], x: str = "x", y: str = "y") -> DataFrame:
+    """Cells (j, k, v, z, y, c) against every feature j in ``given`` in ONE pass.
+
+    Each row is exploded over its features and over the |given| reference
+    features, so one scan serves several selection runs in lockstep.
+    """
+    refs = ", ".join(f"named_struct('j', {int(j)}, 'z', {x}[{int(j)}])" for j in given)
+    exploded = df.selectExpr(f"{y} AS y", f"explode(array({refs})) AS g", f"posexplode({x}) AS (k, v)")
+    return (exploded.selectExpr("g.j AS j", "k", "v", "g.z AS z", "y")
+            .groupBy("j", *CELL_KEYS).agg(F.expr("count(1) AS c")))
 
 
 # -------------------------------------------------------------------------- sparse
@@ -101,6 +113,16 @@ def sparse_cells(entries: DataFrame, rows: DataFrame, n_features: int,
     return nz_cells.select("k", "v", "z", "y", "c").unionByName(zero)
 
 
+def sparse_cells_many(entries: DataFrame, rows: DataFrame, n_features: int,
+                      given: list[int]) -> DataFrame:
+    """Cells (j, k, v, z, y, c) for every j in ``given`` (one plan, one job)."""
+    out = None
+    for j in given:
+        part = sparse_cells(entries, rows, n_features, j).selectExpr(f"{int(j)} AS j", "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def partition_entries(entries: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Hash-partition non-zero entries by row id (reused by every round's join)."""
     return entries.repartition(num_partitions, "id") if num_partitions else entries.repartition("id")
@@ -108,33 +130,25 @@ def partition_entries(entries: DataFrame, num_partitions: int | None = None) ->
 
 # --------------------------------------------------------------------- measures
 
-def _w(*cols: str) -> Window:
-    return Window.partitionBy("k", *cols)
+_MARGINALS = {"n": "", "c_v": ", v", "c_z": ", z", "c_y": ", y", "c_vz": ", v, z",
+              "c_vy": ", v, y", "c_zy": ", z, y"}
 
 
-def information(cells: DataFrame) -> DataFrame:
-    """(k, rel, mi, cmi) from cells (k, v, z, y, c).
+def information(cells: DataFrame, keys: tuple[str, ...] = ("k",)) -> DataFrame:
+    """(keys..., rel, mi, cmi) from cells (keys..., v, z, y, c).
 
     The cell table is small (bounded by the value domains); it is hash
-    partitioned on k once, which satisfies every marginal window below, so
-    no further shuffle happens before the final per-feature sum.
+    partitioned on the keys once, which satisfies every marginal window
+    below, so no further shuffle happens before the final per-key sum.
     """
-    c = F.col("c").cast("double")
-    m = cells.repartition("k").select(
-        "k", c.alias("c"),
-        F.sum(c).over(_w()).alias("n"),
-        F.sum(c).over(_w("v")).alias("c_v"),
-        F.sum(c).over(_w("z")).alias("c_z"),
-        F.sum(c).over(_w("y")).alias("c_y"),
-        F.sum(c).over(_w("v", "z")).alias("c_vz"),
-        F.sum(c).over(_w("v", "y")).alias("c_vy"),
-        F.sum(c).over(_w("z", "y")).alias("c_zy"))
-    p = F.col("c") / F.col("n")
-    rel = p * F.log2(F.col("c_vy") * F.col("n") / (F.col("c_v") * F.col("c_y")))
-    mi = p * F.log2(F.col("c_vz") * F.col("n") / (F.col("c_v") * F.col("c_z")))
-    cmi = p * F.log2(F.col("c") * F.col("c_y") / (F.col("c_vy") * F.col("c_zy")))
-    return m.groupBy("k").agg(F.sum(rel).alias("rel"), F.sum(mi).alias("mi"),
-                              F.sum(cmi).alias("cmi"))
+    part = ", ".join(keys)
+    wins = [f"sum(c) OVER (PARTITION BY {part}{cols}) AS {name}" for name, cols in _MARGINALS.items()]
+    m = (cells.selectExpr(*keys, "v", "z", "y", "CAST(c AS DOUBLE) AS c").repartition(*keys)
+         .selectExpr(*keys, "c", *wins))
+    return m.groupBy(*keys).agg(
+        F.expr("sum(c / n * log2(c_vy * n / (c_v * c_y))) AS rel"),
+        F.expr("sum(c / n * log2(c_vz * n / (c_v * c_z))) AS mi"),
+        F.expr("sum(c / n * log2(c * c_y / (c_vy * c_zy))) AS cmi"))
 
 
 def relevance(cells: DataFrame) -> DataFrame:

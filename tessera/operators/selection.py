@@ -44,23 +44,33 @@ class DenseFeatures:
 
     def __init__(self, df: DataFrame, x: str = "x", y: str = "y", n_partitions: int = 0,
                  check: bool = True):
-        data = df.select(F.col(x).alias("x"), F.col(y).alias("y"))
-        if check:
-            check_byte_domain(data, "x", "y")
-        data = data.select(F.transform("x", lambda v: v.cast("tinyint")).alias("x"),
-                           F.col("y").cast("tinyint").alias("y"))
+        data = df.selectExpr(f"{x} AS x", f"{y} AS y")
+        # One pass: the dimension, and (P5/Q10) whether any value leaves the byte domain.
+        stats = data.selectExpr(
+            "max(size(x)) AS d",
+            f"count_if({BAD_ROW_SQL}) AS bad" if check else "0 AS bad").first()
+        if stats["bad"]:
+            raise ValueError("feature and label values must be integral and within [-128, 127]")
+        data = data.selectExpr("transform(x, v -> CAST(v AS TINYINT)) AS x", "CAST(y AS TINYINT) AS y")
         if n_partitions:
             data = data.repartition(n_partitions)
         self.data = data.persist(StorageLevel.MEMORY_AND_DISK)
-        self.n_features = int(self.data.agg(F.max(F.size("x"))).first()[0] or 0)
+        self.n_features = int(stats["d"] or 0)
 
     def cells(self, given: int | None) -> DataFrame:
         return I.dense_cells(self.data, given=given)
 
+    def cells_many(self, given: list[int]) -> DataFrame:
+        return I.dense_cells_many(self.data, given)
+
     def release(self) -> None:
         self.data.unpersist()
 
 
+BAD_ROW_SQL = ("x IS NULL OR y IS NULL OR CAST(y AS DOUBLE) % 1 <> 0 OR y < -128 OR y > 127 OR "
+               "exists(x, v -> v IS NULL OR v < -128 OR v > 127 OR CAST(v AS DOUBLE) % 1 <> 0)")
+
+
 class SparseFeatures:
     """Non-zero entries (id, y, k, v) partitioned by row id, plus (id, y) for all rows."""
 
@@ -82,18 +92,17 @@ class SparseFeatures:
     def cells(self, given: int | None) -> DataFrame:
         return I.sparse_cells(self.entries, self.rows, self.n_features, given)
 
+    def cells_many(self, given: list[int]) -> DataFrame:
+        return I.sparse_cells_many(self.entries, self.rows, self.n_features, given)
+
     def release(self) -> None:
         self.entries.unpersist()
         self.rows.unpersist()
 
 
-def check_byte_domain(df: DataFrame, x: str = "x", y: str | None = "y") -> None:
+def check_byte_domain(df: DataFrame, x: str = "x", y: str = "y") -> None:
     """P5 (Q10: for dense input too): fail unless all values are integral bytes."""
-    cond = has_non_byte(x)
-    if y is not None:
-        cond = cond | (F.col(y).cast("double") % 1 != 0) | (F.col(y) < -128) | (F.col(y) > 127)
-    nulls = F.col(x).isNull() | (F.col(y).isNull() if y is not None else F.lit(False))
-    if df.filter(cond | nulls).limit(1).count():
+    if df.selectExpr(f"{x} AS x", f"{y} AS y").where(BAD_ROW_SQL).limit(1).count():
         raise ValueError("feature and label values must be integral and within [-128, 127]")
 
 
@@ -118,43 +127,92 @@ class Selection:
         return sorted(self.features)
 
 
-def _best(scored: DataFrame):
-    """Argmax on (round(score, 10) desc, feature asc) -- one row to the driver."""
-    return (scored.orderBy(F.round("score", TIE_DIGITS).desc(), F.col("k").asc())
-            .select("k", "score").first())
-
-
 def relevance_table(source) -> DataFrame:
     """(k, rel) for every feature."""
     return I.information(source.cells(None)).select("k", "rel")
 
 
-def greedy_select(source, criterion: str = C.DEFAULT_CRITERION, n: int = 10,
-                  beta: float = C.DEFAULT_BETA) -> Selection:
-    """Forward selection of ``n`` features (Q1: exactly n; Q3: clamped)."""
-    crit = C.check_criterion(criterion)
+CHECKPOINT_EVERY = 5       # rounds between reliable checkpoints of the state
+
+
+def _winners(state: DataFrame, score_sql: str) -> dict[str, tuple[int, float]]:
+    """A6 per criterion as one aggregate: max of (round(score, 10), -k).
+
+    Partial aggregation keeps one candidate per criterion per task; one row
+    per criterion reaches the driver.
+    """
+    rows = state.where("valid").groupBy("crit").agg(F.expr(
+        f"max(struct(round({score_sql}, {TIE_DIGITS}) AS r, -k AS nk, {score_sql} AS s, k)) AS b"
+    )).collect()
+    return {r["crit"]: (int(r["b"]["k"]), float(r["b"]["s"])) for r in rows if r["b"] is not None}
+
+
+def greedy_select_many(source, criteria: list[str], n: int = 10,
+                       beta: float = C.DEFAULT_BETA) -> dict[str, Selection]:
+    """E1 for several criteria in lockstep: one Spark job per round for all of them.
+
+    Round i: the argmax per criterion over the state (one aggregate), then
+    one pass over the data counts cells against every criterion's winner
+    at once (``cells_many``) and folds (I(X_k;X_j), I(X_k;X_j|Y)) into each
+    criterion's state.  The state (criteria x features rows) is persisted
+    for the next round and written to the checkpoint folder every
+    CHECKPOINT_EVERY rounds, so lineage stays short and a lost executor
+    never forces more than a few rounds of recomputation.
+    Q1: exactly n features; Q3: n is clamped to the number of features.
+    """
+    crits = list(dict.fromkeys(C.check_criterion(c) for c in criteria))
     n = max(0, min(int(n), source.n_features))
-    rel = relevance_table(source)
+    out: dict[str, Selection] = {}
     if n == 0:
-        return Selection([], [])
-    if crit == "mim":   # T2 / Q2: global top n by relevance
-        top = (rel.orderBy(F.round("rel", TIE_DIGITS).desc(), F.col("k").asc()).limit(n).collect())
-        return Selection([int(r["k"]) for r in top], [float(r["rel"]) for r in top])
-    state = C.initial_state(rel).checkpoint(eager=True)
-    broadcast_ok = source.n_features <= BROADCAST_FEATURE_LIMIT
-    feats, scores = [], []
-    for i in range(n):
-        best = _best(state.filter("valid").select("k", C.score(crit, i, beta).alias("score")))
-        if best is None:
-            break
-        j = int(best["k"])
-        feats.append(j)
-        scores.append(float(best["score"]))
-        if i == n - 1:
-            break
-        info = I.redundancy(source.cells(j))
-        state = C.update(C.mark_selected(state, j), info, broadcast_ok).checkpoint(eager=True)
-    return Selection(feats, scores)
+        return {c: Selection([], []) for c in crits}
+    rel = relevance_table(source).persist(StorageLevel.MEMORY_AND_DISK)
+    looped = [c for c in crits if c != "mim"]
+    try:
+        if "mim" in crits:   # T2 / Q2: global top n by relevance
+            top = (rel.orderBy(F.round("rel", TIE_DIGITS).desc(), F.col("k").asc())
+                   .limit(n).collect())
+            out["mim"] = Selection([int(r["k"]) for r in top], [float(r["rel"]) for r in top])
+        if looped:
+            out.update(_greedy_loop(source, rel, looped, n, beta))
+    finally:
+        rel.unpersist()
+    return {c: out[c] for c in crits}
+
+
+def _greedy_loop(source, rel: DataFrame, crits: list[str], n: int, beta: float) -> dict[str, Selection]:
+    broadcast_ok = source.n_features * len(crits) <= BROADCAST_FEATURE_LIMIT
+    state = C.initial_states(rel, crits).persist(StorageLevel.MEMORY_AND_DISK)
+    previous = None
+    picked = {c: ([], []) for c in crits}
+    try:
+        for i in range(n):
+            winners = _winners(state, C.score_case_sql(crits, i, beta))
+            if previous is not None:
+                previous.unpersist()
+                previous = None
+            for c, (j, sc) in winners.items():
+                picked[c][0].append(j)
+                picked[c][1].append(sc)
+            if i == n - 1 or not winners:
+                break
+            given = sorted({j for j, _ in winners.values()})
+            info = I.information(source.cells_many(given), keys=("j", "k")).select(
+                "j", "k", "mi", "cmi")
+            nxt = C.update_many(state, info, {c: j for c, (j, _) in winners.items()}, broadcast_ok)
+            if (i + 1) % CHECKPOINT_EVERY == 0:
+                nxt = nxt.checkpoint(eager=True)
+            previous, state = state, nxt.persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        state.unpersist()
+        if previous is not None:
+            previous.unpersist()
+    return {c: Selection(f, s) for c, (f, s) in picked.items()}
+
+
+def greedy_select(source, criterion: str = C.DEFAULT_CRITERION, n: int = 10,
+                  beta: float = C.DEFAULT_BETA) -> Selection:
+    """Forward selection of ``n`` features by one criterion."""
+    return greedy_select_many(source, [criterion], n, beta)[C.check_criterion(criterion)]
 
 
 def selection_frame(spark: SparkSession, sel: Selection) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.checks import require_binary_labels, require_same_dimension
+from tessera.operators.checks import require_training_table
 from tessera.operators.split import BUCKETS, hash_bucket
 
 # The classic SGD defaults (step 1.0, reg 0.01, full batch, tol 0.001).
@@ -46,59 +46,55 @@ SGD_STEP, SGD_REG, SGD_FRACTION, SGD_TOL = 1.0, 0.01, 1.0, 0.001
 WIDE_LIMIT = 256
 
 
-def weight_literal(w: Sequence[float]) -> Column:
-    """The weights as ONE array literal.
+def _d(v: float) -> str:
+    """A double literal in Spark SQL text (exact: repr round-trips)."""
+    return f"({float(v)!r}D)"
 
-    Codegen keeps a non-primitive literal as a reference object, so the
-    generated code is the same text in every iteration and compiles once;
-    scalar literals would be inlined and force a recompile per iteration.
+
+def margin_sql(features: str, w: Sequence[float]) -> str:
+    """SQL text of w . x: one array literal and one fold, a small expression tree.
+
+    (Inlining d product terms builds a d-deep tree that costs more to
+    optimise and compile per iteration than the fold costs to evaluate.)
     """
-    return F.lit([float(v) for v in w]).cast("array<double>")
+    if len(w) == 0:
+        return "0.0D"
+    arr = ", ".join(_d(v) for v in w)
+    return (f"aggregate(zip_with({features}, array({arr}), (a, b) -> a * b), 0.0D, "
+            f"(acc, v) -> acc + v)")
 
 
 def margin(features: str, w: Sequence[float]) -> Column:
-    """w . x, with the weights in one array literal."""
-    x = F.col(features)
-    if len(w) == 0:
-        return F.lit(0.0)
-    wl = weight_literal(w)
-    if len(w) <= WIDE_LIMIT:
-        expr = None
-        for i in range(len(w)):
-            term = x.getItem(i) * wl.getItem(i)
-            expr = term if expr is None else expr + term
-        return expr
-    return F.aggregate(F.zip_with(x, wl, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    """w . x as a Column."""
+    return F.expr(margin_sql(features, w))
 
 
 def gradient_sums(rows: DataFrame, w: Sequence[float], features: str = "features",
                   label: str = "label", weight: str | None = None) -> tuple[list[float], float, float, int]:
     """(sum of weighted hinge subgradients, weighted loss sum, weight sum, rows).
 
-    One partially aggregated pass.  s = 2y - 1; a row is active when
-    s (w . x) < 1 and then contributes -weight * s * x.
+    One partially aggregated pass (each task ships one partial row).
+    s = 2y - 1; a row is active when s (w . x) < 1 and then contributes
+    -weight * s * x.  The expressions are SQL text: built in one call each.
     """
     d = len(w)
-    s = F.col(label) * 2.0 - 1.0
-    wt = F.col(weight).cast("double") if weight else F.lit(1.0)
-    m = margin(features, w)
-    base = rows.select(F.col(features).alias("x"), s.alias("s"), wt.alias("wt"), m.alias("m"))
-    base = base.select("x", "wt", (F.col("s") * F.col("m")).alias("sm"), "s")
-    coef = F.when(F.col("sm") < 1.0, -F.col("wt") * F.col("s")).otherwise(F.lit(0.0))
-    loss = F.col("wt") * F.greatest(F.lit(0.0), 1.0 - F.col("sm"))
+    wt = f"CAST({weight} AS DOUBLE)" if weight else "1.0D"
+    base = rows.selectExpr(f"{features} AS x", f"CAST({label} AS DOUBLE) * 2.0D - 1.0D AS s",
+                           f"{wt} AS wt", f"{margin_sql(features, w)} AS m")
+    base = base.selectExpr("x", "CASE WHEN s * m < 1.0D THEN -wt * s ELSE 0.0D END AS coef",
+                           "wt * greatest(0.0D, 1.0D - s * m) AS loss", "wt")
+    totals = ["sum(loss) AS loss", "sum(wt) AS wsum", "count(1) AS n"]
     if d <= WIDE_LIMIT:
-        aggs = [F.sum(coef * F.col("x").getItem(i)).alias(f"g{i}") for i in range(d)]
-        row = base.agg(*aggs, F.sum(loss).alias("loss"), F.sum("wt").alias("wsum"),
-                       F.count(F.lit(1)).alias("n")).first()
-        g = [float(row[f"g{i}"] or 0.0) for i in range(d)]
+        grad = "array(" + ", ".join(f"sum(coef * x[{i}])" for i in range(d)) + ") AS g"
+        row = base.selectExpr(grad, *totals).first()
+        g = [float(v or 0.0) for v in row["g"]]
     else:
-        ex = base.select(coef.alias("coef"), F.posexplode("x").alias("k", "v"))
-        parts = ex.groupBy("k").agg(F.sum(F.col("coef") * F.col("v")).alias("g")).collect()
+        parts = (base.selectExpr("coef", "posexplode(x) AS (k, v)")
+                 .groupBy("k").agg(F.expr("sum(coef * v) AS g")).collect())
         g = [0.0] * d
         for r in parts:              # d rows: the model dimension
             g[int(r["k"])] = float(r["g"])
-        row = base.agg(F.sum(loss).alias("loss"), F.sum("wt").alias("wsum"),
-                       F.count(F.lit(1)).alias("n")).first()
+        row = base.selectExpr(*totals).first()
     return g, float(row["loss"] or 0.0), float(row["wsum"] or 0.0), int(row["n"] or 0)
 
 
@@ -116,7 +112,7 @@ def batch_filter(rows: DataFrame, key: str, iteration: int, fraction: float) ->
 
 def sgd_svm(rows: DataFrame, iterations: int, step: float = SGD_STEP, reg: float = SGD_REG,
             fraction: float = SGD_FRACTION, tol: float = SGD_TOL, features: str = "features",
-            label: str = "label", key: str | None = None, check: bool = True) -> list[float]:
+            label: str = "label", key: str | None = None) -> list[float]:
     """Weights after ``iterations`` subgradient steps (no intercept).
 
     ``fraction`` < 1 samples each iteration's batch by hash of ``key``.
@@ -125,9 +121,7 @@ def sgd_svm(rows: DataFrame, iterations: int, step: float = SGD_STEP, reg: float
                        F.col(features).cast("array<double>").alias(features))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if check:
-            require_binary_labels(data, label)
-        d = require_same_dimension(data, features)
+        d, _ = require_training_table(data, features, label)
         w = [0.0] * d
         for i in range(1, int(iterations) + 1):
             batch = batch_filter(data, key, i, fraction) if key and fraction < 1 else data
@@ -148,7 +142,8 @@ def sgd_svm(rows: DataFrame, iterations: int, step: float = SGD_STEP, reg: float
 def predict(df: DataFrame, w: Sequence[float], features: str = "features",
             out: str = "prediction", threshold: float = 0.0) -> DataFrame:
     """1.0 when w . x > threshold, else 0.0."""
-    return df.withColumn(out, (margin(features, w) > F.lit(float(threshold))).cast("double"))
+    return df.withColumn(out, F.expr(
+        f"CAST(({margin_sql(features, w)}) > {_d(threshold)} AS DOUBLE)"))
 
 
 def accuracy(pred: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
@@ -238,9 +233,7 @@ class LinearSvc(Estimator, _SvcParams, DefaultParamsReadable, DefaultParamsWrita
             cols.append(F.col(key).alias("_key"))
         data = dataset.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            require_binary_labels(data, "label")
-            d = require_same_dimension(data, "features")
-            n = data.count()
+            d, n = require_training_table(data, "features", "label")
             batch = self.getGlobalBatchSize()
             fraction = 1.0 if batch >= n else batch / n
             if fraction < 1.0 and not key:

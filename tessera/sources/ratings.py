@@ -73,3 +73,19 @@ def parse_csv_lines(df: DataFrame, value: str = "value", schema: str = CSV_SCHEM
     """S2 for a line column: the same CSV parser through ``from_csv``."""
     parsed = df.select(F.from_csv(F.col(value), schema, {"mode": "FAILFAST"}).alias("r"))
     return parsed.select("r.*")
+
+
+def ingest_summary(lines: DataFrame, keys: list[str], fraction: float, value: str = "value"):
+    """One pass over a feed: (good rows, bad lines, train rows, test rows).
+
+    Parsing, validation and the key-hash split are all column expressions,
+    so the four counts come from a single partially aggregated job.
+    """
+    from tessera.operators.split import BUCKETS, hash_bucket
+    p = _parsed(lines, value).withColumn("_good", _good())
+    cut = int(round(fraction * BUCKETS))
+    p = p.withColumn("_train", hash_bucket(keys) < F.lit(cut))
+    row = p.selectExpr("count_if(_good) AS good", "count_if(NOT _good) AS bad",
+                       "count_if(_good AND _train) AS train",
+                       "count_if(_good AND NOT _train) AS test").first()
+    return int(row["good"]), int(row["bad"]), int(row["train"]), int(row["test"])
