@@ -141,14 +141,14 @@ def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int
         return spark.createDataFrame([], "id bigint, rank int, other bigint, score double")
     bl = max(1, math.ceil(n_left / block_rows))
     br = max(1, math.ceil(n_right / block_rows))
-    L = left.select(F.col("id").cast("bigint").alias("lid"),
-                    F.col("features").cast("array<double>").alias("lf"),
-                    F.pmod(F.xxhash64("id"), F.lit(bl)).alias("lb"),
-                    F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("rb"))
-    R = right.select(F.col("id").cast("bigint").alias("rid"),
-                     F.col("features").cast("array<double>").alias("rf"),
-                     F.pmod(F.xxhash64("id"), F.lit(br)).alias("rb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(bl - 1))).alias("lb"))
+    # Block ids must have ONE type on both sides: the cogroup hash-partitions
+    # each side by its key values, and an int 3 and a bigint 3 hash apart.
+    L = left.selectExpr("CAST(id AS BIGINT) AS lid", "CAST(features AS ARRAY<DOUBLE>) AS lf",
+                        f"CAST(pmod(xxhash64(id), {bl}) AS INT) AS lb",
+                        f"explode(sequence(0, {br - 1})) AS rb")
+    R = right.selectExpr("CAST(id AS BIGINT) AS rid", "CAST(features AS ARRAY<DOUBLE>) AS rf",
+                         f"CAST(pmod(xxhash64(id), {br}) AS INT) AS rb",
+                         f"explode(sequence(0, {bl - 1})) AS lb")
     cand = (L.groupBy("lb", "rb").cogroup(R.groupBy("lb", "rb"))
             .applyInPandas(_block_top_k(k, digits),
                            "lid bigint, rid bigint, score double, rank int"))

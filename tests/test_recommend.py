@@ -38,6 +38,18 @@ def test_topk_matches_bruteforce_with_ties(spark, block_rows):
         assert [(o, s) for _, o, s in lst] == [(o, pytest.approx(s)) for o, s in want[u]]
         assert [rk for rk, _, _ in lst] == [1, 2, 3, 4]
     assert len(by_user) == len(uid)
+    assert len(rows) == 4 * len(uid)
+
+
+def test_topk_many_blocks_covers_every_left_id(spark):
+    rng = np.random.default_rng(9)
+    U, V = rng.normal(size=(300, 3)), rng.normal(size=(200, 3))
+    got = RC.top_k(factors(spark, range(300), U), factors(spark, range(1000, 1200), V), 5,
+                   block_rows=32)
+    assert got.count() == 300 * 5
+    want = brute_topk(U, list(range(300)), V, list(range(1000, 1200)), 5)
+    for r in got.where("id IN (0, 17, 299)").collect():
+        assert want[r["id"]][r["rank"] - 1][0] == r["other"]
 
 
 def test_topk_subset_and_nest(spark):
