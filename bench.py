@@ -8,6 +8,7 @@ Workloads (the reference's three programs at their stated settings):
   select_7x10       greedy selection, all seven criteria, 10 features each (EMB)
   mi_lineitem       contingency counts + relevance of the LIN matrix
   ratings_ingest    parse the ratings feed, split 80/20, count both sides
+  ratings_view      build the (user, item, rating) table from lineitem x orders, persisted
   als_spark_rmse    ALS maxIter 5, regParam 0.01 + RMSE on the test side
   als_flink_predict ALS 10 iterations, rank 10, lambda 0.1 + test predictions
   als_recs_users    recommendForAllUsers(10)
@@ -31,7 +32,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from tessera.session import build_session
     spark = build_session(f"local[{cpus}]", app="tessera-bench",
-                          shuffle_partitions=int(cpus) * 2)
+                          shuffle_partitions=int(cpus))
 
     from pyspark.sql import functions as F
 
@@ -79,6 +80,10 @@ def main() -> None:
     train = train.persist()
     test = test.persist()
 
+    @timed("ratings_view")
+    def _():
+        return [train.count(), test.count()]     # lineitem x orders -> (user, item) ratings
+
     @timed("als_spark_rmse")
     def _():
         model = RC.fit_als(train)

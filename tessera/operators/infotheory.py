@@ -56,10 +56,13 @@ def dense_cells_many(df: DataFrame, given: list[int], x: str = "x", y: str = "y"
 
 # -------------------------------------------------------------------------- sparse
 
-def _class_totals(rows: DataFrame) -> list[tuple[int, int]]:
+def class_totals(rows: DataFrame) -> list[tuple[int, int]]:
     """(y, count) per class.  Bounded: labels are bytes (at most 256 classes)."""
     return [(int(r["y"]), int(r["n"])) for r in
-            rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()]
+            rows.groupBy("y").agg(F.expr("count(1) AS n")).collect()]
+
+
+_class_totals = class_totals
 
 
 def _grid(spark, n_features: int, pairs: list[tuple[int, int, int]]) -> DataFrame:
@@ -75,8 +78,30 @@ def _grid(spark, n_features: int, pairs: list[tuple[int, int, int]]) -> DataFram
             .select("k", "g.z", "g.y", "g.t"))
 
 
+def joint_totals(entries: DataFrame, rows: DataFrame, given: list[int],
+                 class_totals: list[tuple[int, int]]) -> dict[int, list[tuple[int, int, int]]]:
+    """(z, y, count) of every reference feature j in ``given``, zeros included, in ONE job.
+
+    The non-zero part is a partially aggregated count of j's entries; the z = 0
+    part is the class total minus it.  Bounded: |given| x 256 x classes rows.
+    """
+    want = ", ".join(str(int(j)) for j in given)
+    counted = (entries.where(f"k IN ({want})")
+               .groupBy("k", F.col("v").alias("z"), "y").agg(F.expr("count(1) AS n")).collect())
+    out: dict[int, list[tuple[int, int, int]]] = {int(j): [] for j in given}
+    for r in counted:
+        out[int(r["k"])].append((int(r["z"]), int(r["y"]), int(r["n"])))
+    for j, cells in out.items():
+        for y, n in class_totals:
+            rest = n - sum(c for z, yy, c in cells if yy == y)
+            if rest > 0:
+                cells.append((0, y, rest))
+    return out
+
+
 def sparse_cells(entries: DataFrame, rows: DataFrame, n_features: int,
-                 given: int | None = None) -> DataFrame:
+                 given: int | None = None, class_totals: list[tuple[int, int]] | None = None,
+                 joint: list[tuple[int, int, int]] | None = None) -> DataFrame:
     """The same cells as ``dense_cells`` from non-zero entries only.
 
     ``entries``: (id, y, k, v) with v != 0; ``rows``: (id, y) for every row,
@@ -84,41 +109,38 @@ def sparse_cells(entries: DataFrame, rows: DataFrame, n_features: int,
     totals minus the non-zero cells: c(k,0,z,y) = c(z,y) - sum_{v!=0} c(k,v,z,y).
     For ``given`` = j the value z of feature j joins on the row id; partition
     ``entries`` by id once (see ``partition_entries``) and that join needs no
-    shuffle in later rounds.
+    shuffle in later rounds.  Pass ``class_totals`` / ``joint`` when known to
+    skip their (small) jobs.
     """
     spark = entries.sparkSession
+    totals = class_totals if class_totals is not None else _class_totals(rows)
     if given is None:
-        nz = entries.select("k", "v", F.lit(0).cast("tinyint").alias("z"), "y")
-        joint = [(0, y, n) for y, n in _class_totals(rows)]
+        nz = entries.selectExpr("k", "v", "CAST(0 AS TINYINT) AS z", "y")
+        joint = [(0, y, n) for y, n in totals]
     else:
-        zcol = entries.filter(F.col("k") == int(given)).select("id", F.col("v").alias("z"))
+        zcol = entries.where(f"k = {int(given)}").selectExpr("id", "v AS z")
         nz = (entries.join(zcol, "id", "left")
-              .select("k", "v", F.coalesce("z", F.lit(0).cast("tinyint")).alias("z"), "y"))
-        totals = dict(_class_totals(rows))
-        zy = {(int(r["z"]), int(r["y"])): int(r["n"]) for r in
-              zcol.join(rows.select("id", "y"), "id")
-              .groupBy("z", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
-        joint = [(z, y, n) for (z, y), n in zy.items()]
-        for y, n in totals.items():
-            rest = n - sum(c for (z, yy), c in zy.items() if yy == y)
-            if rest > 0:
-                joint.append((0, y, rest))
-    nz_cells = nz.groupBy(*CELL_KEYS).agg(F.count(F.lit(1)).alias("c"))
-    nz_sums = nz_cells.groupBy("k", "z", "y").agg(F.sum("c").alias("s"))
+              .selectExpr("k", "v", "coalesce(z, CAST(0 AS TINYINT)) AS z", "y"))
+        if joint is None:
+            joint = joint_totals(entries, rows, [int(given)], totals)[int(given)]
+    nz_cells = nz.groupBy(*CELL_KEYS).agg(F.expr("count(1) AS c"))
+    nz_sums = nz_cells.groupBy("k", "z", "y").agg(F.expr("sum(c) AS s"))
     zero = (_grid(spark, n_features, joint)
             .join(nz_sums, ["k", "z", "y"], "left")
-            .select("k", F.lit(0).cast("tinyint").alias("v"), "z", "y",
-                    (F.col("t") - F.coalesce("s", F.lit(0))).alias("c"))
-            .filter(F.col("c") > 0))
+            .selectExpr("k", "CAST(0 AS TINYINT) AS v", "z", "y", "t - coalesce(s, 0) AS c")
+            .where("c > 0"))
     return nz_cells.select("k", "v", "z", "y", "c").unionByName(zero)
 
 
 def sparse_cells_many(entries: DataFrame, rows: DataFrame, n_features: int,
-                      given: list[int]) -> DataFrame:
+                      given: list[int], class_totals: list[tuple[int, int]] | None = None) -> DataFrame:
     """Cells (j, k, v, z, y, c) for every j in ``given`` (one plan, one job)."""
+    totals = class_totals if class_totals is not None else _class_totals(rows)
+    joints = joint_totals(entries, rows, given, totals)
     out = None
     for j in given:
-        part = sparse_cells(entries, rows, n_features, j).selectExpr(f"{int(j)} AS j", "*")
+        part = sparse_cells(entries, rows, n_features, j, totals, joints[int(j)]).selectExpr(
+            f"{int(j)} AS j", "*")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -88,12 +88,14 @@ class SparseFeatures:
         self.rows = rows.select("id", F.col("y").cast("tinyint").alias("y")).persist(
             StorageLevel.MEMORY_AND_DISK)
         self.n_features = int(n_features)
+        self.class_totals = I.class_totals(self.rows)      # once per fit (<= 256 classes)
 
     def cells(self, given: int | None) -> DataFrame:
-        return I.sparse_cells(self.entries, self.rows, self.n_features, given)
+        return I.sparse_cells(self.entries, self.rows, self.n_features, given, self.class_totals)
 
     def cells_many(self, given: list[int]) -> DataFrame:
-        return I.sparse_cells_many(self.entries, self.rows, self.n_features, given)
+        return I.sparse_cells_many(self.entries, self.rows, self.n_features, given,
+                                   self.class_totals)
 
     def release(self) -> None:
         self.entries.unpersist()
