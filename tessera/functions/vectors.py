@@ -22,16 +22,6 @@ def dot(a, b) -> Column:
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
-def dot_literal(a, w: Sequence[float]) -> Column:
-    """Dot product of an array column with a driver-side weight vector.
-
-    The weights become one array literal (d doubles; d is the model
-    dimension, fixed by the schema, not by the row count).
-    """
-    lit = F.array(*[F.lit(float(x)) for x in w]) if len(w) else F.array().cast("array<double>")
-    return dot(a, lit)
-
-
 def gather(a, indices: Sequence[int]) -> Column:
     """Dense slice: the values at ``indices`` (0-based), in the given order."""
     arr = _col(a)
@@ -40,10 +30,6 @@ def gather(a, indices: Sequence[int]) -> Column:
     return F.array(*[arr.getItem(int(i)) for i in indices])
 
 
-def to_double_array(a) -> Column:
-    return F.transform(_col(a), lambda x: x.cast("double"))
-
-
 def has_non_byte(a) -> Column:
     """True when any element is non-integral or outside [-128, 127]."""
     return F.exists(_col(a), lambda v: (v < -128) | (v > 127) | (v.cast("double") % 1 != 0))

@@ -12,7 +12,6 @@ round's winner (one row) comes back to the driver.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -28,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.vectors import gather, has_non_byte
+from tessera.functions.vectors import gather
 from tessera.operators import criteria as C
 from tessera.operators import infotheory as I
 
@@ -102,12 +101,6 @@ class SparseFeatures:
         self.rows.unpersist()
 
 
-def check_byte_domain(df: DataFrame, x: str = "x", y: str = "y") -> None:
-    """P5 (Q10: for dense input too): fail unless all values are integral bytes."""
-    if df.selectExpr(f"{x} AS x", f"{y} AS y").where(BAD_ROW_SQL).limit(1).count():
-        raise ValueError("feature and label values must be integral and within [-128, 127]")
-
-
 def training_rows(df: DataFrame, label: str = "label", features: str = "features",
                   keep: list[str] | None = None) -> DataFrame:
     """(keep..., label double, features) -- any numeric label is accepted (Q15)."""
@@ -488,9 +481,3 @@ class _ModelReader(MLReader):
         model._resetUid(meta["uid"])
         DefaultParamsReader.getAndSetParams(model, meta)
         return model
-
-
-def params_json(stage: Params) -> str:
-    """Explicit param values of a stage (for reports and tests)."""
-    return json.dumps({p.name: v for p, v in stage.extractParamMap().items()}, sort_keys=True,
-                      default=str)
