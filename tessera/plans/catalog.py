@@ -472,6 +472,22 @@ def als_recs_items(spark, sf):
     return RC.flatten_recommendations(model.recommendForAllItems(TOP_K), "item", "user")
 
 
+@query("als_recs_user_subset")
+def als_recs_user_subset(spark, sf):
+    """T7 via the model: top 10 items for the 3 smallest user ids."""
+    model, train, _ = _als(spark, sf)
+    users = RC.first_ids(V.ratings(spark, sf), "user", SUBSET_N)
+    return RC.flatten_recommendations(model.recommendForUserSubset(users, TOP_K), "user", "item")
+
+
+@query("als_recs_item_subset")
+def als_recs_item_subset(spark, sf):
+    """T8 via the model: top 10 users for the 3 smallest item ids."""
+    model, train, _ = _als(spark, sf)
+    items = RC.first_ids(V.ratings(spark, sf), "item", SUBSET_N)
+    return RC.flatten_recommendations(model.recommendForItemSubset(items, TOP_K), "item", "user")
+
+
 # --------------------------------------------------------------------------- SVM
 
 def _weights_frame(spark, w):

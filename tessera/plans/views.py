@@ -38,7 +38,9 @@ def ratings(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_custkey").cast("int").alias("user"),
         F.col("l_partkey").cast("int").alias("item"),
         (F.floor(F.col("q") / F.lit(RATING_BIN)) + 1).cast("double").alias("rating"),
-        F.unix_seconds(F.col("d").cast("timestamp")).alias("ts"))
+        # Epoch seconds of a TIMESTAMP_NTZ without passing through the session zone.
+        F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', d)").cast("bigint")
+        .alias("ts"))
 
 
 def rating_lines(spark: SparkSession, sf: str) -> DataFrame:

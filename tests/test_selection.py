@@ -147,3 +147,14 @@ def test_reports(spark, source):
     sel = S.selection_frame(spark, S.greedy_select(src, "mrmr", 2))
     assert [r["feature"] for r in S.selected_report(sel).collect()][0] == 2
     assert [r["feat"] for r in S.sorted_selection(spark, [5, 1, 3]).collect()] == [1, 3, 5]
+
+
+def test_copy_with_extra_params():
+    from tessera.operators.selection import FeatureSelector, FeatureSelectorModel
+    est = FeatureSelector(selectCriterion="icap", numTopFeatures=4)
+    twin = est.copy({est.numTopFeatures: 9})
+    assert twin.getNumTopFeatures() == 9 and est.getNumTopFeatures() == 4
+    assert twin.getSelectCriterion() == "icap" and twin.uid == est.uid
+    model = FeatureSelectorModel([1, 4], [4, 1], [0.5, 0.25])
+    mcopy = model.copy({model.outputCol: "o2"})
+    assert mcopy.selectedFeatures == [1, 4] and mcopy.getOutputCol() == "o2"

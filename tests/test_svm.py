@@ -105,3 +105,13 @@ def test_bad_inputs(spark):
         SV.sgd_svm(ragged, 2)
     same = spark.createDataFrame([(1.0, [1.0, 2.0]), (1.0, [0.5, 1.0])], "label double, features array<double>")
     assert len(SV.sgd_svm(same, 3)) == 2          # all labels equal: still trains
+
+
+def test_params_persist_and_copy(spark, tmp_dir):
+    est = SV.LinearSvc(maxIter=7, learningRate=0.3, reg=0.02, elasticNet=0.25, weightCol="wt")
+    est.write().overwrite().save(f"{tmp_dir}/svc")
+    back = SV.LinearSvc.load(f"{tmp_dir}/svc")
+    assert (back.getMaxIter(), back.getLearningRate(), back.getReg(), back.getElasticNet(),
+            back.getWeightCol()) == (7, 0.3, 0.02, 0.25, "wt")
+    twin = est.copy({est.maxIter: 3})
+    assert twin.getMaxIter() == 3 and est.getMaxIter() == 7
