@@ -206,26 +206,28 @@ def assemble_sparse_columns(spark, sf):
                        F.col("checksum").cast("bigint"))
 
 
-def _sparse_source(spark, sf) -> S.SparseFeatures:
+def _sparse_inputs(spark, sf):
+    """(entries partitioned by row id, all rows, dimension) -- lazy, nothing persisted."""
     spa = V.sparse_sign_entries(spark, sf)
     rows = V.byte_matrix(spark, sf).select("id", "y")
-    return S.SparseFeatures(spa, rows, V.sparse_dimension(spark, sf))
+    return I.partition_entries(spa), rows, V.sparse_dimension(spark, sf)
 
 
 @query("mi_relevance_sparse")
 def mi_relevance_sparse(spark, sf):
     """I(X_k; Y) from non-zero entries only."""
-    src = _sparse_source(spark, sf)
-    rel = I.relevance(src.cells(None))
+    entries, rows, d = _sparse_inputs(spark, sf)
+    rel = I.relevance(I.sparse_cells(entries, rows, d))
     return rel.select(F.col("k").cast("int").alias("k"), r6(F.col("mi")).alias("mi"))
 
 
 @query("mi_redundancy_sparse")
 def mi_redundancy_sparse(spark, sf):
     """(I(X_k; X_j), I(X_k; X_j|Y)) from non-zeros, j = most relevant."""
-    src = _sparse_source(spark, sf)
-    j = _most_relevant(I.information(src.cells(None)))
-    red = I.redundancy(src.cells(j))
+    entries, rows, d = _sparse_inputs(spark, sf)
+    totals = I.class_totals(rows)
+    j = _most_relevant(I.information(I.sparse_cells(entries, rows, d, None, totals)))
+    red = I.redundancy(I.sparse_cells(entries, rows, d, j, totals))
     return red.select(F.col("k").cast("int").alias("k"), r6(F.col("mi")).alias("mi"),
                       r6(F.col("cmi")).alias("cmi"))
 
@@ -233,7 +235,8 @@ def mi_redundancy_sparse(spark, sf):
 @query("select_mrmr_sparse")
 def select_mrmr_sparse(spark, sf):
     """E1 on the sparse path: mrmr, 3 features of SPA."""
-    src = _sparse_source(spark, sf)
+    entries, rows, d = _sparse_inputs(spark, sf)
+    src = S.SparseFeatures(entries, rows, d)
     try:
         sel = S.greedy_select(src, "mrmr", SELECT_N)
     finally:
