@@ -11,11 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators import checks as K
 from tessera.operators import criteria as C
 from tessera.operators import infotheory as I
+from tessera.operators import recommend as RC
 from tessera.operators import selection as S
+from tessera.operators import svm as SV
+from tessera.operators.split import BUCKETS, hash_bucket, hash_split
 from tessera.plans import views as V
 from tessera.session import scratch_path
+from tessera.sources import labeled as LB
+from tessera.sources import ratings as RS
+from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,6 +31,12 @@ MODEL_N = 5           # features kept by the fitted-model queries
 MAXREL_N = 10
 SLICE_DENSE = [3, 17, 40, 63]
 SLICE_SPARSE = [3, 5, 7, 11, 13, 60]
+TOP_K = 10
+SUBSET_N = 3
+SVM_STEPS = 3
+SVC_FULL_BATCH = 1_000_000_000     # >= rows: every iteration uses the whole table
+SVC_BATCH = 100
+ALS_LAMBDA_RANK1 = 0.1
 
 
 def query(name: str):
@@ -246,21 +259,6 @@ def select_mrmr_sparse(spark, sf):
 
 # ------------------------------------------------------------- sources and checks
 
-from tessera.operators import checks as K  # noqa: E402
-from tessera.operators import recommend as RC  # noqa: E402
-from tessera.operators import svm as SV  # noqa: E402
-from tessera.operators.split import hash_split  # noqa: E402
-from tessera.sources import labeled as LB  # noqa: E402
-from tessera.sources import ratings as RS  # noqa: E402
-from tessera.sources.tables import table  # noqa: E402
-
-TOP_K = 10
-SUBSET_N = 3
-SVM_STEPS = 3
-SVC_FULL_BATCH = 1_000_000_000     # >= rows: every iteration uses the whole table
-SVC_BATCH = 100
-ALS_LAMBDA_RANK1 = 0.1
-
 
 @query("ratings_parse")
 def ratings_parse(spark, sf):
@@ -341,7 +339,6 @@ def split_test(spark, sf):
 def split_counts(spark, sf):
     """A1: row counts of both sides in one pass."""
     r = V.ratings(spark, sf)
-    from tessera.operators.split import hash_bucket, BUCKETS
     train = hash_bucket(["user", "item"]) < F.lit(int(round(V.TRAIN_FRACTION * BUCKETS)))
     return r.agg(F.sum(train.cast("bigint")).alias("n_train"),
                  F.sum((~train).cast("bigint")).alias("n_test"))

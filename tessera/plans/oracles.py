@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tessera.plans import catalog as Q
-from tessera.plans.oracle_sql import (EMB, LIN, SPA, R, REL_CELLS, cells_given, greedy_ctes,
-                                      info_select, selected_union, selection_sql)
 from tessera.operators.criteria import CRITERIA
+from tessera.plans.oracle_sql import (EMB, FAC, LIN, RAT, RATLINE, REL_CELLS, SPA, SPLIT, SVML,
+                                      SVMV, SVMV_UNWEIGHTED, SVMV_WEIGHTED, R, cells_given,
+                                      greedy_ctes, info_select, selected_union, selection_sql,
+                                      sgd_chain)
 
 ORACLES: dict[str, str] = {}
 
@@ -103,8 +105,6 @@ ORACLES["select_mrmr_sparse"] = selection_sql(SPA, "mrmr", Q.SELECT_N)
 
 # ------------------------------------------------------------- sources and checks
 
-from tessera.plans.oracle_sql import (FAC, RAT, RATLINE, SPLIT, SVML, SVMV,  # noqa: E402
-                                      SVMV_UNWEIGHTED, SVMV_WEIGHTED, sgd_chain)
 
 _RATPARSE = RATLINE + """,
 p AS (SELECT value, string_split(value, '::') AS f FROM ratline),
