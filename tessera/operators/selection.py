@@ -66,6 +66,53 @@ class DenseFeatures:
         self.data.unpersist()
 
 
+# The storage struct of an ml Vector: type 0 = sparse (size, indices, values), 1 = dense (values).
+_VECTOR_JSON = ("struct<v: struct<type: tinyint, size: int, indices: array<int>, "
+                "values: array<double>>>")
+SPARSE_DENSITY = 0.5       # vector columns stored sparser than this take the sparse path
+
+
+@dataclass
+class VectorEntries:
+    entries: DataFrame          # (id, y, k, v), stored non-zeros only
+    rows: DataFrame             # (id, y), every row
+    n_features: int
+    density: float              # mean stored fraction of each vector
+    parsed: DataFrame           # the persisted parse both come from
+
+    def release(self) -> None:
+        self.parsed.unpersist()
+
+
+def vector_entries(df: DataFrame, features: str, label: str, id_col: str | None = None
+                   ) -> VectorEntries:
+    """Non-zero long form of a vector column, JVM-side, never densified.
+    The vector's storage struct is read through ``to_json``/``from_json``, so
+    the cost is linear in the stored values, not in the dimension.  Without
+    ``id_col`` row ids come from ``monotonically_increasing_id`` on the
+    persisted parse (stable for a deterministic input; pass ``id_col`` otherwise).
+    """
+    idc = F.col(id_col).cast("bigint") if id_col else F.monotonically_increasing_id()
+    parsed = df.select(idc.alias("id"), F.col(label).alias("y"),
+                       F.from_json(F.to_json(F.struct(F.col(features).alias("v"))),
+                                   _VECTOR_JSON).getField("v").alias("p"))
+    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    stats = parsed.selectExpr(
+        "max(CASE WHEN p.type = 0 THEN p.size ELSE size(p.values) END) AS d",
+        "avg(CASE WHEN p.type = 0 THEN size(p.values) / greatest(p.size, 1) ELSE 1.0 END) AS density",
+        f"count_if(y IS NULL OR CAST(y AS DOUBLE) % 1 <> 0 OR y < -128 OR y > 127) AS bad"
+    ).first()
+    if stats["bad"]:
+        parsed.unpersist()
+        raise ValueError("label values must be integral and within [-128, 127]")
+    entries = parsed.selectExpr(
+        "id", "y", "explode(transform(p.values, (x, i) -> named_struct("
+        "'k', CASE WHEN p.type = 0 THEN p.indices[i] ELSE i END, 'v', x))) AS e"
+    ).selectExpr("id", "y", "e.k AS k", "e.v AS v").where("v <> 0")
+    return VectorEntries(entries, parsed.select("id", "y"), int(stats["d"] or 0),
+                         float(stats["density"] or 0.0), parsed)
+
+
 BAD_ROW_SQL = ("x IS NULL OR y IS NULL OR CAST(y AS DOUBLE) % 1 <> 0 OR y < -128 OR y > 127 OR "
                "exists(x, v -> v IS NULL OR v < -128 OR v > 127 OR CAST(v AS DOUBLE) % 1 <> 0)")
 
@@ -358,9 +405,20 @@ class FeatureSelector(Estimator, _SelectorParams, DefaultParamsReadable, Default
         fcol, lcol = self.getFeaturesCol(), self.getLabelCol()
         kind = _feature_kind(dataset.schema, fcol)
         _check_label(dataset.schema, lcol)
+        if kind == "vector":
+            ve = vector_entries(dataset, fcol, lcol)
+            if ve.density < SPARSE_DENSITY:    # A13 path: only stored non-zeros are counted
+                try:
+                    return self._finish(SparseFeatures(ve.entries, ve.rows, ve.n_features,
+                                                       self.getNPartitions()))
+                finally:
+                    ve.release()
+            ve.release()
         x = vector_to_array(F.col(fcol)) if kind == "vector" else F.col(fcol)
         rows = dataset.select(x.alias("x"), F.col(lcol).cast("double").alias("y"))
-        source = DenseFeatures(rows, n_partitions=self.getNPartitions())
+        return self._finish(DenseFeatures(rows, n_partitions=self.getNPartitions()))
+
+    def _finish(self, source) -> FeatureSelectorModel:
         try:
             sel = greedy_select(source, self.getSelectCriterion(), self.getNumTopFeatures(),
                                 self.getBeta())
@@ -373,15 +431,7 @@ class FeatureSelector(Estimator, _SelectorParams, DefaultParamsReadable, Default
     def fit_sparse(self, entries: DataFrame, rows: DataFrame, n_features: int) -> FeatureSelectorModel:
         """A13 path: non-zero long form (id, y, k, v) plus all rows (id, y)."""
         self._validate()
-        source = SparseFeatures(entries, rows, n_features, self.getNPartitions())
-        try:
-            sel = greedy_select(source, self.getSelectCriterion(), self.getNumTopFeatures(),
-                                self.getBeta())
-        finally:
-            source.release()
-        model = FeatureSelectorModel(sel.sorted_features, sel.features, sel.scores)
-        model._resetUid(self.uid)
-        return self._copyValues(model)
+        return self._finish(SparseFeatures(entries, rows, n_features, self.getNPartitions()))
 
 
 class FeatureSelectorModel(Model, _SelectorParams, MLReadable, MLWritable):

@@ -158,3 +158,27 @@ def test_copy_with_extra_params():
     model = FeatureSelectorModel([1, 4], [4, 1], [0.5, 0.25])
     mcopy = model.copy({model.outputCol: "o2"})
     assert mcopy.selectedFeatures == [1, 4] and mcopy.getOutputCol() == "o2"
+
+
+def test_vector_column_sparse_and_dense_paths(spark, source, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+    X, y, src = source
+    want = S.greedy_select(src, "mrmr", 3).features
+    sparse_rows = [(Vectors.sparse(X.shape[1], {k: float(X[i, k]) for k in range(X.shape[1])
+                                                if X[i, k] != 0}), float(y[i])) for i in range(len(y))]
+    dense_rows = [(Vectors.dense([float(v) for v in X[i]]), float(y[i])) for i in range(len(y))]
+    used = []
+    real_sparse, real_dense = S.SparseFeatures, S.DenseFeatures
+    monkeypatch.setattr(S, "SparseFeatures", lambda *a, **k: used.append("sparse") or real_sparse(*a, **k))
+    monkeypatch.setattr(S, "DenseFeatures", lambda *a, **k: used.append("dense") or real_dense(*a, **k))
+    for rows, threshold in ((sparse_rows, 1.01), (dense_rows, 0.0)):
+        monkeypatch.setattr(S, "SPARSE_DENSITY", threshold)
+        df = spark.createDataFrame(rows, ["features", "label"])
+        model = S.FeatureSelector(selectCriterion="mrmr", numTopFeatures=3).fit(df)
+        assert model.selectionOrder == want
+    assert used == ["sparse", "dense"]
+    ve = S.vector_entries(spark.createDataFrame(sparse_rows[:5], ["features", "label"]),
+                          "features", "label")
+    assert ve.n_features == X.shape[1] and ve.density < 1.0
+    assert ve.entries.count() == int((X[:5] != 0).sum())
+    ve.release()
