@@ -146,8 +146,13 @@ def sparse_cells_many(entries: DataFrame, rows: DataFrame, n_features: int,
 
 
 def partition_entries(entries: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Hash-partition non-zero entries by row id (reused by every round's join)."""
-    return entries.repartition(num_partitions, "id") if num_partitions else entries.repartition("id")
+    """Hash-partition non-zero entries by row id (reused by every round's join).
+
+    The count is explicit (default: the cluster's default parallelism): a
+    persisted plan keeps its shuffle width, AQE does not coalesce it later.
+    """
+    n = num_partitions or entries.sparkSession.sparkContext.defaultParallelism
+    return entries.repartition(int(n), "id")
 
 
 # --------------------------------------------------------------------- measures

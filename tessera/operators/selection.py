@@ -5,9 +5,9 @@ the selected indices (sorted ascending) and slices feature columns.
 
 One selection round is one Spark job over the persisted (x, y) table: count
 cells against the last winner, derive (I(X_k;X_j), I(X_k;X_j|Y)) for every
-feature, and fold them into the per-feature state (a small DataFrame, one
-row per feature, checkpointed each round so lineage never grows).  Only the
-round's winner (one row) comes back to the driver.
+feature, and fold them into the per-feature state (a small table, one row
+per feature, written under the checkpoint folder each round so lineage
+never grows).  Only the round's winner (one row) comes back to the driver.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from tessera.functions.vectors import gather
 from tessera.operators import criteria as C
 from tessera.operators import infotheory as I
+from tessera.session import RoundTables
 
 # Above this many features the per-round (k, mi, cmi) table is joined, not broadcast.
 BROADCAST_FEATURE_LIMIT = 200_000
@@ -174,7 +175,8 @@ def relevance_table(source) -> DataFrame:
     return I.information(source.cells(None)).select("k", "rel")
 
 
-CHECKPOINT_EVERY = 5       # rounds between reliable checkpoints of the state
+def source_spark(source) -> SparkSession:
+    return (source.data if hasattr(source, "data") else source.entries).sparkSession
 
 
 def _winners(state: DataFrame, score_sql: str) -> dict[str, tuple[int, float]]:
@@ -196,10 +198,9 @@ def greedy_select_many(source, criteria: list[str], n: int = 10,
     Round i: the argmax per criterion over the state (one aggregate), then
     one pass over the data counts cells against every criterion's winner
     at once (``cells_many``) and folds (I(X_k;X_j), I(X_k;X_j|Y)) into each
-    criterion's state.  The state (criteria x features rows) is persisted
-    for the next round and written to the checkpoint folder every
-    CHECKPOINT_EVERY rounds, so lineage stays short and a lost executor
-    never forces more than a few rounds of recomputation.
+    criterion's state.  The state (criteria x features rows) is written as a
+    small table under the session's checkpoint folder every round, so the
+    lineage never grows and a lost executor never costs a finished round.
     Q1: exactly n features; Q3: n is clamped to the number of features.
     """
     crits = list(dict.fromkeys(C.check_criterion(c) for c in criteria))
@@ -207,7 +208,8 @@ def greedy_select_many(source, criteria: list[str], n: int = 10,
     out: dict[str, Selection] = {}
     if n == 0:
         return {c: Selection([], []) for c in crits}
-    rel = relevance_table(source).persist(StorageLevel.MEMORY_AND_DISK)
+    rel_tables = RoundTables(source_spark(source), "relevance")
+    rel = rel_tables.put(relevance_table(source))
     looped = [c for c in crits if c != "mim"]
     try:
         if "mim" in crits:   # T2 / Q2: global top n by relevance
@@ -217,21 +219,18 @@ def greedy_select_many(source, criteria: list[str], n: int = 10,
         if looped:
             out.update(_greedy_loop(source, rel, looped, n, beta))
     finally:
-        rel.unpersist()
+        rel_tables.close()
     return {c: out[c] for c in crits}
 
 
 def _greedy_loop(source, rel: DataFrame, crits: list[str], n: int, beta: float) -> dict[str, Selection]:
     broadcast_ok = source.n_features * len(crits) <= BROADCAST_FEATURE_LIMIT
-    state = C.initial_states(rel, crits).persist(StorageLevel.MEMORY_AND_DISK)
-    previous = None
+    tables = RoundTables(rel.sparkSession, "selection-state")
     picked = {c: ([], []) for c in crits}
     try:
+        state = tables.put(C.initial_states(rel, crits))
         for i in range(n):
             winners = _winners(state, C.score_case_sql(crits, i, beta))
-            if previous is not None:
-                previous.unpersist()
-                previous = None
             for c, (j, sc) in winners.items():
                 picked[c][0].append(j)
                 picked[c][1].append(sc)
@@ -240,14 +239,10 @@ def _greedy_loop(source, rel: DataFrame, crits: list[str], n: int, beta: float)
             given = sorted({j for j, _ in winners.values()})
             info = I.information(source.cells_many(given), keys=("j", "k")).select(
                 "j", "k", "mi", "cmi")
-            nxt = C.update_many(state, info, {c: j for c, (j, _) in winners.items()}, broadcast_ok)
-            if (i + 1) % CHECKPOINT_EVERY == 0:
-                nxt = nxt.checkpoint(eager=True)
-            previous, state = state, nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            state = tables.put(C.update_many(
+                state, info, {c: j for c, (j, _) in winners.items()}, broadcast_ok))
     finally:
-        state.unpersist()
-        if previous is not None:
-            previous.unpersist()
+        tables.close()
     return {c: Selection(f, s) for c, (f, s) in picked.items()}
 
 

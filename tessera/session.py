@@ -65,3 +65,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (for written tables/models)."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+class RoundTables:
+    """Small per-round tables written under the checkpoint folder and read back.
+
+    Writing cuts the lineage each round, survives executor loss, and runs
+    through AQE (a persisted plan keeps its un-coalesced shuffle partitions).
+    The previous round's table is deleted once the next one is written.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.base = scratch_path(spark, name)
+        self.count = 0
+        self.last: str | None = None
+
+    def put(self, df):
+        path = f"{self.base}/r{self.count}"
+        self.count += 1
+        df.write.mode("overwrite").parquet(path)
+        self._drop(self.last)
+        self.last = path
+        return self.spark.read.parquet(path)
+
+    def close(self) -> None:
+        self._drop(self.base)
+        self.last = None
+
+    def _drop(self, path: str | None) -> None:
+        if not path:
+            return
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
