@@ -7,12 +7,12 @@ lists are also available natively over any factor tables
 
 * pair scoring is two equi-joins plus a dot product (skewed ids are split by
   AQE's skew-join handling);
-* top-k over all users x all items is a blocked matrix product: ids are
-  hashed into blocks of at most ``block_rows`` rows; each (user block, item
-  block) pair is one ``applyInPandas`` task doing a NumPy matrix product and
-  keeping the k best per user; only those k rows leave the task, and a final
-  per-user window merges k x (number of item blocks) candidates.  No pair
-  row is ever materialised.
+* top-k over all users x all items scores every pair in NumPy inside tasks
+  and keeps only the k best per user; no pair row is ever materialised.
+  When the item factors fit a checked byte budget they are shipped once
+  (a broadcast variable) and each user partition is scored in place;
+  otherwise ids hash into blocks and each (user block, item block) pair is
+  one ``applyInPandas`` task, with a per-user window merging the blocks.
 """
 
 from __future__ import annotations
@@ -90,83 +90,129 @@ def first_ids(df: DataFrame, col: str, n: int = 3) -> DataFrame:
 
 # ------------------------------------------------------------------------- top-k
 
+SCRATCH_SCORES = 1 << 22     # doubles in one score chunk (32 MB) per task
+MAX_BROADCAST_BYTES = 64 << 20   # right-side factor matrix small enough to ship whole
+
+
+def _chunk_top_k(lid: np.ndarray, U: np.ndarray, rid: np.ndarray, V: np.ndarray, k: int,
+                 digits: int) -> pd.DataFrame:
+    """Top k of U @ V.T per row; ``rid`` ascending, so ties go to the smaller id.
+
+    Works through U in row chunks so the score scratch stays <= SCRATCH_SCORES.
+    """
+    outs = []
+    kk = min(k, len(rid))
+    step = max(1, SCRATCH_SCORES // max(1, len(rid)))
+    for start in range(0, len(lid), step):
+        S = np.round(U[start:start + step] @ V.T, digits) + 0.0      # +0.0 folds -0.0
+        ids = lid[start:start + step]
+        neg = -S
+        if kk < neg.shape[1]:
+            kth = np.partition(neg, kk - 1, axis=1)[:, kk - 1]
+            mask = neg <= kth[:, None]                         # ties at the cut included
+        else:
+            mask = np.ones_like(neg, dtype=bool)
+        rows, cols = np.nonzero(mask)
+        order = np.lexsort((cols, neg[rows, cols], rows))      # row, score desc, id asc
+        rows, cols = rows[order], cols[order]
+        pos = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+        keep = pos < kk
+        rows, cols = rows[keep], cols[keep]
+        outs.append(pd.DataFrame({"lid": ids[rows], "rid": rid[cols], "score": S[rows, cols],
+                                  "rank": (pos[keep] + 1).astype(np.int32)}))
+    if not outs:
+        return _empty_scores()
+    return pd.concat(outs, ignore_index=True)
+
+
+def _empty_scores() -> pd.DataFrame:
+    return pd.DataFrame({"lid": pd.Series([], dtype="int64"), "rid": pd.Series([], dtype="int64"),
+                         "score": pd.Series([], dtype="float64"),
+                         "rank": pd.Series([], dtype="int32")})
+
+
 def _block_top_k(k: int, digits: int):
     def score(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"lid": pd.Series([], dtype="int64"),
-                                 "rid": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64"),
-                                 "rank": pd.Series([], dtype="int32")})
+            return _empty_scores()
         right = right.sort_values("rid", kind="stable")
-        rid = right["rid"].to_numpy()
-        V = np.stack(right["rf"].to_numpy()).astype(np.float64)
-        lid_all = left["lid"].to_numpy()
-        U_all = np.stack(left["lf"].to_numpy()).astype(np.float64)
-        outs = []
-        kk = min(k, len(rid))
-        for start in range(0, len(lid_all), 1024):          # bounded scratch per task
-            U = U_all[start:start + 1024]
-            lid = lid_all[start:start + 1024]
-            S = np.round(U @ V.T, digits)
-            neg = -S
-            if kk < neg.shape[1]:
-                kth = np.partition(neg, kk - 1, axis=1)[:, kk - 1]
-                mask = neg <= kth[:, None]
-            else:
-                mask = np.ones_like(neg, dtype=bool)
-            rows, cols = np.nonzero(mask)                      # ties at the cut included
-            vals = neg[rows, cols]
-            order = np.lexsort((cols, vals, rows))             # row, score desc, id asc
-            rows, cols = rows[order], cols[order]
-            first = np.searchsorted(rows, rows, side="left")
-            keep = (np.arange(len(rows)) - first) < kk
-            rank = (np.arange(len(rows)) - first)[keep] + 1
-            rows, cols = rows[keep], cols[keep]
-            outs.append(pd.DataFrame({"lid": lid[rows], "rid": rid[cols], "score": S[rows, cols],
-                                      "rank": rank.astype(np.int32)}))
-        return pd.concat(outs, ignore_index=True)
+        return _chunk_top_k(left["lid"].to_numpy(), np.stack(left["lf"].to_numpy()).astype(np.float64),
+                            right["rid"].to_numpy(), np.stack(right["rf"].to_numpy()).astype(np.float64),
+                            k, digits)
     return score
 
 
+def _broadcast_top_k(bc, k: int, digits: int):
+    def run(batches):
+        rid, V = bc.value
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            yield _chunk_top_k(pdf["lid"].to_numpy(), np.stack(pdf["lf"].to_numpy()).astype(np.float64),
+                               rid, V, k, digits)
+    return run
+
+
+SCORES_SCHEMA = "lid bigint, rid bigint, score double, rank int"
+
+
 def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int = BLOCK_ROWS,
-          digits: int = SCORE_DIGITS) -> DataFrame:
+          digits: int = SCORE_DIGITS, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """For every left id, the k right ids of highest rounded dot product.
 
     Ties on the rounded score go to the smaller right id.  Output
-    (id, rank, other, score).
+    (id, rank, other, score).  Two exact strategies:
+
+    * right side within ``max_broadcast_bytes`` (rows x rank x 8, counted first):
+      it is shipped once to every executor and each left partition is scored
+      in place -- no shuffle of the left side, no merge;
+    * otherwise a blocked product: both sides hash into blocks of
+      ``block_rows`` ids, each (left block, right block) pair is one task,
+      and a per-left-id window merges k x (right blocks) candidates.
     """
-    n_left, n_right = left.count(), right.count()
-    if n_left == 0 or n_right == 0:
-        spark = left.sparkSession
+    spark = left.sparkSession
+    stats = right.selectExpr("count(1) AS n", "max(size(features)) AS d").first()
+    n_right, dim = int(stats["n"]), int(stats["d"] or 0)
+    if n_right == 0:
         return spark.createDataFrame([], "id bigint, rank int, other bigint, score double")
-    bl = max(1, math.ceil(n_left / block_rows))
-    br = max(1, math.ceil(n_right / block_rows))
-    # Block ids must have ONE type on both sides: the cogroup hash-partitions
-    # each side by its key values, and an int 3 and a bigint 3 hash apart.
-    L = left.selectExpr("CAST(id AS BIGINT) AS lid", "CAST(features AS ARRAY<DOUBLE>) AS lf",
-                        f"CAST(pmod(xxhash64(id), {bl}) AS INT) AS lb",
-                        f"explode(sequence(0, {br - 1})) AS rb")
-    R = right.selectExpr("CAST(id AS BIGINT) AS rid", "CAST(features AS ARRAY<DOUBLE>) AS rf",
-                         f"CAST(pmod(xxhash64(id), {br}) AS INT) AS rb",
-                         f"explode(sequence(0, {bl - 1})) AS lb")
-    cand = (L.groupBy("lb", "rb").cogroup(R.groupBy("lb", "rb"))
-            .applyInPandas(_block_top_k(k, digits),
-                           "lid bigint, rid bigint, score double, rank int"))
-    if br == 1:
-        ranked = cand           # one item block: the in-block ranks are final, no merge shuffle
-    else:                       # merge k candidates from each item block per left id
-        ranked = cand.withColumn("rank", F.row_number().over(
-            Window.partitionBy("lid").orderBy(F.col("score").desc(), F.col("rid").asc())))
-    return ranked.filter(F.col("rank") <= k).select(
-        F.col("lid").alias("id"), F.col("rank").cast("int").alias("rank"),
-        F.col("rid").alias("other"), "score")
+    L = left.selectExpr("CAST(id AS BIGINT) AS lid", "CAST(features AS ARRAY<DOUBLE>) AS lf")
+    if n_right * max(dim, 1) * 8 <= max_broadcast_bytes:
+        small = right.selectExpr("CAST(id AS BIGINT) AS rid",
+                                 "CAST(features AS ARRAY<DOUBLE>) AS rf").orderBy("rid").toPandas()
+        rid = small["rid"].to_numpy(dtype=np.int64)
+        V = np.stack(small["rf"].to_numpy()).astype(np.float64).reshape(len(small), dim)
+        bc = spark.sparkContext.broadcast((rid, V))
+        ranked = L.mapInPandas(_broadcast_top_k(bc, k, digits), SCORES_SCHEMA)
+    else:
+        n_left = left.count()
+        if n_left == 0:
+            return spark.createDataFrame([], "id bigint, rank int, other bigint, score double")
+        bl = max(1, math.ceil(n_left / block_rows))
+        br = max(1, math.ceil(n_right / block_rows))
+        # Block ids must have ONE type on both sides: the cogroup hash-partitions
+        # each side by its key values, and an int 3 and a bigint 3 hash apart.
+        Lb = L.selectExpr("lid", "lf", f"CAST(pmod(xxhash64(lid), {bl}) AS INT) AS lb",
+                          f"explode(sequence(0, {br - 1})) AS rb")
+        Rb = right.selectExpr("CAST(id AS BIGINT) AS rid", "CAST(features AS ARRAY<DOUBLE>) AS rf",
+                              f"CAST(pmod(xxhash64(CAST(id AS BIGINT)), {br}) AS INT) AS rb",
+                              f"explode(sequence(0, {bl - 1})) AS lb")
+        cand = (Lb.groupBy("lb", "rb").cogroup(Rb.groupBy("lb", "rb"))
+                .applyInPandas(_block_top_k(k, digits), SCORES_SCHEMA))
+        if br == 1:
+            ranked = cand       # one right block: the in-block ranks are final, no merge shuffle
+        else:               # merge k candidates from each right block per left id
+            ranked = cand.withColumn("rank", F.row_number().over(
+                Window.partitionBy("lid").orderBy(F.col("score").desc(), F.col("rid").asc())))
+            ranked = ranked.filter(F.col("rank") <= k)
+    return ranked.select(F.col("lid").alias("id"), F.col("rank").cast("int").alias("rank"),
+                         F.col("rid").alias("other"), "score")
 
 
 def top_k_subset(ids: DataFrame, left: DataFrame, right: DataFrame, k: int = DEFAULT_K,
-                 id_col: str = "id", block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 id_col: str = "id", **kw) -> DataFrame:
     """T7/T8 (J6): top-k for the left ids listed in ``ids`` only (semi join first)."""
     chosen = left.join(ids.select(F.col(id_col).alias("id")), "id", "left_semi")
-    return top_k(chosen, right, k, block_rows)
+    return top_k(chosen, right, k, **kw)
 
 
 def nest(flat: DataFrame, other: str = "other") -> DataFrame:

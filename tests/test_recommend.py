@@ -21,13 +21,14 @@ def brute_topk(U, uid, V, vid, k):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [4096, 7])
-def test_topk_matches_bruteforce_with_ties(spark, block_rows):
+@pytest.mark.parametrize("block_rows,bcast", [(4096, 0), (7, 0), (4096, 1 << 20)])
+def test_topk_matches_bruteforce_with_ties(spark, block_rows, bcast):
     rng = np.random.default_rng(5)
     U = rng.integers(-2, 3, (23, 3)).astype(float)        # small integers: many exact ties
     V = rng.integers(-2, 3, (31, 3)).astype(float)
     uid, vid = list(range(100, 123)), list(range(500, 531))[::-1]
-    got = RC.top_k(factors(spark, uid, U), factors(spark, vid, V), 4, block_rows=block_rows)
+    got = RC.top_k(factors(spark, uid, U), factors(spark, vid, V), 4, block_rows=block_rows,
+                   max_broadcast_bytes=bcast)
     rows = got.collect()
     want = brute_topk(U, uid, V, vid, 4)
     by_user = {}
@@ -45,8 +46,10 @@ def test_topk_many_blocks_covers_every_left_id(spark):
     rng = np.random.default_rng(9)
     U, V = rng.normal(size=(300, 3)), rng.normal(size=(200, 3))
     got = RC.top_k(factors(spark, range(300), U), factors(spark, range(1000, 1200), V), 5,
-                   block_rows=32)
+                   block_rows=32, max_broadcast_bytes=0)
     assert got.count() == 300 * 5
+    same = RC.top_k(factors(spark, range(300), U), factors(spark, range(1000, 1200), V), 5)
+    assert same.exceptAll(got).count() == 0
     want = brute_topk(U, list(range(300)), V, list(range(1000, 1200)), 5)
     for r in got.where("id IN (0, 17, 299)").collect():
         assert want[r["id"]][r["rank"] - 1][0] == r["other"]
