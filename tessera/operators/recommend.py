@@ -32,7 +32,8 @@ from tessera.functions.vectors import dot
 SPARK_SETTING = {"maxIter": 5, "regParam": 0.01}            # rank left at its default, 10
 FLINK_SETTING = {"maxIter": 10, "rank": 10, "regParam": 0.1}
 DEFAULT_K = 10
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 32768       # ids per block: replication (shuffle) falls as blocks grow;
+                         # task memory is block x rank x 8 bytes plus one score chunk
 SCORE_DIGITS = 6
 
 
