@@ -103,7 +103,7 @@ def main() -> None:
 
     @timed("topk_native")
     def _():
-        uf, vf = V.factor_tables(spark, sf_dir)
+        uf, vf = V.factor_tables(spark, sf_dir, train)
         return RC.top_k(uf, vf, 10).count()
 
     @timed("svm_sgd_20")

@@ -122,13 +122,15 @@ def rating_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return hash_split(ratings(spark, sf), ["user", "item"], TRAIN_FRACTION)
 
 
-def factor_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def factor_tables(spark: SparkSession, sf: str, train: DataFrame | None = None
+                  ) -> tuple[DataFrame, DataFrame]:
     """FAC: (id int, features array<double>) for the users and for the items seen
     in the training split; the factor of id i is embedding row (i mod #rows).
 
     Users and items that occur only in the test split have no factors
-    (the cold-start case)."""
-    train, _ = rating_split(spark, sf)
+    (the cold-start case).  ``train`` reuses an already built training split."""
+    if train is None:
+        train, _ = rating_split(spark, sf)
     e = table(spark, sf, "embeddings")
     n_emb = e.count()
     vecs = e.select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("features"))
