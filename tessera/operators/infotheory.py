@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import entropy as E
+
 CELL_KEYS = ("k", "v", "z", "y")
 
 
@@ -157,10 +159,6 @@ def partition_entries(entries: DataFrame, num_partitions: int | None = None) ->
 
 # --------------------------------------------------------------------- measures
 
-_MARGINALS = {"n": "", "c_v": ", v", "c_z": ", z", "c_y": ", y", "c_vz": ", v, z",
-              "c_vy": ", v, y", "c_zy": ", z, y"}
-
-
 def information(cells: DataFrame, keys: tuple[str, ...] = ("k",)) -> DataFrame:
     """(keys..., rel, mi, cmi) from cells (keys..., v, z, y, c).
 
@@ -168,14 +166,11 @@ def information(cells: DataFrame, keys: tuple[str, ...] = ("k",)) -> DataFrame:
     partitioned on the keys once, which satisfies every marginal window
     below, so no further shuffle happens before the final per-key sum.
     """
-    part = ", ".join(keys)
-    wins = [f"sum(c) OVER (PARTITION BY {part}{cols}) AS {name}" for name, cols in _MARGINALS.items()]
     m = (cells.selectExpr(*keys, "v", "z", "y", "CAST(c AS DOUBLE) AS c").repartition(*keys)
-         .selectExpr(*keys, "c", *wins))
-    return m.groupBy(*keys).agg(
-        F.expr("sum(c / n * log2(c_vy * n / (c_v * c_y))) AS rel"),
-        F.expr("sum(c / n * log2(c_vz * n / (c_v * c_z))) AS mi"),
-        F.expr("sum(c / n * log2(c * c_y / (c_vy * c_zy))) AS cmi"))
+         .selectExpr(*keys, "c", *E.marginal_windows(keys)))
+    return m.groupBy(*keys).agg(F.expr(f"sum({E.RELEVANCE_TERM}) AS rel"),
+                                F.expr(f"sum({E.REDUNDANCY_TERM}) AS mi"),
+                                F.expr(f"sum({E.CONDITIONAL_TERM}) AS cmi"))
 
 
 def relevance(cells: DataFrame) -> DataFrame:
