@@ -435,6 +435,7 @@ class FeatureSelectorModel(Model, _SelectorParams, MLReadable, MLWritable):
     def __init__(self, selectedFeatures: list[int] | None = None,
                  selectionOrder: list[int] | None = None, selectionScores: list[float] | None = None):
         super().__init__()
+        self.fitted = selectedFeatures is not None
         sel = [int(i) for i in (selectedFeatures or [])]
         if sel != sorted(sel):
             raise ValueError("selected features must be sorted ascending")
@@ -452,6 +453,8 @@ class FeatureSelectorModel(Model, _SelectorParams, MLReadable, MLWritable):
         return self._set(labelCol=v)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        if not self.fitted:
+            raise RuntimeError("the feature selector has not been fitted to the data")
         fcol, out = self.getFeaturesCol(), self.getOutputCol()
         kind = _feature_kind(dataset.schema, fcol)
         if kind == "vector":       # dense or sparse vectors; keeps ml_attr metadata

@@ -182,3 +182,9 @@ def test_vector_column_sparse_and_dense_paths(spark, source, monkeypatch):
     assert ve.n_features == X.shape[1] and ve.density < 1.0
     assert ve.entries.count() == int((X[:5] != 0).sum())
     ve.release()
+
+
+def test_transform_before_fit_fails(spark):
+    df = spark.createDataFrame([([1, 2],)], "x array<int>")
+    with pytest.raises(RuntimeError, match="not been fitted"):
+        S.FeatureSelectorModel().setFeaturesCol("x").transform(df)
