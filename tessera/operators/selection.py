@@ -57,6 +57,10 @@ class DenseFeatures:
         self.data = data.persist(StorageLevel.MEMORY_AND_DISK)
         self.n_features = int(stats["d"] or 0)
 
+    @property
+    def spark(self) -> SparkSession:
+        return self.data.sparkSession
+
     def cells(self, given: int | None) -> DataFrame:
         return I.dense_cells(self.data, given=given)
 
@@ -137,6 +141,10 @@ class SparseFeatures:
         self.n_features = int(n_features)
         self.class_totals = I.class_totals(self.rows)      # once per fit (<= 256 classes)
 
+    @property
+    def spark(self) -> SparkSession:
+        return self.entries.sparkSession
+
     def cells(self, given: int | None) -> DataFrame:
         return I.sparse_cells(self.entries, self.rows, self.n_features, given, self.class_totals)
 
@@ -175,10 +183,6 @@ def relevance_table(source) -> DataFrame:
     return I.information(source.cells(None)).select("k", "rel")
 
 
-def source_spark(source) -> SparkSession:
-    return (source.data if hasattr(source, "data") else source.entries).sparkSession
-
-
 def _winners(state: DataFrame, score_sql: str) -> dict[str, tuple[int, float]]:
     """A6 per criterion as one aggregate: max of (round(score, 10), -k).
 
@@ -208,7 +212,7 @@ def greedy_select_many(source, criteria: list[str], n: int = 10,
     out: dict[str, Selection] = {}
     if n == 0:
         return {c: Selection([], []) for c in crits}
-    rel_tables = RoundTables(source_spark(source), "relevance")
+    rel_tables = RoundTables(source.spark, "relevance")
     rel = rel_tables.put(relevance_table(source))
     looped = [c for c in crits if c != "mim"]
     try:
