@@ -10,7 +10,8 @@ Workloads (the reference's three programs at their stated settings):
   ratings_ingest    parse the ratings feed, split 80/20, count both sides
   ratings_view      build the (user, item, rating) table from lineitem x orders, persisted
   als_spark_program ALS maxIter 5, regParam 0.01; RMSE on the test side; top 10 items
-                    per user, top 10 users per item, and both 3-id subsets
+                    per user and top 10 users per item (native top-k over the model's
+                    factors), and both 3-id subsets (recommendFor*Subset)
   als_flink_program ALS 10 iterations, rank 10, lambda 0.1; test predictions
   topk_native       blocked top-10 items for every user over factor tables
   svm_sgd_20        parse labeled lines, 20 subgradient steps, test accuracy
@@ -91,7 +92,8 @@ def main() -> None:
         rmse = RC.als_rmse(model, test)
         users = RC.first_ids(train, "user", 3)
         items = RC.first_ids(train, "item", 3)
-        n = [model.recommendForAllUsers(10).count(), model.recommendForAllItems(10).count(),
+        n = [RC.recommend_for_all(model, 10).count(),
+             RC.recommend_for_all(model, 10, users=False).count(),
              model.recommendForUserSubset(users, 10).count(),
              model.recommendForItemSubset(items, 10).count()]
         return [round(rmse, 4)] + n

@@ -223,6 +223,23 @@ def nest(flat: DataFrame, other: str = "other") -> DataFrame:
         lambda s: F.struct(s[other].alias(other), s["score"].alias("rating"))).alias("recommendations"))
 
 
+def recommend_for_all(model: ALSModel, k: int = DEFAULT_K, users: bool = True) -> DataFrame:
+    """T5/T6 over a trained model's factor tables with the native top-k.
+
+    Same shape as ``recommendForAllUsers`` / ``recommendForAllItems``:
+    (user or item id, recommendations array<struct<item or user, rating>>), ranked by
+    the rounded score, ties to the smaller id.  With item factors under the
+    broadcast budget, the user side is scored in place without a shuffle.
+    """
+    left, right = (model.userFactors, model.itemFactors) if users else \
+        (model.itemFactors, model.userFactors)
+    id_col, other = (model.getUserCol(), model.getItemCol()) if users else \
+        (model.getItemCol(), model.getUserCol())
+    flat = top_k(left, right, k).selectExpr("CAST(id AS INT) AS id", "rank",
+                                           "CAST(other AS INT) AS other", "score")
+    return nest(flat, other).withColumnRenamed("id", id_col)
+
+
 # ----------------------------------------------------------------- update rule check
 
 def rank1_half_step(ratings: DataFrame, fixed: DataFrame, solve: str, other: str,

@@ -472,6 +472,13 @@ def als_recs_items(spark, sf):
     return RC.flatten_recommendations(model.recommendForAllItems(TOP_K), "item", "user")
 
 
+@query("als_recs_users_native")
+def als_recs_users_native(spark, sf):
+    """T5 over the trained factors with the native top-k (no user-side shuffle)."""
+    model, _, _ = _als(spark, sf)
+    return RC.flatten_recommendations(RC.recommend_for_all(model, TOP_K), "user", "item")
+
+
 @query("als_recs_user_subset")
 def als_recs_user_subset(spark, sf):
     """T7 via the model: top 10 items for the 3 smallest user ids."""

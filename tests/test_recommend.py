@@ -113,6 +113,15 @@ def test_als_user_factors_solve_normal_equations(spark):
         ids = [x["item"] for x in r["recommendations"]]
         sc = [x["rating"] for x in r["recommendations"]]
         assert len(ids) <= 5 and len(set(ids)) == len(ids) and sc == sorted(sc, reverse=True)
+    # the native top-k over the same factors gives the same lists (up to float ties)
+    native = {r["user"]: r["recommendations"] for r in RC.recommend_for_all(model, 5).collect()}
+    assert set(native) == {r["user"] for r in recs}
+    for r in recs:
+        got = native[r["user"]]
+        assert [x["rating"] for x in got] == pytest.approx([x["rating"] for x in r["recommendations"]],
+                                                           abs=1e-5)
+        assert got[0]["item"] == r["recommendations"][0]["item"] or \
+            abs(got[0]["rating"] - got[1]["rating"]) < 1e-5
 
 
 def test_hash_split_is_disjoint_complete_and_stable(spark):
