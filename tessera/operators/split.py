@@ -40,18 +40,21 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
 def with_row_id(df: DataFrame, order_cols: Sequence[str], name: str = "rid") -> DataFrame:
     """Consecutive ids 0..n-1 over a total order of ``order_cols`` (L3).
 
-    Distributed like ``zipWithIndex``: range-partition on the order, count each
-    partition, turn the (few) partition counts into offsets, and number rows
-    inside each partition.  No step holds more than one range partition.
-    ``order_cols`` must be a total order, or ids are not reproducible.
+    Distributed like ``zipWithIndex``: range-partition and sort on the order;
+    inside a partition ``monotonically_increasing_id`` counts rows from
+    partition_index << 33, so the row's position is its low 33 bits; the
+    (few) per-partition counts become offsets that are broadcast back.  No
+    shuffle after the range partitioning, and no task holds more than one
+    range partition.  ``order_cols`` must be a total order, or ids are not
+    reproducible.
     """
-    ranged = df.repartitionByRange(*order_cols).withColumn("_part", F.spark_partition_id())
+    ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+              .withColumn("_part", F.spark_partition_id())
+              .withColumn("_mono", F.monotonically_increasing_id()))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part",
         (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"))
-    within = Window.partitionBy("_part").orderBy(*order_cols)
     numbered = ranged.join(F.broadcast(offsets), "_part")  # one row per partition
-    return (numbered
-            .withColumn(name, F.col("_offset") + F.row_number().over(within) - 1)
-            .drop("_part", "_offset"))
+    position = F.col("_mono") - F.shiftleft(F.col("_part").cast("bigint"), 33)
+    return numbered.withColumn(name, F.col("_offset") + position).drop("_part", "_mono", "_offset")

@@ -139,3 +139,6 @@ def test_with_row_id(spark):
     got = with_row_id(df, ["c"]).orderBy("rid").collect()
     assert [r.rid for r in got] == list(range(15))
     assert [r.c for r in got] == sorted("qwertyuiopasdfg")
+    big = spark.range(5000).selectExpr("(id * 7919) % 5003 AS key").repartition(7)
+    ids = with_row_id(big, ["key"]).orderBy("key").select("rid").collect()
+    assert [r.rid for r in ids] == list(range(5000))
