@@ -25,6 +25,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
@@ -42,7 +45,7 @@ from tessera.operators.split import BUCKETS, hash_bucket
 
 # The classic SGD defaults (step 1.0, reg 0.01, full batch, tol 0.001).
 SGD_STEP, SGD_REG, SGD_FRACTION, SGD_TOL = 1.0, 0.01, 1.0, 0.001
-# Wider than this, per-coordinate sums come from an exploded (k, value) aggregate.
+# Wider than this, the weights are broadcast and partitions fold NumPy partial gradients.
 WIDE_LIMIT = 256
 
 
@@ -75,29 +78,70 @@ def gradient_sums(rows: DataFrame, w: Sequence[float], features: str = "features
 
     One partially aggregated pass (each task ships one partial row).
     s = 2y - 1; a row is active when s (w . x) < 1 and then contributes
-    -weight * s * x.  The expressions are SQL text: built in one call each.
+    -weight * s * x.  Up to WIDE_LIMIT weights the pass is SQL (weights in one
+    array literal, d sums); wider models use ``_gradient_wide``.
     """
     d = len(w)
+    if d > WIDE_LIMIT:
+        return _gradient_wide(rows, w, features, label, weight)
     wt = f"CAST({weight} AS DOUBLE)" if weight else "1.0D"
     base = rows.selectExpr(f"{features} AS x", f"CAST({label} AS DOUBLE) * 2.0D - 1.0D AS s",
                            f"{wt} AS wt", f"{margin_sql(features, w)} AS m")
     base = base.selectExpr("x", "CASE WHEN s * m < 1.0D THEN -wt * s ELSE 0.0D END AS coef",
                            "wt * greatest(0.0D, 1.0D - s * m) AS loss", "wt")
-    totals = ["sum(loss) AS loss", "sum(wt) AS wsum", "count(1) AS n"]
-    if d <= WIDE_LIMIT:
-        grad = "array(" + ", ".join(f"sum(coef * x[{i}])" for i in range(d)) + ") AS g"
-        row = base.selectExpr(grad, *totals).first()
-        g = [float(v or 0.0) for v in row["g"]]
-    else:
-        parts = (base.selectExpr("coef", "posexplode(x) AS (k, v)")
-                 .groupBy("k").agg(F.expr("sum(coef * v) AS g")).collect())
-        g = [0.0] * d
-        for r in parts:              # d rows: the model dimension
-            g[int(r["k"])] = float(r["g"])
-        row = base.selectExpr(*totals).first()
+    grad = "array(" + ", ".join(f"sum(coef * x[{i}])" for i in range(d)) + ") AS g"
+    row = base.selectExpr(grad, "sum(loss) AS loss", "sum(wt) AS wsum", "count(1) AS n").first()
+    g = [float(v or 0.0) for v in row["g"]] if d else []
     return g, float(row["loss"] or 0.0), float(row["wsum"] or 0.0), int(row["n"] or 0)
 
 
+def _gradient_wide(rows: DataFrame, w: Sequence[float], features: str, label: str,
+                   weight: str | None) -> tuple[list[float], float, float, int]:
+    """Wide models: the weights go out once as a broadcast variable (d doubles, a
+    proven size) instead of inside every task's plan; each partition folds its
+    Arrow batches into ONE partial gradient with NumPy; the partials are summed
+    per coordinate by Spark (d rows reach the driver: the model itself)."""
+    spark = rows.sparkSession
+    d = len(w)
+    bc = spark.sparkContext.broadcast(np.asarray(w, dtype=np.float64))
+    cols = rows.selectExpr(f"CAST({features} AS ARRAY<DOUBLE>) AS x",
+                           f"CAST({label} AS DOUBLE) AS y",
+                           f"CAST({weight} AS DOUBLE) AS wt" if weight else "1.0D AS wt")
+
+    def fold(batches):
+        wv = bc.value
+        g = np.zeros(d)
+        loss = wsum = 0.0
+        n = 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            X = np.stack(pdf["x"].to_numpy())
+            s = pdf["y"].to_numpy() * 2.0 - 1.0
+            wt = pdf["wt"].to_numpy()
+            sm = s * (X @ wv)
+            coef = np.where(sm < 1.0, -wt * s, 0.0)
+            g += coef @ X
+            loss += float((wt * np.maximum(0.0, 1.0 - sm)).sum())
+            wsum += float(wt.sum())
+            n += len(pdf)
+        yield pd.DataFrame({"g": [g.tolist()], "loss": [loss], "wsum": [wsum], "n": [n]})
+
+    partial = cols.mapInPandas(fold, "g array<double>, loss double, wsum double, n long")
+    partial = partial.persist(StorageLevel.MEMORY_AND_DISK)   # one small row per partition
+    try:
+        parts = (partial.selectExpr("posexplode(g) AS (k, v)").groupBy("k")
+                 .agg(F.expr("sum(v) AS g")).collect())
+        tot = partial.selectExpr("sum(loss) AS loss", "sum(wsum) AS wsum", "sum(n) AS n").first()
+    finally:
+        partial.unpersist()
+        bc.unpersist()
+    g = [0.0] * d
+    for r in parts:
+        g[int(r["k"])] = float(r["g"])
+    return g, float(tot["loss"] or 0.0), float(tot["wsum"] or 0.0), int(tot["n"] or 0)
+
+
 def _norm(v: Sequence[float]) -> float:
     return math.sqrt(sum(x * x for x in v))
 
@@ -141,9 +185,20 @@ def sgd_svm(rows: DataFrame, iterations: int, step: float = SGD_STEP, reg: float
 
 def predict(df: DataFrame, w: Sequence[float], features: str = "features",
             out: str = "prediction", threshold: float = 0.0) -> DataFrame:
-    """1.0 when w . x > threshold, else 0.0."""
-    return df.withColumn(out, F.expr(
-        f"CAST(({margin_sql(features, w)}) > {_d(threshold)} AS DOUBLE)"))
+    """1.0 when w . x > threshold, else 0.0 (a projection; all columns kept)."""
+    if len(w) <= WIDE_LIMIT:
+        return df.withColumn(out, F.expr(
+            f"CAST(({margin_sql(features, w)}) > {_d(threshold)} AS DOUBLE)"))
+    bc = df.sparkSession.sparkContext.broadcast(np.asarray(w, dtype=np.float64))
+    thr = float(threshold)
+
+    @F.pandas_udf("double")
+    def wide_predict(x: pd.Series) -> pd.Series:
+        if x.empty:
+            return pd.Series([], dtype="float64")
+        return pd.Series((np.stack(x.to_numpy()) @ bc.value > thr).astype(np.float64))
+
+    return df.withColumn(out, wide_predict(F.col(features).cast("array<double>")))
 
 
 def accuracy(pred: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:

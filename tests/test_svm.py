@@ -115,3 +115,16 @@ def test_params_persist_and_copy(spark, tmp_dir):
             back.getWeightCol()) == (7, 0.3, 0.02, 0.25, "wt")
     twin = est.copy({est.maxIter: 3})
     assert twin.getMaxIter() == 3 and est.getMaxIter() == 7
+
+
+def test_wide_gradient_path_matches_numpy(spark, monkeypatch):
+    X, y, wt, df = data(spark, n=90, d=6)
+    monkeypatch.setattr(SV, "WIDE_LIMIT", 2)          # force the broadcast / NumPy path
+    w = SV.sgd_svm(df, 5)
+    assert np.allclose(w, numpy_sgd(X, y, 5), atol=1e-12)
+    model = SV.LinearSvc(weightCol="wt", maxIter=4, learningRate=0.5, reg=0.05, elasticNet=0.5,
+                         globalBatchSize=10_000).fit(df)
+    assert np.allclose(model.coefficients, numpy_svc(X, y, wt, 4, 0.5, 0.05, 0.5), atol=1e-12)
+    pred = SV.predict(df, w).orderBy("id").collect()
+    assert [r.prediction for r in pred] == list((X @ np.array(w) > 0).astype(float))
+    assert set(pred[0].asDict()) == {"id", "label", "wt", "features", "prediction"}
