@@ -92,6 +92,7 @@ class VectorEntries:
 def vector_entries(df: DataFrame, features: str, label: str, id_col: str | None = None
                    ) -> VectorEntries:
     """Non-zero long form of a vector column, JVM-side, never densified.
+
     The vector's storage struct is read through ``to_json``/``from_json``, so
     the cost is linear in the stored values, not in the dimension.  Without
     ``id_col`` row ids come from ``monotonically_increasing_id`` on the
@@ -276,8 +277,9 @@ def maxrel_report(rel: DataFrame, n: int) -> DataFrame:
 
 def selected_report(selection: DataFrame) -> DataFrame:
     """Selected features by score desc; 1-based feature, %.4f score."""
-    return selection.select((F.col("feat") + 1).alias("feature"),
-                            format_score(F.col("score")).alias("score"))
+    ordered = selection.orderBy(F.round("score", TIE_DIGITS).desc(), F.col("feat").asc())
+    return ordered.select((F.col("feat") + 1).alias("feature"),
+                          format_score(F.col("score")).alias("score"))
 
 
 def sorted_selection(spark: SparkSession, features: list[int]) -> DataFrame:
