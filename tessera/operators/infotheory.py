@@ -58,13 +58,13 @@ def dense_cells_many(df: DataFrame, given: list[int], x: str = "x", y: str = "y"
 
 # -------------------------------------------------------------------------- sparse
 
-def class_totals(rows: DataFrame) -> list[tuple[int, int]]:
+def class_totals_of(rows: DataFrame) -> list[tuple[int, int]]:
     """(y, count) per class.  Bounded: labels are bytes (at most 256 classes)."""
     return [(int(r["y"]), int(r["n"])) for r in
             rows.groupBy("y").agg(F.expr("count(1) AS n")).collect()]
 
 
-_class_totals = class_totals
+class_totals = class_totals_of
 
 
 def _grid(spark, n_features: int, pairs: list[tuple[int, int, int]]) -> DataFrame:
@@ -101,21 +101,25 @@ def joint_totals(entries: DataFrame, rows: DataFrame, given: list[int],
     return out
 
 
-def sparse_cells(entries: DataFrame, rows: DataFrame, n_features: int,
-                 given: int | None = None, class_totals: list[tuple[int, int]] | None = None,
-                 joint: list[tuple[int, int, int]] | None = None) -> DataFrame:
-    """The same cells as ``dense_cells`` from non-zero entries only.
-
-    ``entries``: (id, y, k, v) with v != 0; ``rows``: (id, y) for every row,
-    including rows with no non-zero.  Zero cells are the class (or joint)
-    totals minus the non-zero cells: c(k,0,z,y) = c(z,y) - sum_{v!=0} c(k,v,z,y).
-    For ``given`` = j the value z of feature j joins on the row id; partition
-    ``entries`` by id once (see ``partition_entries``) and that join needs no
-    shuffle in later rounds.  Pass ``class_totals`` / ``joint`` when known to
-    skip their (small) jobs.
+def sparse_cell_parts(entries: DataFrame, rows: DataFrame, n_features: int,
+                      given: int | None = None, class_totals: list[tuple[int, int]] | None = None,
+                      joint: list[tuple[int, int, int]] | None = None) -> DataFrame:
+    """A13 in two parts: non-zero cells plus one TOTAL row per (k, z, y).
+
+    Columns (k, v, z, y, c, is_total).  A total row carries c(z, y) over all
+    rows; the zero cell is that total minus the feature's non-zero cells,
+    c(k,0,z,y) = c(z,y) - sum_{v!=0} c(k,v,z,y).  ``information`` completes the
+    zero cells inside the per-feature partition it already creates, so the
+    sparse path adds no join, no broadcast and no second aggregation.
+
+    ``entries``: (id, y, k, v) with v != 0; ``rows``: (id, y) for every row.
+    For ``given`` = j the value z of feature j joins on the row id; with
+    ``entries`` partitioned by id once (``partition_entries``) that join needs
+    no shuffle.  Pass ``class_totals`` / ``joint`` when known to skip their
+    (small) jobs.
     """
     spark = entries.sparkSession
-    totals = class_totals if class_totals is not None else _class_totals(rows)
+    totals = class_totals if class_totals is not None else class_totals_of(rows)
     if given is None:
         nz = entries.selectExpr("k", "v", "CAST(0 AS TINYINT) AS z", "y")
         joint = [(0, y, n) for y, n in totals]
@@ -125,23 +129,44 @@ def sparse_cells(entries: DataFrame, rows: DataFrame, n_features: int,
               .selectExpr("k", "v", "coalesce(z, CAST(0 AS TINYINT)) AS z", "y"))
         if joint is None:
             joint = joint_totals(entries, rows, [int(given)], totals)[int(given)]
-    nz_cells = nz.groupBy(*CELL_KEYS).agg(F.expr("count(1) AS c"))
-    nz_sums = nz_cells.groupBy("k", "z", "y").agg(F.expr("sum(c) AS s"))
-    zero = (_grid(spark, n_features, joint)
-            .join(nz_sums, ["k", "z", "y"], "left")
-            .selectExpr("k", "CAST(0 AS TINYINT) AS v", "z", "y", "t - coalesce(s, 0) AS c")
-            .where("c > 0"))
-    return nz_cells.select("k", "v", "z", "y", "c").unionByName(zero)
+    nz_cells = nz.groupBy(*CELL_KEYS).agg(F.expr("count(1) AS c")).selectExpr(
+        "k", "v", "z", "y", "c", "false AS is_total")
+    grand = _grid(spark, n_features, joint).selectExpr(
+        "k", "CAST(NULL AS TINYINT) AS v", "z", "y", "t AS c", "true AS is_total")
+    return nz_cells.unionByName(grand)
+
+
+def complete_zero_cells(parts: DataFrame, keys: tuple[str, ...] = ("k",)) -> DataFrame:
+    """Turn TOTAL rows into zero cells: (keys..., v, z, y, c) with c > 0 only.
+
+    Runs per (keys, z, y) window; call it on data already partitioned by ``keys``
+    (``information`` does) and it needs no exchange of its own.
+    """
+    part = ", ".join((*keys, "z", "y"))
+    filled = parts.selectExpr(
+        *keys, "v", "z", "y", "c", "is_total",
+        f"sum(CASE WHEN is_total THEN 0 ELSE c END) OVER (PARTITION BY {part}) AS nz")
+    return filled.selectExpr(
+        *keys, "CASE WHEN is_total THEN CAST(0 AS TINYINT) ELSE v END AS v", "z", "y",
+        "CASE WHEN is_total THEN c - nz ELSE c END AS c").where("c > 0")
+
+
+def sparse_cells(entries: DataFrame, rows: DataFrame, n_features: int,
+                 given: int | None = None, class_totals: list[tuple[int, int]] | None = None,
+                 joint: list[tuple[int, int, int]] | None = None) -> DataFrame:
+    """The same cells as ``dense_cells`` from non-zero entries only (explicit zeros)."""
+    parts = sparse_cell_parts(entries, rows, n_features, given, class_totals, joint)
+    return complete_zero_cells(parts.repartition("k")).select(*CELL_KEYS, "c")
 
 
 def sparse_cells_many(entries: DataFrame, rows: DataFrame, n_features: int,
                       given: list[int], class_totals: list[tuple[int, int]] | None = None) -> DataFrame:
-    """Cells (j, k, v, z, y, c) for every j in ``given`` (one plan, one job)."""
-    totals = class_totals if class_totals is not None else _class_totals(rows)
+    """Cell parts (j, k, v, z, y, c, is_total) for every j in ``given`` (one plan, one job)."""
+    totals = class_totals if class_totals is not None else class_totals_of(rows)
     joints = joint_totals(entries, rows, given, totals)
     out = None
     for j in given:
-        part = sparse_cells(entries, rows, n_features, j, totals, joints[int(j)]).selectExpr(
+        part = sparse_cell_parts(entries, rows, n_features, j, totals, joints[int(j)]).selectExpr(
             f"{int(j)} AS j", "*")
         out = part if out is None else out.unionByName(part)
     return out
@@ -165,9 +190,15 @@ def information(cells: DataFrame, keys: tuple[str, ...] = ("k",)) -> DataFrame:
     The cell table is small (bounded by the value domains); it is hash
     partitioned on the keys once, which satisfies every marginal window
     below, so no further shuffle happens before the final per-key sum.
+    Sparse cell parts (with ``is_total`` rows) get their zero cells filled in
+    that same partitioning.
     """
-    m = (cells.selectExpr(*keys, "v", "z", "y", "CAST(c AS DOUBLE) AS c").repartition(*keys)
-         .selectExpr(*keys, "c", *E.marginal_windows(keys)))
+    sparse = "is_total" in cells.columns
+    cols = (*keys, "v", "z", "y", "CAST(c AS DOUBLE) AS c") + (("is_total",) if sparse else ())
+    base = cells.selectExpr(*cols).repartition(*keys)
+    if sparse:
+        base = complete_zero_cells(base, keys)
+    m = base.selectExpr(*keys, "c", *E.marginal_windows(keys))
     return m.groupBy(*keys).agg(F.expr(f"sum({E.RELEVANCE_TERM}) AS rel"),
                                 F.expr(f"sum({E.REDUNDANCY_TERM}) AS mi"),
                                 F.expr(f"sum({E.CONDITIONAL_TERM}) AS cmi"))

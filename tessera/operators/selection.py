@@ -147,7 +147,8 @@ class SparseFeatures:
         return self.entries.sparkSession
 
     def cells(self, given: int | None) -> DataFrame:
-        return I.sparse_cells(self.entries, self.rows, self.n_features, given, self.class_totals)
+        return I.sparse_cell_parts(self.entries, self.rows, self.n_features, given,
+                                   self.class_totals)
 
     def cells_many(self, given: list[int]) -> DataFrame:
         return I.sparse_cells_many(self.entries, self.rows, self.n_features, given,

@@ -230,7 +230,7 @@ def _sparse_inputs(spark, sf):
 def mi_relevance_sparse(spark, sf):
     """I(X_k; Y) from non-zero entries only."""
     entries, rows, d = _sparse_inputs(spark, sf)
-    rel = I.relevance(I.sparse_cells(entries, rows, d))
+    rel = I.relevance(I.sparse_cell_parts(entries, rows, d))
     return rel.select(F.col("k").cast("int").alias("k"), r6(F.col("mi")).alias("mi"))
 
 
@@ -239,8 +239,8 @@ def mi_redundancy_sparse(spark, sf):
     """(I(X_k; X_j), I(X_k; X_j|Y)) from non-zeros, j = most relevant."""
     entries, rows, d = _sparse_inputs(spark, sf)
     totals = I.class_totals(rows)
-    j = _most_relevant(I.information(I.sparse_cells(entries, rows, d, None, totals)))
-    red = I.redundancy(I.sparse_cells(entries, rows, d, j, totals))
+    j = _most_relevant(I.information(I.sparse_cell_parts(entries, rows, d, None, totals)))
+    red = I.redundancy(I.sparse_cell_parts(entries, rows, d, j, totals))
     return red.select(F.col("k").cast("int").alias("k"), r6(F.col("mi")).alias("mi"),
                       r6(F.col("cmi")).alias("cmi"))
 
