@@ -188,3 +188,19 @@ def test_transform_before_fit_fails(spark):
     df = spark.createDataFrame([([1, 2],)], "x array<int>")
     with pytest.raises(RuntimeError, match="not been fitted"):
         S.FeatureSelectorModel().setFeaturesCol("x").transform(df)
+
+
+def test_slice_of_slice(spark):
+    rng = np.random.default_rng(8)
+    X = rng.integers(-2, 3, (30, 10))
+    df = spark.createDataFrame([(i, [int(v) for v in X[i]]) for i in range(30)], "id bigint, x array<int>")
+    first, second = [1, 3, 4, 7, 9], [0, 2, 4]            # second indexes into first's output
+    twice = S.slice_dense(S.slice_dense(df, "x", first, "a"), "a", second, "b")
+    once = S.slice_dense(df, "x", [first[i] for i in second], "c")
+    got = twice.join(once, "id").select("b", "c").collect()
+    assert all(list(r["b"]) == list(r["c"]) for r in got) and len(got) == 30
+    entries = spark.createDataFrame([(i, k, int(X[i, k])) for i in range(30) for k in range(10)
+                                     if X[i, k] != 0], "id bigint, k int, v int")
+    e_twice = S.slice_sparse_entries(S.slice_sparse_entries(entries, first), second)
+    e_once = S.slice_sparse_entries(entries, [first[i] for i in second])
+    assert e_twice.exceptAll(e_once).count() == 0 and e_once.exceptAll(e_twice).count() == 0
