@@ -517,6 +517,14 @@ def svm_sgd_weights(spark, sf):
     return _weights_frame(spark, w).select("k", r6(F.col("w")).alias("w"))
 
 
+@query("svm_sgd_minibatch")
+def svm_sgd_minibatch(spark, sf):
+    """E7 with miniBatchFraction 0.5: each step samples rows by md5 of (id, step)."""
+    v = V.svm_vectors(spark, sf).select("id", F.col("y").alias("label"), "features")
+    w = SV.sgd_svm(v, SVM_STEPS, fraction=0.5, key="id")
+    return _weights_frame(spark, w).select("k", r6(F.col("w")).alias("w"))
+
+
 @query("hinge_gradient")
 def hinge_gradient(spark, sf):
     """Mean hinge subgradient at the weights after one step."""

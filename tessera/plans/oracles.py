@@ -217,6 +217,10 @@ ORACLES["svm_sgd_weights"] = f"""WITH {SVMV_UNWEIGHTED},
 {sgd_chain(Q.SVM_STEPS, 'sgd')}
 SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
 
+ORACLES["svm_sgd_minibatch"] = f"""WITH {SVMV_UNWEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'sgd', fraction=0.5)}
+SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
+
 ORACLES["hinge_gradient"] = f"""WITH {SVMV_UNWEIGHTED},
 {sgd_chain(2, 'sgd')}
 SELECT CAST(k AS INTEGER) AS k, {R('g / (SELECT n FROM s2)')} AS g FROM g2"""
