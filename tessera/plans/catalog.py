@@ -17,7 +17,7 @@ from tessera.operators import infotheory as I
 from tessera.operators import recommend as RC
 from tessera.operators import selection as S
 from tessera.operators import svm as SV
-from tessera.operators.split import BUCKETS, hash_bucket, hash_split
+from tessera.operators.split import BUCKETS, hash_bucket, hash_split, with_row_id
 from tessera.plans import views as V
 from tessera.session import scratch_path
 from tessera.sources import labeled as LB
@@ -344,6 +344,13 @@ def split_counts(spark, sf):
                  F.sum((~train).cast("bigint")).alias("n_test"))
 
 
+@query("row_ids")
+def row_ids(spark, sf):
+    """L3: consecutive row ids of RAT in (user, item) order, distributed."""
+    r = V.ratings(spark, sf).select("user", "item")
+    return with_row_id(r, ["user", "item"], "rid")
+
+
 @query("subset_ids")
 def subset_ids(spark, sf):
     """T4/A4: the 3 smallest user ids and item ids of RAT."""

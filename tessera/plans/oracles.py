@@ -152,6 +152,9 @@ ORACLES["split_counts"] = f"""WITH {SPLIT}
 SELECT CAST(count(*) FILTER (WHERE bucket < 800000) AS BIGINT) AS n_train,
        CAST(count(*) FILTER (WHERE bucket >= 800000) AS BIGINT) AS n_test FROM rat_b"""
 
+ORACLES["row_ids"] = f"""WITH {RAT}
+SELECT "user", item, CAST(row_number() OVER (ORDER BY "user", item) - 1 AS BIGINT) AS rid FROM rat"""
+
 ORACLES["subset_ids"] = f"""WITH {RAT}
 SELECT * FROM (SELECT 'user' AS kind, CAST("user" AS BIGINT) AS id
                FROM (SELECT DISTINCT "user" FROM rat) ORDER BY id LIMIT {Q.SUBSET_N})
