@@ -219,6 +219,14 @@ def assemble_sparse_columns(spark, sf):
                        F.col("checksum").cast("bigint"))
 
 
+@query("sparse_column_layout")
+def sparse_column_layout(spark, sf):
+    """SPA non-zeros laid out feature-major (range partitioned on (k, id))."""
+    spa = V.sparse_sign_entries(spark, sf).select("k", "id", "v")
+    laid = I.columnar_layout(spa)
+    return laid.select(F.col("k").cast("int").alias("k"), "id", F.col("v").cast("int").alias("v"))
+
+
 def _sparse_inputs(spark, sf):
     """(entries partitioned by row id, all rows, dimension) -- lazy, nothing persisted."""
     spa = V.sparse_sign_entries(spark, sf)

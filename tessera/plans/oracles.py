@@ -91,6 +91,9 @@ SELECT CAST(k AS INTEGER) AS k, CAST(count(*) AS BIGINT) AS n_nonzero,
        CAST(sum(id * v) AS BIGINT) AS checksum
 FROM spa GROUP BY k"""
 
+ORACLES["sparse_column_layout"] = f"""WITH {SPA}
+SELECT CAST(k AS INTEGER) AS k, id, CAST(v AS INTEGER) AS v FROM spa"""
+
 ORACLES["mi_relevance_sparse"] = f"""WITH {SPA},
 info AS ({info_select(REL_CELLS)})
 SELECT CAST(k AS INTEGER) AS k, {R('rel')} AS mi FROM info"""
