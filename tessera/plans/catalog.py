@@ -578,6 +578,13 @@ def svc_minibatch(spark, sf):
     return model.weights(spark).select("k", r6(F.col("w")).alias("w"))
 
 
+@query("svc_predict")
+def svc_predict(spark, sf):
+    """The fitted LinearSvc model (weighted, 3 full-batch steps) scores SVMV."""
+    model, v = _svc(spark, sf, globalBatchSize=SVC_FULL_BATCH, reg=0.01, elasticNet=0.0)
+    return model.transform(v).select("id", "prediction", "label")
+
+
 def _svm_test_split(spark, sf):
     """Train on the 80% id-hash side of the parsed SVMLINE, test on the rest."""
     good, _ = LB.split_labeled_lines(V.svm_lines(spark, sf))

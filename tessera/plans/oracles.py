@@ -235,6 +235,12 @@ ORACLES["svc_weights"] = f"""WITH {SVMV_WEIGHTED},
 {sgd_chain(Q.SVM_STEPS, 'svc', lr=0.1, reg=0.01, alpha=0.0, tol=1e-6)}
 SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
 
+ORACLES["svc_predict"] = f"""WITH {SVMV_WEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'svc', lr=0.1, reg=0.01, alpha=0.0, tol=1e-6)},
+pm AS (SELECT xk.id, any_value(xk.y) AS label, sum(xk.x * w.w) AS margin
+       FROM xk JOIN w{Q.SVM_STEPS} w ON xk.k = w.k GROUP BY xk.id)
+SELECT id, CAST(margin > 0 AS DOUBLE) AS prediction, label FROM pm"""
+
 ORACLES["svc_elastic_net"] = f"""WITH {SVMV_WEIGHTED},
 {sgd_chain(Q.SVM_STEPS, 'svc', lr=0.5, reg=0.01, alpha=0.5, tol=1e-6)}
 SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
