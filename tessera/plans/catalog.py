@@ -253,6 +253,14 @@ def mi_redundancy_sparse(spark, sf):
                       r6(F.col("cmi")).alias("cmi"))
 
 
+@query("fs_fit_sparse_vectors")
+def fs_fit_sparse_vectors(spark, sf):
+    """E3 on a sparse ml vector column: FeatureSelector.fit takes the sparse path."""
+    vec = V.sparse_sign_vectors(spark, sf)
+    model = S.FeatureSelector(selectCriterion="mrmr", numTopFeatures=SELECT_N).fit(vec)
+    return model.selection(spark).select("rank", "feat", r6(F.col("score")).alias("score"))
+
+
 @query("select_mrmr_sparse")
 def select_mrmr_sparse(spark, sf):
     """E1 on the sparse path: mrmr, 3 features of SPA."""

@@ -104,6 +104,7 @@ red AS ({info_select(cells_given(_J))})
 SELECT CAST(k AS INTEGER) AS k, {R('mi')} AS mi, {R('cmi')} AS cmi FROM red"""
 
 ORACLES["select_mrmr_sparse"] = selection_sql(SPA, "mrmr", Q.SELECT_N)
+ORACLES["fs_fit_sparse_vectors"] = ORACLES["select_mrmr_sparse"]
 
 
 # ------------------------------------------------------------- sources and checks

@@ -141,3 +141,18 @@ def factor_tables(spark: SparkSession, sf: str, train: DataFrame | None = None
                 .select("id", "features"))
 
     return side("user"), side("item")
+
+
+def sparse_sign_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """SPA as an ml vector column: ``VectorAssembler`` stores mostly-zero rows sparse.
+
+    (id bigint, label double, features vector)."""
+    from pyspark.ml.feature import VectorAssembler
+    e = table(spark, sf, "embeddings")
+    d = sparse_dimension(spark, sf)
+    signs = [F.when(F.abs(F.col("embedding")[i].cast("double")) < F.lit(SPA_THRESHOLD), F.lit(0.0))
+             .otherwise(F.signum(F.col("embedding")[i].cast("double"))).alias(f"s{i}") for i in range(d)]
+    wide = e.select(F.col("vec_id").alias("id"), (F.col("label") % 3).cast("double").alias("label"),
+                    *signs)
+    return VectorAssembler(inputCols=[f"s{i}" for i in range(d)], outputCol="features").transform(
+        wide).select("id", "label", "features")
