@@ -150,9 +150,8 @@ def sparse_sign_vectors(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     e = table(spark, sf, "embeddings")
     d = sparse_dimension(spark, sf)
-    signs = [F.when(F.abs(F.col("embedding")[i].cast("double")) < F.lit(SPA_THRESHOLD), F.lit(0.0))
-             .otherwise(F.signum(F.col("embedding")[i].cast("double"))).alias(f"s{i}") for i in range(d)]
-    wide = e.select(F.col("vec_id").alias("id"), (F.col("label") % 3).cast("double").alias("label"),
-                    *signs)
+    signs = [f"CAST(CASE WHEN abs(CAST(embedding[{i}] AS DOUBLE)) < {SPA_THRESHOLD!r}D THEN 0 "
+             f"ELSE signum(CAST(embedding[{i}] AS DOUBLE)) END AS DOUBLE) AS s{i}" for i in range(d)]
+    wide = e.selectExpr("vec_id AS id", "CAST(label % 3 AS DOUBLE) AS label", *signs)
     return VectorAssembler(inputCols=[f"s{i}" for i in range(d)], outputCol="features").transform(
         wide).select("id", "label", "features")
