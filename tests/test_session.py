@@ -38,14 +38,14 @@ class _Session:
 
 
 def test_existing_folder_is_kept():
-    s = _Session("yarn", current="hdfs://nn/ckpt/abc")
-    assert ensure_checkpoint_dir(s) == "hdfs://nn/ckpt/abc"
+    s = _Session("yarn", current="/shared/ckpt/abc")
+    assert ensure_checkpoint_dir(s) == "/shared/ckpt/abc"
     assert s.sparkContext.set_to is None
 
 
 def test_session_setting_is_used():
-    s = _Session("k8s://x", {"spark.checkpoint.dir": "s3a://bucket/ckpt"})
-    assert ensure_checkpoint_dir(s) == "s3a://bucket/ckpt"
+    s = _Session("k8s://x", {"spark.checkpoint.dir": "/shared/checkpoints"})
+    assert ensure_checkpoint_dir(s) == "/shared/checkpoints"
 
 
 def test_cluster_without_setting_fails():
