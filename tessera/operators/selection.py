@@ -473,6 +473,10 @@ class FeatureSelectorModel(Model, _SelectorParams, MLReadable, MLWritable):
     def selection(self, spark: SparkSession) -> DataFrame:
         return selection_frame(spark, Selection(self.selectionOrder, self.selectionScores))
 
+    def report(self, spark: SparkSession) -> DataFrame:
+        """S13 for this fit: (feature 1-based, score %.4f) by score descending."""
+        return selected_report(self.selection(spark))
+
     def write(self) -> MLWriter:
         return _ModelWriter(self)
 

@@ -204,3 +204,9 @@ def test_slice_of_slice(spark):
     e_twice = S.slice_sparse_entries(S.slice_sparse_entries(entries, first), second)
     e_once = S.slice_sparse_entries(entries, [first[i] for i in second])
     assert e_twice.exceptAll(e_once).count() == 0 and e_once.exceptAll(e_twice).count() == 0
+
+
+def test_model_report(spark):
+    model = S.FeatureSelectorModel([1, 4], [4, 1], [0.5, 0.25])
+    rows = model.report(spark).collect()
+    assert [(r.feature, r.score) for r in rows] == [(5, "0.5000"), (2, "0.2500")]
