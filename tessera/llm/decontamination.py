@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import tokens as T
+from tessera.llm.bitset import BITS, bitset, marked
 from tessera.session import scratch_path
 
 WINDOW = 10
 SHINGLE = 3
-BITSET_BITS = 1 << 24
 
 
 def _item_windows(window: int, shingle: int):
@@ -62,30 +62,14 @@ def _item_windows(window: int, shingle: int):
     return run
 
 
-def _bitset(spark: SparkSession, hashes: DataFrame, bits: int):
-    """Broadcast bitset of `bits` bits (fixed size) with the hashes' low bits set."""
-    slot = F.col("hash").bitwiseAND(bits - 1)
-    words = (hashes.select(F.shiftright(slot, 6).alias("w"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).collect())          # at most bits / 64 rows
-    out = np.zeros(bits // 64, np.uint64)
-    for w, b in words:
-        out[w] = b & 0xFFFFFFFFFFFFFFFF
-    return spark.sparkContext.broadcast(out)
-
-
-def _marked(h: np.ndarray, bitset: np.ndarray) -> np.ndarray:
-    slot = h & np.uint64(64 * len(bitset) - 1)
-    return np.flatnonzero((bitset[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1))
-
-
-def _document_frequency(widths: list[int], bitset):
+def _document_frequency(widths: list[int], bits):
     def run(batches):
         table = T.word_table(T.ALNUM_SEPARATORS)
         for part in T.chunks(batches):
             w = T.Words(part.column(1), table)
             for s in widths:
                 at, h = w.grams(s)
-                hit = _marked(h, bitset.value)
+                hit = marked(h, bits.value)
                 order = np.lexsort((h[hit], w.doc[at[hit]]))
                 d, h = w.doc[at[hit]][order], h[hit][order]
                 new = np.ones(len(h), bool)
@@ -95,7 +79,7 @@ def _document_frequency(widths: list[int], bitset):
     return run
 
 
-def _occurrences(widths: list[int], bitset, window: int):
+def _occurrences(widths: list[int], bits, window: int):
     """One row per document: words, and its prefix tokens with the words around each."""
     def run(batches):
         table = T.word_table(T.ALNUM_SEPARATORS)
@@ -104,7 +88,7 @@ def _occurrences(widths: list[int], bitset, window: int):
             doc, pos, hashes, left, around = [], [], [], [], []
             for s in widths:
                 at, h = w.grams(s)
-                hit = _marked(h, bitset.value)
+                hit = marked(h, bits.value)
                 for a, v in zip(at[hit], h[hit].view(np.int64)):
                     d = int(w.doc[a])
                     p = int(a - w.first[d])
@@ -125,7 +109,7 @@ def _occurrences(widths: list[int], bitset, window: int):
 
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                       shingle: int = SHINGLE, bits: int = BITSET_BITS) -> tuple[DataFrame, DataFrame]:
+                       shingle: int = SHINGLE, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     """(one row per document row: id, copy, n_words; one row per occurrence: id, copy, start, n, item).
 
     `copy` is a hash of the text that tells apart rows repeating an id.
@@ -139,7 +123,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     widths = sorted(r[0] for r in windows.select(F.least("n", F.lit(shingle)).alias("s")).distinct().collect())
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    df = (texts.mapInArrow(_document_frequency(widths, _bitset(spark, windows, bits)), "hash long, df long")
+    df = (texts.mapInArrow(_document_frequency(widths, bitset(spark, windows, bits)), "hash long, df long")
           .groupBy("hash").agg(F.sum("df").alias("df")))
     tokens = (windows.select("win", "n", "hash", "off").distinct().join(df, "hash")
               .groupBy("win", "n").agg(F.min(F.struct("df", "hash", "off")).alias("rare"))
@@ -149,7 +133,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
 
     kind = docs.schema[id_col].dataType.simpleString()
     (texts.withColumn("copy", F.xxhash64("text"))
-     .mapInArrow(_occurrences(widths, _bitset(spark, tokens, bits), window),
+     .mapInArrow(_occurrences(widths, bitset(spark, tokens, bits), window),
                  f"id {kind}, copy long, n_words long, hits array<struct<pos:int,hash:long,lo:int,words:string>>")
      .write.parquet(f"{base}/documents"))
     rows = spark.read.parquet(f"{base}/documents")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontamination
+from tessera.llm import decontamination, near_dedup
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
+    "op6_minhash_near_dedup": near_dedup.op6_minhash_near_dedup,
 }
 
 ORACLES = {
