@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontamination, near_dedup
+from tessera.llm import decontamination, mixing, near_dedup, sharding
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op6_minhash_near_dedup": near_dedup.op6_minhash_near_dedup,
+    "op8_hilbert_sharding": sharding.op8_hilbert_sharding,
+    "op9_mixing": mixing.op9_mixing,
 }
 
 ORACLES = {
