@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontamination, mixing, near_dedup, sharding
+from tessera.llm import chat, decontamination, language, mixing, near_dedup, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
+    "op2_language_id": language.op2_language_id,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op5_chat_formatting": chat.op5_chat_formatting,
     "op6_minhash_near_dedup": near_dedup.op6_minhash_near_dedup,
     "op8_hilbert_sharding": sharding.op8_hilbert_sharding,
     "op9_mixing": mixing.op9_mixing,
+    "op10_secret_scan": secrets.op10_secret_scan,
 }
 
 ORACLES = {
     "op1_decontamination": decontamination.ORACLE,
+    "op5_chat_formatting": chat.ORACLE,
 }
