@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat, decontamination, language, mixing, near_dedup, secrets, sharding, toxicity
+from tessera.llm import chat, decontamination, language, mixing, near_dedup, neighbours, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_chat_formatting": chat.op5_chat_formatting,
     "op6_minhash_near_dedup": near_dedup.op6_minhash_near_dedup,
+    "op7_hash_forest_ann": neighbours.op7_hash_forest_ann,
     "op8_hilbert_sharding": sharding.op8_hilbert_sharding,
     "op9_mixing": mixing.op9_mixing,
     "op10_secret_scan": secrets.op10_secret_scan,
