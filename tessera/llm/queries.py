@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat, decontamination, language, mixing, near_dedup, neighbours, secrets, sharding, toxicity
+from tessera.llm import backoff, chat, decontamination, language, mixing, near_dedup, neighbours, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_language_id": language.op2_language_id,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_backoff_scores": backoff.op4_backoff_scores,
     "op5_chat_formatting": chat.op5_chat_formatting,
     "op6_minhash_near_dedup": near_dedup.op6_minhash_near_dedup,
     "op7_hash_forest_ann": neighbours.op7_hash_forest_ann,
