@@ -150,21 +150,41 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return weights * values, float(mean[mean.f < 0].w.iloc[0] / used)
 
 
+def _scorer(spark: SparkSession, model: tuple[np.ndarray, float]):
+    """Function from a text column to its scores; the broadcast weights are 2^DIM_BITS numbers."""
+    weights, bias = spark.sparkContext.broadcast(model[0]), model[1]
+
+    def scores(col: pa.Array) -> np.ndarray:
+        row, f = grams(col, weights.value != 0)
+        z = bias + np.bincount(row, weights.value[f], minlength=len(col))
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    return scores
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row."""
-    weights, bias = docs.sparkSession.sparkContext.broadcast(model[0]), model[1]      # 2^DIM_BITS numbers
+    scores = _scorer(docs.sparkSession, model)
 
     def run(batches):
-        used = weights.value != 0
         for part in T.chunks(batches):
-            row, f = grams(part.column(1), used)
-            z = bias + np.bincount(row, weights.value[f], minlength=part.num_rows)
-            yield pa.record_batch({"id": part.column(0), "score": pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))})
+            yield pa.record_batch({"id": part.column(0), "score": pa.array(scores(part.column(1)))})
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double")
 
 
+def without_toxic(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows scored below the threshold, with all their columns."""
+    scores = _scorer(docs.sparkSession, model)
+
+    def run(batches):
+        for part in T.chunks(batches, text_col):
+            kept = np.flatnonzero(scores(part.column(part.schema.names.index(text_col))) < threshold)
+            yield part.take(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _third(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string")) % 3
 
