@@ -1,13 +1,13 @@
 """Validation operators.
 
-Each check returns its violating rows as a DataFrame (so a caller can
-inspect or store them) and has a ``require_*`` form that fails fast: the
-``require`` forms run ``limit(1)`` jobs, which stop at the first bad row.
+One rule for feature vectors, ``vector_fault``, serves the violation tables
+and the estimators.  A violation table returns its bad rows as a DataFrame
+(so a caller can inspect or store them); the ``require_*`` forms raise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import has_non_byte
@@ -21,20 +21,37 @@ def label_violations(df: DataFrame, label: str = "label") -> DataFrame:
     return df.filter(lab.isNull() | ~lab.isin(*BINARY_LABELS))
 
 
-def require_binary_labels(df: DataFrame, label: str = "label") -> None:
-    bad = label_violations(df, label).select(label).limit(1).collect()
-    if bad:
-        raise ValueError(f"only binary classification is supported, but found label: {bad[0][0]}")
+def label_fault(label: str = "label", byte: bool = False) -> Column:
+    """Why a label is refused, or null: not 0/1, or (``byte``) not an integer of one byte."""
+    lab = F.col(label).cast("double")
+    bad = (lab % 1 != 0) | (lab < -128) | (lab > 127) if byte else ~lab.isin(*BINARY_LABELS)
+    return F.when(lab.isNull(), "null label").when(bad, "label")
 
 
-def byte_violations(df: DataFrame, features: str = "features") -> DataFrame:
-    """P5: rows with a value that is non-integral or outside [-128, 127]."""
-    return df.filter(F.col(features).isNull() | has_non_byte(features))
+def vector_fault(features: str = "features", byte: bool = False, dim: Column | None = None) -> Column:
+    """Why an array of features is refused, or null: null, null element, other length, not a byte."""
+    x = F.col(features)
+    fault = F.when(x.isNull(), "null vector").when(F.exists(x, lambda v: v.isNull()), "null element")
+    if dim is not None:
+        fault = fault.when(F.size(x) != dim, "length")
+    return fault.when(has_non_byte(features), "not a byte") if byte else fault
+
 
+def vector_violations(df: DataFrame, features: str = "features", byte: bool = False) -> DataFrame:
+    """P5/A5: rows that ``vector_fault`` refuses, with the column ``fault``.
+
+    The expected length is the most common one of the table (of equally
+    common ones the smallest).
+    """
+    sizes = df.filter(F.col(features).isNotNull()).groupBy(F.size(features).alias("d")).count()
+    top = sizes.orderBy(F.desc("count"), "d").first()
+    dim = F.lit(top["d"] if top else 0)
+    return df.withColumn("fault", vector_fault(features, byte, dim)).filter(F.col("fault").isNotNull())
 
-def require_byte_values(df: DataFrame, features: str = "features") -> None:
-    if byte_violations(df, features).limit(1).count():
-        raise ValueError("feature values must be integral and within [-128, 127]")
+
+def byte_violations(df: DataFrame, features: str = "features") -> DataFrame:
+    """P5: rows with a null, or a value that is non-integral or outside [-128, 127]."""
+    return df.filter(vector_fault(features, byte=True).isNotNull())
 
 
 def dimensions(df: DataFrame, features: str = "features") -> DataFrame:
@@ -44,32 +61,24 @@ def dimensions(df: DataFrame, features: str = "features") -> DataFrame:
                   F.count(F.lit(1)).alias("n"))
 
 
-def require_same_dimension(df: DataFrame, features: str = "features") -> int:
-    """The common vector length, or an error when lengths differ."""
-    row = dimensions(df, features).first()
-    if row["n"] == 0:
-        raise ValueError("no training rows")
-    if row["min_dim"] != row["max_dim"]:
-        raise ValueError("the training data should all have the same dimension "
-                         f"(found {row['min_dim']} and {row['max_dim']})")
-    return int(row["min_dim"])
-
-
-def require_training_table(df: DataFrame, features: str = "features", label: str = "label") -> tuple[int, int]:
-    """P4 + A5 in one pass: binary labels and one common dimension.
+def require_training_table(df: DataFrame, features: str = "features", label: str = "label",
+                           byte: bool = False) -> tuple[int, int]:
+    """P4 + P5 + A5 in one pass: labels, no nulls, one common dimension (``byte``: byte domain).
 
     Returns (dimension, rows).
     """
-    row = df.selectExpr(
-        f"count_if(CAST({label} AS DOUBLE) IS NULL OR CAST({label} AS DOUBLE) NOT IN (0.0D, 1.0D)) AS bad",
-        f"min_by({label}, CAST({label} AS DOUBLE) IN (0.0D, 1.0D)) AS example",
-        f"min(size({features})) AS min_dim", f"max(size({features})) AS max_dim",
-        "count(1) AS n").first()
+    size = F.when(F.col(features).isNotNull(), F.size(features))
+    row = df.agg(F.min(label_fault(label, byte)).alias("label"),
+                 F.min_by(label, label_fault(label, byte)).alias("example"),
+                 F.min(vector_fault(features, byte)).alias("fault"),
+                 F.min(size).alias("low"), F.max(size).alias("high"), F.count(F.lit(1)).alias("n")).first()
     if row["n"] == 0:
         raise ValueError("no training rows")
-    if row["bad"]:
-        raise ValueError(f"only binary classification is supported, but found label: {row['example']}")
-    if row["min_dim"] != row["max_dim"]:
-        raise ValueError("the training data should all have the same dimension "
-                         f"(found {row['min_dim']} and {row['max_dim']})")
-    return int(row["min_dim"]), int(row["n"])
+    if row["label"]:
+        what = "an integer of one byte" if byte else "binary, 0 or 1"
+        raise ValueError(f"{row['label']} in the training table: labels must be {what} (for example {row['example']})")
+    if row["fault"]:
+        raise ValueError(f"feature vectors with a fault in the training table: {row['fault']}")
+    if row["low"] != row["high"]:
+        raise ValueError(f"feature vectors differ in dimension: from {row['low']} to {row['high']}")
+    return int(row["low"]), int(row["n"])

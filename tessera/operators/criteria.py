@@ -62,35 +62,6 @@ def score_sql(criterion: str, n_selected: int, beta: float = DEFAULT_BETA) -> st
     return "rel - max_d"       # cmim, if
 
 
-def score(criterion: str, n_selected: int, beta: float = DEFAULT_BETA) -> Column:
-    return F.expr(score_sql(criterion, n_selected, beta))
-
-
-def mark_selected(state: DataFrame, feature: int) -> DataFrame:
-    """The round's winner leaves the candidate set (J3: winner is a literal)."""
-    return state.withColumn("valid", F.expr(f"valid AND k <> {int(feature)}"))
-
-
-def update(state: DataFrame, info: DataFrame, broadcast_info: bool) -> DataFrame:
-    """Fold this round's (k, mi, cmi) into every still-valid feature.
-
-    Missing features get (0, 0).  ``info`` has one row per feature; it is
-    broadcast only when the caller has checked the feature count.
-    """
-    side = F.broadcast(info) if broadcast_info else info
-    j = state.join(side, "k", "left").selectExpr(
-        "k", "rel", "sum_m", "sum_c", "max_d", "sum_pos", "valid",
-        "coalesce(mi, 0.0D) AS m", "coalesce(mi, 0.0D) - coalesce(cmi, 0.0D) AS d",
-        "coalesce(cmi, 0.0D) AS c")
-    return j.selectExpr(
-        "k", "rel",
-        "CASE WHEN valid THEN sum_m + m ELSE sum_m END AS sum_m",
-        "CASE WHEN valid THEN sum_c + c ELSE sum_c END AS sum_c",
-        "CASE WHEN valid THEN greatest(max_d, d) ELSE max_d END AS max_d",
-        "CASE WHEN valid THEN sum_pos + greatest(d, 0.0D) ELSE sum_pos END AS sum_pos",
-        "valid")
-
-
 # ------------------------------------------------------- several criteria at once
 
 def initial_states(rel: DataFrame, criteria: list[str]) -> DataFrame:

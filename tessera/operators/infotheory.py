@@ -161,15 +161,27 @@ def sparse_cells(entries: DataFrame, rows: DataFrame, n_features: int,
 
 def sparse_cells_many(entries: DataFrame, rows: DataFrame, n_features: int,
                       given: list[int], class_totals: list[tuple[int, int]] | None = None) -> DataFrame:
-    """Cell parts (j, k, v, z, y, c, is_total) for every j in ``given`` (one plan, one job)."""
+    """Cell parts (j, k, v, z, y, c, is_total) for every j in ``given``: one join, one job.
+
+    The values of the reference features become one small map per row id
+    (|given| entries at most), joined once; with ``entries`` partitioned by id
+    neither the map nor the join shuffles.
+    """
     totals = class_totals if class_totals is not None else class_totals_of(rows)
     joints = joint_totals(entries, rows, given, totals)
-    out = None
+    wanted = ", ".join(str(int(j)) for j in given)
+    refs = entries.where(f"k IN ({wanted})").groupBy("id").agg(
+        F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("zs"))
+    nz = (entries.join(refs, "id", "left")
+          .selectExpr(f"explode(array({wanted})) AS j", "k", "v", "y", "zs")
+          .selectExpr("j", "k", "v", "coalesce(zs[j], CAST(0 AS TINYINT)) AS z", "y"))
+    cells = nz.groupBy("j", *CELL_KEYS).agg(F.expr("count(1) AS c")).selectExpr(
+        "j", "k", "v", "z", "y", "c", "false AS is_total")
     for j in given:
-        part = sparse_cell_parts(entries, rows, n_features, j, totals, joints[int(j)]).selectExpr(
-            f"{int(j)} AS j", "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+        grand = _grid(entries.sparkSession, n_features, joints[int(j)]).selectExpr(
+            f"{int(j)} AS j", "k", "CAST(NULL AS TINYINT) AS v", "z", "y", "t AS c", "true AS is_total")
+        cells = cells.unionByName(grand)
+    return cells
 
 
 def partition_entries(entries: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -198,7 +210,9 @@ def information(cells: DataFrame, keys: tuple[str, ...] = ("k",)) -> DataFrame:
     base = cells.selectExpr(*cols).repartition(*keys)
     if sparse:
         base = complete_zero_cells(base, keys)
-    m = base.selectExpr(*keys, "c", *E.marginal_windows(keys))
+    m = base
+    for name, window in E.marginal_windows(keys):
+        m = m.selectExpr("*", f"{window} AS {name}")
     return m.groupBy(*keys).agg(F.expr(f"sum({E.RELEVANCE_TERM}) AS rel"),
                                 F.expr(f"sum({E.REDUNDANCY_TERM}) AS mi"),
                                 F.expr(f"sum({E.CONDITIONAL_TERM}) AS cmi"))

@@ -9,10 +9,12 @@ lists are also available natively over any factor tables
   AQE's skew-join handling);
 * top-k over all users x all items scores every pair in NumPy inside tasks
   and keeps only the k best per user; no pair row is ever materialised.
-  When the item factors fit a checked byte budget they are shipped once
-  (a broadcast variable) and each user partition is scored in place;
-  otherwise ids hash into blocks and each (user block, item block) pair is
-  one ``applyInPandas`` task, with a per-user window merging the blocks.
+  The side that fits a checked byte budget is shipped once (a broadcast
+  variable): few left ids go to the right partitions, which each keep k per
+  left id; otherwise a small right side goes to the left rows, dealt to as
+  many tasks as the number of scores asks for.  Two big sides hash into
+  blocks and each (left block, right block) pair is one ``applyInPandas``
+  task, with a per-left-id window merging the blocks.
 """
 
 from __future__ import annotations
@@ -143,7 +145,7 @@ def _block_top_k(k: int, digits: int):
     return score
 
 
-def _broadcast_top_k(bc, k: int, digits: int):
+def _broadcast_right(bc, k: int, digits: int):
     def run(batches):
         rid, V = bc.value
         for pdf in batches:
@@ -154,7 +156,41 @@ def _broadcast_top_k(bc, k: int, digits: int):
     return run
 
 
+def _broadcast_left(bc, k: int, digits: int):
+    """The k best of a partition of right rows for every left id, merged batch by batch."""
+    def run(batches):
+        lid, U = bc.value
+        best = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pdf = pdf.sort_values("rid", kind="stable")
+            got = _chunk_top_k(lid, U, pdf["rid"].to_numpy(), np.stack(pdf["rf"].to_numpy()).astype(np.float64), k, digits)
+            if best is not None:
+                both = pd.concat([best, got], ignore_index=True)
+                both = both.sort_values(["lid", "score", "rid"], ascending=[True, False, True], kind="stable")
+                got = both[both.groupby("lid").cumcount() < k]
+            best = got
+        if best is not None:
+            yield best
+    return run
+
+
 SCORES_SCHEMA = "lid bigint, rid bigint, score double, rank int"
+TASK_FLOPS = 4_000_000_000     # multiply-adds of one scoring task
+FEW_LEFT = 16                  # left ids are few if the right side has so many times more rows
+
+
+def _factors(df: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids ascending, matrix) of a side whose size has been checked."""
+    small = df.selectExpr("CAST(id AS BIGINT) AS id", "CAST(features AS ARRAY<DOUBLE>) AS f").orderBy("id").toPandas()
+    return small["id"].to_numpy(dtype=np.int64), np.stack(small["f"].to_numpy()).astype(np.float64).reshape(len(small), dim)
+
+
+def _merged(cand: DataFrame, k: int) -> DataFrame:
+    """The k best candidates of every left id."""
+    best = Window.partitionBy("lid").orderBy(F.col("score").desc(), F.col("rid").asc())
+    return cand.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int = BLOCK_ROWS,
@@ -162,49 +198,45 @@ def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int
     """For every left id, the k right ids of highest rounded dot product.
 
     Ties on the rounded score go to the smaller right id.  Output
-    (id, rank, other, score).  Two exact strategies:
+    (id, rank, other, score).  Three exact strategies, chosen by counted sizes
+    (rows x rank x 8 against ``max_broadcast_bytes``):
 
-    * right side within ``max_broadcast_bytes`` (rows x rank x 8, counted first):
-      it is shipped once to every executor and each left partition is scored
-      in place -- no shuffle of the left side, no merge;
+    * few left ids: they are shipped to the right side's partitions, which
+      are scored in place; a window merges k per left id and partition;
+    * a small right side: it is shipped to the left rows, which are dealt
+      over enough tasks for the number of scores; no merge;
     * otherwise a blocked product: both sides hash into blocks of
       ``block_rows`` ids, each (left block, right block) pair is one task,
-      and a per-left-id window merges k x (right blocks) candidates.
+      and a window merges k x (right blocks) candidates per left id.
     """
     spark = left.sparkSession
-    stats = right.selectExpr("count(1) AS n", "max(size(features)) AS d").first()
-    n_right, dim = int(stats["n"]), int(stats["d"] or 0)
-    if n_right == 0:
+    n_left, left_dim = left.selectExpr("count(1)", "max(size(features))").first()
+    n_right, right_dim = right.selectExpr("count(1)", "max(size(features))").first()
+    if not n_left or not n_right:
         return spark.createDataFrame([], "id bigint, rank int, other bigint, score double")
+    dim = max(int(left_dim or 1), int(right_dim or 1), 1)
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(n_left * n_right * dim / TASK_FLOPS))
     L = left.selectExpr("CAST(id AS BIGINT) AS lid", "CAST(features AS ARRAY<DOUBLE>) AS lf")
-    if n_right * max(dim, 1) * 8 <= max_broadcast_bytes:
-        small = right.selectExpr("CAST(id AS BIGINT) AS rid",
-                                 "CAST(features AS ARRAY<DOUBLE>) AS rf").orderBy("rid").toPandas()
-        rid = small["rid"].to_numpy(dtype=np.int64)
-        V = np.stack(small["rf"].to_numpy()).astype(np.float64).reshape(len(small), dim)
-        bc = spark.sparkContext.broadcast((rid, V))
-        ranked = L.mapInPandas(_broadcast_top_k(bc, k, digits), SCORES_SCHEMA)
+    R = right.selectExpr("CAST(id AS BIGINT) AS rid", "CAST(features AS ARRAY<DOUBLE>) AS rf")
+    if n_left * FEW_LEFT <= n_right and n_left * dim * 8 <= max_broadcast_bytes:
+        bc = spark.sparkContext.broadcast(_factors(left, dim))
+        ranked = _merged(R.repartition(tasks, "rid").mapInPandas(_broadcast_left(bc, k, digits), SCORES_SCHEMA), k)
+    elif n_right * dim * 8 <= max_broadcast_bytes:
+        bc = spark.sparkContext.broadcast(_factors(right, dim))
+        ranked = L.repartition(tasks, "lid").mapInPandas(_broadcast_right(bc, k, digits), SCORES_SCHEMA)
     else:
-        n_left = left.count()
-        if n_left == 0:
-            return spark.createDataFrame([], "id bigint, rank int, other bigint, score double")
         bl = max(1, math.ceil(n_left / block_rows))
         br = max(1, math.ceil(n_right / block_rows))
         # Block ids must have ONE type on both sides: the cogroup hash-partitions
         # each side by its key values, and an int 3 and a bigint 3 hash apart.
         Lb = L.selectExpr("lid", "lf", f"CAST(pmod(xxhash64(lid), {bl}) AS INT) AS lb",
                           f"explode(sequence(0, {br - 1})) AS rb")
-        Rb = right.selectExpr("CAST(id AS BIGINT) AS rid", "CAST(features AS ARRAY<DOUBLE>) AS rf",
-                              f"CAST(pmod(xxhash64(CAST(id AS BIGINT)), {br}) AS INT) AS rb",
-                              f"explode(sequence(0, {bl - 1})) AS lb")
-        cand = (Lb.groupBy("lb", "rb").cogroup(Rb.groupBy("lb", "rb"))
-                .applyInPandas(_block_top_k(k, digits), SCORES_SCHEMA))
-        if br == 1:
-            ranked = cand       # one right block: the in-block ranks are final, no merge shuffle
-        else:               # merge k candidates from each right block per left id
-            ranked = cand.withColumn("rank", F.row_number().over(
-                Window.partitionBy("lid").orderBy(F.col("score").desc(), F.col("rid").asc())))
-            ranked = ranked.filter(F.col("rank") <= k)
+        Rb = R.selectExpr("rid", "rf", f"CAST(pmod(xxhash64(rid), {br}) AS INT) AS rb",
+                          f"explode(sequence(0, {bl - 1})) AS lb")
+        ranked = (Lb.groupBy("lb", "rb").cogroup(Rb.groupBy("lb", "rb"))
+                  .applyInPandas(_block_top_k(k, digits), SCORES_SCHEMA))
+        if br > 1:              # with one right block the in-block ranks are final
+            ranked = _merged(ranked, k)
     return ranked.select(F.col("lid").alias("id"), F.col("rank").cast("int").alias("rank"),
                          F.col("rid").alias("other"), "score")
 
@@ -240,6 +272,48 @@ def recommend_for_all(model: ALSModel, k: int = DEFAULT_K, users: bool = True) -
     return nest(flat, other).withColumnRenamed("id", id_col)
 
 
+# ------------------------------------------------- facts of a fitted model (any random start)
+
+FACT_TOLERANCE = 1e-3
+
+
+def fitted_users(model: ALSModel, train: DataFrame, reg: float, user: str = "user", item: str = "item",
+                 rating: str = "rating") -> DataFrame:
+    """(id, solved): whether a user's factors solve their normal equations over the final item factors.
+
+    ALS ends with the users' half step, so sum v (v.u - r) + reg n u is 0 but for single precision.
+    """
+    rank = model.rank
+    u = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("_u"))
+    v = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_v"))
+    rows = train.select(user, item, F.col(rating).cast("double").alias("_r")).join(v, item).join(u, user)
+    rows = rows.withColumn("_e", dot("_u", "_v") - F.col("_r"))
+    sums = rows.groupBy(user).agg(
+        F.first("_u").alias("_u"), F.count(F.lit(1)).alias("_n"), F.sum(F.abs("_r")).alias("_scale"),
+        F.array(*[F.sum(F.col("_e") * F.col("_v")[k]) for k in range(rank)]).alias("_g"))
+    worst = F.expr(f"array_max(transform(_g, (g, i) -> abs(g + {float(reg)!r}D * _n * _u[i])))")
+    return sums.select(F.col(user).alias("id"), (worst <= FACT_TOLERANCE * (1 + F.col("_scale"))).alias("solved"))
+
+
+def prediction_facts(model: ALSModel, test: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
+    """Scored pairs with `ok`: the prediction is the dot product of the model's factors."""
+    uf, vf = (t.select("id", F.col("features").cast("array<double>").alias("features")) for t in (model.userFactors, model.itemFactors))
+    plain = predict_pairs(model.transform(test), uf, vf, user, item, prediction="_dot")
+    return plain.withColumn("ok", F.abs(F.col("_dot") - F.col(model.getPredictionCol())) < FACT_TOLERANCE).drop("_dot")
+
+
+def list_facts(flat: DataFrame, left: DataFrame, right: DataFrame, other: str, k: int = DEFAULT_K) -> DataFrame:
+    """Per id of flattened lists (id, rank, other, score): length, distinct ids, whether scores
+    descend, and whether they are the k best of the factor tables."""
+    exact = top_k(left, right, k).select("id", "rank", F.col("score").alias("_best"))
+    before = Window.partitionBy("id").orderBy("rank")
+    seen = flat.withColumn("_prev", F.lag("score").over(before)).join(exact, ["id", "rank"], "left")
+    return seen.groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct(other).alias("n_distinct"),
+        F.coalesce(F.min(F.col("_prev") >= F.col("score")), F.lit(True)).alias("descending"),
+        F.min(F.coalesce(F.abs(F.col("score") - F.col("_best")) < FACT_TOLERANCE, F.lit(False))).alias("exact"))
+
+
 # ----------------------------------------------------------------- update rule check
 
 def rank1_half_step(ratings: DataFrame, fixed: DataFrame, solve: str, other: str,

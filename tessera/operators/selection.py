@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from tessera.functions.vectors import gather
 from tessera.operators import criteria as C
 from tessera.operators import infotheory as I
-from tessera.session import RoundTables
+from tessera.operators.checks import label_fault, vector_fault
+from tessera.session import RoundTables, scratch_path
 
 # Above this many features the per-round (k, mi, cmi) table is joined, not broadcast.
 BROADCAST_FEATURE_LIMIT = 200_000
@@ -44,18 +45,21 @@ class DenseFeatures:
 
     def __init__(self, df: DataFrame, x: str = "x", y: str = "y", n_partitions: int = 0,
                  check: bool = True):
-        data = df.selectExpr(f"{x} AS x", f"{y} AS y")
-        # One pass: the dimension, and (P5/Q10) whether any value leaves the byte domain.
-        stats = data.selectExpr(
-            "max(size(x)) AS d",
-            f"count_if({BAD_ROW_SQL}) AS bad" if check else "0 AS bad").first()
-        if stats["bad"]:
-            raise ValueError("feature and label values must be integral and within [-128, 127]")
-        data = data.selectExpr("transform(x, v -> CAST(v AS TINYINT)) AS x", "CAST(y AS TINYINT) AS y")
+        raw = df.selectExpr(f"{x} AS x", f"{y} AS y")
+        # Bytes and the reason for a refusal are kept together, so the source is read once.
+        fault = F.coalesce(label_fault("y", byte=True), vector_fault("x", byte=True)) if check else F.lit(None).cast("string")
+        data = raw.select(F.expr("transform(x, v -> try_cast(v AS TINYINT)) AS x"),
+                          F.expr("try_cast(y AS TINYINT) AS y"), fault.alias("fault"))
         if n_partitions:
             data = data.repartition(n_partitions)
-        self.data = data.persist(StorageLevel.MEMORY_AND_DISK)
-        self.n_features = int(stats["d"] or 0)
+        self.persisted = data.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.n_features = _one_dimension(data.agg(
+                F.min("fault").alias("fault"), F.min(F.size("x")).alias("low"), F.max(F.size("x")).alias("high")).first())
+        except ValueError:
+            data.unpersist()
+            raise
+        self.data = data.select("x", "y")
 
     @property
     def spark(self) -> SparkSession:
@@ -68,59 +72,53 @@ class DenseFeatures:
         return I.dense_cells_many(self.data, given)
 
     def release(self) -> None:
-        self.data.unpersist()
+        self.persisted.unpersist()
 
 
-# The storage struct of an ml Vector: type 0 = sparse (size, indices, values), 1 = dense (values).
-_VECTOR_JSON = ("struct<v: struct<type: tinyint, size: int, indices: array<int>, "
-                "values: array<double>>>")
 SPARSE_DENSITY = 0.5       # vector columns stored sparser than this take the sparse path
 
 
+def _one_dimension(stats) -> int:
+    """The one length of all vectors (0 without rows), or the table's fault."""
+    if stats["fault"]:
+        raise ValueError(f"a training row is refused: {stats['fault']} (features and labels must be integers of one byte)")
+    if stats["low"] != stats["high"]:
+        raise ValueError(f"feature vectors differ in dimension: from {stats['low']} to {stats['high']}")
+    return int(stats["low"] or 0)
+
+
 @dataclass
 class VectorEntries:
     entries: DataFrame          # (id, y, k, v), stored non-zeros only
     rows: DataFrame             # (id, y), every row
     n_features: int
     density: float              # mean stored fraction of each vector
-    parsed: DataFrame           # the persisted parse both come from
-
-    def release(self) -> None:
-        self.parsed.unpersist()
 
 
 def vector_entries(df: DataFrame, features: str, label: str, id_col: str | None = None
                    ) -> VectorEntries:
     """Non-zero long form of a vector column, JVM-side, never densified.
 
-    The vector's storage struct is read through ``to_json``/``from_json``, so
-    the cost is linear in the stored values, not in the dimension.  Without
-    ``id_col`` row ids come from ``monotonically_increasing_id`` on the
-    persisted parse (stable for a deterministic input; pass ``id_col`` otherwise).
+    The vector's storage struct (``unwrap_udt``) is exploded, so the cost is
+    linear in the stored values, not in the dimension.  The parse is written
+    under the checkpoint folder with its row ids, so ids given by position
+    (no ``id_col``) are the same whenever they are read.
     """
     idc = F.col(id_col).cast("bigint") if id_col else F.monotonically_increasing_id()
-    parsed = df.select(idc.alias("id"), F.col(label).alias("y"),
-                       F.from_json(F.to_json(F.struct(F.col(features).alias("v"))),
-                                   _VECTOR_JSON).getField("v").alias("p"))
-    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    stats = parsed.selectExpr(
-        "max(CASE WHEN p.type = 0 THEN p.size ELSE size(p.values) END) AS d",
-        "avg(CASE WHEN p.type = 0 THEN size(p.values) / greatest(p.size, 1) ELSE 1.0 END) AS density",
-        f"count_if(y IS NULL OR CAST(y AS DOUBLE) % 1 <> 0 OR y < -128 OR y > 127) AS bad"
-    ).first()
-    if stats["bad"]:
-        parsed.unpersist()
-        raise ValueError("label values must be integral and within [-128, 127]")
+    path = scratch_path(df.sparkSession, "vector-entries")
+    df.select(idc.alias("id"), F.col(label).alias("y"), F.unwrap_udt(F.col(features)).alias("p")).write.parquet(path)
+    parsed = df.sparkSession.read.parquet(path)
+    size = F.expr("CASE WHEN p.type = 0 THEN p.size ELSE size(p.values) END")
+    fault = F.coalesce(label_fault("y", byte=True), vector_fault("x", byte=True))
+    stats = parsed.select("*", F.col("p.values").alias("x")).agg(
+        F.min(fault).alias("fault"), F.min(size).alias("low"), F.max(size).alias("high"),
+        F.avg(F.expr("CASE WHEN p.type = 0 THEN size(p.values) / greatest(p.size, 1) ELSE 1.0 END")).alias("density")).first()
+    n_features = _one_dimension(stats)
     entries = parsed.selectExpr(
         "id", "y", "explode(transform(p.values, (x, i) -> named_struct("
         "'k', CASE WHEN p.type = 0 THEN p.indices[i] ELSE i END, 'v', x))) AS e"
     ).selectExpr("id", "y", "e.k AS k", "e.v AS v").where("v <> 0")
-    return VectorEntries(entries, parsed.select("id", "y"), int(stats["d"] or 0),
-                         float(stats["density"] or 0.0), parsed)
-
-
-BAD_ROW_SQL = ("x IS NULL OR y IS NULL OR CAST(y AS DOUBLE) % 1 <> 0 OR y < -128 OR y > 127 OR "
-               "exists(x, v -> v IS NULL OR v < -128 OR v > 127 OR CAST(v AS DOUBLE) % 1 <> 0)")
+    return VectorEntries(entries, parsed.select("id", "y"), n_features, float(stats["density"] or 0.0))
 
 
 class SparseFeatures:
@@ -128,15 +126,21 @@ class SparseFeatures:
 
     def __init__(self, entries: DataFrame, rows: DataFrame, n_features: int,
                  n_partitions: int = 0, check: bool = True):
-        e = entries.select(F.col("id"), F.col("y"), F.col("k").cast("int").alias("k"), F.col("v"))
-        if check:
-            bad = e.filter((F.col("v") < -128) | (F.col("v") > 127)
-                           | (F.col("v").cast("double") % 1 != 0)).limit(1).count()
-            if bad:
-                raise ValueError("feature values must be integral and within [-128, 127]")
-        e = e.select("id", F.col("y").cast("tinyint").alias("y"), "k",
-                     F.col("v").cast("tinyint").alias("v"))
-        self.entries = I.partition_entries(e, n_partitions or None).persist(StorageLevel.MEMORY_AND_DISK)
+        v = F.col("v").cast("double")
+        fault = (F.when(F.col("id").isNull() | F.col("k").isNull() | v.isNull(), "null entry").when(v == 0, "stored zero")
+                 .when((F.col("k") < 0) | (F.col("k") >= n_features), "feature index")
+                 .when((v % 1 != 0) | (v < -128) | (v > 127), "not a byte"))
+        e = entries.select("id", F.col("k").cast("int").alias("k"), F.expr("try_cast(y AS TINYINT) AS y"),
+                           F.expr("try_cast(v AS TINYINT) AS v"), F.coalesce(label_fault("y", byte=True), fault).alias("fault"))
+        e = I.partition_entries(e, n_partitions or None)
+        self.persisted = e.persist(StorageLevel.MEMORY_AND_DISK)
+        if check:      # partitioned by id, so the pairs (id, k) are counted in place
+            worst = e.groupBy("id", "k").agg(F.min("fault").alias("fault"), F.count(F.lit(1)).alias("n")) \
+                .agg(F.min("fault").alias("fault"), F.max("n").alias("n")).first()
+            if worst["fault"] or (worst["n"] or 0) > 1:
+                e.unpersist()
+                raise ValueError(f"an entry is refused: {worst['fault'] or 'repeated row and feature'}")
+        self.entries = e.select("id", "y", "k", "v")
         self.rows = rows.select("id", F.col("y").cast("tinyint").alias("y")).persist(
             StorageLevel.MEMORY_AND_DISK)
         self.n_features = int(n_features)
@@ -155,7 +159,7 @@ class SparseFeatures:
                                    self.class_totals)
 
     def release(self) -> None:
-        self.entries.unpersist()
+        self.persisted.unpersist()
         self.rows.unpersist()
 
 
@@ -185,7 +189,7 @@ def relevance_table(source) -> DataFrame:
     return I.information(source.cells(None)).select("k", "rel")
 
 
-def _winners(state: DataFrame, score_sql: str) -> dict[str, tuple[int, float]]:
+def winners(state: DataFrame, score_sql: str) -> dict[str, tuple[int, float]]:
     """A6 per criterion as one aggregate: max of (round(score, 10), -k).
 
     Partial aggregation keeps one candidate per criterion per task; one row
@@ -236,17 +240,17 @@ def _greedy_loop(source, rel: DataFrame, crits: list[str], n: int, beta: float)
     try:
         state = tables.put(C.initial_states(rel, crits))
         for i in range(n):
-            winners = _winners(state, C.score_case_sql(crits, i, beta))
-            for c, (j, sc) in winners.items():
+            best = winners(state, C.score_case_sql(crits, i, beta))
+            for c, (j, sc) in best.items():
                 picked[c][0].append(j)
                 picked[c][1].append(sc)
-            if i == n - 1 or not winners:
+            if i == n - 1 or not best:
                 break
-            given = sorted({j for j, _ in winners.values()})
+            given = sorted({j for j, _ in best.values()})
             info = I.information(source.cells_many(given), keys=("j", "k")).select(
                 "j", "k", "mi", "cmi")
             state = tables.put(C.update_many(
-                state, info, {c: j for c, (j, _) in winners.items()}, broadcast_ok))
+                state, info, {c: j for c, (j, _) in best.items()}, broadcast_ok))
     finally:
         tables.close()
     return {c: Selection(f, s) for c, (f, s) in picked.items()}
@@ -370,6 +374,12 @@ def _check_label(schema: T.StructType, col: str) -> None:
         raise TypeError(f"label column {col!r} must be numeric")
 
 
+def _check_output(df: DataFrame, col: str) -> None:
+    """The output column must be new."""
+    if col in df.columns:
+        raise ValueError(f"the table already has a column {col!r}; choose another outputCol")
+
+
 class FeatureSelector(Estimator, _SelectorParams, DefaultParamsReadable, DefaultParamsWritable):
     """E2/E3 Estimator.  ``fit`` runs the greedy selection on Spark."""
 
@@ -406,18 +416,14 @@ class FeatureSelector(Estimator, _SelectorParams, DefaultParamsReadable, Default
         self._validate()
         fcol, lcol = self.getFeaturesCol(), self.getLabelCol()
         kind = _feature_kind(dataset.schema, fcol)
-        _check_label(dataset.schema, lcol)
+        _check_output(dataset, self.getOutputCol())
+        rows = training_rows(dataset, lcol, fcol)
         if kind == "vector":
-            ve = vector_entries(dataset, fcol, lcol)
+            ve = vector_entries(rows, "features", "label")
             if ve.density < SPARSE_DENSITY:    # A13 path: only stored non-zeros are counted
-                try:
-                    return self._finish(SparseFeatures(ve.entries, ve.rows, ve.n_features,
-                                                       self.getNPartitions()))
-                finally:
-                    ve.release()
-            ve.release()
-        x = vector_to_array(F.col(fcol)) if kind == "vector" else F.col(fcol)
-        rows = dataset.select(x.alias("x"), F.col(lcol).cast("double").alias("y"))
+                return self._finish(SparseFeatures(ve.entries, ve.rows, ve.n_features, self.getNPartitions()))
+        x = vector_to_array(F.col("features")) if kind == "vector" else F.col("features")
+        rows = rows.select(x.alias("x"), F.col("label").alias("y"))
         return self._finish(DenseFeatures(rows, n_partitions=self.getNPartitions()))
 
     def _finish(self, source) -> FeatureSelectorModel:
@@ -461,13 +467,14 @@ class FeatureSelectorModel(Model, _SelectorParams, MLReadable, MLWritable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         if not self.fitted:
-            raise RuntimeError("the feature selector has not been fitted to the data")
+            raise RuntimeError("transform before fit: this selector model holds no features")
         fcol, out = self.getFeaturesCol(), self.getOutputCol()
         kind = _feature_kind(dataset.schema, fcol)
-        if kind == "vector":       # dense or sparse vectors; keeps ml_attr metadata
-            return VectorSlicer(inputCol=fcol, outputCol=out,
-                                indices=self.selectedFeatures).transform(dataset)
+        _check_output(dataset, out)
         meta = _output_metadata(dataset.schema[fcol].metadata, self.selectedFeatures, out)
+        if kind == "vector":       # dense or sparse vectors; nominal attributes unless the input has some
+            sliced = VectorSlicer(inputCol=fcol, outputCol=out, indices=self.selectedFeatures).transform(dataset)
+            return sliced.withMetadata(out, meta)
         return dataset.withColumn(out, gather(fcol, self.selectedFeatures).alias(out, metadata=meta))
 
     def selection(self, spark: SparkSession) -> DataFrame:

@@ -1,7 +1,7 @@
-"""Table splits and row ids (L1-L3).
+"""Table splits, key hashes and row ids (L1-L3).
 
 The reference splits with an unseeded random draw.  Here the default split
-is a pure function of a row key (first 32 bits of md5 of the key text), so a
+is a pure function of a row key (60 bits of md5 of the key text), so a
 row lands on the same side on every run, on every executor, after any task
 retry, with no shuffle; ``random_split`` offers the seeded draw as well.
 """
@@ -13,23 +13,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1_000_000
+from tessera.session import scratch_path
 
+HASH_SPACE = 1 << 60
 
-def hash_bucket(keys: Sequence[str]) -> Column:
-    """Bucket 0..BUCKETS-1 from md5 of the '::'-joined key columns."""
-    text = F.concat_ws("::", *[F.col(k).cast("string") for k in keys])
-    h32 = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return h32 % F.lit(BUCKETS)
+
+def text_hash(text: Column) -> Column:
+    """0 .. HASH_SPACE-1: the first 15 hex digits of the text's md5."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def key_hash(keys: Sequence[str]) -> Column:
+    """Hash of the '::'-joined key columns."""
+    return text_hash(F.concat_ws("::", *[F.col(k).cast("string") for k in keys]))
+
+
+def hash_cut(fraction: float) -> int:
+    """The hashes below this number are ``fraction`` of all."""
+    return int(fraction * HASH_SPACE)
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], fraction: float) -> tuple[DataFrame, DataFrame]:
     """(main, rest): ``fraction`` of the rows by key hash, and the side output."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError(f"fraction must be in [0, 1], got {fraction}")
-    cut = int(round(fraction * BUCKETS))
-    b = hash_bucket(keys)
-    return df.filter(b < cut), df.filter(b >= cut)
+    h = key_hash(keys)
+    return df.filter(h < hash_cut(fraction)), df.filter(h >= hash_cut(fraction))
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
@@ -38,23 +47,22 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
 
 
 def with_row_id(df: DataFrame, order_cols: Sequence[str], name: str = "rid") -> DataFrame:
-    """Consecutive ids 0..n-1 over a total order of ``order_cols`` (L3).
-
-    Distributed like ``zipWithIndex``: range-partition and sort on the order;
-    inside a partition ``monotonically_increasing_id`` counts rows from
-    partition_index << 33, so the row's position is its low 33 bits; the
-    (few) per-partition counts become offsets that are broadcast back.  No
-    shuffle after the range partitioning, and no task holds more than one
-    range partition.  ``order_cols`` must be a total order, or ids are not
-    reproducible.
+    """Consecutive ids 0..n-1 over a total order of ``order_cols`` (L3), all columns kept.
+
+    The rows are range-partitioned and sorted on the order and written under
+    the checkpoint folder together with their position (partition number
+    << 33 plus the row's place in it).  Both the counts per partition and
+    the ids are then derived from that one stored table, so they always
+    agree.  A row's id is its place plus the rows of the partitions before
+    (one broadcast row per partition).  ``order_cols`` must be a total order,
+    or ids are not reproducible.
     """
-    ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_part", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id()))
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_part",
-        (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"))
-    numbered = ranged.join(F.broadcast(offsets), "_part")  # one row per partition
-    position = F.col("_mono") - F.shiftleft(F.col("_part").cast("bigint"), 33)
-    return numbered.withColumn(name, F.col("_offset") + position).drop("_part", "_mono", "_offset")
+    path = scratch_path(df.sparkSession, "row-ids")
+    (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+     .withColumn("__at", F.monotonically_increasing_id()).write.parquet(path))
+    stored = df.sparkSession.read.parquet(path).withColumn("__part", F.shiftright("__at", 33))
+    counts = stored.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
+    place = F.col("__at").bitwiseAND((1 << 33) - 1)
+    return (stored.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + place)
+            .drop("__at", "__part", "__before"))

@@ -14,10 +14,15 @@ Two update rules:
   (optionally sampled) batch; stop early when
   ||w_new - w_old|| < tol * max(||w_new||, 1).
 * ``LinearSvc`` (E8) -- weighted rows, constant learning rate, elastic net:
-  w <- w (1 - lr reg (1 - a)) - lr g, then soft-threshold by lr reg a; the
-  batch is the rows whose md5 bucket of (id, iteration) falls under
-  globalBatchSize / n (all rows when globalBatchSize >= n); stop when the
-  mean weighted hinge loss changes by less than tol, or after maxIter.
+  w <- w (1 - lr reg (1 - a)) - lr g, then soft-threshold by lr reg a; stop
+  when the mean weighted hinge loss changes by less than tol, or after maxIter.
+
+Mini-batches: every row has a 60-bit hash, of its key or, without one, of its
+values.  It is computed once; the persisted rows are range-partitioned and
+sorted by it.  Iteration after iteration takes the next interval of hashes
+that holds the wanted fraction on average (round the circle), so cached
+blocks outside it are skipped by their bounds.  Where an interval has no row,
+the next row's hash begins it: a batch of a table with rows is never empty.
 """
 
 from __future__ import annotations
@@ -35,13 +40,14 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol,
                                      HasTol, HasWeightCol)
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable,
+                             DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.checks import require_training_table
-from tessera.operators.split import BUCKETS, hash_bucket
+from tessera.operators.checks import require_training_table, vector_fault
+from tessera.operators.split import HASH_SPACE, hash_cut, key_hash, text_hash
 
 # The classic SGD defaults (step 1.0, reg 0.01, full batch, tol 0.001).
 SGD_STEP, SGD_REG, SGD_FRACTION, SGD_TOL = 1.0, 0.01, 1.0, 0.001
@@ -146,12 +152,67 @@ def _norm(v: Sequence[float]) -> float:
     return math.sqrt(sum(x * x for x in v))
 
 
-def batch_filter(rows: DataFrame, key: str, iteration: int, fraction: float) -> DataFrame:
-    """Rows of this iteration's batch: md5 bucket of (key, iteration) under the fraction."""
-    if fraction >= 1.0:
-        return rows
-    salted = rows.withColumn("_it", F.lit(int(iteration)))
-    return salted.filter(hash_bucket([key, "_it"]) < F.lit(int(round(fraction * BUCKETS)))).drop("_it")
+def row_hash(label: str, features: str, weight: str | None = None) -> Column:
+    """Hash of a row's values, in millionths: equal rows share it, and are drawn together."""
+    micro = lambda c: f"CAST(round(CAST({c} AS DOUBLE) * 1000000.0D) AS BIGINT)"
+    parts = [micro(label), *([micro(weight)] if weight else []),
+             f"array_join(transform({features}, v -> CAST({micro('v')} AS STRING)), '::')"]
+    return text_hash(F.expr("concat_ws('::', " + ", ".join(parts) + ")"))
+
+
+class Batches:
+    """Successive mini-batches of rows that have the column ``_hash``."""
+
+    def __init__(self, rows: DataFrame, fraction: float):
+        self.rows, self.width, self.at = rows, max(1, hash_cut(fraction)), 0
+
+    def interval(self) -> DataFrame:
+        """The rows of the interval that begins here (it may run over the end of the circle)."""
+        end = self.at + self.width
+        h = F.col("_hash")
+        if end <= HASH_SPACE:
+            return self.rows.filter((h >= self.at) & (h < end))
+        return self.rows.filter((h >= self.at) | (h < end - HASH_SPACE))
+
+    def step(self) -> None:
+        self.at = (self.at + self.width) % HASH_SPACE
+
+    def skip(self) -> None:
+        """To the next row's hash, after an empty interval."""
+        self.step()
+        first, after = self.rows.agg(F.min("_hash"), F.min(F.when(F.col("_hash") >= self.at, F.col("_hash")))).first()
+        self.at = after if after is not None else first
+
+
+class _Whole:
+    """The whole table as every batch."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def interval(self) -> DataFrame:
+        return self.rows
+
+    def step(self) -> None:
+        pass
+
+
+def batch_gradient(batches, w: Sequence[float], features: str, label: str, weight: str | None = None):
+    """``gradient_sums`` of the next batch, which is not empty."""
+    out = gradient_sums(batches.interval(), w, features, label, weight)
+    if out[3] == 0 and isinstance(batches, Batches):
+        batches.skip()
+        out = gradient_sums(batches.interval(), w, features, label, weight)
+    if out[3] == 0:
+        raise ValueError("an empty batch")
+    batches.step()
+    return out
+
+
+def _persisted(data: DataFrame, sampled: bool) -> DataFrame:
+    if sampled:
+        data = data.repartitionByRange("_hash").sortWithinPartitions("_hash")
+    return data.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def sgd_svm(rows: DataFrame, iterations: int, step: float = SGD_STEP, reg: float = SGD_REG,
@@ -159,64 +220,82 @@ def sgd_svm(rows: DataFrame, iterations: int, step: float = SGD_STEP, reg: float
             label: str = "label", key: str | None = None) -> list[float]:
     """Weights after ``iterations`` subgradient steps (no intercept).
 
-    ``fraction`` < 1 samples each iteration's batch by hash of ``key``.
+    ``fraction`` < 1 samples each iteration's batch by hash of ``key`` (of the row without one).
     """
-    data = rows.select(*([key] if key else []), F.col(label).cast("double").alias(label),
-                       F.col(features).cast("array<double>").alias(features))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    return sgd_svm_counted(rows, iterations, step, reg, fraction, tol, features, label, key)[0]
+
+
+def sgd_svm_counted(rows: DataFrame, iterations: int, step: float = SGD_STEP, reg: float = SGD_REG,
+                    fraction: float = SGD_FRACTION, tol: float = SGD_TOL, features: str = "features",
+                    label: str = "label", key: str | None = None) -> tuple[list[float], int]:
+    """``sgd_svm`` with the number of training rows, counted in the validation pass."""
+    sampled = fraction < 1.0
+    data = svc_rows(rows, features, label, None, key, sampled)
+    data = _persisted(data, sampled)
     try:
-        d, _ = require_training_table(data, features, label)
+        d, n_rows = require_training_table(data)
+        batches = Batches(data, fraction) if sampled else _Whole(data)
         w = [0.0] * d
         for i in range(1, int(iterations) + 1):
-            batch = batch_filter(data, key, i, fraction) if key and fraction < 1 else data
-            g, _, _, n = gradient_sums(batch, w, features, label)
-            if n == 0:
-                continue
+            g, _, _, n = batch_gradient(batches, w, "features", "label")
             st = step / math.sqrt(i)
             new = [wi * (1.0 - st * reg) - st * gi / n for wi, gi in zip(w, g)]
             done = _norm([a - b for a, b in zip(new, w)]) < tol * max(_norm(new), 1.0)
             w = new
             if done:
                 break
-        return w
+        return w, n_rows
     finally:
         data.unpersist()
 
 
 def predict(df: DataFrame, w: Sequence[float], features: str = "features",
             out: str = "prediction", threshold: float = 0.0) -> DataFrame:
-    """1.0 when w . x > threshold, else 0.0 (a projection; all columns kept)."""
+    """1.0 when w . x > threshold, else 0.0 (a projection; all columns kept).
+
+    At any width: null for a null vector, a null element or another length.
+    """
+    x = F.col(features)
+    fault = vector_fault(features, dim=F.lit(len(w)))
     if len(w) <= WIDE_LIMIT:
-        return df.withColumn(out, F.expr(
-            f"CAST(({margin_sql(features, w)}) > {_d(threshold)} AS DOUBLE)"))
+        return df.withColumn(out, F.when(fault.isNull(), F.expr(f"CAST(({margin_sql(features, w)}) > {_d(threshold)} AS DOUBLE)")))
     bc = df.sparkSession.sparkContext.broadcast(np.asarray(w, dtype=np.float64))
     thr = float(threshold)
 
     @F.pandas_udf("double")
     def wide_predict(x: pd.Series) -> pd.Series:
-        if x.empty:
-            return pd.Series([], dtype="float64")
-        return pd.Series((np.stack(x.to_numpy()) @ bc.value > thr).astype(np.float64))
+        given = x.notna()
+        pred = pd.Series(np.nan, index=x.index, dtype="float64")
+        if given.any():
+            m = np.stack(x[given].to_numpy()) @ bc.value
+            pred[given] = ((m > thr) | np.isnan(m)).astype(np.float64)      # NaN is greatest, as in SQL
+        return pred
 
-    return df.withColumn(out, wide_predict(F.col(features).cast("array<double>")))
+    valid = F.when(fault.isNull(), x.cast("array<double>"))
+    return df.withColumn(out, F.when(fault.isNull(), wide_predict(valid)))
 
 
 def accuracy(pred: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """Share of rows whose integer parts of prediction and label agree (one pass)."""
+    """Share of rows whose integer parts of prediction and label agree, and the rows (one pass)."""
     hit = (F.col(prediction).cast("int") == F.col(label).cast("int")).cast("double")
-    return pred.agg(F.avg(hit).alias("accuracy"))
+    return pred.agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
 
 
 # ----------------------------------------------------------------- LinearSvc
 
-def svc_rows(df: DataFrame, features: str, label: str, weight: str | None) -> DataFrame:
-    """S5 + P1-P3: (label double, weight double, features array<double>)."""
+def svc_rows(df: DataFrame, features: str, label: str, weight: str | None, key: str | None = None,
+             hashed: bool = False) -> DataFrame:
+    """S5 + P1-P3: (label double, weight double, features array<double>); ``hashed``: and ``_hash`` for batches."""
     dt = df.schema[features].dataType
     x = vector_to_array(F.col(features)) if isinstance(dt, VectorUDT) else \
         F.col(features).cast("array<double>")
     wt = F.col(weight).cast("double") if weight else F.lit(1.0)
-    return df.select(F.col(label).cast("double").alias("label"), wt.alias("weight"),
-                     x.alias("features"))
+    rows = [F.col(label).cast("double").alias("label"), wt.alias("weight"), x.alias("features")]
+    if not hashed:
+        return df.select(*rows)
+    if key:
+        return df.select(*rows, key_hash([key]).alias("_hash"))
+    return df.select(*rows).withColumn("_hash", row_hash("label", "features", "weight"))
 
 
 def elastic_step(w: Sequence[float], g: Sequence[float], lr: float, reg: float,
@@ -278,28 +357,18 @@ class LinearSvc(Estimator, _SvcParams, DefaultParamsReadable, DefaultParamsWrita
         return self._train(dataset, weight or None, key)
 
     def _train(self, dataset: DataFrame, weight: str | None, key: str | None) -> LinearSvcModel:
-        fcol, lcol = self.getFeaturesCol(), self.getLabelCol()
-        dt = dataset.schema[fcol].dataType
-        x = vector_to_array(F.col(fcol)) if isinstance(dt, VectorUDT) else F.col(fcol).cast("array<double>")
-        cols = [F.col(lcol).cast("double").alias("label"),
-                (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("weight"),
-                x.alias("features")]
-        if key:
-            cols.append(F.col(key).alias("_key"))
-        data = dataset.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+        size = self.getGlobalBatchSize()
+        plain = svc_rows(dataset, self.getFeaturesCol(), self.getLabelCol(), weight, key, hashed=True)
+        data = _persisted(plain, sampled=True)
         try:
-            d, n = require_training_table(data, "features", "label")
-            batch = self.getGlobalBatchSize()
-            fraction = 1.0 if batch >= n else batch / n
-            if fraction < 1.0 and not key:
-                raise ValueError("set idCol to sample batches smaller than the table")
+            d, n = require_training_table(data)
+            batches = _Whole(data) if size >= n else Batches(data, size / n)
             lr, reg, alpha = self.getLearningRate(), self.getReg(), self.getElasticNet()
             w, prev_loss, losses = [0.0] * d, None, []
-            for it in range(1, self.getMaxIter() + 1):
-                rows = batch_filter(data, "_key", it, fraction) if fraction < 1.0 else data
-                g, loss, wsum, _ = gradient_sums(rows, w, "features", "label", "weight")
+            for _ in range(self.getMaxIter()):
+                g, loss, wsum, _ = batch_gradient(batches, w, "features", "label", "weight")
                 if wsum <= 0.0:
-                    continue
+                    raise ValueError("the weights of a batch sum to 0 or less")
                 mean_loss = loss / wsum
                 if prev_loss is not None and abs(prev_loss - mean_loss) < self.getTol():
                     break
@@ -313,7 +382,7 @@ class LinearSvc(Estimator, _SvcParams, DefaultParamsReadable, DefaultParamsWrita
         return self._copyValues(model)
 
 
-class LinearSvcModel(Model, _SvcParams):
+class LinearSvcModel(Model, _SvcParams, MLReadable, MLWritable):
     """The weights plus the estimator's params; transform predicts."""
 
     def __init__(self, coefficients: Sequence[float] | None = None, losses: Sequence[float] | None = None):
@@ -336,3 +405,38 @@ class LinearSvcModel(Model, _SvcParams):
         return spark.createDataFrame([(i, w) for i, w in enumerate(self.coefficients)],
                                      T.StructType([T.StructField("k", T.IntegerType()),
                                                    T.StructField("w", T.DoubleType())]))
+
+    def write(self) -> MLWriter:
+        return _SvcModelWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _SvcModelReader(cls)
+
+
+class _SvcModelWriter(MLWriter):
+    """Params metadata plus the model table (k int, w double) at path/data."""
+
+    def __init__(self, instance: LinearSvcModel):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession, extraMetadata={"losses": self.instance.losses})
+        self.instance.weights(self.sparkSession).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/data")
+
+
+class _SvcModelReader(MLReader):
+    """Restores the weights (one row per feature) and the params."""
+
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str) -> LinearSvcModel:
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        rows = self.sparkSession.read.parquet(f"{path.rstrip('/')}/data").orderBy("k").collect()
+        model = LinearSvcModel([r["w"] for r in rows], meta.get("losses"))
+        model._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        return model

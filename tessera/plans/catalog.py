@@ -17,7 +17,7 @@ from tessera.operators import infotheory as I
 from tessera.operators import recommend as RC
 from tessera.operators import selection as S
 from tessera.operators import svm as SV
-from tessera.operators.split import BUCKETS, hash_bucket, hash_split, with_row_id
+from tessera.operators.split import hash_cut, hash_split, key_hash, with_row_id
 from tessera.plans import views as V
 from tessera.session import scratch_path
 from tessera.sources import labeled as LB
@@ -106,27 +106,26 @@ def cmi_redundancy(spark, sf):
 
 
 def _mrmr_second_round(spark, sf) -> DataFrame:
+    """The selection loop's state after its first round, with the score of every feature left."""
     emb = V.byte_matrix(spark, sf)
-    rel = I.information(I.dense_cells(emb)).select("k", "rel")
-    j = _most_relevant(rel)
-    state = C.mark_selected(C.initial_state(rel), j)
-    state = C.update(state, I.redundancy(I.dense_cells(emb, given=j)), broadcast_info=True)
-    return state.filter("valid").select("k", C.score("mrmr", 1).alias("score"))
+    state = C.initial_states(I.information(I.dense_cells(emb)).select("k", "rel"), ["mrmr"])
+    j = S.winners(state, C.score_case_sql(["mrmr"], 0))["mrmr"][0]
+    info = I.information(I.dense_cells_many(emb, [j]), keys=("j", "k")).select("j", "k", "mi", "cmi")
+    return C.update_many(state, info, {"mrmr": j}, broadcast_info=False)
 
 
 @query("score_update_lookup")
 def score_update_lookup(spark, sf):
     """J4 + C4: mrmr scores of the remaining features after the first pick."""
-    return _mrmr_second_round(spark, sf).select(F.col("k").cast("int").alias("k"),
-                                                r6(F.col("score")).alias("score"))
+    state = _mrmr_second_round(spark, sf).filter("valid")
+    return state.select(F.col("k").cast("int").alias("k"), r6(F.expr(C.score_case_sql(["mrmr"], 1))).alias("score"))
 
 
 @query("argmax_feature")
 def argmax_feature(spark, sf):
     """The second mrmr pick, (round(score,10) desc, feature asc)."""
-    scored = _mrmr_second_round(spark, sf)
-    best = scored.orderBy(F.round("score", S.TIE_DIGITS).desc(), F.col("k").asc()).limit(1)
-    return best.select(F.col("k").cast("int").alias("feat"), r6(F.col("score")).alias("score"))
+    feat, score = S.winners(_mrmr_second_round(spark, sf), C.score_case_sql(["mrmr"], 1))["mrmr"]
+    return spark.createDataFrame([(feat, score)], "feat int, score double").select("feat", r6(F.col("score")).alias("score"))
 
 
 def _select(criterion: str):
@@ -278,11 +277,18 @@ def select_mrmr_sparse(spark, sf):
 
 @query("ratings_parse")
 def ratings_parse(spark, sf):
-    """Parse ``user::item::rating::ts`` lines; good rows."""
+    """Parse ``user::item::rating::ts`` lines; good rows of a feed with bad lines."""
     good, _ = RS.split_rating_lines(V.rating_lines(spark, sf))
     return good.select("user", "item", F.col("rating").cast("double").alias("rating"), "ts")
 
 
+@query("ratings_parse_strict")
+def ratings_parse_strict(spark, sf):
+    """The strict reader over a feed without bad lines."""
+    lines = V.clean_rating_lines(spark, sf)
+    return RS.parse_rating_lines(lines).select("user", "item", F.col("rating").cast("double").alias("rating"), "ts")
+
+
 @query("ratings_bad_lines")
 def ratings_bad_lines(spark, sf):
     """Lines that do not have 4 parseable fields."""
@@ -307,6 +313,13 @@ def labeled_parse(spark, sf):
         "id", "label", F.col("k").cast("int").alias("k"), "v")
 
 
+@query("labeled_parse_strict")
+def labeled_parse_strict(spark, sf):
+    """S3: the strict reader over the same lines; (id, label, number of features)."""
+    rows = LB.parse_labeled_lines(V.svm_lines(spark, sf))
+    return rows.select(F.col("tag").cast("bigint").alias("id"), "label", F.size("features").alias("n_features"))
+
+
 def _doc_labels(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "n_chars")
     lab = table(spark, sf, "labels")
@@ -330,6 +343,17 @@ def byte_range_violations(spark, sf):
     return K.byte_violations(rows, "features").select("doc_id")
 
 
+@query("vector_violations")
+def vector_violations(spark, sf):
+    """P5/A5: documents whose (doc, n_chars, quality, toxic) vector is null, has a null, another length or a non-byte."""
+    d, lab = table(spark, sf, "documents").select("doc_id", "n_chars"), table(spark, sf, "labels")
+    num = lambda c: F.col(c).cast("double")
+    few, many = F.array(num("quality"), num("toxic")), F.array(num("quality"), num("toxic"), F.col("n_chars") % 200.0)
+    rows = d.join(lab, "doc_id", "left").select("doc_id", F.when(F.col("doc_id") % 11 == 0, None).when(F.col("doc_id") % 7 == 0, few)
+                                                .otherwise(many).alias("features"))
+    return K.vector_violations(rows, "features", byte=True).select("doc_id", "fault")
+
+
 @query("dimension_check")
 def dimension_check(spark, sf):
     """Smallest and largest embedding length."""
@@ -355,16 +379,21 @@ def split_test(spark, sf):
 def split_counts(spark, sf):
     """A1: row counts of both sides in one pass."""
     r = V.ratings(spark, sf)
-    train = hash_bucket(["user", "item"]) < F.lit(int(round(V.TRAIN_FRACTION * BUCKETS)))
+    train = key_hash(["user", "item"]) < hash_cut(V.TRAIN_FRACTION)
     return r.agg(F.sum(train.cast("bigint")).alias("n_train"),
                  F.sum((~train).cast("bigint")).alias("n_test"))
 
 
 @query("row_ids")
 def row_ids(spark, sf):
-    """L3: consecutive row ids of RAT in (user, item) order, distributed."""
-    r = V.ratings(spark, sf).select("user", "item")
-    return with_row_id(r, ["user", "item"], "rid")
+    """L3: consecutive row ids of RAT in (user, item) order, all columns, distributed."""
+    return with_row_id(V.ratings(spark, sf), ["user", "item"], "rid")
+
+
+@query("row_ids_orders")
+def row_ids_orders(spark, sf):
+    """L3: consecutive row ids of the whole orders table in key order, all columns."""
+    return with_row_id(table(spark, sf, "orders"), ["o_orderkey"], "rid")
 
 
 @query("subset_ids")
@@ -383,8 +412,8 @@ def subset_ids(spark, sf):
 @query("factor_predict")
 def factor_predict(spark, sf):
     """Score every test pair; cold-start pairs get a null prediction."""
-    _, test = V.rating_split(spark, sf)
-    uf, vf = V.factor_tables(spark, sf)
+    train, test = V.rating_split(spark, sf)
+    uf, vf = V.factor_tables(spark, sf, train)
     p = RC.predict_pairs(test, uf, vf, drop_cold=False)
     return p.select("user", "item", "rating", r6(F.col("prediction")).alias("prediction"))
 
@@ -392,8 +421,8 @@ def factor_predict(spark, sf):
 @query("factor_predict_drop")
 def factor_predict_drop(spark, sf):
     """The same with cold-start pairs dropped."""
-    _, test = V.rating_split(spark, sf)
-    uf, vf = V.factor_tables(spark, sf)
+    train, test = V.rating_split(spark, sf)
+    uf, vf = V.factor_tables(spark, sf, train)
     p = RC.predict_pairs(test, uf, vf, drop_cold=True)
     return p.select("user", "item", "rating", r6(F.col("prediction")).alias("prediction"))
 
@@ -401,8 +430,8 @@ def factor_predict_drop(spark, sf):
 @query("rmse")
 def rmse(spark, sf):
     """A3: RMSE of the factor predictions on the test split."""
-    _, test = V.rating_split(spark, sf)
-    uf, vf = V.factor_tables(spark, sf)
+    train, test = V.rating_split(spark, sf)
+    uf, vf = V.factor_tables(spark, sf, train)
     return RC.rmse(RC.predict_pairs(test, uf, vf)).select(r6(F.col("rmse")).alias("rmse"))
 
 
@@ -456,66 +485,84 @@ def _als(spark, sf, setting=None):
     return RC.fit_als(train, setting=setting), train, test
 
 
+def _both_factors(model):
+    return (t.select("id", F.col("features").cast("array<double>").alias("features")) for t in (model.userFactors, model.itemFactors))
+
+
 @query("als_fit")
 def als_fit(spark, sf):
-    """E5: Spark ALS (maxIter 5, regParam 0.01); both factor tables (rows-only check)."""
-    model, _, _ = _als(spark, sf)
-    u = model.userFactors.select(F.lit("user").alias("kind"), "id")
-    i = model.itemFactors.select(F.lit("item").alias("kind"), "id")
-    return u.unionByName(i)
+    """E5: Spark ALS (maxIter 5, regParam 0.01): the ids of both factor tables, and whether each
+    user's factors solve their normal equations (items: whether all factors are finite)."""
+    model, train, _ = _als(spark, sf)
+    u = RC.fitted_users(model, train, RC.SPARK_SETTING["regParam"]).select(F.lit("user").alias("kind"), "id", F.col("solved").alias("ok"))
+    finite = F.forall("features", lambda v: ~F.isnan(v) & (F.abs(v) != float("inf")))
+    return u.unionByName(model.itemFactors.select(F.lit("item").alias("kind"), "id", finite.alias("ok")))
 
 
 @query("als_predict")
 def als_predict(spark, sf):
-    """J1/J2 with the trained model: test predictions, cold start dropped."""
+    """J1/J2 with the trained model: the test pairs that survive the cold-start drop; ok: the
+    prediction is the dot product of the factors."""
     model, _, test = _als(spark, sf)
-    return model.transform(test).select("user", "item", "rating",
-                                        F.col("prediction").cast("double").alias("prediction"))
+    return RC.prediction_facts(model, test).select("user", "item", "rating", "ok")
 
 
 @query("als_predict_flink_setting")
 def als_predict_flink_setting(spark, sf):
-    """10 iterations, rank 10, lambda 0.1; (rating, prediction_result)."""
+    """10 iterations, rank 10, lambda 0.1; the scored test pairs, as als_predict."""
     model, _, test = _als(spark, sf, RC.FLINK_SETTING)
-    return model.transform(test).select(
-        "rating", F.col("prediction").cast("double").alias("prediction_result"))
+    return RC.prediction_facts(model, test).select("user", "item", "rating", "ok")
 
 
 @query("als_recs_users")
 def als_recs_users(spark, sf):
-    """T5 via the model: top 10 items for every user."""
+    """T5 via the model: top 10 items for every user; facts of every list."""
     model, _, _ = _als(spark, sf)
-    return RC.flatten_recommendations(model.recommendForAllUsers(TOP_K), "user", "item")
+    flat = RC.flatten_recommendations(model.recommendForAllUsers(TOP_K), "user", "item")
+    uf, vf = _both_factors(model)
+    return RC.list_facts(flat, uf, vf, "item", TOP_K)
 
 
 @query("als_recs_items")
 def als_recs_items(spark, sf):
-    """T6 via the model: top 10 users for every item."""
+    """T6 via the model: top 10 users for every item; facts of every list."""
     model, _, _ = _als(spark, sf)
-    return RC.flatten_recommendations(model.recommendForAllItems(TOP_K), "item", "user")
+    flat = RC.flatten_recommendations(model.recommendForAllItems(TOP_K), "item", "user")
+    uf, vf = _both_factors(model)
+    return RC.list_facts(flat, vf, uf, "user", TOP_K)
 
 
 @query("als_recs_users_native")
 def als_recs_users_native(spark, sf):
-    """T5 over the trained factors with the native top-k (no user-side shuffle)."""
+    """T5 over the trained factors with the native top-k; facts of every list, held against Spark's own lists."""
     model, _, _ = _als(spark, sf)
-    return RC.flatten_recommendations(RC.recommend_for_all(model, TOP_K), "user", "item")
+    flat = RC.flatten_recommendations(RC.recommend_for_all(model, TOP_K), "user", "item")
+    own = RC.flatten_recommendations(model.recommendForAllUsers(TOP_K), "user", "item").select("id", "rank", F.col("score").alias("own"))
+    near = F.abs(F.col("score") - F.col("own")) < RC.FACT_TOLERANCE
+    return flat.join(own, ["id", "rank"], "left").groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("item").alias("n_distinct"), F.min(F.coalesce(near, F.lit(False))).alias("exact"))
 
 
 @query("als_recs_user_subset")
 def als_recs_user_subset(spark, sf):
-    """T7 via the model: top 10 items for the 3 smallest user ids."""
+    """T7 via the model: top 10 items for the 3 smallest user ids; facts of every list."""
     model, train, _ = _als(spark, sf)
-    users = RC.first_ids(V.ratings(spark, sf), "user", SUBSET_N)
-    return RC.flatten_recommendations(model.recommendForUserSubset(users, TOP_K), "user", "item")
+    users = RC.first_ids(train, "user", SUBSET_N)
+    flat = RC.flatten_recommendations(model.recommendForUserSubset(users, TOP_K), "user", "item")
+    uf, vf = _both_factors(model)
+    chosen = uf.join(users.select(F.col("user").alias("id")), "id", "left_semi")
+    return RC.list_facts(flat, chosen, vf, "item", TOP_K)
 
 
 @query("als_recs_item_subset")
 def als_recs_item_subset(spark, sf):
-    """T8 via the model: top 10 users for the 3 smallest item ids."""
+    """T8 via the model: top 10 users for the 3 smallest item ids; facts of every list."""
     model, train, _ = _als(spark, sf)
-    items = RC.first_ids(V.ratings(spark, sf), "item", SUBSET_N)
-    return RC.flatten_recommendations(model.recommendForItemSubset(items, TOP_K), "item", "user")
+    items = RC.first_ids(train, "item", SUBSET_N)
+    flat = RC.flatten_recommendations(model.recommendForItemSubset(items, TOP_K), "item", "user")
+    uf, vf = _both_factors(model)
+    chosen = vf.join(items.select(F.col("item").alias("id")), "id", "left_semi")
+    return RC.list_facts(flat, chosen, uf, "user", TOP_K)
 
 
 # --------------------------------------------------------------------------- SVM
@@ -528,7 +575,7 @@ def _weights_frame(spark, w):
 def svc_training_rows(spark, sf):
     """(label, weight, features) rows with their length."""
     v = V.svm_vectors(spark, sf)
-    rows = SV.svc_rows(v.withColumnRenamed("y", "label"), "features", "label", "wt")
+    rows = SV.svc_rows(v.withColumnRenamed("y", "label"), "features", "label", "wt")     # what LinearSvc.fit trains on
     return rows.select("label", "weight", F.size("features").alias("n_features"))
 
 
@@ -564,6 +611,23 @@ def _svc(spark, sf, **params):
     return est.fit(v), v
 
 
+@query("svc_default_params")
+def svc_default_params(spark, sf):
+    """LinearSvc with its defaults (batches of 32 chosen by the hash of the row, no idCol), 3 steps."""
+    v = V.svm_vectors(spark, sf).withColumnRenamed("y", "label").select("label", "features")
+    model = SV.LinearSvc(maxIter=SVM_STEPS).fit(v)
+    return model.weights(spark).select("k", r6(F.col("w")).alias("w"))
+
+
+@query("svc_model_roundtrip")
+def svc_model_roundtrip(spark, sf):
+    """A fitted model saved, loaded and applied: predictions of the loaded one."""
+    model, v = _svc(spark, sf, globalBatchSize=SVC_FULL_BATCH, reg=0.01, elasticNet=0.0)
+    path = scratch_path(spark, "svc-model")
+    model.write().overwrite().save(path)
+    return SV.LinearSvcModel.load(path).transform(v).select("id", "prediction", "label")
+
+
 @query("svc_weights")
 def svc_weights(spark, sf):
     """Weighted full-batch steps, L2 penalty (lr 0.1, reg 0.01)."""
@@ -612,9 +676,7 @@ def svm_predict(spark, sf):
 def svm_accuracy(spark, sf):
     """Test accuracy after 3 steps, with the train and test counts."""
     train, test = _svm_test_split(spark, sf)
-    w = SV.sgd_svm(train, SVM_STEPS)
+    w, n_train = SV.sgd_svm_counted(train, SVM_STEPS)
     acc = SV.accuracy(SV.predict(test, w))
-    n_train = train.count()
     return acc.select(r6(F.col("accuracy")).alias("accuracy"),
-                      F.lit(n_train).cast("bigint").alias("n_train"),
-                      F.lit(test.count()).cast("bigint").alias("n_test"))
+                      F.lit(n_train).cast("bigint").alias("n_train"), F.col("n").alias("n_test"))

@@ -6,6 +6,16 @@ and every limit has a total order, so both engines give identical rows.
 
 from __future__ import annotations
 
+from tessera.operators.split import HASH_SPACE, hash_cut
+
+TRAIN_CUT = hash_cut(0.8)
+
+
+def md5_hash(text: str) -> str:
+    """60 bits of the text's md5, as ``split.text_hash``."""
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
 # ------------------------------------------------------------------ views (CTEs)
 
 RAT = """rat AS (
@@ -24,13 +34,11 @@ ratline AS (
                          CAST(rating AS VARCHAR)) AS short_line
         FROM rat))"""
 
-SPLIT = RAT + """,
+SPLIT = RAT + f""",
 rat_b AS (
-  SELECT *, ('0x' || substr(md5(concat_ws('::', CAST("user" AS VARCHAR), CAST(item AS VARCHAR))), 1, 8))::BIGINT
-            % 1000000 AS bucket
-  FROM rat),
-train AS (SELECT "user", item, rating, ts FROM rat_b WHERE bucket < 800000),
-test AS (SELECT "user", item, rating, ts FROM rat_b WHERE bucket >= 800000)"""
+  SELECT *, {md5_hash("""concat_ws('::', CAST("user" AS VARCHAR), CAST(item AS VARCHAR))""")} AS h FROM rat),
+train AS (SELECT "user", item, rating, ts FROM rat_b WHERE h < {TRAIN_CUT}),
+test AS (SELECT "user", item, rating, ts FROM rat_b WHERE h >= {TRAIN_CUT})"""
 
 FAC = SPLIT + """,
 emb_n AS (SELECT count(*) AS n FROM embeddings),
@@ -162,15 +170,14 @@ SELECT CAST(rank AS INTEGER) AS rank, feat, {R('score')} AS score FROM sel"""
 
 # ------------------------------------------------------------------ SVM chains
 
-SVML = """svml_all AS (
+SVML = f"""svml_all AS (
   SELECT vec_id AS id, CAST(CAST(label < 5 AS INTEGER) AS DOUBLE) AS y,
          list_transform(embedding, lambda v: CAST(CAST(round(CAST(v AS DOUBLE) * 1000.0::DOUBLE) AS INTEGER)
                                                    AS DOUBLE)) AS features
   FROM embeddings),
-svml_b AS (SELECT *, ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % 1000000 AS bucket
-           FROM svml_all),
-svm_train AS (SELECT id, y, 1.0::DOUBLE AS wt, features FROM svml_b WHERE bucket < 800000),
-svm_test AS (SELECT id, y, features FROM svml_b WHERE bucket >= 800000)"""
+svml_b AS (SELECT *, {md5_hash("CAST(id AS VARCHAR)")} AS h FROM svml_all),
+svm_train AS (SELECT id, y, 1.0::DOUBLE AS wt, features FROM svml_b WHERE h < {TRAIN_CUT}),
+svm_test AS (SELECT id, y, features FROM svml_b WHERE h >= {TRAIN_CUT})"""
 
 SVMV_UNWEIGHTED = SVMV + """,
 svm_train AS (SELECT id, y, 1.0::DOUBLE AS wt, features FROM svmv)"""
@@ -179,23 +186,36 @@ SVMV_WEIGHTED = SVMV + """,
 svm_train AS (SELECT id, y, wt, features FROM svmv)"""
 
 
+KEY_HASH = md5_hash("CAST(id AS VARCHAR)")
+
+
+def _micro(c: str) -> str:
+    return f"CAST(CAST(round({c} * 1000000.0::DOUBLE) AS BIGINT) AS VARCHAR)"
+
+
+#: Of a row without a key: label, weight and features in millionths.
+ROW_HASH = md5_hash(f"concat_ws('::', {_micro('y')}, {_micro('wt')}, "
+                    f"array_to_string(list_transform(features, lambda v: {_micro('v')}), '::'))")
+
+
 def sgd_chain(steps: int, rule: str, step: float = 1.0, reg: float = 0.01, tol: float = 0.001,
-              lr: float = 0.1, alpha: float = 0.0, fraction: float = 1.0) -> str:
+              lr: float = 0.1, alpha: float = 0.0, fraction: str | None = None, row_hash: str = KEY_HASH) -> str:
     """CTEs xk, w0..w{steps} over ``svm_train(id, y, wt, features)``.
 
     rule 'sgd': w <- w (1 - st reg) - st g/n, st = step/sqrt(i), stop when
     ||dw|| < tol max(||w||, 1).  rule 'svc': w <- soft(w (1 - lr reg (1-a)) - lr g/wsum,
     lr reg a), stop when the mean weighted loss changes by less than tol.
+    ``fraction`` (SQL text): step i takes the i-th interval of that share of the row hashes.
     """
-    parts = ["""xk AS (SELECT id, y, wt, generate_subscripts(features, 1) - 1 AS k, unnest(features) AS x
-        FROM svm_train)""",
+    parts = [f"""xk AS (SELECT id, y, wt, h, generate_subscripts(features, 1) - 1 AS k, unnest(features) AS x
+        FROM (SELECT *, {row_hash} AS h FROM svm_train))""",
              """w0 AS (SELECT DISTINCT k, 0.0::DOUBLE AS w, false AS done, NULL::DOUBLE AS loss FROM xk)"""]
-    cut = int(round(fraction * 1_000_000))
+    if fraction:
+        parts.append(f"width AS (SELECT CAST(floor(({fraction}) * {float(HASH_SPACE)!r}::DOUBLE) AS HUGEINT) AS n)")
     for i in range(1, steps + 1):
         p = f"w{i - 1}"
-        batch = "" if fraction >= 1.0 else (
-            f" WHERE ('0x' || substr(md5(concat_ws('::', CAST(xk.id AS VARCHAR), '{i}')), 1, 8))::BIGINT"
-            f" % 1000000 < {cut}")
+        batch = "" if not fraction else (
+            f" WHERE (xk.h - ({i - 1} * (SELECT n FROM width)) % {HASH_SPACE} + {HASH_SPACE}) % {HASH_SPACE} < (SELECT n FROM width)")
         parts.append(f"""b{i} AS (SELECT xk.* FROM xk{batch})""")
         parts.append(f"""m{i} AS (SELECT b.id, any_value(b.y) AS y, any_value(b.wt) AS wt,
                 sum(b.x * w.w) AS margin

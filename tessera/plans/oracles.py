@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from tessera.plans import catalog as Q
 from tessera.operators.criteria import CRITERIA
-from tessera.plans.oracle_sql import (EMB, FAC, LIN, RAT, RATLINE, REL_CELLS, SPA, SPLIT, SVML,
-                                      SVMV, SVMV_UNWEIGHTED, SVMV_WEIGHTED, R, cells_given,
-                                      greedy_ctes, info_select, selected_union, selection_sql,
-                                      sgd_chain)
+from tessera.plans.oracle_sql import (EMB, FAC, LIN, RAT, RATLINE, REL_CELLS, ROW_HASH, SPA, SPLIT,
+                                      SVML, SVMV, SVMV_UNWEIGHTED, SVMV_WEIGHTED, TRAIN_CUT, R,
+                                      cells_given, greedy_ctes, info_select, selected_union,
+                                      selection_sql, sgd_chain)
 
 ORACLES: dict[str, str] = {}
 
@@ -153,11 +153,14 @@ ORACLES["dimension_check"] = """SELECT CAST(min(len(embedding)) AS INTEGER) AS m
 ORACLES["split_train"] = f"WITH {SPLIT}\nSELECT * FROM train"
 ORACLES["split_test"] = f"WITH {SPLIT}\nSELECT * FROM test"
 ORACLES["split_counts"] = f"""WITH {SPLIT}
-SELECT CAST(count(*) FILTER (WHERE bucket < 800000) AS BIGINT) AS n_train,
-       CAST(count(*) FILTER (WHERE bucket >= 800000) AS BIGINT) AS n_test FROM rat_b"""
+SELECT CAST(count(*) FILTER (WHERE h < {TRAIN_CUT}) AS BIGINT) AS n_train,
+       CAST(count(*) FILTER (WHERE h >= {TRAIN_CUT}) AS BIGINT) AS n_test FROM rat_b"""
 
 ORACLES["row_ids"] = f"""WITH {RAT}
-SELECT "user", item, CAST(row_number() OVER (ORDER BY "user", item) - 1 AS BIGINT) AS rid FROM rat"""
+SELECT *, CAST(row_number() OVER (ORDER BY "user", item) - 1 AS BIGINT) AS rid FROM rat"""
+
+ORACLES["row_ids_orders"] = """
+SELECT *, CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS rid FROM orders"""
 
 ORACLES["subset_ids"] = f"""WITH {RAT}
 SELECT * FROM (SELECT 'user' AS kind, CAST("user" AS BIGINT) AS id
@@ -225,7 +228,7 @@ ORACLES["svm_sgd_weights"] = f"""WITH {SVMV_UNWEIGHTED},
 SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
 
 ORACLES["svm_sgd_minibatch"] = f"""WITH {SVMV_UNWEIGHTED},
-{sgd_chain(Q.SVM_STEPS, 'sgd', fraction=0.5)}
+{sgd_chain(Q.SVM_STEPS, 'sgd', fraction='0.5::DOUBLE')}
 SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
 
 ORACLES["hinge_gradient"] = f"""WITH {SVMV_UNWEIGHTED},
@@ -247,9 +250,16 @@ ORACLES["svc_elastic_net"] = f"""WITH {SVMV_WEIGHTED},
 SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
 
 ORACLES["svc_minibatch"] = f"""WITH {SVMV_WEIGHTED},
-{sgd_chain(Q.SVM_STEPS, 'svc', lr=0.1, reg=0.01, alpha=0.0, tol=1e-6, fraction=Q.SVC_BATCH / 500)}
+{sgd_chain(Q.SVM_STEPS, 'svc', lr=0.1, reg=0.01, alpha=0.0, tol=1e-6, fraction=f'{Q.SVC_BATCH}::DOUBLE / (SELECT count(*) FROM svm_train)')}
+SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
+
+ORACLES["svc_default_params"] = f"""WITH {SVMV_UNWEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'svc', lr=0.1, reg=0.0, alpha=0.0, tol=1e-6, row_hash=ROW_HASH,
+           fraction='32::DOUBLE / (SELECT count(*) FROM svm_train)')}
 SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS}"""
 
+ORACLES["svc_model_roundtrip"] = ORACLES["svc_predict"]
+
 _SVM_PRED = f"""WITH {SVML},
 {sgd_chain(Q.SVM_STEPS, 'sgd')},
 tk AS (SELECT id, y, generate_subscripts(features, 1) - 1 AS k, unnest(features) AS x FROM svm_test),
@@ -264,3 +274,46 @@ SELECT {R('avg(CAST(CAST(prediction AS INTEGER) = CAST(label AS INTEGER) AS DOUB
        (SELECT CAST(count(*) AS BIGINT) FROM svm_train) AS n_train,
        (SELECT CAST(count(*) AS BIGINT) FROM svm_test) AS n_test
 FROM pred"""
+
+# ------------------------------- facts of trained models that hold for every random start
+
+ORACLES["als_fit"] = f"""WITH {SPLIT}
+SELECT 'user' AS kind, "user" AS id, true AS ok FROM (SELECT DISTINCT "user" FROM train)
+UNION ALL SELECT 'item', item, true FROM (SELECT DISTINCT item FROM train)"""
+
+ORACLES["als_predict"] = f"""WITH {SPLIT}
+SELECT "user", item, rating, true AS ok FROM test
+WHERE "user" IN (SELECT "user" FROM train) AND item IN (SELECT item FROM train)"""
+
+ORACLES["als_predict_flink_setting"] = ORACLES["als_predict"]
+
+
+def _lists(side: str, other: str, first: str = "", descending: str = "true AS descending, ") -> str:
+    return f"""WITH {SPLIT},
+ids AS (SELECT DISTINCT {side} AS id FROM train {first}),
+n AS (SELECT least({Q.TOP_K}, count(DISTINCT {other})) AS n FROM train)
+SELECT id, CAST(n AS BIGINT) AS n, CAST(n AS BIGINT) AS n_distinct, {descending}true AS exact FROM ids, n"""
+
+
+ORACLES["als_recs_users"] = _lists('"user"', "item")
+ORACLES["als_recs_items"] = _lists("item", '"user"')
+ORACLES["als_recs_users_native"] = _lists('"user"', "item", descending="")
+ORACLES["als_recs_user_subset"] = _lists('"user"', "item", f"ORDER BY 1 LIMIT {Q.SUBSET_N}")
+ORACLES["als_recs_item_subset"] = _lists("item", '"user"', f"ORDER BY 1 LIMIT {Q.SUBSET_N}")
+
+# --------------------------------------------------------------- strict readers, faults
+
+ORACLES["ratings_parse_strict"] = f"""WITH {RAT}
+SELECT "user", item, rating, ts FROM rat"""
+
+ORACLES["labeled_parse_strict"] = f"""WITH {SVML}
+SELECT id, y AS label, CAST(len(features) AS INTEGER) AS n_features FROM svml_all"""
+
+ORACLES["vector_violations"] = """
+WITH r AS (SELECT doc_id, CAST(quality AS DOUBLE) AS q, CAST(toxic AS DOUBLE) AS t, n_chars % 200.0 AS c
+           FROM documents LEFT JOIN labels USING (doc_id)),
+v AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN [q, t] ELSE [q, t, CAST(c AS DOUBLE)] END AS x FROM r),
+f AS (SELECT doc_id, CASE WHEN x IS NULL THEN 'null vector' WHEN len(list_filter(x, lambda e: e IS NULL)) > 0 THEN 'null element'
+                          WHEN len(x) <> (SELECT len(x) FROM v WHERE x IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) THEN 'length'
+                          WHEN len(list_filter(x, lambda e: e < -128 OR e > 127 OR e % 1 <> 0)) > 0 THEN 'not a byte' END AS fault FROM v)
+SELECT doc_id, fault FROM f WHERE fault IS NOT NULL"""

@@ -60,6 +60,12 @@ def rating_csv_lines(spark: SparkSession, sf: str) -> DataFrame:
                                        for c in ("user", "item", "rating", "ts")]).alias("value"))
 
 
+def clean_rating_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """RATLINE without bad lines."""
+    return ratings(spark, sf).select(F.concat_ws("::", *[F.col(c).cast("string")
+                                                       for c in ("user", "item", "rating", "ts")]).alias("value"))
+
+
 def byte_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """EMB: (id bigint, y tinyint 0..2, x array<tinyint> of 64 bins 0..7)."""
     e = table(spark, sf, "embeddings")

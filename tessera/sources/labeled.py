@@ -29,22 +29,23 @@ def _parsed(df: DataFrame, value: str = "value") -> DataFrame:
         F.when(matched, feats).alias("features"))
 
 
+def _good():
+    return (F.col("label").isNotNull() & F.col("features").isNotNull()
+            & ~F.exists("features", lambda x: x.isNull()))
+
+
 def split_labeled_lines(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(good rows (label double, tag string, features array<double>), bad lines)."""
     p = _parsed(df, value)
-    ok = (F.col("label").isNotNull() & F.col("features").isNotNull()
-          & ~F.exists("features", lambda x: x.isNull()))
+    ok = F.coalesce(_good(), F.lit(False))
     return p.filter(ok).select("label", "tag", "features"), p.filter(~ok).select("line")
 
 
 def parse_labeled_lines(df: DataFrame, value: str = "value") -> DataFrame:
-    """Strict: a bad line fails the job."""
+    """Strict: a bad line fails the job, whatever columns are read (the check filters rows)."""
     p = _parsed(df, value)
-    ok = (F.col("label").isNotNull() & F.col("features").isNotNull()
-          & ~F.exists("features", lambda x: x.isNull()))
-    guard = F.when(~ok, F.raise_error(F.concat(F.lit("bad labeled line: "), F.col("line"))))
-    return p.select(F.coalesce(guard.cast("double"), F.col("label")).alias("label"), "tag",
-                    "features")
+    fail = F.raise_error(F.concat(F.lit("not a labeled line: "), F.coalesce("line", F.lit("null")))).cast("boolean")
+    return p.filter(F.when(_good(), F.lit(True)).otherwise(fail)).select("label", "tag", "features")
 
 
 def read_labeled_text(spark: SparkSession, path: str, strict: bool = True):

@@ -32,13 +32,40 @@ def test_measures_need_two_exchanges(spark):
     assert "partial_count" in p
 
 
-def test_topk_broadcast_path_does_not_shuffle_users(spark):
-    rng = np.random.default_rng(1)
-    f = lambda ids, m: spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in zip(ids, m)],
-                                             "id int, features array<double>")
-    p = plan_of(RC.top_k(f(range(50), rng.normal(size=(50, 3))), f(range(40), rng.normal(size=(40, 3))), 5))
-    assert "MapInPandas" in p and "FlatMapCoGroupsInPandas" not in p
-    assert "Exchange" not in p and "Window" not in p
+def _factors(spark, ids, seed=1, rank=3):
+    rng = np.random.default_rng(seed)
+    return spark.createDataFrame([(int(i), [float(v) for v in rng.normal(size=rank)]) for i in ids], "id int, features array<double>")
+
+
+def test_topk_small_right_side_is_spread_and_needs_no_merge(spark):
+    got = RC.top_k(_factors(spark, range(50)), _factors(spark, range(40)), 5)
+    p = plan_of(got)
+    assert "MapInPandas" in p and "FlatMapCoGroupsInPandas" not in p and "Window" not in p
+    assert p.count("Exchange") == 1                       # the left rows, dealt to the tasks
+    assert got.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_topk_few_left_ids_never_collect_the_big_side(spark):
+    left, right = _factors(spark, range(3)), _factors(spark, range(500), 2)
+    got = RC.top_k(left, right, 5)
+    p = plan_of(got)
+    assert "MapInPandas" in p and "Window" in p            # k best per partition, merged
+    blocked = RC.top_k(left, right, 5, max_broadcast_bytes=0)
+    key = lambda r: (r.id, r.rank, r.other, r.score)
+    assert sorted(map(key, got.collect())) == sorted(map(key, blocked.collect()))
+
+
+def test_marginals_need_three_sorts(spark):
+    cells = I.dense_cells_many(V.byte_matrix(spark, SF_SMALL), [3, 5])
+    p = plan_of(I.information(cells, keys=("j", "k")))
+    assert p.count("Window [") == 7 and p.count("Sort [") == 3
+
+
+def test_sparse_rounds_join_once(spark):
+    e = spark.createDataFrame([(i, 0, i % 4, 1) for i in range(40)], "id long, y tinyint, k int, v tinyint")
+    rows = e.selectExpr("id", "y").distinct()
+    p = plan_of(I.sparse_cells_many(I.partition_entries(e), rows, 4, [0, 1, 2]))
+    assert p.count("Join") == 1
 
 
 def test_svm_iteration_is_one_partial_aggregate(spark):

@@ -181,12 +181,11 @@ def test_vector_column_sparse_and_dense_paths(spark, source, monkeypatch):
                           "features", "label")
     assert ve.n_features == X.shape[1] and ve.density < 1.0
     assert ve.entries.count() == int((X[:5] != 0).sum())
-    ve.release()
 
 
 def test_transform_before_fit_fails(spark):
     df = spark.createDataFrame([([1, 2],)], "x array<int>")
-    with pytest.raises(RuntimeError, match="not been fitted"):
+    with pytest.raises(RuntimeError, match="before fit"):
         S.FeatureSelectorModel().setFeaturesCol("x").transform(df)
 
 
@@ -210,3 +209,46 @@ def test_model_report(spark):
     model = S.FeatureSelectorModel([1, 4], [4, 1], [0.5, 0.25])
     rows = model.report(spark).collect()
     assert [(r.feature, r.score) for r in rows] == [(5, "0.5000"), (2, "0.2500")]
+
+
+def _refused(spark, rows, schema="features array<double>, label double"):
+    df = spark.createDataFrame(rows, schema)
+    with pytest.raises(ValueError) as e:
+        S.FeatureSelector(numTopFeatures=1).fit(df)
+    return str(e.value)
+
+
+def test_one_rule_for_arrays_and_vectors(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType())])
+    sparse = [(Vectors.sparse(8, {0: 1.0}), 1.0)] * 20
+    dense = [([1.0] + [0.0] * 7, 1.0)] * 20
+    assert "null vector" in _refused(spark, sparse + [(None, 0.0)], schema)
+    assert "null vector" in _refused(spark, dense + [(None, 0.0)])
+    assert "dimension" in _refused(spark, sparse + [(Vectors.sparse(5, {0: 1.0}), 0.0)], schema)
+    assert "dimension" in _refused(spark, dense + [([1.0], 0.0)])
+    assert "not a byte" in _refused(spark, sparse + [(Vectors.sparse(8, {0: 0.5}), 0.0)], schema)
+    assert "not a byte" in _refused(spark, dense + [([0.5] * 8, 0.0)])
+    assert "null element" in _refused(spark, dense + [([None] * 8, 0.0)])
+    assert "label" in _refused(spark, dense + [([1.0] * 8, None)])
+
+
+@pytest.mark.parametrize("entry", [(1, 0.0, 0, 0), (1, 0.0, 0, None), (1, 0.0, 9, 1), (0, 1.0, 0, 1), (1, 0.0, 0, 300)])
+def test_sparse_entries_keep_their_contract(spark, entry):
+    rows = [(0, 1.0, 0, 1), (0, 1.0, 1, 1)]
+    e = spark.createDataFrame(rows + [entry], "id long, y double, k int, v int")
+    with pytest.raises(ValueError, match="refused"):
+        S.SparseFeatures(e, e.select("id", "y").distinct(), 2)
+
+
+def test_output_column_must_be_new_and_gets_nominal_attributes(spark):
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame([(Vectors.dense([1.0, 0.0, 2.0]), 1.0), (Vectors.dense([0.0, 1.0, 1.0]), 0.0)], ["features", "label"])
+    with pytest.raises(ValueError, match="label"):
+        S.FeatureSelector(outputCol="label").fit(df)
+    model = S.FeatureSelectorModel([0, 2])
+    with pytest.raises(ValueError, match="features"):
+        model.copy({model.outputCol: "features"}).transform(df)
+    meta = model.transform(df).schema["selectedFeatures"].metadata["ml_attr"]
+    assert [a["type"] for a in meta["attrs"]["nominal"]] == ["nominal"] * 2

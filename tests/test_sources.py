@@ -61,14 +61,42 @@ def test_labeled_lines(spark):
     viol = K.label_violations(good, "label").collect()
     assert [r.label for r in viol] == [2.0]
     with pytest.raises(ValueError):
-        K.require_binary_labels(good, "label")
+        K.require_training_table(good)
+
+
+@pytest.mark.parametrize("bad", ["1::2::3", "1::2::3::4::5", "x::2::3::4", None])
+def test_strict_ratings_fail_whatever_is_read(spark, bad):
+    df = RS.parse_rating_lines(lines(spark, ["1::2::3.5::978300760", bad]))
+    for read in (df.count, df.select("item").collect, df.select("user", "ts").collect, df.collect):
+        with pytest.raises(Exception, match="rating line"):
+            read()
+
+
+def test_strict_labeled_fail_whatever_is_read(spark):
+    df = LB.parse_labeled_lines(lines(spark, ["1,17,0.5 3", "0,b,x 1"]))
+    for read in (df.count, df.select("features").collect, df.select("tag").collect):
+        with pytest.raises(Exception, match="labeled line"):
+            read()
+    assert LB.parse_labeled_lines(lines(spark, ["1,17,0.5 3"])).count() == 1
+
+
+def test_labeled_text_files(spark, tmp_dir):
+    with open(f"{tmp_dir}/train.txt", "w") as f:
+        f.write("1,17,0.5 3\n0,4,1 2\n")
+    assert LB.read_labeled_text(spark, f"{tmp_dir}/train.txt").count() == 2
+    good, bad = LB.read_labeled_text(spark, f"{tmp_dir}/train.txt", strict=False)
+    assert (good.count(), bad.count()) == (2, 0)
 
 
 def test_checks(spark):
     df = spark.createDataFrame([([1.0, 2.0],), ([1.0],)], "features array<double>")
-    with pytest.raises(ValueError):
-        K.require_same_dimension(df)
+    with pytest.raises(ValueError, match="dimension"):
+        K.require_training_table(df.selectExpr("0.0D AS label", "features"))
     row = K.dimensions(df).first()
     assert (row.min_dim, row.max_dim) == (1, 2)
     b = spark.createDataFrame([([1.0, 200.0],), ([1.5],), ([3.0],)], "features array<double>")
     assert K.byte_violations(b).count() == 2
+    n = spark.createDataFrame([([1.0, None],), (None,), ([3.0, 4.0],), ([5.0, 6.0],), ([7.0],)], "features array<double>")
+    assert K.byte_violations(n).count() == 2
+    faults = [r.fault for r in K.vector_violations(n, byte=True).collect()]
+    assert sorted(faults) == ["length", "null element", "null vector"]

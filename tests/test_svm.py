@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tessera.operators import svm as SV
+from tessera.operators.split import key_hash
 
 
 def data(spark, n=120, d=5, seed=4):
@@ -91,8 +92,8 @@ def test_linear_svc_minibatch_and_defaults(spark):
     model = SV.LinearSvc(idCol="id", maxIter=4, globalBatchSize=30).fit(df)   # no weight column
     assert len(model.coefficients) == X.shape[1]
     assert model.getLearningRate() == 0.1 and model.getGlobalBatchSize() == 30
-    with pytest.raises(ValueError):
-        SV.LinearSvc(maxIter=2, globalBatchSize=10).fit(df)       # batch sampling needs idCol
+    plain = SV.LinearSvc(maxIter=2, globalBatchSize=10).fit(df)     # without idCol: by the hash of the row
+    assert any(plain.coefficients)
     assert SV.LinearSvc(maxIter=0, globalBatchSize=10_000).fit(df).coefficients == [0.0] * 5
 
 
@@ -128,3 +129,45 @@ def test_wide_gradient_path_matches_numpy(spark, monkeypatch):
     pred = SV.predict(df, w).orderBy("id").collect()
     assert [r.prediction for r in pred] == list((X @ np.array(w) > 0).astype(float))
     assert set(pred[0].asDict()) == {"id", "label", "wt", "features", "prediction"}
+
+
+def test_tiny_fractions_keep_rows(spark):
+    rows = spark.range(20_000_000).selectExpr("id", "CAST(id % 2 AS DOUBLE) AS label").withColumn("_hash", key_hash(["id"]))
+    n = SV.Batches(rows, 4e-7).interval().count()
+    assert 1 <= n <= 30
+    _, _, _, df = data(spark)
+    assert any(SV.sgd_svm(df, 3, fraction=1e-9, key="id"))           # empty intervals go on to the next row
+    assert any(SV.LinearSvc(maxIter=3, globalBatchSize=1).fit(df).coefficients)
+
+
+def test_batches_walk_round_the_hash_circle(spark):
+    _, _, _, df = data(spark)
+    rows = df.withColumn("_hash", key_hash(["id"])).persist()
+    b, seen = SV.Batches(rows, 0.25), []
+    for _ in range(4):
+        seen += [r.id for r in b.interval().collect()]
+        b.step()
+    assert sorted(seen) == sorted(r.id for r in rows.collect())
+
+
+@pytest.mark.parametrize("limit", [2, 256])
+def test_nulls_and_lengths_at_any_width(spark, monkeypatch, limit):
+    monkeypatch.setattr(SV, "WIDE_LIMIT", limit)
+    bad = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, None), (3, [1.0, None, 3.0]), (4, [1.0])], "id int, features array<double>")
+    got = {r.id: r.prediction for r in SV.predict(bad, [1.0, 0.0, 0.0]).collect()}
+    assert got == {1: 1.0, 2: None, 3: None, 4: None}
+    rows = spark.createDataFrame([(0.0, [1.0, 2.0]), (1.0, None)], "label double, features array<double>")
+    with pytest.raises(ValueError, match="null vector"):
+        SV.sgd_svm(rows, 2)
+    rows = spark.createDataFrame([(0.0, [1.0, 2.0]), (1.0, [1.0, None])], "label double, features array<double>")
+    with pytest.raises(ValueError, match="null element"):
+        SV.LinearSvc().fit(rows)
+
+
+def test_svc_model_saved_and_loaded(spark, tmp_dir):
+    _, _, _, df = data(spark)
+    model = SV.LinearSvc(weightCol="wt", maxIter=3, globalBatchSize=10_000, predictionCol="p").fit(df)
+    model.write().overwrite().save(f"{tmp_dir}/model")
+    back = SV.LinearSvcModel.load(f"{tmp_dir}/model")
+    assert back.coefficients == model.coefficients and back.losses == model.losses and back.getPredictionCol() == "p"
+    assert back.transform(df).orderBy("id").collect() == model.transform(df).orderBy("id").collect()
