@@ -140,7 +140,7 @@ def _score(order: int, whole: int):
         place = np.arange(n_words) - np.repeat(w.first, w.count)
         steps = np.minimum(place + 1, order) - used      # contexts dropped
         log += steps * np.log(ALPHA)
-        logprob = np.bincount(w.doc, log, minlength=size)
+        logprob = np.bincount(w.doc, log, minlength=size).astype(np.float64)
         backed = np.bincount(w.doc, steps > 0, minlength=size).astype(np.int64)
         mean = pa.array(logprob / np.maximum(w.count, 1), mask=w.count == 0)
         return pa.table({"id": left.column("id"), "n_words": pa.array(w.count.astype(np.int64)), "n_backoff": pa.array(backed),
