@@ -114,6 +114,14 @@ def svm_vectors(spark: SparkSession, sf: str) -> DataFrame:
                     F.transform("embedding", lambda v: v.cast("double")).alias("features"))
 
 
+def svm_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """(label double 0/1, features array<double> of 5): the numeric columns of every lineitem row, returned or not."""
+    li = table(spark, sf, "lineitem")
+    x = F.array(F.col("l_quantity") / 50, F.col("l_extendedprice") / 100_000, F.col("l_discount") * 10,
+                F.col("l_tax") * 10, F.col("l_linenumber") / 7.0)
+    return li.select((F.col("l_returnflag") == "R").cast("double").alias("label"), x.alias("features"))
+
+
 def svm_lines(spark: SparkSession, sf: str) -> DataFrame:
     """SVMLINE: ``label,id,v1 v2 ... v64`` with v = round(1000 * embedding)."""
     e = table(spark, sf, "embeddings")
