@@ -14,11 +14,16 @@ Work, in order:
 
 1. equal sets become one node (the smallest document id), so exact copies cost one row;
 2. buckets with several nodes are found by an aggregation over keys alone;
-3. stars: every node of a bucket is confirmed against one pivot of it.  That is linear in
-   the bucket and pulls large groups of near copies into few components; it is repeated
-   with other pivots where a bucket still holds several components;
-4. rest: inside the buckets, all pairs of nodes that are still in different components are
-   confirmed, so no link that joins two components is lost to the stars.
+3. stars: every node of a bucket is confirmed against one pivot of it, first the node that
+   shares the most buckets with others, the centre of a group of near copies.  That is linear
+   in the bucket and pulls large groups into few components; it is repeated with another
+   pivot where a bucket still holds several components;
+4. rest: inside the buckets, pairs of nodes that are still in different components are
+   confirmed, so no link that joins two components is lost to the stars.  The first star has
+   counted what each node has in common with the pivot and marked the rest in a bitmap; from
+   these follows a bound on what two nodes can have in common, and pairs below it (most
+   pairs of altered copies that are not similar enough) are left out.  The bound is exact:
+   it never leaves out a link.
 
 Only pairs that the exact length bound and a 256-bit sketch of the signature allow are
 confirmed: the join condition compares two bits of each of 128 coordinates and passes a
@@ -48,6 +53,7 @@ from tessera.session import scratch_path
 COORDINATES = 128
 MISS = 1e-6
 STAR_ROUNDS = 2
+MARKS = 16
 _SKETCH_SIGMAS = 5.6
 
 
@@ -149,23 +155,35 @@ def _near(percent: int) -> str:
     return (f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) AND {differ} <= {sketch_bound(percent)}")
 
 
+def _bound(percent: int) -> str:
+    """What sides a, b can have in common is enough for a link: of the pivot's elements the smaller count, of the others
+    no more than the common bits of their bitmaps and the elements that share a bit inside one side."""
+    common = " + ".join(f"bit_count(a.m{i} & b.m{i})" for i in range(MARKS))
+    other = f"least({common} + least(a.n - a.c - a.bits, b.n - b.c - b.bits), a.n - a.c, b.n - b.c)"
+    return f"(a.c IS NULL OR b.c IS NULL OR {100 + percent} * (least(a.c, b.c) + {other}) >= {percent} * (a.n + b.n))"
+
+
 def _confirm(n: int, percent: int):
+    """Exact overlap c of the sets of text_a and text_b, whether they are linked, and the marks of b's elements that a lacks."""
     def run(batches):
         for part in T.chunks(batches, "text_a", T.CHUNK_BYTES // 2):
             names = part.schema.names
             size = part.num_rows
-            docs, hashes = [], []
-            for side in ("text_a", "text_b"):
-                d, h = shingle_sets(part.column(names.index(side)), n)
-                docs.append(d), hashes.append(h)
-            count = [np.bincount(d, minlength=size) for d in docs]
-            d, h = np.concatenate(docs), np.concatenate(hashes)
-            order = np.lexsort((h, d))
-            d, h = d[order], h[order]
-            both = np.flatnonzero((d[1:] == d[:-1]) & (h[1:] == h[:-1]))
-            common = np.bincount(d[both], minlength=size)
-            linked = np.flatnonzero((100 * common >= percent * (count[0] + count[1] - common)) & (common > 0))
-            yield part.select(["a", "b"]).take(pa.array(linked))
+            (da, ha), (db, hb) = (shingle_sets(part.column(names.index(side)), n) for side in ("text_a", "text_b"))
+            na, nb = np.bincount(da, minlength=size), np.bincount(db, minlength=size)
+            d, h, side = np.concatenate((da, db)), np.concatenate((ha, hb)), np.repeat([0, 1], (len(da), len(db)))
+            order = np.lexsort((side, h, d))
+            d, h, side = d[order], h[order], side[order]
+            both = (d[1:] == d[:-1]) & (h[1:] == h[:-1])
+            common = np.bincount(d[1:][both], minlength=size)
+            alone = side == 1
+            alone[1:] &= ~both
+            bit = (T.mix64(h[alone]) & np.uint64(64 * MARKS - 1)).astype(np.int64)
+            marks = np.zeros((size, MARKS), np.uint64)
+            np.bitwise_or.at(marks, (d[alone], bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+            linked = (100 * common >= percent * (na + nb - common)) & (common > 0)
+            yield pa.record_batch({"a": part.column(names.index("a")), "b": part.column(names.index("b")), "linked": pa.array(linked),
+                                   "c": pa.array(common.astype(np.int64)), **{f"m{i}": T.signed(marks[:, i].copy()) for i in range(MARKS)}})
     return run
 
 
@@ -183,13 +201,13 @@ class _Tables:
 
 
 def confirm_pairs(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked, by the full sets of their texts."""
+    """The pairs (a, b) with `linked`, by the full sets of their texts, and what `_confirm` counts."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     used = texts.join(ids, "id", "left_semi")
     side = lambda c: used.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
     kind = texts.schema["id"].dataType.simpleString()
     return (pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-            .mapInArrow(_confirm(n, percent), f"a {kind}, b {kind}"))
+            .mapInArrow(_confirm(n, percent), f"a {kind}, b {kind}, linked boolean, c long, " + ", ".join(f"m{i} long" for i in range(MARKS))))
 
 
 def components(tables: _Tables, edges: DataFrame) -> DataFrame:
@@ -229,13 +247,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key")
     in_buckets = tables.put(keyed.join(shared, "key"))                  # buckets of several nodes only
     some = tables.put(in_buckets.select("id").distinct())
-    places = tables.put(in_buckets.join(nodes.select("id", *_PLACES), "id"))
+    weight = in_buckets.join(in_buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key").groupBy("id").agg(F.sum("size").alias("weight"))
+    places = tables.put(in_buckets.join(nodes.select("id", *_PLACES).join(weight, "id"), "id"))
     repeats = bool(real.groupBy("id").count().where("count > 1").limit(1).count())
     node_texts = where_marked(texts, F.col("id"), some).join(some, "id", "left_semi")
     node_texts = tables.put(node_texts.dropDuplicates() if repeats else node_texts)
     near = F.expr(_near(percent))
 
-    checked, edges, comps = None, None, None
+    checked = edges = comps = None
 
     def labelled() -> DataFrame:
         if comps is None:
@@ -244,25 +263,37 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     for turn in range(STAR_ROUNDS + 1):
         at = labelled()
-        open_keys = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                          F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("h"), *[F.col(c) for c in ("id", "comp", *_PLACES)])).alias("p")) \
-            .where("lo <> hi")
+        first = F.struct((F.lit(0) if turn else -F.col("weight")).alias("w"), F.xxhash64(F.lit(turn), "id").alias("h"),
+                         *[F.col(c) for c in ("id", "comp", *_PLACES)])
+        open_keys = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(first).alias("p")).where("lo <> hi")
         if turn < STAR_ROUNDS:
-            pivots = open_keys.select("key", "p.*").drop("h")
+            pivots = open_keys.select("key", "p.*").drop("w", "h")
+            if not turn:
+                pivots = centres = tables.put(pivots)
             pairs = at.alias("b").join(pivots.alias("a"), "key").where("a.comp <> b.comp").where(near)
         else:
-            rest = tables.put(at.join(open_keys.select("key"), "key"))
-            pairs = rest.alias("b").join(rest.alias("a"), F.expr("a.key = b.key AND a.comp < b.comp AND a.id <> b.id") & near)
-        pairs = pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+            # The bucket's first pivot and what each node has in common with it; the pivot has all.
+            marks = [f"m{i}" for i in range(MARKS)]
+            known = overlaps.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "c", *marks)
+            rest = at.join(open_keys.select("key"), "key").join(centres.select("key", F.col("id").alias("pivot")), "key").join(known, ["pivot", "id"], "left")
+            own = F.col("id") == F.col("pivot")
+            rest = tables.put(rest.select("key", "id", "comp", *_PLACES, F.when(own, F.col("n")).otherwise(F.col("c")).alias("c"),
+                                          *[F.when(own, F.lit(0)).otherwise(F.col(m)).alias(m) for m in marks])
+                              .withColumn("bits", sum([F.bit_count(m) for m in marks], F.lit(0))))
+            pairs = rest.alias("b").join(rest.alias("a"), F.expr("a.key = b.key AND a.comp < b.comp AND a.id <> b.id") & near & F.expr(_bound(percent)))
+        pairs = pairs.select("a.id", "b.id").toDF("a", "b").distinct()
         if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+            pairs = pairs.join(checked, ["a", "b"], "left_anti").join(checked.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         pairs = tables.put(pairs)
         found = tables.put(confirm_pairs(pairs, node_texts, shingle, percent))
+        if not turn:
+            overlaps = found
+        linked = found.where("linked").select("a", "b")
         checked = pairs if checked is None else checked.union(pairs)
-        edges = found if edges is None else edges.union(found)
+        edges = linked if edges is None else edges.union(linked)
         comps = components(tables, edges)
 
-    links = edges.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
+    links = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
     # From sets to documents; repeated ids with different texts join their components once more.
     labels = nodes.select("set1", "set2", "n", "id").join(comps, "id", "left").join(links, "id", "left") \
         .select("set1", "set2", "n", F.coalesce("comp", "id").alias("comp"), F.coalesce("links", F.lit(0)).alias("links"))
