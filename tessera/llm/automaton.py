@@ -20,8 +20,8 @@ from re import _parser
 import numpy as np
 
 _CATEGORIES = {
-    C.CATEGORY_DIGIT: set(range(48, 58)), C.CATEGORY_SPACE: {32, *range(9, 14)},
-    C.CATEGORY_WORD: {95, *range(48, 58), *range(65, 91), *range(97, 123)},
+    "CATEGORY_DIGIT": set(range(48, 58)), "CATEGORY_SPACE": {32, *range(9, 14)},
+    "CATEGORY_WORD": {95, *range(48, 58), *range(65, 91), *range(97, 123)},
 }
 
 
@@ -87,8 +87,8 @@ class _Nfa:
                 out.add(v)
             elif kind is C.RANGE:
                 out |= set(range(v[0], v[1] + 1))
-            elif kind is C.CATEGORY and v in _CATEGORIES:
-                out |= _CATEGORIES[v]
+            elif kind is C.CATEGORY and str(v) in _CATEGORIES:
+                out |= _CATEGORIES[str(v)]
             else:
                 raise ValueError(f"not supported in a rule: {kind} {v}")
         return out
