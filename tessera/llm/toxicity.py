@@ -41,6 +41,7 @@ GROUP_ROWS = 3_000
 SMOOTHING = 1.0
 SIGMAS = 4.0
 L2 = 3e-4
+_CHUNK = 1 << 20          # bytes of text whose n-grams are held at a time
 STEPS = 200
 
 _GAPS = np.array([not chr(c).isalnum() for c in range(128)])
@@ -74,7 +75,7 @@ def _counts(batches):
     """Per task: feature, documents that contain it by label; feature -1 counts the documents."""
     size = 1 << DIM_BITS
     total, docs = np.zeros((2, size), np.int64), np.zeros(2, np.int64)
-    for part in T.chunks(batches):
+    for part in T.chunks(batches, limit=_CHUNK):
         y = part.column(0).to_numpy().astype(np.int64)
         row, f = grams(part.column(1))
         total += np.bincount(y[row] * size + f, minlength=2 * size).reshape(2, size)
@@ -89,7 +90,7 @@ def _fit(ratio: np.ndarray):
         used = ratio != 0
         y = frame["y"].to_numpy(float)
         rows, feats, at = [], [], 0
-        for part in T.chunks([pa.record_batch({"text": pa.array(frame["text"], pa.string())})]):
+        for part in T.chunks([pa.record_batch({"text": pa.array(frame["text"], pa.string())})], limit=_CHUNK):
             r, f = grams(part.column(0), used)
             rows.append(r + at), feats.append(f)
             at += part.num_rows
@@ -166,7 +167,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
     scores = _scorer(docs.sparkSession, model)
 
     def run(batches):
-        for part in T.chunks(batches):
+        for part in T.chunks(batches, limit=_CHUNK):
             yield pa.record_batch({"id": part.column(0), "score": pa.array(scores(part.column(1)))})
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -178,7 +179,7 @@ def without_toxic(docs: DataFrame, model: tuple[np.ndarray, float], threshold: f
     scores = _scorer(docs.sparkSession, model)
 
     def run(batches):
-        for part in T.chunks(batches, text_col):
+        for part in T.chunks(batches, text_col, _CHUNK):
             kept = np.flatnonzero(scores(part.column(part.schema.names.index(text_col))) < threshold)
             yield part.take(pa.array(kept))
 
