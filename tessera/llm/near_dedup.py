@@ -54,6 +54,8 @@ COORDINATES = 128
 MISS = 1e-6
 STAR_ROUNDS = 2
 MARKS = 16
+#: Of 128; 96 are expected of unrelated sets.
+FIRST_DIFFERENCES = 64
 _SKETCH_SIGMAS = 5.6
 
 
@@ -149,10 +151,10 @@ def _sign(n: int, rows: int, bands: int):
 _PLACES = ["n", "s0", "s1", "s2", "s3"]
 
 
-def _near(percent: int) -> str:
-    """Length bound and sketch of a pair of sides a, b; true for every pair that may be linked."""
+def _near(percent: int, differences: int) -> str:
+    """Length bound and sketch of a pair of sides a, b, of at most so many differences."""
     differ = " + ".join(f"bit_count(((a.s{i} ^ b.s{i}) | shiftrightunsigned(a.s{i} ^ b.s{i}, 1)) & 6148914691236517205L)" for i in range(4))
-    return (f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) AND {differ} <= {sketch_bound(percent)}")
+    return (f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) AND {differ} <= {differences}")
 
 
 def _bound(percent: int) -> str:
@@ -252,7 +254,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeats = bool(real.groupBy("id").count().where("count > 1").limit(1).count())
     node_texts = where_marked(texts, F.col("id"), some).join(some, "id", "left_semi")
     node_texts = tables.put(node_texts.dropDuplicates() if repeats else node_texts)
-    near = F.expr(_near(percent))
+    near = F.expr(_near(percent, sketch_bound(percent)))
+    # The first star counts overlaps with the centre also where a link is out of question: the bound needs them.
+    around = F.expr(_near(percent, FIRST_DIFFERENCES))
 
     checked = edges = comps = None
 
@@ -270,7 +274,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             pivots = open_keys.select("key", "p.*").drop("w", "h")
             if not turn:
                 pivots = centres = tables.put(pivots)
-            pairs = at.alias("b").join(pivots.alias("a"), "key").where("a.comp <> b.comp").where(near)
+            pairs = at.alias("b").join(pivots.alias("a"), "key").where("a.comp <> b.comp").where(near if turn else around)
         else:
             # The bucket's first pivot and what each node has in common with it; the pivot has all.
             marks = [f"m{i}" for i in range(MARKS)]
