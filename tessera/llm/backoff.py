@@ -13,8 +13,12 @@ columnar blocks instead of one row per n-gram:
 2. every block explodes its n-grams, counts them and sends each hash partition the sorted
    distinct hashes and counts of the n-grams that belong there, as one row of two arrays;
 3. a hash partition sums the counts (its count table) and joins them back to every row it
-   got: one array of totals;
-4. every block joins the totals to its exploded n-grams and sums per document.
+   got: one array of the counts in all other blocks;
+4. every block adds its own counts, joins them to its exploded n-grams and sums per document.
+
+Orders are taken one after the other, so a block holds the arrays of one order at a time.
+Everything travels packed without loss: sorted hashes as their differences in as few bytes as
+the largest needs, counts and texts compressed.
 
 A block needs an n-gram once however often it occurs, so a very common n-gram costs a hash
 partition one entry per block.  The numbers of blocks and of hash partitions grow with the
@@ -36,26 +40,56 @@ from pyspark.sql import functions as F
 
 from tessera.llm import tokens as T
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
 UNSEEN = 0.5
 BLOCK_BYTES = 8 << 20
 _PARTITION_WORDS = 1 << 20
 
 
-class _Grams:
-    """The n-grams of a block: per order the distinct hashes, and for each word the index of the n-gram that ends there."""
+def _words(col: pa.Array) -> T.Words:
+    return T.Words(col, T.word_table(T.ALNUM_SEPARATORS))
+
+
+def _grams(w: T.Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct hashes of the n-grams of a block, their counts, for each word the index of the n-gram that ends there or -1)."""
+    first, h = w.grams(n)
+    distinct, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
+    at = np.full(len(w.hash), -1, np.int64)
+    at[first + n - 1] = inverse
+    return distinct, counts, at
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the largest needs; the first byte is the width."""
+    x = np.ascontiguousarray(x, "<u8")
+    width = max(1, -(-int(x.max()).bit_length() // 8)) if len(x) else 1
+    return bytes([width]) + x.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    body = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, raw[0])
+    out = np.zeros((len(body), 8), np.uint8)
+    out[:, :raw[0]] = body
+    return out.view("<u8").ravel()
+
+
+def _squeezed(raw) -> bytes:
+    """Length, and the compressed bytes."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
-    def __init__(self, col: pa.Array, order: int):
-        w = T.Words(col, T.word_table(T.ALNUM_SEPARATORS))
-        self.words, self.hashes, self.counts, self.at = w, [], [], []
-        for n in range(1, order + 1):
-            first, h = w.grams(n)
-            distinct, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
-            at = np.full(len(w.hash), -1, np.int64)
-            at[first + n - 1] = inverse
-            self.hashes.append(distinct), self.counts.append(counts), self.at.append(at)
-        self.total = len(w.hash)
+
+def _unsqueezed(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _packed_hashes(h: np.ndarray) -> bytes:
+    """Sorted distinct hashes: the first one, then the differences."""
+    return h[:1].astype("<u8").tobytes() + _packed(np.diff(h))
+
+
+def _unpacked_hashes(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.concatenate((np.frombuffer(raw, "<u8", 1), _unpacked(raw[8:]))), dtype=np.uint64)
 
 
 def _parts(h: np.ndarray, parts: int) -> np.ndarray:
@@ -64,8 +98,15 @@ def _parts(h: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(h, edges), [len(h)]))
 
 
+def _squeeze_texts(batches):
+    for part in T.chunks(batches):
+        raw, off = T.column_bytes(part.column(1))
+        texts = [_squeezed(raw[a:b].tobytes()) for a, b in zip(off[:-1], off[1:])]
+        yield pa.record_batch({"id": part.column(0), "text": pa.array(texts, pa.binary()), "block": part.column(2)})
+
+
 def _text(table: pa.Table) -> pa.Array:
-    return table.column("text").combine_chunks()
+    return pa.array([_unsqueezed(x.as_py()) for x in table.column("text")], pa.large_binary())
 
 
 _REQUEST = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("order", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())])
@@ -74,14 +115,14 @@ _REPLY = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("order", pa.in
 
 def _request(order: int, parts: int):
     def run(key, table):
-        g = _Grams(_text(table), order)
+        w = _words(_text(table))
         rows = []
         for n in range(order):
-            cut = _parts(g.hashes[n], parts)
+            grams, counts, _ = _grams(w, n + 1)
+            cut = _parts(grams, parts)
             for p in np.flatnonzero(np.diff(cut)):
                 a, b = cut[p], cut[p + 1]
-                rows.append({"part": int(p), "block": key[0].as_py(), "order": n, "grams": g.hashes[n][a:b].tobytes(),
-                             "counts": g.counts[n][a:b].astype(np.uint32).tobytes()})
+                rows.append({"part": int(p), "block": key[0].as_py(), "order": n, "grams": _packed_hashes(grams[a:b]), "counts": _squeezed(_packed(counts[a:b]))})
         return pa.Table.from_pylist(rows, _REQUEST)
     return run
 
@@ -90,13 +131,14 @@ def _reply(table):
     rows = []
     for n in sorted(set(table.column("order").to_pylist())):
         r = table.filter(pc.equal(table.column("order"), n))
-        grams = [np.frombuffer(x.as_buffer(), np.uint64) for x in r.column("grams")]
-        counts = [np.frombuffer(x.as_buffer(), np.uint32) for x in r.column("counts")]
+        grams = [_unpacked_hashes(x.as_py()) for x in r.column("grams")]
+        counts = [_unpacked(_unsqueezed(x.as_py())) for x in r.column("counts")]
         _, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-        total = np.bincount(inverse, np.concatenate(counts)).astype(np.uint64)[inverse]
+        own = np.concatenate(counts).astype(np.int64)
+        others = np.bincount(inverse, own).astype(np.int64)[inverse] - own
         ends = np.cumsum([len(x) for x in grams])
         for block, part, a, b in zip(r.column("block").to_pylist(), r.column("part").to_pylist(), ends - [len(x) for x in grams], ends):
-            rows.append({"block": block, "part": part, "order": n, "counts": total[a:b].tobytes()})
+            rows.append({"block": block, "part": part, "order": n, "counts": _squeezed(_packed(others[a:b]))})
     return pa.Table.from_pylist(rows, _REPLY)
 
 
@@ -114,18 +156,19 @@ def _own(doc: np.ndarray, gram: np.ndarray) -> np.ndarray:
 
 def _score(order: int, whole: int):
     def run(left, right):
-        g = _Grams(_text(left), order)
-        w = g.words
+        w = _words(_text(left))
         size, n_words = left.num_rows, len(w.hash)
-        totals: list[list] = [[] for _ in range(order)]
+        others: list[list] = [[] for _ in range(order)]
         for r in sorted(right.to_pylist(), key=lambda r: (r["order"], r["part"])):
-            totals[r["order"]].append(np.frombuffer(r["counts"], np.uint64).astype(np.int64))
+            others[r["order"]].append(r["counts"])
         elsewhere = []                                   # of the n-gram that ends at each word, without its own document
         for n in range(order):
-            total = np.concatenate(totals[n]) if totals[n] else np.empty(0, np.int64)
-            have = np.flatnonzero(g.at[n] >= 0)
+            _, total, at = _grams(w, n + 1)
+            if len(total):
+                total = total + np.concatenate([_unpacked(_unsqueezed(x)) for x in others[n]]).astype(np.int64)
+            have = np.flatnonzero(at >= 0)
             c = np.full(n_words, -1, np.int64)
-            c[have] = total[g.at[n][have]] - _own(w.doc[have], g.at[n][have])
+            c[have] = total[at[have]] - _own(w.doc[have], at[have])
             elsewhere.append(c)
         rest = np.maximum(whole - np.repeat(w.count, w.count), 1)
         log = np.full(n_words, np.nan)
@@ -169,7 +212,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = docs.schema[id_col].dataType.simpleString()
     # The partition's number deals rows that are equal in everything to several blocks.
     dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.spark_partition_id()), F.lit(blocks)).cast("int").alias("block"))
+                        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.spark_partition_id()), F.lit(blocks)).cast("int").alias("block")) \
+        .mapInArrow(_squeeze_texts, f"id {kind}, text binary, block int")
     asked = dealt.groupBy("block").applyInArrow(_request(order, parts), "part int, block int, `order` int, grams binary, counts binary")
     answered = asked.groupBy("part").applyInArrow(_reply, "block int, part int, `order` int, counts binary")
     return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(
@@ -177,5 +221,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op4_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bigrams, every document against all others."""
+    """Trigrams backing off to bigrams and words, every document against all others."""
     return score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumnRenamed("id", "doc_id")

@@ -83,26 +83,25 @@ def targets(sizes: dict, weights=(5, 2, 1), share=1.5, cap=2) -> dict:
     return out
 
 
-def backoff(texts: list, alpha: float = 0.4, unseen: float = 0.5) -> list[tuple]:
-    """(words, backed off, log-probability) of each text under all others; bigrams."""
+def backoff(texts: list, alpha: float = 0.4, unseen: float = 0.5, order: int = 3) -> list[tuple]:
+    """(words, backed off, log-probability) of each text under all others; n-grams up to that order."""
     docs = [alnum_words(t) for t in texts]
-    one, two, total = Counter(), Counter(), 0
+    grams = lambda w: Counter(tuple(w[k:k + n]) for n in range(1, order + 1) for k in range(len(w) - n + 1))
+    all_, total = Counter(), 0
     for w in docs:
-        one.update(w)
-        two.update(zip(w, w[1:]))
+        all_.update(grams(w))
         total += len(w)
     out = []
     for w in docs:
-        u, v, lp, backed = Counter(w), Counter(zip(w, w[1:])), 0.0, 0
+        own, lp, backed = grams(w), 0.0, 0
+        c = lambda g: all_[g] - own[g]
         for k, x in enumerate(w):
-            if k and two[w[k - 1], x] > v[w[k - 1], x]:
-                lp += math.log((two[w[k - 1], x] - v[w[k - 1], x]) / (one[w[k - 1]] - u[w[k - 1]]))
-                continue
-            if k:
+            context = tuple(w[max(0, k - order + 1):k])
+            backed += bool(context) and not c((*context, x))
+            while context and not c((*context, x)):
                 lp += math.log(alpha)
-                backed += 1
-            c = one[x] - u[x]
-            lp += math.log((c if c else unseen) / max(total - len(w), 1))
+                context = context[1:]
+            lp += math.log(c((*context, x)) / c(context)) if context else math.log((c((x,)) or unseen) / max(total - len(w), 1))
         out.append((len(w), backed, lp))
     return out
 

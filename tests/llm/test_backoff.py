@@ -1,5 +1,6 @@
 """Backoff scores against plain counting."""
 
+import numpy as np
 import pytest
 
 from tessera.llm import backoff as B
@@ -30,6 +31,34 @@ def test_trigrams_use_the_longest_context(spark):
     assert rows[1].n_backoff < 4 and rows[1].logprob > B.score_documents(df, order=2).where("id = 1").first().logprob - 10
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_orders_against_plain(spark, monkeypatch, order):
+    monkeypatch.setattr(B, "BLOCK_BYTES", 40)
+    monkeypatch.setattr(B, "_PARTITION_WORDS", 1 << 10)
+    texts = TEXTS + ["a b c d e", "q b c d f", "a b c e d"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = B.score_documents(df, order=order).collect()
+    want = plain.backoff(texts, order=order)
+    assert [(r.n_words, r.n_backoff, round(r.logprob, 5)) for r in sorted(rows)] == [(n, b, round(lp, 5)) for n, b, lp in want]
+
+
+def test_query_tells_spliced_from_fluent_text(spark, tmp_dir):
+    """All word pairs of both last rows occur elsewhere; the runs of three only of the first."""
+    texts = ["a b c d", "a b c d", "x b y", "z c w", "a b c d", "x b c w"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    rows = {r.doc_id: r for r in B.op4_backoff_scores(spark, tmp_dir).collect()}
+    assert (rows[4].n_backoff, rows[5].n_backoff) == (0, 2)
+
+
+@pytest.mark.parametrize("x", [[], [0], [7], [0, 255, 256], [1, 1 << 40, (1 << 64) - 1]])
+def test_packed_arrays(x):
+    x = np.array(x, np.uint64)
+    assert B._unsqueezed(B._squeezed(B._packed(x))) == B._packed(x)
+    assert (B._unpacked(B._packed(x)) == x).all() and len(B._unpacked(B._packed(x))) == len(x)
+    if len(x):
+        assert (B._unpacked_hashes(B._packed_hashes(x)) == x).all()
+
+
 def test_empty_table(spark):
     assert B.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
