@@ -1,8 +1,9 @@
 """Shards cut along a Hilbert curve through several metadata dimensions.
 
-Every dimension is quantised to 2^BITS cells of about equal row counts (bounds by
-approximate percentiles over all rows; strings by their leading bytes, so cells are ranges
-of strings too).  Rows are sorted by the curve index of their cell vector and cut into runs
+Every dimension is quantised to 2^BITS cells of about equal row counts, which are ranges of
+its values: bounds of numbers are approximate percentiles over all rows; bounds of strings
+are the whole values at which the rows counted per value, summed in byte order, reach each
+share of all rows, so a common prefix of any length changes nothing.  Rows are sorted by the curve index of their cell vector and cut into runs
 of equal counts (law `rows`: counts differ by one at most).  A run covers few ranges in
 every dimension, so file statistics prune on any of them.
 
@@ -31,6 +32,7 @@ from tessera.session import scratch_path
 BITS = 4
 SHARDS = 8
 _ACCURACY = 1000
+_RUN = 4096
 
 
 def hilbert_index(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -63,21 +65,35 @@ def hilbert_index(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return out
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """An order-preserving number of a dimension: strings by their first seven bytes."""
-    if isinstance(df.schema[name].dataType, ST.StringType):
-        return F.conv(F.rpad(F.substring(F.hex(F.col(name)), 1, 14), 14, "0"), 16, 10).cast("double")
-    return F.col(name).cast("double")
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, ST.StringType)
+
+
+def _text_bounds(df: DataFrame, name: str, parts: int) -> list[bytes]:
+    """The values at which the cumulative count of rows in byte order reaches k / parts of the rows that are not null."""
+    per = df.where(F.col(name).isNotNull()).groupBy(F.col(name).cast("binary").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    values, _ = ranked(per, ["value"])
+    values = values.withColumn("run", F.expr(f"rank div {_RUN}"))
+    sums = values.groupBy("run").agg(F.sum("n").alias("s"))                      # one row per _RUN distinct values
+    total = sums.agg(F.coalesce(F.sum("s"), F.lit(0))).first()[0]
+    before = sums.select("run", F.coalesce(F.sum("s").over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    inside = F.sum("n").over(Window.partitionBy("run").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
+    upto = values.withColumn("inside", inside).join(before, "run").withColumn("upto", F.col("before") + F.col("inside"))
+    row = upto.agg(*[F.min(F.when(F.col("upto") * parts >= k * total, F.col("value"))) for k in range(1, parts)]).first()
+    return sorted({bytes(b) for b in row if b is not None})
 
 
 def curve_column(df: DataFrame, dims: list[str], bits: int = BITS) -> tuple[DataFrame, Column]:
     """df with its quantised dimensions as the column `__cells`, and the curve index made of it."""
     steps = [k / (1 << bits) for k in range(1, 1 << bits)]
-    row = df.agg(*[F.percentile_approx(_number(df, d), steps, _ACCURACY).alias(f"q{i}") for i, d in enumerate(dims)]).first()
+    numbers = [d for d in dims if not _is_text(df, d)]
+    row = df.agg(F.count(F.lit(1)), *[F.percentile_approx(F.col(d).cast("double"), steps, _ACCURACY) for d in numbers]).first() if numbers else []
+    found = dict(zip(numbers, row[1:]))
     cells = []
-    for i, d in enumerate(dims):
-        bounds = sorted(set(row[i] or []))       # at most 2^bits - 1 numbers
-        cells.append(F.coalesce(sum([(_number(df, d) > b).cast("int") for b in bounds], F.lit(0)), F.lit(0)))
+    for d in dims:                               # at most 2^bits - 1 bounds
+        bounds = _text_bounds(df, d, 1 << bits) if _is_text(df, d) else sorted(set(found[d] or []))
+        value = F.col(d).cast("binary" if _is_text(df, d) else "double")
+        cells.append(F.coalesce(sum([(value > F.lit(b)).cast("int") for b in bounds], F.lit(0)), F.lit(0)))
 
     @F.pandas_udf("long")
     def index(cells: pd.Series) -> pd.Series:

@@ -47,6 +47,27 @@ def test_runs_prune(spark):
     assert sum(x[1] * x[2] for x in r) / len(r) < 32            # of the 64 pairs of values that a random shard holds
 
 
+def test_runs_prune_sources_with_a_common_prefix(spark):
+    df = spark.range(4096).selectExpr("id AS doc_id", "CONCAT('language_', id % 8) AS lang",
+                                      "CONCAT('https://host.example/crawl/', id DIV 8 % 8) AS source", "id DIV 64 AS n_chars")
+    ranked, total = S.hilbert_ranked(df, ["lang", "source", "n_chars"], ["doc_id"])
+    held = defaultdict(set)
+    for r in S.cut(ranked, total, 64).collect():
+        held[r.shard].add((r.lang, r.source))
+    assert sum(len({a for a, _ in v}) * len({b for _, b in v}) for v in held.values()) / len(held) < 32
+
+
+def test_cells_of_texts_are_shares_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "_RUN", 3)
+    values = ["", "same prefix a", "same prefix b", "same prefix b\0", "same prefix é", "same prefix \U0001f600", "z" * 5000]
+    rows = [(v,) for k, v in enumerate(values) for _ in range((3, 1, 40, 2, 5, 9, 4)[k])] + [(None,)] * 7
+    df, _ = S.curve_column(spark.createDataFrame(rows, "d string").repartition(5), ["d"], 3)
+    known = sorted(r[0].encode() for r in rows if r[0] is not None)
+    bounds = {known[-(-k * len(known) // 8) - 1] for k in range(1, 8)}
+    for r in df.collect():
+        assert list(r["__cells"]) == [0 if r.d is None else sum(r.d.encode() > b for b in bounds)]
+
+
 def test_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = S.op8_hilbert_sharding(spark, SF_SMALL).collect()
