@@ -23,7 +23,9 @@ the bucket.  A source holding a third of the rows is many buckets.
 Defined cases.  Null and blank texts have size 0 and nothing is taken of them; a source of
 such texts has target 0.  A null source is a source, the last one.  Repeated rows are taken
 each by itself.  Empty tables give empty results.  Columns other than id, text and source
-are carried along by `mix`, and not read by the query.
+are carried along by `mix`, and not read by the query.  `mix` tells rows with equal id, text
+and source apart by a hash of their other columns, so each keeps its own; only rows that are
+equal in everything are interchangeable.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from tessera.llm import tokens as T
 from tessera.llm.sharding import ranked
@@ -84,7 +87,17 @@ def count_words(col: pa.Array) -> np.ndarray:
 
 def _sizes(batches):
     for part in T.chunks(batches):
-        yield pa.record_batch({"id": part.column(0), "source": part.column(2), "copy": part.column(3), "size": pa.array(count_words(part.column(1)))})
+        yield pa.record_batch({"id": part.column(0), "source": part.column(2), "copy": part.column(3), "twin": part.column(4), "size": pa.array(count_words(part.column(1)))})
+
+
+def _twin(docs: DataFrame, columns: list[str]) -> Column:
+    """A hash of the columns; nulls count with their place, which xxhash64 alone skips."""
+    parts = []
+    for c in columns:
+        kind, col = docs.schema[c].dataType, F.col(f"`{c}`")
+        nested = isinstance(kind, (ST.ArrayType, ST.MapType, ST.StructType))
+        parts += [col.isNull(), F.to_json(F.struct(col), {"ignoreNullFields": "false"}) if nested else col]
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("long")
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -157,14 +170,17 @@ def _slots(block: int):
 
 
 def draw_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK,
-             shards: int = SHARDS, seed: int = SEED, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> tuple[DataFrame, DataFrame]:
-    """(a row per document row: id, copy, source, size, source_size, target, start;
-    a row per piece taken: source, start, id, copy, shard, slot, pass, lo, hi in words of the document)."""
+             shards: int = SHARDS, seed: int = SEED, weights=WEIGHTS, share: float = SHARE, cap: int = CAP,
+             twin: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(a row per document row: id, copy, twin, source, size, source_size, target, start;
+    a row per piece taken: source, start, id, copy, twin, shard, slot, pass, lo, hi in words of the document).
+    `twin` tells rows with equal id, text and source apart."""
     spark = docs.sparkSession
     base = scratch_path(spark, "mixing")
     id_kind, source_kind = (docs.schema[c].dataType.simpleString() for c in (id_col, source_col))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"), F.xxhash64(F.col(text_col)).alias("copy"))
-    sized = texts.mapInArrow(_sizes, f"id {id_kind}, source {source_kind}, copy long, size long")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"), F.xxhash64(F.col(text_col)).alias("copy"),
+                        (F.lit(0).cast("long") if twin is None else twin).alias("twin"))
+    sized = texts.mapInArrow(_sizes, f"id {id_kind}, source {source_kind}, copy long, twin long, size long")
     sized = sized.withColumn("place", F.xxhash64(F.lit(seed), "id", "copy"))
     sized.withColumn("bucket", F.pmod("place", F.lit(BUCKETS))).write.parquet(f"{base}/sized")
     sized = spark.read.parquet(f"{base}/sized")
@@ -174,15 +190,15 @@ def draw_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("s"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("source", "bucket", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("source", "bucket").orderBy("place", "id", "copy", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("place", "id", "copy", "size", "twin").rowsBetween(Window.unboundedPreceding, -1)
     placed = _same(sized.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0))), offsets, ["source", "bucket"])
     placed = _same(placed, targets.drop("weight"), ["source"]).select(
-        "id", "copy", "source", "size", "source_size", "target", F.expr("offset + inner").alias("start"))
+        "id", "copy", "twin", "source", "size", "source_size", "target", F.expr("offset + inner").alias("start"))
     placed.write.parquet(f"{base}/placed")
     placed = spark.read.parquet(f"{base}/placed")
 
     segments = placed.where("size > 0").select(
-        "id", "copy", "source", "start", "size",
+        "id", "copy", "twin", "source", "start", "size",
         F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("block"))
     runs = targets.select("source", "source_size", "target").mapInPandas(
         _draw(shards, block, seed), f"source {source_kind}, size long, passes long, rest long, blocks long, key long, shard int, lo long, hi long")
@@ -191,7 +207,7 @@ def draw_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     slots = runs.repartition(F.xxhash64("source", "lo")).mapInPandas(
         _slots(block), f"source {source_kind}, shard int, slot long, pass int, block long, take long")
     pieces = _same(segments, slots, ["source", "block"]).select(
-        "id", "copy", "source", "start", "shard", "slot", "pass",
+        "id", "copy", "twin", "source", "start", "shard", "slot", "pass",
         F.expr(f"greatest(block * {block} - start, 0L)").alias("lo"),
         F.expr(f"least(start + size, block * {block} + least({block}L, take)) - start").alias("hi")).where("hi > lo")
     return placed, pieces
@@ -234,21 +250,24 @@ def _cut_pieces(text: str, chars: str | None):
     return run
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", **params) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", source_col: str = "source", **params) -> DataFrame:
     """The mixture as documents with the same columns: a row per document and whole pass, and per piece of the
     passes that take parts of it (text and its length are the piece's)."""
-    placed, pieces = draw_mix(docs, id_col=id_col, text_col=text_col, **params)
+    twin = _twin(docs, [c for c in docs.columns if c not in (id_col, text_col, source_col)])
+    placed, pieces = draw_mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, twin=twin, **params)
+    row = ["id", "copy", "twin", "source"]
     sizes = placed.select("source", "start", "size").where("size > 0")
     # Pieces of one document and pass that together are all of it are one row.
-    whole = _same(pieces.groupBy("id", "copy", "source", "start", "pass").agg(F.sum(F.expr("hi - lo")).alias("words")), sizes, ["source", "start"])
+    whole = _same(pieces.groupBy(*row, "start", "pass").agg(F.sum(F.expr("hi - lo")).alias("words")), sizes, ["source", "start"])
     full = whole.where("words = size").select("source", "start", "pass")
-    parts = _same(pieces, full, ["source", "start", "pass"], "left_anti").select("id", "copy", "lo", "hi")
-    taken = whole.where("words = size").select("id", "copy", F.lit(0).cast("long").alias("lo"), F.col("size").alias("hi")).union(parts)
-    taken = taken.select(F.col("id").alias("__id"), F.col("copy").alias("__copy"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi"))
-    one = docs.withColumn("__text_hash", F.xxhash64(F.col(text_col)))
-    if placed.groupBy("id", "copy").count().where("count > 1").limit(1).count():
-        one = one.dropDuplicates([id_col, "__text_hash"])           # equal rows: their pieces are listed together
-    chosen = one.join(taken, one[id_col].eqNullSafe(taken["__id"]) & (one["__text_hash"] == taken["__copy"])).drop("__id", "__copy", "__text_hash")
+    parts = _same(pieces, full, ["source", "start", "pass"], "left_anti").select(*row, "lo", "hi")
+    taken = whole.where("words = size").select(*row, F.lit(0).cast("long").alias("lo"), F.col("size").alias("hi")).union(parts)
+    taken = taken.select(*[F.col(c).alias(f"__{c}") for c in (*row, "lo", "hi")])
+    one = docs.withColumn("__text_hash", F.xxhash64(F.col(text_col))).withColumn("__other_hash", twin)
+    if placed.groupBy(*row).count().where("count > 1").limit(1).count():
+        one = one.dropDuplicates([id_col, "__text_hash", "__other_hash", source_col])           # rows equal in everything: their pieces are listed together
+    chosen = one.join(taken, one[id_col].eqNullSafe(taken["__id"]) & (one["__text_hash"] == taken["__copy"]) & (one["__other_hash"] == taken["__twin"])
+                      & one[source_col].eqNullSafe(taken["__source"])).drop("__id", "__copy", "__twin", "__source", "__text_hash", "__other_hash")
     chars = chars_col if chars_col in docs.columns else None
     return chosen.mapInArrow(_cut_pieces(text_col, chars), chosen.drop("__lo", "__hi").schema)
 

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import mixing as M
 from tests.conftest import SF_SMALL
@@ -66,6 +67,29 @@ def test_mix_holds_the_words_taken(spark):
     assert got == +want
 
 
+def test_mix_keeps_the_columns_of_each_row(spark):
+    """Equal id and text under other sources and columns, some only told apart by where a null stands."""
+    text = "w " * 40
+    rows = [(i, text, s, lang, None if k else "x", "x" if k else None, [None, "y"] if k else ["y", None], {"a": k}, 80)
+            for i in (None, 7) for s in ("a", "b", None) for lang in ("en", "de") for k in (0, 1)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, p string, q string, r array<string>, m map<string,int>, n_chars long")
+    got = M.mix(df, block=16, share=2.0, weights=(1,)).collect()                # two whole passes over every row
+    key = lambda r: str((r[0], r[2], r[3], r[4], r[5], r[6], r[7]))
+    words, want = Counter(), Counter()
+    for r in got:
+        words[key(r)] += len(r.text.split())
+    for r in rows:
+        want[key(r)] += 80
+    assert words == want
+
+
+def test_mix_is_the_same_again_for_rows_with_equal_ids(spark):
+    rows = [(None, "tok " * 30, "a", f"l{k}", 120) for k in range(40)] + [(1, "tok " * 30, "b", f"l{k}", 120) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    once, again = (sorted(map(str, M.mix(x, block=16, share=0.7).collect())) for x in (df, df.orderBy(F.rand(3)).repartition(5)))
+    assert once == again
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string, n_chars long")
     assert M.mix_report(df).count() == 0 and M.mix(df).count() == 0
