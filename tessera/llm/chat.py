@@ -11,8 +11,9 @@ and batch.  A conversation that goes on in the next batch is more than one piece
 a long one nor one with very many turns is held in memory.  The loss mask lists the byte
 ranges of a piece that hold assistant texts, without header and footer.
 
-Conversations are dealt by hash and sorted inside the partitions (by turn; equal turns by
-role and text), so formatting and reading back are streams over sorted rows.
+All rows are range-partitioned and sorted (by conversation, turn, role and text), so a
+conversation with many rows is sorted and formatted by many tasks.  Only its finished pieces,
+compressed on the way, come together, in order, to be numbered and read back as a stream.
 
 Defined cases.  Null text and null role are empty.  Rows without a conversation id form one
 conversation.  A null turn comes first.  Repeated rows are turns of their own.  An empty table
@@ -27,13 +28,16 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import tokens as T
+from tessera.llm.backoff import _squeezed, _unsqueezed
 
 TURN, END = b"<|turn|>", b"<|end|>\n"
 ASSISTANT = "assistant"
+_PREFIX = 256
 _CONTROL = re.compile(rb"<\\*\|")
 _ESCAPED = re.compile(rb"(<\\*)\\\|")
 
@@ -87,8 +91,8 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 
 def _pieces(batches):
-    """Sorted turns to pieces of conversations."""
-    last, number = None, -1
+    """Sorted turns to pieces of conversations, numbered within the partition."""
+    last, number, place = None, -1, TaskContext.get().partitionId()
     for part in T.chunks(batches):
         out, at, lo, hi = assemble(part.column(1), part.column(2))
         ids = part.column(0)
@@ -102,19 +106,38 @@ def _pieces(batches):
         piece = np.searchsorted(first, said, "right") - 1
         base = at[first][piece]
         loss = pa.StructArray.from_arrays([pa.array((lo[said] - base).astype(np.int32)), pa.array((hi[said] - base).astype(np.int32))], ["lo", "hi"])
-        cut = np.append(at[first], at[-1]).astype(np.int32)
+        cut = np.append(at[first], at[-1])
         yield pa.record_batch({
-            "conv_id": ids.take(pa.array(first)), "piece": pa.array(numbers),
-            "formatted": pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(cut), pa.py_buffer(out)]),
+            "conv_id": ids.take(pa.array(first)), "part": pa.array(np.full(len(first), place, np.int32)), "piece": pa.array(numbers),
+            "formatted": pa.array([_squeezed(out[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
             "loss": pa.ListArray.from_arrays(pa.array(np.searchsorted(said, np.append(first, part.num_rows)).astype(np.int32)), loss)})
 
 
+def _numbered(batches):
+    """Pieces in order, numbered along their conversation."""
+    last, number = None, -1
+    for part in T.chunks(batches, "formatted"):
+        numbers = []
+        for i in part.column(0).to_pylist():
+            last, number = (i,), number + 1 if last == (i,) else 0
+            numbers.append(number)
+        yield pa.record_batch({"conv_id": part.column(0), "piece": pa.array(numbers, pa.int32()),
+                               "formatted": pa.array([_unsqueezed(x.as_py()) for x in part.column(3)], pa.binary()), "loss": part.column(4)})
+
+
 def format_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv_id, piece, formatted, loss): a row per conversation; more pieces, in order, for one that spans batches."""
+    """(conv_id, piece, formatted, loss): a row per conversation; more pieces, in order, for one that spans batches or partitions."""
     kind = rows.schema[conv].dataType.simpleString()
     view = rows.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
-    ordered = view.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return ordered.mapInArrow(_pieces, f"conv_id {kind}, piece int, formatted binary, loss array<struct<lo:int,hi:int>>")
+    # Bounds hold the beginnings of texts.  Rows that are equal in everything are dealt out; those longer than the beginning stay together, after it.
+    spread = F.when(F.length("text") > _PREFIX, F.lit((1 << 31) - 1)).otherwise(F.spark_partition_id())
+    view = view.withColumn("spread", spread)
+    ordered = view.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, _PREFIX), "spread") \
+        .sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    loss = "loss array<struct<lo:int,hi:int>>"
+    pieces = ordered.mapInArrow(_pieces, f"conv_id {kind}, part int, piece int, formatted binary, {loss}")
+    return pieces.repartition("conv_id").sortWithinPartitions("conv_id", "part", "piece") \
+        .mapInArrow(_numbered, f"conv_id {kind}, piece int, formatted binary, {loss}")
 
 
 def turns_of(formatted: bytes) -> list[tuple[str, bytes]]:

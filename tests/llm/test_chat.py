@@ -48,6 +48,27 @@ def test_conversations_over_many_batches(spark):
     assert C.format_conversations(df.limit(0)).count() == 0
 
 
+DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+
+
+def test_a_large_conversation_is_formatted_by_many_tasks(spark):
+    long = "p" * C._PREFIX
+    rows = [(None, i % 50, ("user", "assistant")[i % 2], f"turn {i} ") for i in range(3000)] + [(None, None, "user", "same")] * 3000 + \
+        [(None, 60, "user", long + t) for t in ("", "", "b", "a", "é")] * 40 + [(i, 0, "user", "hello") for i in range(50)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pieces = C.format_conversations(df)
+        # Every task gives pieces of its own, numbered along the conversation.
+        numbers = sorted(r.piece for r in pieces.where("conv_id IS NULL").collect())
+        got = pieces.mapInArrow(C._digests, DIGESTS).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(numbers) >= 6 and numbers == list(range(len(numbers)))
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == digests(rows)
+    assert len(got) == 51
+
+
 def test_query_matches_oracle(spark):
     ok, msg, _, _ = compare(spark, duck(SF_SMALL), "op5", C.op5_chat_formatting, C.ORACLE, SF_SMALL)
     assert ok, msg
