@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import backoff, chat, decontamination, language, mixing, near_dedup, neighbours, secrets, sharding, toxicity
+from tessera.llm import backoff, chat, decontamination, language, licenses, mixing, near_dedup, neighbours, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_hilbert_sharding": sharding.op8_hilbert_sharding,
     "op9_mixing": mixing.op9_mixing,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op11_license_scan": licenses.op11_license_scan,
 }
 
 ORACLES = {
