@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import backoff, chat, decontamination, language, licenses, merkle, mixing, near_dedup, neighbours, secrets, sharding, toxicity
+from tessera.llm import backoff, chat, decontamination, language, licenses, merkle, mixing, near_dedup, neighbours, repair, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -16,11 +16,13 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_secret_scan": secrets.op10_secret_scan,
     "op11_license_scan": licenses.op11_license_scan,
+    "op12_conversation_repair": repair.op12_conversation_repair,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLES = {
     "op1_decontamination": decontamination.ORACLE,
     "op5_chat_formatting": chat.ORACLE,
+    "op12_conversation_repair": repair.op12_conversation_repair,
     "op13_merkle_manifest": merkle.ORACLE,
 }
