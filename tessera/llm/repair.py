@@ -312,27 +312,28 @@ def _repair(costs: Costs):
         program = Program(costs)
         state, conv, ways = 0, None, None
 
+        def said(conv, letters, turns):
+            return {"conv": conv, "letters": letters, "turns": [{"role": role, "text": text} for role, text in turns]}
+
         def tail():
             more = program.tail(state) if conv is not None else ""
-            return [{"conv": conv[0], "letters": more, "turns": [dict(zip(("role", "text"), t)) for t in apply_letters(more, [], [], state)]}] if more else []
+            return [said(conv[0], more, apply_letters(more, [], [], state))] if more else []
 
-        for batch in batches:
+        for batch in batches:                                # some megabytes of texts
             schema = pa.schema([("conv", batch.schema.field("conv").type), *[(c, pa.int64()) for c in _COUNTS], ("letters", pa.string()), ("turns", _TURNS)])
-            for k in range(batch.num_rows):                  # a piece at a time: its texts are all that is held
-                r = batch.slice(k, 1).to_pylist()[0]
+            out = []
+            for r in batch.to_pylist():
                 if r["part"] < 0:
-                    out = [*tail(), {"conv": r["conv"], **{c: r[c] for c in _COUNTS}}]
+                    out += [*tail(), {"conv": r["conv"], **{c: r[c] for c in _COUNTS}}]
                     conv, state = (r["conv"],), 0
                 elif r["kind"] == 0:
                     ways = list(zip(r["letters"], r["ends"]))
-                    continue
                 else:
                     letters, end = ways[state]
-                    out = [{"conv": r["conv"], "letters": letters,
-                            "turns": [dict(zip(("role", "text"), t)) for t in apply_letters(letters, r["roles"], r["texts"], state)]}]
+                    out.append(said(r["conv"], letters, apply_letters(letters, r["roles"], r["texts"], state)))
                     state = end
-                yield pa.RecordBatch.from_pylist(out, schema)
-        if conv is not None and program.tail(state):
+            yield pa.RecordBatch.from_pylist(out, schema)
+        if tail():
             yield pa.RecordBatch.from_pylist(tail(), schema)
     return run
 
