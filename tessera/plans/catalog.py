@@ -17,6 +17,7 @@ from tessera.operators import infotheory as I
 from tessera.operators import recommend as RC
 from tessera.operators import selection as S
 from tessera.operators import svm as SV
+from tessera.operators.als import fit_chunked_als
 from tessera.operators.split import hash_cut, hash_split, key_hash, with_row_id
 from tessera.plans import views as V
 from tessera.session import scratch_path
@@ -37,6 +38,7 @@ SVM_STEPS = 3
 SVC_FULL_BATCH = 1_000_000_000     # >= rows: every iteration uses the whole table
 SVC_BATCH = 100
 ALS_LAMBDA_RANK1 = 0.1
+ALS_STEPS, ALS_REG = 2, 0.1      # the rank 2 fit held against SQL
 
 
 def query(name: str):
@@ -480,6 +482,35 @@ def als_rank1_steps(spark, sf):
     return items.select(F.col("id").alias("item"), r6(F.col("f")).alias("v"))
 
 
+def _chunked_als(spark, sf):
+    train, test = V.rating_split(spark, sf)
+    return fit_chunked_als(train, rank=2, maxIter=ALS_STEPS, regParam=ALS_REG), train, test
+
+
+@query("als_chunked_factors")
+def als_chunked_factors(spark, sf):
+    """Both factor tables of a rank 2 fit on the training side, from a fixed start."""
+    model, _, _ = _chunked_als(spark, sf)
+    side = lambda name, t: t.select(F.lit(name).alias("kind"), "id", r6(F.col("features")[0]).alias("f0"), r6(F.col("features")[1]).alias("f1"))
+    return side("user", model.userFactors).unionByName(side("item", model.itemFactors))
+
+
+@query("als_chunked_rmse")
+def als_chunked_rmse(spark, sf):
+    """A3: RMSE of that fit on the training and on the test side (pairs of unseen ids dropped)."""
+    model, train, test = _chunked_als(spark, sf)
+    one = lambda name, pairs: RC.rmse(model.transform(pairs)).select(F.lit(name).alias("side"), r6(F.col("rmse")).alias("rmse"))
+    return one("train", train).unionByName(one("test", test))
+
+
+@query("als_chunked_spark_setting")
+def als_chunked_spark_setting(spark, sf):
+    """E5: 5 iterations, rank 10, lambda 0.01; whether each user's factors solve their normal equations."""
+    train, _ = V.rating_split(spark, sf)
+    model = fit_chunked_als(train, rank=10, **RC.SPARK_SETTING)
+    return RC.fitted_users(model, train, RC.SPARK_SETTING["regParam"])
+
+
 def _als(spark, sf, setting=None):
     train, test = V.rating_split(spark, sf)
     return RC.fit_als(train, setting=setting), train, test

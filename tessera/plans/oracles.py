@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from tessera.plans import catalog as Q
 from tessera.operators.criteria import CRITERIA
+from tessera.operators.split import HASH_SPACE
 from tessera.plans.oracle_sql import (EMB, FAC, LIN, RAT, RATLINE, REL_CELLS, ROW_HASH, SPA, SPLIT,
                                       SVML, SVMV, SVMV_UNWEIGHTED, SVMV_WEIGHTED, TRAIN_CUT, R,
                                       cells_given, greedy_ctes, info_select, selected_union,
-                                      selection_sql, sgd_chain)
+                                      selection_sql, sgd_chain, md5_hash)
 
 ORACLES: dict[str, str] = {}
 
@@ -218,6 +219,33 @@ v AS (SELECT t.item AS id,
       FROM train t JOIN u ON u.id = t."user" GROUP BY t.item)
 SELECT id AS item, {R('f')} AS v FROM v"""
 
+
+
+def _als_chain() -> str:
+    """The rank 2 fit: every half step sums the normal equations and solves them in closed form."""
+    start = ", ".join(f"""{md5_hash(f"concat_ws(':', '42', CAST(id AS VARCHAR), '{d}')")} / {float(HASH_SPACE)!r}::DOUBLE AS f{d}""" for d in range(2))
+    ctes = [f'u0 AS (SELECT id, {start} FROM (SELECT DISTINCT CAST("user" AS BIGINT) AS id FROM train))']
+    for step in range(1, Q.ALS_STEPS + 1):
+        for name, mine, fixed, other in ((f"i{step}", "item", f"u{step - 1}", '"user"'), (f"u{step}", '"user"', f"i{step}", "item")):
+            ctes.append(f"""{name} AS (
+  SELECT id, ((c + l) * p - b * q) / ((a + l) * (c + l) - b * b) AS f0, ((a + l) * q - b * p) / ((a + l) * (c + l) - b * b) AS f1
+  FROM (SELECT CAST(t.{mine} AS BIGINT) AS id, {Q.ALS_REG!r}::DOUBLE * count(*) AS l, sum(f.f0 * f.f0) AS a, sum(f.f0 * f.f1) AS b,
+               sum(f.f1 * f.f1) AS c, sum(t.rating * f.f0) AS p, sum(t.rating * f.f1) AS q
+        FROM train t JOIN {fixed} f ON f.id = t.{other} GROUP BY 1))""")
+    return ",\n".join(ctes)
+
+
+_ALS = f"WITH {SPLIT},\n{_als_chain()}"
+ORACLES["als_chunked_factors"] = f"""{_ALS}
+SELECT 'user' AS kind, id, {R('f0')} AS f0, {R('f1')} AS f1 FROM u{Q.ALS_STEPS}
+UNION ALL SELECT 'item', id, {R('f0')}, {R('f1')} FROM i{Q.ALS_STEPS}"""
+ORACLES["als_chunked_rmse"] = f"""{_ALS},
+pairs AS (SELECT 'train' AS side, * FROM train UNION ALL SELECT 'test', * FROM test)
+SELECT side, {R('sqrt(avg((rating - (u.f0 * i.f0 + u.f1 * i.f1)) ^ 2))')} AS rmse
+FROM pairs p JOIN u{Q.ALS_STEPS} u ON u.id = p."user" JOIN i{Q.ALS_STEPS} i ON i.id = p.item GROUP BY side"""
+ORACLES["als_chunked_spark_setting"] = f"""WITH {SPLIT}
+SELECT "user" AS id, true AS solved FROM (SELECT DISTINCT "user" FROM train)"""
+
 # --------------------------------------------------------------------------- SVM
 
 ORACLES["svc_training_rows"] = f"""WITH {SVMV}
