@@ -1,20 +1,21 @@
 """Factor-model recommendation.
 
-Training uses Spark's own ``pyspark.ml.recommendation.ALS`` in the two
-settings the reference runs.  Scoring, cold-start handling, RMSE and top-k
+Training here is Spark's own ``pyspark.ml.recommendation.ALS`` in the two settings the
+reference runs; ``tessera.operators.als`` trains over chunked ratings for skewed ids.  Scoring, cold-start handling, RMSE and top-k
 lists are also available natively over any factor tables
 ``(id, features array<double>)``:
 
 * pair scoring is two equi-joins plus a dot product (skewed ids are split by
   AQE's skew-join handling);
-* top-k over all users x all items scores every pair in NumPy inside tasks
-  and keeps only the k best per user; no pair row is ever materialised.
-  The side that fits a checked byte budget is shipped once (a broadcast
-  variable): few left ids go to the right partitions, which each keep k per
-  left id; otherwise a small right side goes to the left rows, dealt to as
-  many tasks as the number of scores asks for.  Two big sides hash into
-  blocks and each (left block, right block) pair is one ``applyInPandas``
-  task, with a per-left-id window merging the blocks.
+* top-k over all users x all items is an exact maximum inner product search:
+  right rows are visited in falling order of their norm, and what can't beat
+  a left row's k-th score by the Cauchy-Schwarz bound is not scored; no pair
+  row is ever materialised.  The side that fits a checked byte budget is
+  shipped once (a broadcast variable): few left ids go to the right
+  partitions, which each keep k per left id; otherwise a small right side goes
+  to the left rows, dealt to as many tasks as the number of scores asks for.
+  Two big sides are cut into blocks, and only pairs of blocks that may hold a
+  better score become ``applyInPandas`` tasks.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import dot
+from tessera.session import scratch_path
 
 # The two ALS settings the reference trains with.
 SPARK_SETTING = {"maxIter": 5, "regParam": 0.01}            # rank left at its default, 10
@@ -93,90 +95,130 @@ def first_ids(df: DataFrame, col: str, n: int = 3) -> DataFrame:
 
 # ------------------------------------------------------------------------- top-k
 
-SCRATCH_SCORES = 1 << 22     # doubles in one score chunk (32 MB) per task
 MAX_BROADCAST_BYTES = 64 << 20   # right-side factor matrix small enough to ship whole
 
 
-def _chunk_top_k(lid: np.ndarray, U: np.ndarray, rid: np.ndarray, V: np.ndarray, k: int,
-                 digits: int) -> pd.DataFrame:
-    """Top k of U @ V.T per row; ``rid`` ascending, so ties go to the smaller id.
+_PRUNE_ROWS = 512            # right rows between two looks at the bound
+_LEFT_ROWS = 1024            # left rows that are searched together
+_SLACK = 1e-9                # of a bound, for floating point
 
-    Works through U in row chunks so the score scratch stays <= SCRATCH_SCORES.
+
+def _by_norm(rid: np.ndarray, V: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, rows, norms) in falling order of the norm."""
+    norms = np.sqrt((V * V).sum(axis=1))
+    order = np.lexsort((rid, -norms))
+    return rid[order], V[order], norms[order]
+
+
+class _Best:
+    """The k best right ids of a set of left rows, found block by block.
+
+    Right rows come in falling order of their norm.  By Cauchy-Schwarz no score of a block is above
+    |u| times its largest norm, so a left row whose k-th score (rounded, as all scores that are
+    compared) is above that bound is done with the block and all later ones.  ``floor`` is a
+    k-th score that is known already.
     """
-    outs = []
-    kk = min(k, len(rid))
-    step = max(1, SCRATCH_SCORES // max(1, len(rid)))
-    for start in range(0, len(lid), step):
-        S = np.round(U[start:start + step] @ V.T, digits) + 0.0      # +0.0 folds -0.0
-        ids = lid[start:start + step]
-        neg = -S
-        if kk < neg.shape[1]:
-            kth = np.partition(neg, kk - 1, axis=1)[:, kk - 1]
-            mask = neg <= kth[:, None]                         # ties at the cut included
-        else:
-            mask = np.ones_like(neg, dtype=bool)
-        rows, cols = np.nonzero(mask)
-        order = np.lexsort((cols, neg[rows, cols], rows))      # row, score desc, id asc
-        rows, cols = rows[order], cols[order]
-        pos = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-        keep = pos < kk
-        rows, cols = rows[keep], cols[keep]
-        outs.append(pd.DataFrame({"lid": ids[rows], "rid": rid[cols], "score": S[rows, cols],
-                                  "rank": (pos[keep] + 1).astype(np.int32)}))
-    if not outs:
-        return _empty_scores()
-    return pd.concat(outs, ignore_index=True)
+
+    def __init__(self, lid: np.ndarray, U: np.ndarray, k: int, digits: int, floor: np.ndarray | None = None):
+        self.lid, self.U, self.k, self.digits = lid, U, k, digits
+        self.norm = np.sqrt((U * U).sum(axis=1))
+        self.score = np.full((len(lid), k), -np.inf)
+        self.id = np.full((len(lid), k), np.iinfo(np.int64).max)
+        self.floor = np.full(len(lid), -np.inf) if floor is None else floor
+        self.scored = np.zeros(len(lid), np.int64)
+        self.half = 0.5 * 10.0 ** -digits
+
+    def add(self, rid: np.ndarray, V: np.ndarray, norms: np.ndarray) -> None:
+        for lo in range(0, len(self.lid), _LEFT_ROWS):
+            alive = np.arange(lo, min(lo + _LEFT_ROWS, len(self.lid)))
+            for at in range(0, len(rid), _PRUNE_ROWS):
+                kth = np.maximum(self.score[alive, -1], self.floor[alive])
+                alive = alive[self.norm[alive] * norms[at] * (1 + _SLACK) + self.half >= kth]
+                if not len(alive):
+                    break
+                block = slice(at, at + _PRUNE_ROWS)
+                S = np.round(self.U[alive] @ V[block].T, self.digits) + 0.0      # +0.0 folds -0.0
+                self.scored[alive] += S.shape[1]
+                kth = np.maximum(self.score[alive, -1], self.floor[alive])
+                some = (S >= kth[:, None]).any(axis=1)
+                rows = alive[some]
+                if not len(rows):
+                    continue
+                score = np.hstack((self.score[rows], S[some]))
+                ids = np.hstack((self.id[rows], np.broadcast_to(rid[block], (len(rows), S.shape[1]))))
+                order = np.lexsort((ids, -score), axis=1)[:, :self.k]            # score desc, id asc
+                self.score[rows] = np.take_along_axis(score, order, axis=1)
+                self.id[rows] = np.take_along_axis(ids, order, axis=1)
+
+    def rows(self) -> pd.DataFrame:
+        """(lid, rid, score, rank, scored): a row per candidate, at least one per left id (rid null); `scored` stands on the first."""
+        found = np.isfinite(self.score)
+        found[:, 0] = True
+        r, c = np.nonzero(found)
+        real = np.isfinite(self.score[r, c])
+        return pd.DataFrame({"lid": self.lid[r], "rid": pd.arrays.IntegerArray(np.where(real, self.id[r, c], 0), ~real),
+                             "score": np.where(real, self.score[r, c], np.nan), "rank": (c + 1).astype(np.int32),
+                             "scored": np.where(c == 0, self.scored[r], 0)})
+
+
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(np.float64)
 
 
 def _empty_scores() -> pd.DataFrame:
     return pd.DataFrame({"lid": pd.Series([], dtype="int64"), "rid": pd.Series([], dtype="int64"),
                          "score": pd.Series([], dtype="float64"),
-                         "rank": pd.Series([], dtype="int32")})
+                         "rank": pd.Series([], dtype="int32"), "scored": pd.Series([], dtype="int64")})
 
 
 def _block_top_k(k: int, digits: int):
     def score(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return _empty_scores()
-        right = right.sort_values("rid", kind="stable")
-        return _chunk_top_k(left["lid"].to_numpy(), np.stack(left["lf"].to_numpy()).astype(np.float64),
-                            right["rid"].to_numpy(), np.stack(right["rf"].to_numpy()).astype(np.float64),
-                            k, digits)
+        best = _Best(left["lid"].to_numpy(), _matrix(left["lf"]), k, digits, left["kth"].to_numpy(dtype=np.float64, na_value=-np.inf))
+        best.add(*_by_norm(right["rid"].to_numpy(), _matrix(right["rf"])))
+        return best.rows()
     return score
 
 
 def _broadcast_right(bc, k: int, digits: int):
     def run(batches):
-        rid, V = bc.value
         for pdf in batches:
-            if pdf.empty:
-                continue
-            yield _chunk_top_k(pdf["lid"].to_numpy(), np.stack(pdf["lf"].to_numpy()).astype(np.float64),
-                               rid, V, k, digits)
+            if not pdf.empty:
+                best = _Best(pdf["lid"].to_numpy(), _matrix(pdf["lf"]), k, digits)
+                best.add(*bc.value)
+                yield best.rows()
+    return run
+
+
+def _first_block(bc, k: int, digits: int):
+    """Left rows with their k-th score among the right rows of the largest norms, and those k."""
+    def run(batches):
+        for pdf in batches:
+            if not pdf.empty:
+                best = _Best(pdf["lid"].to_numpy(), _matrix(pdf["lf"]), k, digits)
+                best.add(*bc.value)
+                full = np.isfinite(best.score)
+                yield pd.DataFrame({"lid": pdf["lid"], "lf": pdf["lf"], "norm": best.norm, "kth": np.where(full[:, -1], best.score[:, -1], -np.inf), "scored": best.scored,
+                                    "rids": [i[f] for i, f in zip(best.id, full)], "scores": [s[f] for s, f in zip(best.score, full)]})
     return run
 
 
 def _broadcast_left(bc, k: int, digits: int):
-    """The k best of a partition of right rows for every left id, merged batch by batch."""
+    """The k best of a partition of right rows for every left id, batch by batch."""
     def run(batches):
         lid, U = bc.value
         best = None
         for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.sort_values("rid", kind="stable")
-            got = _chunk_top_k(lid, U, pdf["rid"].to_numpy(), np.stack(pdf["rf"].to_numpy()).astype(np.float64), k, digits)
-            if best is not None:
-                both = pd.concat([best, got], ignore_index=True)
-                both = both.sort_values(["lid", "score", "rid"], ascending=[True, False, True], kind="stable")
-                got = both[both.groupby("lid").cumcount() < k]
-            best = got
+            if not pdf.empty:
+                best = best or _Best(lid, U, k, digits)
+                best.add(*_by_norm(pdf["rid"].to_numpy(), _matrix(pdf["rf"])))
         if best is not None:
-            yield best
+            yield best.rows()
     return run
 
 
-SCORES_SCHEMA = "lid bigint, rid bigint, score double, rank int"
+SCORES_SCHEMA = "lid bigint, rid bigint, score double, rank int, scored bigint"
 TASK_FLOPS = 4_000_000_000     # multiply-adds of one scoring task
 FEW_LEFT = 16                  # left ids are few if the right side has so many times more rows
 
@@ -188,32 +230,79 @@ def _factors(df: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merged(cand: DataFrame, k: int) -> DataFrame:
-    """The k best candidates of every left id."""
-    best = Window.partitionBy("lid").orderBy(F.col("score").desc(), F.col("rid").asc())
-    return cand.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    """The k best candidates of every left id; `scored` is the id's sum."""
+    best = Window.partitionBy("lid").orderBy(F.col("score").desc_nulls_last(), F.col("rid").asc_nulls_last())
+    return (cand.withColumn("rank", F.row_number().over(best)).withColumn("scored", F.sum("scored").over(Window.partitionBy("lid")))
+            .filter(F.col("rank") <= k))
+
+
+def _two_big_sides(L: DataFrame, R: DataFrame, n_left: int, n_right: int, k: int, digits: int, block_rows: int, tasks: int) -> DataFrame:
+    """Candidates from blocks of both sides; the right side's are ranges of the norm, largest first.
+
+    The first block goes to all left rows and gives each a k-th score; a left row is then sent
+    only to blocks whose largest norm may still beat it, and a right block only to left blocks
+    that ask for it.  Many equal norms are dealt to several blocks by hash.
+    """
+    spark = L.sparkSession
+    R = R.withColumn("norm", F.sqrt(F.aggregate("rf", F.lit(0.0), lambda a, x: a + x * x)))
+    parts = max(1, math.ceil(n_right / block_rows))
+    edges = sorted(set(R.agg(F.percentile_approx("norm", [j / parts for j in range(1, parts)], 10_000)).first()[0] or [])) if parts > 1 else []
+    bucket = sum([(F.col("norm") <= F.lit(e)).cast("int") for e in edges], F.lit(0))
+    R = R.withColumn("bucket", bucket)
+    counts = {r.bucket: r.n for r in R.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}             # one row per block
+    subs = F.element_at(F.create_map(*[F.lit(x) for b, n in counts.items() for x in (b, max(1, math.ceil(n / (2 * block_rows))))]), F.col("bucket"))
+    R = R.withColumn("sub", F.pmod(F.xxhash64("rid"), subs).cast("int"))
+    blocks = sorted(R.groupBy("bucket", "sub").agg(F.max("norm").alias("norm")).collect(), key=lambda r: (-r.norm, r.bucket, r.sub))
+    names = F.element_at(F.create_map(*[F.lit(x) for i, r in enumerate(blocks) for x in (f"{r.bucket}/{r.sub}", i)]),
+                         F.concat_ws("/", F.col("bucket").cast("string"), F.col("sub").cast("string")))
+    R = R.withColumn("rb", names.cast("int"))
+    head = R.where("rb = 0").selectExpr("rid AS id", "rf AS features")
+    bc = spark.sparkContext.broadcast(_by_norm(*_factors(head, len(head.first()["features"]))))
+    base = scratch_path(spark, "top-k")
+    (L.repartition(tasks, "lid").mapInPandas(_first_block(bc, k, digits), "lid bigint, lf array<double>, norm double, kth double, scored bigint, rids array<bigint>, scores array<double>")
+     .write.parquet(base))
+    found = spark.read.parquet(base)
+    first = found.select("lid", "scored", F.explode_outer(F.arrays_zip("rids", "scores")).alias("c"), F.size("rids").alias("n"))
+    first = first.select("lid", F.col("c.rids").alias("rid"), F.col("c.scores").alias("score"), F.lit(0).alias("rank"),
+                         (F.col("scored") / F.greatest("n", F.lit(1))).alias("scored"))
+    if len(blocks) == 1:
+        return first
+    bl = max(1, math.ceil(n_left / block_rows))
+    tops = F.array(*[F.lit(float(r.norm)) for r in blocks])
+    ask = F.size(F.filter(tops, lambda m: m * F.col("norm") * (1 + _SLACK) + 0.5 * 10.0 ** -digits >= F.col("kth")))
+    # Block ids must have ONE type on both sides: the cogroup hash-partitions each side by its
+    # key values, and an int 3 and a bigint 3 hash apart.
+    Lb = found.withColumn("ask", ask).where("ask > 1").selectExpr("lid", "lf", "kth", f"CAST(pmod(xxhash64(lid), {bl}) AS INT) AS lb", "explode(sequence(1, ask - 1)) AS rb")
+    asked = Lb.select(F.col("lb").alias("from"), F.col("rb").alias("to")).distinct()
+    Rb = R.where("rb > 0").join(asked, F.col("rb") == F.col("to")).select("rid", "rf", F.col("from").alias("lb"), F.col("to").alias("rb"))
+    more = Lb.groupBy("lb", "rb").cogroup(Rb.groupBy("lb", "rb")).applyInPandas(_block_top_k(k, digits), SCORES_SCHEMA)
+    return first.unionByName(more)
 
 
 def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int = BLOCK_ROWS,
-          digits: int = SCORE_DIGITS, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """For every left id, the k right ids of highest rounded dot product.
+          digits: int = SCORE_DIGITS, max_broadcast_bytes: int = MAX_BROADCAST_BYTES, counts: bool = False) -> DataFrame:
+    """T5/T6 (J5): for every left id, the k right ids of highest rounded dot product.
 
     Ties on the rounded score go to the smaller right id.  Output
-    (id, rank, other, score).  Three exact strategies, chosen by counted sizes
-    (rows x rank x 8 against ``max_broadcast_bytes``):
+    (id, rank, other, score); with ``counts`` also `scored` and `skipped`, how many right
+    rows were and were not scored for the id: right rows are visited in falling order of
+    their norm, and blocks that can't beat the id's k-th score are left out, which
+    changes no result.  Three exact strategies, chosen by counted sizes (rows x rank x 8
+    against ``max_broadcast_bytes``):
 
     * few left ids: they are shipped to the right side's partitions, which
       are scored in place; a window merges k per left id and partition;
     * a small right side: it is shipped to the left rows, which are dealt
       over enough tasks for the number of scores; no merge;
-    * otherwise a blocked product: both sides hash into blocks of
-      ``block_rows`` ids, each (left block, right block) pair is one task,
-      and a window merges k x (right blocks) candidates per left id.
+    * otherwise a blocked product: right blocks are ranges of the norm, and each
+      (left block, right block) pair that may hold a better score is one task;
+      a window merges the candidates of a left id.
     """
     spark = left.sparkSession
     n_left, left_dim = left.selectExpr("count(1)", "max(size(features))").first()
     n_right, right_dim = right.selectExpr("count(1)", "max(size(features))").first()
     if not n_left or not n_right:
-        return spark.createDataFrame([], "id bigint, rank int, other bigint, score double")
+        return spark.createDataFrame([], "id bigint, rank int, other bigint, score double" + ", scored bigint, skipped bigint" * counts)
     dim = max(int(left_dim or 1), int(right_dim or 1), 1)
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(n_left * n_right * dim / TASK_FLOPS))
     L = left.selectExpr("CAST(id AS BIGINT) AS lid", "CAST(features AS ARRAY<DOUBLE>) AS lf")
@@ -222,23 +311,16 @@ def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int
         bc = spark.sparkContext.broadcast(_factors(left, dim))
         ranked = _merged(R.repartition(tasks, "rid").mapInPandas(_broadcast_left(bc, k, digits), SCORES_SCHEMA), k)
     elif n_right * dim * 8 <= max_broadcast_bytes:
-        bc = spark.sparkContext.broadcast(_factors(right, dim))
+        bc = spark.sparkContext.broadcast(_by_norm(*_factors(right, dim)))
         ranked = L.repartition(tasks, "lid").mapInPandas(_broadcast_right(bc, k, digits), SCORES_SCHEMA)
+        if counts:
+            ranked = ranked.withColumn("scored", F.sum("scored").over(Window.partitionBy("lid")))
     else:
-        bl = max(1, math.ceil(n_left / block_rows))
-        br = max(1, math.ceil(n_right / block_rows))
-        # Block ids must have ONE type on both sides: the cogroup hash-partitions
-        # each side by its key values, and an int 3 and a bigint 3 hash apart.
-        Lb = L.selectExpr("lid", "lf", f"CAST(pmod(xxhash64(lid), {bl}) AS INT) AS lb",
-                          f"explode(sequence(0, {br - 1})) AS rb")
-        Rb = R.selectExpr("rid", "rf", f"CAST(pmod(xxhash64(rid), {br}) AS INT) AS rb",
-                          f"explode(sequence(0, {bl - 1})) AS lb")
-        ranked = (Lb.groupBy("lb", "rb").cogroup(Rb.groupBy("lb", "rb"))
-                  .applyInPandas(_block_top_k(k, digits), SCORES_SCHEMA))
-        if br > 1:              # with one right block the in-block ranks are final
-            ranked = _merged(ranked, k)
+        ranked = _merged(_two_big_sides(L, R, n_left, n_right, k, digits, block_rows, tasks), k)
+    ranked = ranked.where("rid IS NOT NULL")
+    more = [F.round("scored").cast("bigint").alias("scored"), (F.lit(n_right) - F.round("scored")).cast("bigint").alias("skipped")] if counts else []
     return ranked.select(F.col("lid").alias("id"), F.col("rank").cast("int").alias("rank"),
-                         F.col("rid").alias("other"), "score")
+                         F.col("rid").alias("other"), "score", *more)
 
 
 def top_k_subset(ids: DataFrame, left: DataFrame, right: DataFrame, k: int = DEFAULT_K,

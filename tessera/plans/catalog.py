@@ -456,6 +456,14 @@ def topk_users_per_item(spark, sf):
     return _topk_out(RC.top_k(vf, uf, TOP_K), "item", "user")
 
 
+@query("topk_pruned_counts")
+def topk_pruned_counts(spark, sf):
+    """Per user, how many items the pruned search decided on (scored or skipped), and whether it scored at least its list."""
+    uf, vf = V.factor_tables(spark, sf)
+    per = RC.top_k(uf, vf, TOP_K, counts=True).groupBy("id").agg(F.max(F.col("scored") + F.col("skipped")).alias("items"), F.min(F.col("scored") >= F.col("rank")).alias("enough"))
+    return per.select(F.col("id").cast("int").alias("user"), "items", "enough")
+
+
 @query("topk_user_subset")
 def topk_user_subset(spark, sf):
     """10 best items for the 3 smallest user ids of RAT."""

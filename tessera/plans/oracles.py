@@ -205,6 +205,8 @@ ORACLES["topk_users_per_item"] = _topk("vf", "uf", "item", '"user"')
 ORACLES["topk_user_subset"] = _topk(
     "uf", "vf", '"user"', "item",
     f'SELECT "user" FROM (SELECT DISTINCT "user" FROM rat) ORDER BY 1 LIMIT {Q.SUBSET_N}')
+ORACLES["topk_pruned_counts"] = f"""WITH {FAC}
+SELECT id AS "user", (SELECT CAST(count(*) AS BIGINT) FROM vf) AS items, true AS enough FROM uf"""
 ORACLES["topk_item_subset"] = _topk(
     "vf", "uf", "item", '"user"',
     f"SELECT item FROM (SELECT DISTINCT item FROM rat) ORDER BY 1 LIMIT {Q.SUBSET_N}")

@@ -142,3 +142,50 @@ def test_with_row_id(spark):
     big = spark.range(5000).selectExpr("(id * 7919) % 5003 AS key").repartition(7)
     ids = with_row_id(big, ["key"]).orderBy("key").select("rid").collect()
     assert [r.rid for r in ids] == list(range(5000))
+
+
+def best_by_hand(lids, U, rids, V, k):
+    out = []
+    for i, u in zip(lids, U):
+        scores = sorted((-(round(float(x), 6) + 0.0), int(r)) for r, x in zip(rids, np.round(V @ u, 6)))
+        out += [(int(i), n + 1, r, -s) for n, (s, r) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+STRATEGIES = {"small right": {}, "blocks": {"max_broadcast_bytes": 8, "block_rows": 150}, "one block": {"max_broadcast_bytes": 8}}
+
+
+@pytest.mark.parametrize("how", STRATEGIES)
+@pytest.mark.parametrize("norms", ["spread", "equal", "ties"])
+def test_pruned_search_is_exact_and_counts(spark, how, norms):
+    rng = np.random.default_rng(5)
+    U, V = rng.normal(size=(90, 6)), rng.normal(size=(1300, 6))
+    if norms == "spread":
+        V *= rng.pareto(1.5, 1300)[:, None] + 0.01
+    elif norms == "equal":
+        V /= np.sqrt((V * V).sum(axis=1))[:, None]
+    else:
+        V = np.round(V)
+        V[::3] = V[0]
+        U[4] = 0.0
+    lids, rids = np.arange(90), rng.permutation(1300) + 7
+    left, right = factors(spark, lids, U), factors(spark, rids, V)
+    got = RC.top_k(left, right, 5, counts=True, **STRATEGIES[how]).collect()
+    assert sorted((r.id, r["rank"], r.other, r.score) for r in got) == best_by_hand(lids, U, rids, V, 5)
+    per = {r.id: (r.scored, r.skipped) for r in got}
+    assert all(a + b == 1300 and a >= 5 for a, b in per.values())
+    if norms == "spread":
+        assert sum(b for _, b in per.values()) > 0.3 * 90 * 1300
+    plain = RC.top_k(left, right, 5, **STRATEGIES[how])
+    assert plain.columns == ["id", "rank", "other", "score"] and plain.count() == len(got)
+
+
+def test_few_left_rows_and_large_k(spark):
+    rng = np.random.default_rng(6)
+    U, V = rng.normal(size=(3, 4)), rng.normal(size=(200, 4)) * rng.pareto(1.0, 200)[:, None]
+    left, right = factors(spark, range(3), U), factors(spark, range(200), V)
+    got = RC.top_k(left, right, 4, counts=True)
+    assert sorted(tuple(r)[:4] for r in got.collect()) == best_by_hand(range(3), U, range(200), V, 4)
+    few = RC.top_k(right, left, 10, max_broadcast_bytes=8, block_rows=2, counts=True).collect()
+    assert len(few) == 600 and all(r.scored == 3 for r in few)
+    assert sorted((r.id, r["rank"], r.other, r.score) for r in few) == best_by_hand(range(200), V, range(3), U, 10)
