@@ -18,12 +18,13 @@ Work, in order:
    shares the most buckets with others, the centre of a group of near copies.  That is linear
    in the bucket and pulls large groups into few components; it is repeated with another
    pivot where a bucket still holds several components;
-4. rest: inside the buckets, pairs of nodes that are still in different components are
-   confirmed, so no link that joins two components is lost to the stars.  The first star has
-   counted what each node has in common with the pivot and marked the rest in a bitmap; from
-   these follows a bound on what two nodes can have in common, and pairs below it (most
-   pairs of altered copies that are not similar enough) are left out.  The bound is exact:
-   it never leaves out a link.
+4. rest: nodes that are still in different components are compared by a prefix-filtered join,
+   so no link that joins two components is lost to the stars.  The first star has found the
+   elements by which each node differs from the pivot.  Two linked nodes of one pivot must
+   have some of these differences in common, how many follows from the sizes; so differences
+   are ordered by rarity, and only nodes that share one of their necessary rare ones meet,
+   with a bound on what can still follow.  Altered copies of one text that were altered in
+   different places never meet, however many there are.
 
 Only pairs that the exact length bound and a 256-bit sketch of the signature allow are
 confirmed: the join condition compares two bits of each of 128 coordinates and passes a
@@ -53,7 +54,6 @@ from tessera.session import scratch_path
 COORDINATES = 128
 MISS = 1e-6
 STAR_ROUNDS = 2
-MARKS = 16
 #: Of 128; 96 are expected of unrelated sets.
 FIRST_DIFFERENCES = 64
 _SKETCH_SIGMAS = 5.6
@@ -157,38 +157,56 @@ def _near(percent: int, differences: int) -> str:
     return (f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) AND {differ} <= {differences}")
 
 
-def _bound(percent: int) -> str:
-    """What sides a, b can have in common is enough for a link: of the pivot's elements the smaller count, of the others
-    no more than the common bits of their bitmaps and the elements that share a bit inside one side."""
-    common = " + ".join(f"bit_count(a.m{i} & b.m{i})" for i in range(MARKS))
-    other = f"least({common} + least(a.n - a.c - a.bits, b.n - b.c - b.bits), a.n - a.c, b.n - b.c)"
-    return f"(a.c IS NULL OR b.c IS NULL OR {100 + percent} * (least(a.c, b.c) + {other}) >= {percent} * (a.n + b.n))"
-
-
 def _confirm(n: int, percent: int):
-    """Exact overlap c of the sets of text_a and text_b, whether they are linked, and the marks of b's elements that a lacks."""
+    """Whether the sets of text_a and text_b are linked, the size of a's, and the elements that only one of them has."""
     def run(batches):
         for part in T.chunks(batches, "text_a", T.CHUNK_BYTES // 2):
             names = part.schema.names
             size = part.num_rows
             (da, ha), (db, hb) = (shingle_sets(part.column(names.index(side)), n) for side in ("text_a", "text_b"))
             na, nb = np.bincount(da, minlength=size), np.bincount(db, minlength=size)
-            d, h, side = np.concatenate((da, db)), np.concatenate((ha, hb)), np.repeat([0, 1], (len(da), len(db)))
-            order = np.lexsort((side, h, d))
-            d, h, side = d[order], h[order], side[order]
+            d, h = np.concatenate((da, db)), np.concatenate((ha, hb))
+            order = np.lexsort((h, d))
+            d, h = d[order], h[order]
             both = (d[1:] == d[:-1]) & (h[1:] == h[:-1])
             common = np.bincount(d[1:][both], minlength=size)
-            alone = side == 1
+            alone = np.ones(len(d), bool)
             alone[1:] &= ~both
-            bit = (T.mix64(h[alone]) & np.uint64(64 * MARKS - 1)).astype(np.int64)
-            marks = np.zeros((size, MARKS), np.uint64)
-            np.bitwise_or.at(marks, (d[alone], bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+            alone[:-1] &= ~both
             linked = (100 * common >= percent * (na + nb - common)) & (common > 0)
+            differ = np.concatenate((np.zeros(1, np.int32), np.cumsum(na + nb - 2 * common, dtype=np.int32)))
             yield pa.record_batch({"a": part.column(names.index("a")), "b": part.column(names.index("b")), "linked": pa.array(linked),
-                                   "c": pa.array(common.astype(np.int64)), **{f"m{i}": T.signed(marks[:, i].copy()) for i in range(MARKS)}})
+                                   "pivot_n": pa.array(na.astype(np.int64)), "differ": pa.ListArray.from_arrays(pa.array(differ), T.signed(h[alone].copy()))})
     return run
 
 
+def _share_differences(rest: DataFrame, percent: int, near) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked, of nodes with a common pivot: a prefix-filtered join.
+
+    With D the difference of a node's set and the pivot's, linked nodes have |D_a & D_b| >= (|D_a| + |D_b| - r (n_a + n_b)) / 2,
+    r = (100 - percent) / (100 + percent).  A node not linked to the pivot has |D| > r (n + n_pivot), any node |D| - r n >= -r n_pivot;
+    so each side alone bounds that overlap from below, by 1 at least unless both are linked to the pivot (then they are in
+    one component).  Elements are ordered by rarity; of the d elements of D the first d + 1 - bound hold a common one.
+    """
+    nodes = rest.groupBy("pivot", "id").agg(*[F.first(c).alias(c) for c in ("comp", *_PLACES, "linked", "pivot_n", "differ")])
+    nodes = nodes.withColumn("d", F.size("differ"))
+    elements = nodes.select("pivot", "id", "comp", "d", F.explode("differ").alias("x"))
+    shared = elements.groupBy("pivot", "x").agg(F.count(F.lit(1)).alias("often"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    # Elements of one component only never meet another; they keep their places before all others.
+    shared = shared.where("lo <> hi").select("pivot", "x", "often")
+    of = Window.partitionBy("pivot", "id")
+    placed = elements.select("pivot", "id", "d", "x").join(shared, ["pivot", "x"])
+    placed = placed.withColumn("place", F.row_number().over(of.orderBy("often", "x")) + F.col("d") - F.count(F.lit(1)).over(of)).drop("d")
+    bound = lambda sign: F.expr(f"greatest(1, (d * {100 + percent} - {100 - percent} * (n {sign} pivot_n) + {2 * (100 + percent) - 1}) div {2 * (100 + percent)})")
+    sides = nodes.drop("differ").withColumn("narrow", F.col("d") + 1 - bound("-")).withColumn("wide", F.when(F.col("linked"), F.col("narrow")).otherwise(F.col("d") + 1 - bound("+")))
+    tokens = placed.join(sides, ["pivot", "id"]).where("place <= wide")
+    r = f"{100 - percent}D / {100 + percent}"
+    may = (f"a.comp < b.comp AND ((a.place <= a.narrow AND b.place <= b.narrow) OR a.linked OR b.linked)"
+           f" AND 2 * (1 + least(a.d - a.place, b.d - b.place)) >= a.d + b.d - {r} * (a.n + b.n) - 1e-6")
+    met = tokens.alias("a").join(tokens.alias("b"), F.expr(f"a.pivot = b.pivot AND a.x = b.x AND {may}") & near)
+    return met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+
+
 class _Tables:
     """Tables written to the checkpoint folder: read again they have no lineage, and a lost executor costs nothing finished."""
 
@@ -203,13 +221,13 @@ class _Tables:
 
 
 def confirm_pairs(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with `linked`, by the full sets of their texts, and what `_confirm` counts."""
+    """The pairs (a, b) with `linked`, by the full sets of their texts, and what else `_confirm` finds."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     used = texts.join(ids, "id", "left_semi")
     side = lambda c: used.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
     kind = texts.schema["id"].dataType.simpleString()
     return (pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-            .mapInArrow(_confirm(n, percent), f"a {kind}, b {kind}, linked boolean, c long, " + ", ".join(f"m{i} long" for i in range(MARKS))))
+            .mapInArrow(_confirm(n, percent), f"a {kind}, b {kind}, linked boolean, pivot_n long, differ array<long>"))
 
 
 def components(tables: _Tables, edges: DataFrame) -> DataFrame:
@@ -255,7 +273,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     node_texts = where_marked(texts, F.col("id"), some).join(some, "id", "left_semi")
     node_texts = tables.put(node_texts.dropDuplicates() if repeats else node_texts)
     near = F.expr(_near(percent, sketch_bound(percent)))
-    # The first star counts overlaps with the centre also where a link is out of question: the bound needs them.
+    # The first star finds differences from the centre also where a link is out of question: the rest needs them.
     around = F.expr(_near(percent, FIRST_DIFFERENCES))
 
     checked = edges = comps = None
@@ -276,15 +294,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 pivots = centres = tables.put(pivots)
             pairs = at.alias("b").join(pivots.alias("a"), "key").where("a.comp <> b.comp").where(near if turn else around)
         else:
-            # The bucket's first pivot and what each node has in common with it; the pivot has all.
-            marks = [f"m{i}" for i in range(MARKS)]
-            known = overlaps.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "c", *marks)
-            rest = at.join(open_keys.select("key"), "key").join(centres.select("key", F.col("id").alias("pivot")), "key").join(known, ["pivot", "id"], "left")
-            own = F.col("id") == F.col("pivot")
-            rest = tables.put(rest.select("key", "id", "comp", *_PLACES, F.when(own, F.col("n")).otherwise(F.col("c")).alias("c"),
-                                          *[F.when(own, F.lit(0)).otherwise(F.col(m)).alias(m) for m in marks])
-                              .withColumn("bits", sum([F.bit_count(m) for m in marks], F.lit(0))))
-            pairs = rest.alias("b").join(rest.alias("a"), F.expr("a.key = b.key AND a.comp < b.comp AND a.id <> b.id") & near & F.expr(_bound(percent)))
+            known = overlaps.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "linked", "pivot_n", "differ")
+            rest = at.join(open_keys.select("key"), "key").join(centres.select("key", F.col("id").alias("pivot")), "key").where("id <> pivot")
+            rest = tables.put(rest.join(known, ["pivot", "id"], "left"))
+            met = _share_differences(rest.where("linked IS NOT NULL"), percent, near)
+            # Nodes that the sketch puts so far from the pivot that nothing was counted: pairs of the bucket.
+            far = rest.where("linked IS NULL").alias("a").join(rest.drop("differ").alias("b"), F.expr("a.key = b.key AND a.comp <> b.comp") & near)
+            pairs = met.unionByName(far.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"))).distinct()
+            pairs = pairs.select(F.struct(F.col("a").alias("id")).alias("a"), F.struct(F.col("b").alias("id")).alias("b"))
         pairs = pairs.select("a.id", "b.id").toDF("a", "b").distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti").join(checked.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
@@ -327,4 +344,4 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, 85 of 100."""
     g = near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3, percent=85)
     return g.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"),
-                    (F.col("id") == F.col("comp")).alias("kept"))
+                    F.coalesce(F.col("id") == F.col("comp"), F.lit(True)).alias("kept"))
