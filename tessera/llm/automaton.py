@@ -14,6 +14,7 @@ that state until both runs agree, so the states are those of a single sequential
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from re import _constants as C
 from re import _parser
 
@@ -26,9 +27,10 @@ _CATEGORIES = {
 
 
 class _Nfa:
-    """States with byte-set moves and empty moves."""
+    """States with byte-set moves and empty moves; `backwards`: of the reversed words."""
 
-    def __init__(self):
+    def __init__(self, backwards: bool = False):
+        self.backwards = backwards
         self.moves: list[list[tuple[frozenset, int]]] = []
         self.empty: list[list[int]] = []
 
@@ -38,7 +40,7 @@ class _Nfa:
 
     def add(self, tree, at: int) -> int:
         """Appends a parsed sequence to state `at`; returns its last state."""
-        for op, arg in tree:
+        for op, arg in reversed(list(tree)) if self.backwards else tree:
             at = self._one(op, arg, at)
         return at
 
@@ -110,10 +112,15 @@ class Automaton:
     ends: np.ndarray         # state -> bit set of rules
     dead: int                # state from which nothing matches, -1 if there is none
 
+    @cached_property
+    def bytewise(self) -> tuple[list[list[int]], list[int]]:
+        """(state -> byte -> state, state -> rules) as lists, for walks byte by byte."""
+        return self.moves[:, self.classes].tolist(), self.ends.tolist()
 
-def compile_rules(rules: list[str], search: bool, limit: int = 60_000) -> Automaton:
-    """One automaton for all rules; `search`: a match may begin at every byte, else only at the first."""
-    nfa = _Nfa()
+
+def compile_rules(rules: list[str], search: bool, limit: int = 60_000, backwards: bool = False) -> Automaton:
+    """One automaton for all rules; `search`: a match may begin at every byte, else only at the first; `backwards`: of reversed text."""
+    nfa = _Nfa(backwards)
     start = nfa.state()
     final: dict[int, int] = {}
     for i, rule in enumerate(rules):
@@ -201,11 +208,23 @@ def scan(a: Automaton, data: np.ndarray, lanes: int = 4096) -> np.ndarray:
 
 def longest(a: Automaton, data: bytes, at: int) -> int:
     """End of the longest match that begins at `at`, or -1 (for an automaton that doesn't search)."""
-    state, end = 0, -1
+    moves, ends = a.bytewise
+    state, end, dead = 0, -1, a.dead
     for i in range(at, len(data)):
-        state = a.moves[state, a.classes[data[i]]]
-        if state == a.dead:
+        state = moves[state][data[i]]
+        if state == dead:
             break
-        if a.ends[state]:
+        if ends[state]:
             end = i + 1
     return end
+
+
+def begins(a: Automaton, data: bytes) -> list[int]:
+    """Ascending places at which some match begins, by one pass from the end; `a` searches backwards."""
+    moves, ends = a.bytewise
+    state, out = 0, []
+    for i in range(len(data) - 1, -1, -1):
+        state = moves[state][data[i]]
+        if ends[state]:
+            out.append(i)
+    return out[::-1]

@@ -2,9 +2,11 @@
 
 One byte pass marks the bytes at which some rule could end.  While any match is under way
 the automaton is outside its start state, so every match lies inside one stretch of such
-bytes; only stretches with a marked byte are looked at again.  There each marked rule's own
-(anchored) automaton takes leftmost, longest, non-overlapping matches, and what is too
-short is dropped.  Counting a least length in the combined automaton multiplies its states,
+bytes; only stretches with a marked byte are looked at again.  There a pass from the end, with
+the automaton of a marked rule's reversed words, finds the places at which its matches begin,
+and from these its own (anchored) automaton takes leftmost, longest, non-overlapping
+matches; what is too short is dropped.  A match under way never runs on far beyond its end,
+and no place without a match is tried, so the time is linear in the text.  Counting a least length in the combined automaton multiplies its states,
 so only the hex rule, which would mark ordinary words, has one there, and a smaller one.
 
 Texts are scanned whole, many at once: a zero byte stands between documents and takes part
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import tokens as T
-from tessera.llm.automaton import Automaton, compile_rules, longest, scan
+from tessera.llm.automaton import Automaton, begins, compile_rules, longest, scan
 
 @dataclass(frozen=True)
 class Rule:
@@ -67,6 +69,7 @@ class Scanner:
         self.rules = rules
         self.all: Automaton = compile_rules([r.marks for r in rules], search=True)
         self.one = [compile_rules([r.whole], search=False) for r in rules]
+        self.back = [compile_rules([r.whole], search=True, backwards=True) for r in rules]
         # Where a kept match's value begins: the longest match of what stands before it.
         self.head = [compile_rules([_NAME + _GLUE], search=False) if r.value else None for r in rules]
 
@@ -91,20 +94,15 @@ class Scanner:
 
     def _take(self, piece: bytes, r: int, rule: Rule):
         """Leftmost, longest matches that do not overlap, then those that are long enough."""
-        one, at = self.one[r], 0
-        first = np.flatnonzero(one.moves[0, one.classes] != one.dead) if one.dead >= 0 else np.arange(256)
-        first = set(first.tolist())
-        while at < len(piece):
-            end = longest(one, piece, at) if piece[at] in first else -1
-            if end < 0:
-                at += 1
+        free = 0
+        for at in begins(self.back[r], piece):
+            if at < free:
                 continue
-            value = at
-            if rule.value:
-                value = longest(self.head[r], piece, at)
+            end = longest(self.one[r], piece, at)
+            value = longest(self.head[r], piece, at) if rule.value else at
             if end - value >= rule.least:
                 yield at, end
-            at = end
+            free = end
 
 
 def _scan(scanner: Scanner, base: int):

@@ -3,12 +3,13 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
 from tessera.llm import secrets as S
-from tessera.llm.automaton import compile_rules, longest, scan
+from tessera.llm.automaton import begins, compile_rules, longest, scan
 from tests.conftest import SF_SMALL
 from tests.llm import plain
 
@@ -54,6 +55,24 @@ def test_scan_equals_one_sequential_pass():
     assert ends == {e for s in range(len(text)) if (m := re.compile("ab*c").match(text, s)) for e in [m.end()]}
 
 
+def test_time_is_linear(scanner):
+    """A megabyte of beginnings that don't become matches."""
+    begun = time.perf_counter()
+    for text in ("eyJ" * 350_000 + "token=eyJa.eyJb.c ", "eyJa." * 200_000 + " token=abcdefgh ", "password" + " " * 1_000_000 + " secret=12345678 ",
+                 "-----BEGIN " * 90_000 + "token=abcdefgh ", "token=" * 170_000 + " "):
+        assert named(scanner, text) == plain.secrets(text)
+    assert time.perf_counter() - begun < 60
+
+
+def test_begins_are_all_starts():
+    rnd = random.Random(6)
+    for rule in ("ab*c", "a(bc|b)+", "[ab]{2}c?", "eyJ[a-c]+[.]eyJ[a-c]+"):
+        back = compile_rules([rule], search=True, backwards=True)
+        for _ in range(60):
+            text = "".join(rnd.choice(["a", "b", "c", "eyJ", "."]) for _ in range(30))
+            assert begins(back, text.encode()) == [i for i in range(len(text)) if re.compile(rule).match(text, i)], (rule, text)
+
+
 def test_longest_match():
     a = compile_rules(["a(bc|b)*", "x{2,3}"], search=False)
     assert [longest(a, t, 0) for t in (b"abcbcb!", b"axx", b"xxxx", b"x", b"")] == [6, 1, 3, -1, -1]
