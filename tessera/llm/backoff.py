@@ -79,8 +79,12 @@ def _squeezed(raw) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
+def unsqueezed_size(raw: bytes) -> int:
+    return int.from_bytes(raw[:8], "little")
+
+
 def _unsqueezed(raw: bytes) -> bytes:
-    return pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+    return pa.decompress(raw[8:], decompressed_size=unsqueezed_size(raw), codec="zstd", asbytes=True)
 
 
 def _packed_hashes(h: np.ndarray) -> bytes:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import tokens as T
-from tessera.llm.backoff import _squeezed, _unsqueezed
+from tessera.llm.backoff import _squeezed, _unsqueezed, unsqueezed_size
 
 TURN, END = b"<|turn|>", b"<|end|>\n"
 ASSISTANT = "assistant"
@@ -113,10 +113,21 @@ def _pieces(batches):
             "loss": pa.ListArray.from_arrays(pa.array(np.searchsorted(said, np.append(first, part.num_rows)).astype(np.int32)), loss)})
 
 
+def _unpacked_chunks(batches, limit: int = T.CHUNK_BYTES):
+    """Slices of the batches whose pieces hold at most `limit` bytes uncompressed, or one piece."""
+    for batch in batches:
+        sizes = np.cumsum([unsqueezed_size(x.as_py()) for x in batch.column(batch.schema.names.index("formatted"))])
+        at, done = 0, 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(sizes, done + limit, "right")))
+            yield batch.slice(at, to - at)
+            at, done = to, sizes[to - 1]
+
+
 def _numbered(batches):
     """Pieces in order, numbered along their conversation."""
     last, number = None, -1
-    for part in T.chunks(batches, "formatted"):
+    for part in _unpacked_chunks(batches):
         numbers = []
         for i in part.column(0).to_pylist():
             last, number = (i,), number + 1 if last == (i,) else 0

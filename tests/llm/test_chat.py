@@ -75,3 +75,14 @@ def test_query_matches_oracle(spark):
     rows = C.op5_chat_formatting(spark, SF_SMALL).where("conv_id = -7").collect()
     said = "\\### Assistant: </turn> ok"
     assert (rows[0].n_turns, rows[0].loss_chars, rows[0].loss_sha256) == (2, len(said), hashlib.sha256(said.encode()).hexdigest())
+
+
+def test_pieces_are_cut_by_their_uncompressed_size():
+    """Very repetitive pieces are small while compressed; a batch of them is not unpacked at once."""
+    raw = [b"<|turn|>user\n" + b"a" * 1_000_000 + b"<|end|>\n"] * 40
+    batch = pa.record_batch({"conv_id": pa.array([1] * 40), "part": pa.array([0] * 40, pa.int32()), "piece": pa.array(range(40), pa.int32()),
+                             "formatted": pa.array([C._squeezed(x) for x in raw], pa.binary()),
+                             "loss": pa.array([[]] * 40, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))})
+    out = list(C._numbered([batch]))
+    assert max(b.nbytes for b in out) < 3_000_000 and [n for b in out for n in b.column(1).to_pylist()] == list(range(40))
+    assert [x for b in out for x in b.column(2).to_pylist()] == raw
