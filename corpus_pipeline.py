@@ -45,11 +45,22 @@ def sources_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mix(docs)
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """The name, with underscores while a column of the documents has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows with `curve`, `shard` and `slot`: eight shards along language, source and length."""
-    tied = docs.withColumn("__tie", F.xxhash64("text"))
-    along, total = sharding.hilbert_ranked(tied, ["lang", "source", "n_chars"], ["doc_id", "__tie"])
-    return sharding.cut(along, total, sharding.SHARDS).drop("rank", "__tie")
+    """The rows with `curve`, `shard` and `slot`: eight shards along language, source and length.
+
+    Documents that have columns of these names keep them; the stage's get an underscore more.
+    """
+    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col("lang").alias("dim0"), F.col("source").alias("dim1"),
+                         F.col("n_chars").alias("dim2"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"))
+    along, total = sharding.hilbert_ranked(packed, ["dim0", "dim1", "dim2"], ["id", "tie"])
+    return sharding.cut(along, total, sharding.SHARDS).select("doc.*", *[F.col(c).alias(_free(c, docs.columns)) for c in ("curve", "shard", "slot")])
 
 
 STAGES = [
