@@ -53,3 +53,12 @@ def test_run_on_odd_rows(spark, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{tmp_path}/{t}.parquet").write.parquet(f"{tmp_path}/none/{t}.parquet")
     assert P.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_sharding_keeps_columns_of_its_own_names(spark):
+    rows = [(i, f"text {i}", "en", "a", 6, f"r{i}", i * 10, -1, "s") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, rank string, curve long, shard int, slot string")
+    out = P.sharded(spark, df, SF_SMALL)
+    assert out.columns == [*df.columns, "curve_", "shard_", "slot_"]
+    assert sorted(tuple(r)[:9] for r in out.collect()) == rows
+    assert Counter(r.shard_ for r in out.collect()) == Counter({s: 3 if s < 4 else 2 for s in range(8)})
