@@ -94,3 +94,23 @@ def update_many(state: DataFrame, info: DataFrame, winners: dict[str, int],
         "CASE WHEN valid THEN greatest(max_d, d) ELSE max_d END AS max_d",
         "CASE WHEN valid THEN sum_pos + greatest(d, 0.0D) ELSE sum_pos END AS sum_pos",
         "valid")
+
+
+# ------------------------------------------------------------- scores as upper bounds
+
+def lazy_bound_sql(criterion: str) -> str:
+    """SQL text of the score of a state row against the winners it has seen: no more than its score against later ones too."""
+    return "rel - sum_pos" if criterion == "icap" else "coalesce(rel - max_d, double('infinity'))"
+
+
+def update_lazily(state: DataFrame, info: DataFrame, won: list[int]) -> DataFrame:
+    """Fold (j, k, mi, cmi) of the winners a feature has not seen, in their order; features absent from ``info`` stay."""
+    place = F.element_at(F.create_map(*[F.lit(x) for i, j in enumerate(won) for x in (int(j), i)]), F.col("j"))
+    per = info.groupBy("k").agg(F.array_sort(F.collect_list(F.struct(place.alias("i"), (F.coalesce("mi", F.lit(0.0)) - F.coalesce("cmi", F.lit(0.0))).alias("d")))).alias("ds"))
+    new = state.join(per, "k", "left").withColumn("ds", F.filter("ds", lambda e: e["i"] >= F.col("seen")))
+    fold = "valid AND ds IS NOT NULL"
+    return new.selectExpr(
+        "k", "rel", "sum_m", "sum_c",
+        f"CASE WHEN {fold} THEN aggregate(ds, max_d, (a, e) -> greatest(a, e.d)) ELSE max_d END AS max_d",
+        f"CASE WHEN {fold} THEN aggregate(ds, sum_pos, (a, e) -> a + greatest(e.d, 0.0D)) ELSE sum_pos END AS sum_pos",
+        "valid", f"CASE WHEN {fold} THEN {len(won)} ELSE seen END AS seen")

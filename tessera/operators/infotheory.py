@@ -44,14 +44,18 @@ def dense_cells(df: DataFrame, x: str = "x", y: str = "y", given: int | None = N
     return exploded.groupBy(*CELL_KEYS).agg(F.expr("count(1) AS c"))
 
 
-def dense_cells_many(df: DataFrame, given: list[int], x: str = "x", y: str = "y") -> DataFrame:
-    """Cells (j, k, v, z, y, c) against every feature j in ``given`` in ONE pass.
+def dense_cells_many(df: DataFrame, given: list[int], x: str = "x", y: str = "y", only: list[int] | None = None) -> DataFrame:
+    """Cells (j, k, v, z, y, c) against every feature j in ``given`` in ONE pass; of the features in ``only`` if given.
 
     Each row is exploded over its features and over the |given| reference
     features, so one scan serves several selection runs in lockstep.
     """
     refs = ", ".join(f"named_struct('j', {int(j)}, 'z', {x}[{int(j)}])" for j in given)
-    exploded = df.selectExpr(f"{y} AS y", f"explode(array({refs})) AS g", f"posexplode({x}) AS (k, v)")
+    if only is None:
+        exploded = df.selectExpr(f"{y} AS y", f"explode(array({refs})) AS g", f"posexplode({x}) AS (k, v)")
+    else:
+        some = ", ".join(f"named_struct('k', {int(k)}, 'v', {x}[{int(k)}])" for k in only)
+        exploded = df.selectExpr(f"{y} AS y", f"explode(array({refs})) AS g", f"inline(array({some})) AS (k, v)")
     return (exploded.selectExpr("g.j AS j", "k", "v", "g.z AS z", "y")
             .groupBy("j", *CELL_KEYS).agg(F.expr("count(1) AS c")))
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.vectors import gather
+from tessera.operators import bitslices as B
 from tessera.operators import criteria as C
 from tessera.operators import infotheory as I
 from tessera.operators.checks import label_fault, vector_fault
@@ -68,13 +69,31 @@ class DenseFeatures:
     def cells(self, given: int | None) -> DataFrame:
         return I.dense_cells(self.data, given=given)
 
-    def cells_many(self, given: list[int]) -> DataFrame:
-        return I.dense_cells_many(self.data, given)
+    def cells_many(self, given: list[int], only: list[int] | None = None) -> DataFrame:
+        return I.dense_cells_many(self.data, given, only=only)
 
     def release(self) -> None:
         self.persisted.unpersist()
 
 
+class BitSlicedFeatures(DenseFeatures):
+    """The same rows as bitmaps per (feature, value, chunk of rows), persisted once: a round counts bits of ANDs."""
+
+    def __init__(self, df: DataFrame, x: str = "x", y: str = "y", n_partitions: int = 0, check: bool = True):
+        super().__init__(df, x, y, n_partitions, check)
+        self.slices = B.bit_slices(self.data).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def cells(self, given: int | None) -> DataFrame:
+        return B.cells(self.slices, [given]).drop("j")
+
+    def cells_many(self, given: list[int], only: list[int] | None = None) -> DataFrame:
+        return B.cells(self.slices, given, only)
+
+    def release(self) -> None:
+        self.slices.unpersist()
+        super().release()
+
+
 SPARSE_DENSITY = 0.5       # vector columns stored sparser than this take the sparse path
 
 
@@ -262,6 +281,58 @@ def greedy_select(source, criterion: str = C.DEFAULT_CRITERION, n: int = 10,
     return greedy_select_many(source, [criterion], n, beta)[C.check_criterion(criterion)]
 
 
+LAZY_CRITERIA = ("icap", "cmim", "if")
+LAZY_BATCH = 16            # stale features that one job brings up to date
+
+
+@dataclass
+class LazySelection(Selection):
+    evaluated: int               # (feature, winner) pairs whose measures were counted
+    eager: int                   # pairs that counting every feature in every round takes
+
+
+def lazy_select(source, criterion: str, n: int = 10, batch: int = LAZY_BATCH) -> LazySelection:
+    """E1 for icap, cmim and if, counting only features that may win.
+
+    Their scores never rise as the set grows (icap from the relevance on, cmim and if from the first
+    winner on), so a score that misses the last winners is an upper bound.  A round brings the
+    features of the highest bounds up to date, ``batch`` at a time, until one that is up to date
+    stands first; in the order used for ties no other can pass it.  The picks and scores are
+    those of ``greedy_select``.  The state, with the number of winners each feature has been
+    counted against, is a table under the checkpoint folder; only the first ``batch`` rows
+    come to the driver.
+    """
+    crit = C.check_criterion(criterion)
+    if crit not in LAZY_CRITERIA:
+        raise ValueError(f"only {', '.join(LAZY_CRITERIA)} can be bounded, not {crit}")
+    n = max(0, min(int(n), source.n_features))
+    won, scores, evaluated = [], [], 0
+    tables = RoundTables(source.spark, "lazy-selection")
+    try:
+        state = tables.put(C.initial_state(relevance_table(source)).withColumn("seen", F.lit(0))) if n else None
+        while len(won) < n:
+            bound = C.lazy_bound_sql(crit) if won else "rel"
+            order = [F.expr(f"round({bound}, {TIE_DIGITS})").desc(), F.col("k").asc()]
+            top = state.where("valid").select("k", "seen", F.expr(bound).alias("bound")).orderBy(*order).limit(batch).collect()
+            if not won or top[0]["seen"] == len(won):
+                won.append(int(top[0]["k"]))
+                scores.append(float(top[0]["bound"]))
+                state = state.withColumn("valid", F.col("valid") & (F.col("k") != won[-1]))
+                continue
+            stale = {int(r["k"]): r["seen"] for r in top if r["seen"] < len(won)}
+            # Without an upper bound yet (cmim, if before the first winner) every feature is counted.
+            every = any(r["bound"] == float("inf") for r in top)
+            since = min(stale.values())
+            given = won[since:]
+            info = I.information(source.cells_many(given, None if every else sorted(stale)), keys=("j", "k")).select("j", "k", "mi", "cmi")
+            state = tables.put(C.update_lazily(state, info, won))
+            evaluated += (source.n_features - len(won)) * len(given) if every else sum(len(won) - s for s in stale.values())
+    finally:
+        tables.close()
+    eager = sum(source.n_features - i for i in range(1, n))
+    return LazySelection(won, scores, evaluated, eager)
+
+
 def selection_frame(spark: SparkSession, sel: Selection) -> DataFrame:
     """(rank int, feat int, score double) in selection order (n rows)."""
     rows = [(i + 1, f, s) for i, (f, s) in enumerate(zip(sel.features, sel.scores))]

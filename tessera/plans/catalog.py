@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators import bitslices as B
 from tessera.operators import checks as K
 from tessera.operators import criteria as C
 from tessera.operators import infotheory as I
@@ -262,6 +263,33 @@ def fs_fit_sparse_vectors(spark, sf):
     return model.selection(spark).select("rank", "feat", r6(F.col("score")).alias("score"))
 
 
+def _select_otherwise(name: str, criterion: str, source, select):
+    @query(name)
+    def run(spark, sf):
+        src = source(V.byte_matrix(spark, sf))
+        try:
+            out = S.selection_frame(spark, select(src, criterion, SELECT_N))
+            return out.select("rank", "feat", r6(F.col("score")).alias("score"))
+        finally:
+            src.release()
+    run.__name__ = name
+    run.__doc__ = f"E1 with criterion {criterion} by {select.__name__} over {source.__name__}: rank, feature, score."
+
+
+for _crit in ("jmi", "mrmr"):
+    _select_otherwise(f"select_bit_sliced_{_crit}", _crit, S.BitSlicedFeatures, S.greedy_select)
+for _crit in S.LAZY_CRITERIA:
+    _select_otherwise(f"select_lazy_{_crit}", _crit, S.BitSlicedFeatures, S.lazy_select)
+
+
+@query("contingency_bit_sliced")
+def contingency_bit_sliced(spark, sf):
+    """The cells of LIN as bit counts."""
+    cells = B.cells(B.bit_slices(V.lineitem_matrix(spark, sf)), [None])
+    return cells.select(F.col("k").cast("int").alias("k"), F.col("v").cast("int").alias("v"),
+                        F.col("y").cast("int").alias("y"), F.col("c").cast("bigint").alias("c"))
+
+
 @query("select_mrmr_sparse")
 def select_mrmr_sparse(spark, sf):
     """E1 on the sparse path: mrmr, 3 features of SPA."""

@@ -104,6 +104,11 @@ relv AS ({info_select(REL_CELLS)}),
 red AS ({info_select(cells_given(_J))})
 SELECT CAST(k AS INTEGER) AS k, {R('mi')} AS mi, {R('cmi')} AS cmi FROM red"""
 
+for _crit in ("jmi", "mrmr"):
+    ORACLES[f"select_bit_sliced_{_crit}"] = ORACLES[f"select_{_crit}"]
+for _crit in ("icap", "cmim", "if"):
+    ORACLES[f"select_lazy_{_crit}"] = ORACLES[f"select_{_crit}"]
+ORACLES["contingency_bit_sliced"] = ORACLES["contingency_counts"]
 ORACLES["select_mrmr_sparse"] = selection_sql(SPA, "mrmr", Q.SELECT_N)
 ORACLES["fs_fit_sparse_vectors"] = ORACLES["select_mrmr_sparse"]
 
