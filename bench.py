@@ -64,7 +64,7 @@ def main() -> None:
 
     @timed("select_7x10")
     def _():
-        src = S.DenseFeatures(V.byte_matrix(spark, sf_dir))
+        src = S.BitSlicedFeatures(V.byte_matrix(spark, sf_dir))
         try:
             res = S.greedy_select_many(src, list(C.CRITERIA), 10)
         finally:
