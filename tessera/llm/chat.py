@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import tokens as T
-from tessera.llm.backoff import _squeezed, _unsqueezed, unsqueezed_size
+from tessera.llm.backoff import _squeezed, _unsqueezed
 
 TURN, END = b"<|turn|>", b"<|end|>\n"
 ASSISTANT = "assistant"
@@ -114,9 +114,9 @@ def _pieces(batches):
 
 
 def _unpacked_chunks(batches, limit: int = T.CHUNK_BYTES):
-    """Slices of the batches whose pieces hold at most `limit` bytes uncompressed, or one piece."""
+    """Slices of the batches whose pieces hold at most `limit` bytes uncompressed (a piece begins with its length), or one piece."""
     for batch in batches:
-        sizes = np.cumsum([unsqueezed_size(x.as_py()) for x in batch.column(batch.schema.names.index("formatted"))])
+        sizes = np.cumsum([int.from_bytes(x.as_py()[:8], "little") for x in batch.column(batch.schema.names.index("formatted"))])
         at, done = 0, 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(sizes, done + limit, "right")))
