@@ -41,6 +41,43 @@ def hash_split(df: DataFrame, keys: Sequence[str], fraction: float) -> tuple[Dat
     return df.filter(h < hash_cut(fraction)), df.filter(h >= hash_cut(fraction))
 
 
+_BUCKET_BITS = 12
+
+
+def exact_split(df: DataFrame, keys: Sequence[str], fraction: float) -> tuple[DataFrame, DataFrame]:
+    """(main, rest) with exactly round(fraction * rows) rows in ``main`` (L2): those of the smallest key hashes.
+
+    The cut is an order statistic of the 60-bit hash, found by refining a histogram: each pass
+    counts the rows of the current hash range in 4096 parts (at most that many rows come back) and goes
+    on in the part that holds the cut.  Rows whose hash is the cut itself (repeated keys)
+    are numbered, in the order of a hash of all columns, and the first of them are taken.
+    """
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError(f"fraction must be in [0, 1], got {fraction}")
+    hashed = df.withColumn("__h", key_hash(keys))
+    left = int(fraction * df.count() + 0.5)             # rows still to find below the cut
+    low, bits = 0, HASH_SPACE.bit_length() - 1
+    while bits and left:
+        bits -= _BUCKET_BITS
+        part = F.shiftright(F.col("__h") - low, bits)
+        counts = sorted(hashed.where((F.col("__h") >= low) & (F.col("__h") < low + (1 << bits + _BUCKET_BITS)))
+                        .groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+        for r in counts:
+            if r["n"] >= left:                          # the cut lies in this part, or at its end
+                at = r["part"]
+                break
+            left -= r["n"]
+        low += at << bits
+        if r["n"] == left:                              # the whole part, so no row is split off
+            low, left = low + (1 << bits), 0
+    main, rest = hashed.where(F.col("__h") < low), hashed.where(F.col("__h") >= low)
+    if left:
+        same = with_row_id(hashed.where(F.col("__h") == low).withColumn("__o", F.xxhash64(*df.columns)), ["__o"], "__n")
+        main = main.unionByName(same.where(F.col("__n") < left).drop("__o", "__n"))
+        rest = hashed.where(F.col("__h") > low).unionByName(same.where(F.col("__n") >= left).drop("__o", "__n"))
+    return main.drop("__h"), rest.drop("__h")
+
+
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
     """Seeded ``randomSplit``; weights are normalised as in Spark."""
     return df.randomSplit(list(weights), seed)

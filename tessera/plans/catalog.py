@@ -19,7 +19,7 @@ from tessera.operators import recommend as RC
 from tessera.operators import selection as S
 from tessera.operators import svm as SV
 from tessera.operators.als import fit_chunked_als
-from tessera.operators.split import hash_cut, hash_split, key_hash, with_row_id
+from tessera.operators.split import exact_split, hash_cut, hash_split, key_hash, with_row_id
 from tessera.plans import views as V
 from tessera.session import scratch_path
 from tessera.sources import labeled as LB
@@ -334,6 +334,24 @@ def ratings_csv_scan(spark, sf):
                          "rating", F.col("timestamp").alias("ts"))
 
 
+def _csv_files(spark, sf):
+    path = scratch_path(spark, "rating-feed")
+    V.rating_csv_feed(spark, sf).write.text(path)
+    return RS.scan_rating_csv(spark, path)
+
+
+@query("ratings_csv_files")
+def ratings_csv_files(spark, sf):
+    """A feed written as files and scanned with the declared schema: its good rows."""
+    return _csv_files(spark, sf)[0].select(F.col("userid").alias("user"), F.col("movieid").alias("item"), "rating", F.col("timestamp").alias("ts"))
+
+
+@query("ratings_csv_files_bad")
+def ratings_csv_files_bad(spark, sf):
+    """The lines of that feed that do not fit the schema."""
+    return _csv_files(spark, sf)[1]
+
+
 @query("labeled_parse")
 def labeled_parse(spark, sf):
     """S3: ``label,tag,f1 ... fn`` lines; (id, label, k, v) exploded."""
@@ -414,6 +432,20 @@ def split_counts(spark, sf):
                  F.sum((~train).cast("bigint")).alias("n_test"))
 
 
+@query("split_exact")
+def split_exact(spark, sf):
+    """L2: exactly round(0.8 n) rows of RAT on the training side; every row with its side."""
+    main, rest = exact_split(V.ratings(spark, sf), ["user", "item"], V.TRAIN_FRACTION)
+    return main.withColumn("side", F.lit("train")).unionByName(rest.withColumn("side", F.lit("test")))
+
+
+@query("split_exact_repeated_keys")
+def split_exact_repeated_keys(spark, sf):
+    """L2 by a key that many rows share (the item): row counts of both sides."""
+    main, rest = exact_split(V.ratings(spark, sf), ["item"], 0.5)
+    return main.agg(F.count(F.lit(1)).alias("n_train")).crossJoin(rest.agg(F.count(F.lit(1)).alias("n_test")))
+
+
 @query("row_ids")
 def row_ids(spark, sf):
     """L3: consecutive row ids of RAT in (user, item) order, all columns, distributed."""

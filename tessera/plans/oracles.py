@@ -136,6 +136,19 @@ ORACLES["ratings_csv_scan"] = f"""WITH {RAT}
 SELECT CAST("user" AS BIGINT) AS "user", CAST(item AS BIGINT) AS item, rating,
        CAST(ts AS VARCHAR) AS ts FROM rat"""
 
+_FEED = f"""{RAT},
+feed AS (SELECT *, concat_ws(',', CAST("user" AS VARCHAR), CAST(item AS VARCHAR), CAST(rating AS VARCHAR), CAST(ts AS VARCHAR)) AS line FROM rat),
+kinds AS (SELECT *, substr(md5(line), 1, 1) AS kind FROM feed)"""
+ORACLES["ratings_csv_files"] = f"""WITH {_FEED}
+SELECT CAST("user" AS BIGINT) AS "user", CAST(item AS BIGINT) AS item, rating, CAST(ts AS VARCHAR) AS ts FROM kinds WHERE kind NOT IN ('0', '1')"""
+ORACLES["ratings_csv_files_bad"] = f"""WITH {_FEED}
+SELECT concat_ws(',', CAST("user" AS VARCHAR), CAST(item AS VARCHAR), CASE kind WHEN '0' THEN CAST(rating AS VARCHAR) ELSE 'n/a' END,
+                 CASE kind WHEN '1' THEN CAST(ts AS VARCHAR) END) AS line FROM kinds WHERE kind IN ('0', '1')"""
+ORACLES["split_exact"] = f"""WITH {SPLIT},
+n AS (SELECT *, row_number() OVER (ORDER BY h, "user", item) AS pos, count(*) OVER () AS n FROM rat_b)
+SELECT "user", item, rating, ts, CASE WHEN pos <= floor(0.8::DOUBLE * n + 0.5::DOUBLE) THEN 'train' ELSE 'test' END AS side FROM n"""
+ORACLES["split_exact_repeated_keys"] = f"""WITH {RAT}
+SELECT CAST(floor(0.5::DOUBLE * count(*) + 0.5::DOUBLE) AS BIGINT) AS n_train, CAST(count(*) - floor(0.5::DOUBLE * count(*) + 0.5::DOUBLE) AS BIGINT) AS n_test FROM rat"""
 ORACLES["labeled_parse"] = """WITH e AS (
   SELECT vec_id AS id, CAST(CAST(label < 5 AS INTEGER) AS DOUBLE) AS label,
          generate_subscripts(embedding, 1) - 1 AS k, unnest(embedding) AS e FROM embeddings)

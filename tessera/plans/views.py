@@ -60,6 +60,17 @@ def rating_csv_lines(spark: SparkSession, sf: str) -> DataFrame:
                                        for c in ("user", "item", "rating", "ts")]).alias("value"))
 
 
+def rating_csv_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """RATCSV: the comma-separated lines, of which those whose md5 starts with '0' lose their last
+    field and those with '1' have a rating that is no number."""
+    r = ratings(spark, sf)
+    text = [F.col(c).cast("string") for c in ("user", "item", "rating", "ts")]
+    full = F.concat_ws(",", *text)
+    first = F.substring(F.md5(full), 1, 1)
+    return r.select(F.when(first == "0", F.concat_ws(",", *text[:3])).when(first == "1", F.concat_ws(",", *text[:2], F.lit("n/a"), text[3]))
+                    .otherwise(full).alias("value"))
+
+
 def clean_rating_lines(spark: SparkSession, sf: str) -> DataFrame:
     """RATLINE without bad lines."""
     return ratings(spark, sf).select(F.concat_ws("::", *[F.col(c).cast("string")

@@ -67,6 +67,21 @@ def read_rating_csv(spark: SparkSession, path: str, schema: str = CSV_SCHEMA,
     return spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").csv(path)
 
 
+def scan_rating_csv(spark: SparkSession, path: str, schema: str = CSV_SCHEMA, header: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S2, permissive: (good rows, bad lines) of delimited files with a declared schema.
+
+    A line of another number of fields, or with one that does not parse, is bad and kept whole.
+    Both sides look at all fields, so a line is judged alike whatever columns are read later.
+    """
+    corrupt = "_corrupt_line"
+    read = spark.read.schema(f"{schema}, {corrupt} string").option("header", header).option("mode", "PERMISSIVE") \
+        .option("columnNameOfCorruptRecord", corrupt).csv(path)
+    fields = [c for c in read.columns if c != corrupt]
+    whole = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in fields])) >= 0
+    return (read.where(F.col(corrupt).isNull() & whole).select(*fields),
+            read.where(F.col(corrupt).isNotNull() & whole).select(F.col(corrupt).alias("line")))
+
+
 def parse_csv_lines(df: DataFrame, value: str = "value", schema: str = CSV_SCHEMA) -> DataFrame:
     """S2 for a line column: the same CSV parser through ``from_csv``."""
     parsed = df.select(F.from_csv(F.col(value), schema, {"mode": "FAILFAST"}).alias("r"))

@@ -100,3 +100,13 @@ def test_checks(spark):
     assert K.byte_violations(n).count() == 2
     faults = [r.fault for r in K.vector_violations(n, byte=True).collect()]
     assert sorted(faults) == ["length", "null element", "null vector"]
+
+
+def test_csv_files_good_and_bad(spark, tmp_dir):
+    from tessera.sources.ratings import scan_rating_csv
+    lines = ["1,2,3.5,100", "1,2,x,100", "1,2,3.5", "1,2,3.5,100,9", "7,8,1.0,abc", "9,9,2.0,"]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_dir}/feed")
+    good, bad = scan_rating_csv(spark, f"{tmp_dir}/feed")
+    assert sorted(r.userid for r in good.select("userid").collect()) == [1, 7, 9]
+    assert sorted(r.line for r in bad.collect()) == sorted(lines[1:4])
+    assert good.count() == 3 and bad.count() == 3

@@ -26,3 +26,17 @@ def test_splits_cover_all_rows_once(spark):
     one, two = random_split(df, [0.8, 0.2], 7)
     assert one.count() + two.count() == 10_000 and one.intersect(two).count() == 0
     assert random_split(df, [0.8, 0.2], 7)[0].count() == one.count()
+
+
+def test_exact_split_has_exactly_its_share(spark):
+    from tessera.operators.split import exact_split
+    rows = [(i, i % 50, "x") for i in range(997)] + [(5, 5, "x")] * 400 + [(None, None, "x")]
+    df = spark.createDataFrame(rows, "k long, g long, side string").repartition(5)
+    everything = sorted(map(str, rows))
+    for keys in (["k"], ["g"], ["side"]):
+        for fraction in (0.0, 0.3, 0.8, 1.0):
+            main, rest = (sorted(str(tuple(r)) for r in side.collect()) for side in exact_split(df, keys, fraction))
+            assert len(main) == int(fraction * len(rows) + 0.5)
+            assert sorted(main + rest) == everything
+    main, rest = exact_split(df.limit(0), ["k"], 0.5)
+    assert main.count() == rest.count() == 0
