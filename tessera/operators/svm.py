@@ -210,8 +210,10 @@ def batch_gradient(batches, w: Sequence[float], features: str, label: str, weigh
 
 
 def _persisted(data: DataFrame, sampled: bool) -> DataFrame:
+    """The training rows, in ranges of the hash if batches are drawn; equal rows (one hash) are dealt by the partition they come from."""
     if sampled:
-        data = data.repartitionByRange("_hash").sortWithinPartitions("_hash")
+        data = data.withColumn("_spread", F.spark_partition_id()).repartitionByRange("_hash", "_spread") \
+            .sortWithinPartitions("_hash").drop("_spread")
     return data.persist(StorageLevel.MEMORY_AND_DISK)
 
 

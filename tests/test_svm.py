@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import svm as SV
 from tessera.operators.split import key_hash
@@ -171,3 +172,17 @@ def test_svc_model_saved_and_loaded(spark, tmp_dir):
     back = SV.LinearSvcModel.load(f"{tmp_dir}/model")
     assert back.coefficients == model.coefficients and back.losses == model.losses and back.getPredictionCol() == "p"
     assert back.transform(df).orderBy("id").collect() == model.transform(df).orderBy("id").collect()
+
+
+def test_equal_rows_are_split_between_partitions(spark):
+    """A third of all rows equal: no partition of the batch layout above twice the median, and no row lost."""
+    same = spark.range(30_000).selectExpr("1.0D AS label", "array(1.0D, 2.0D) AS features", "7L AS _hash")
+    rest = spark.range(60_000).selectExpr("0.0D AS label", "array(id * 1.0D, 3.0D) AS features", "xxhash64(id) AS _hash")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        data = SV._persisted(same.unionByName(rest).repartition(16), sampled=True)
+        sizes = sorted(r.n for r in data.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
+        data.unpersist()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 90_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
