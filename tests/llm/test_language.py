@@ -1,5 +1,8 @@
 """Language mixtures."""
 
+import math
+import random
+import re
 import zlib
 
 import numpy as np
@@ -64,3 +67,64 @@ def test_query(spark):
     assert len(got) == len(docs) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
     held = [r for r in got if r.held_out]
     assert sum(docs[r.doc_id] == r.lang_pred for r in held) >= 0.95 * len(held)
+
+
+def plain_words(text: str) -> list[list[int]]:
+    """Hashed trigrams of every word, byte by byte."""
+    folded = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+    out = []
+    for word in re.findall(rb"[a-z\x80-\xff]+", folded):
+        padded = b"\0" + word + b"\0"
+        out.append([((padded[i] << 16 | padded[i + 1] << 8 | padded[i + 2]) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - L.GRAM_BITS) for i in range(len(word))])
+    return out
+
+
+def plain_mixture(text: str, table) -> list[float]:
+    """Proportions by EM in plain loops, languages taken out one by one."""
+    words, count = plain_words(text), len(table)
+    if not words:
+        return [0.0] * count
+    logs = [[sum(float(table[g][t]) for t in w) for g in range(count)] for w in words]
+
+    def em(active):
+        theta = [1 / len(active) if g in active else 0.0 for g in range(count)]
+        for step in range(L.STEPS + 1):
+            parts, ll = [], 0.0
+            for log in logs:
+                top = max(log)
+                p = [math.exp(x - top) * t for x, t in zip(log, theta)]
+                ll += math.log(max(sum(p), 1e-37)) + top
+                parts.append([x / max(sum(p), 1e-37) for x in p])
+            if step == L.STEPS:
+                return theta, ll
+            theta = [sum(p[g] for p in parts) / len(parts) + 1e-9 if g in active else 0.0 for g in range(count)]
+            theta = [t / sum(theta) for t in theta]
+
+    active = set(range(count))
+    theta, ll = em(active)
+    while len(active) > 1:
+        weak = min(active, key=lambda g: (theta[g], -g))
+        new, new_ll = em(active - {weak})
+        if new_ll + L.PENALTY * math.log(max(len(words), 2)) / 2 < ll:
+            break
+        active, theta, ll = active - {weak}, new, new_ll
+    return theta
+
+
+def test_mixtures_equal_plain_loops():
+    rnd = random.Random(11)
+    letters = ["abcde", "defgh", "ghiaé", "xyzab"]
+    word = lambda g: "".join(rnd.choice(letters[g]) for _ in range(rnd.randint(2, 6)))
+    table = np.full((4, 1 << L.GRAM_BITS), 0.5)
+    for g in range(4):
+        for w in plain_words(" ".join(word(g) for _ in range(400))):
+            for t in w:
+                table[g][t] += 1
+    table = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    texts = [" ".join(word(rnd.choice(some)) for _ in range(rnd.randint(1, 40))) for some in ([0], [1], [2, 3], [0, 3], [0, 1, 2, 3]) for _ in range(8)]
+    texts += ["", "1 2 3", "É é", "abc", "Abc ABC abc"]
+    got = L.mixtures(pa.array(texts), table)
+    for text, theta in zip(texts, got):
+        want = plain_mixture(text, table)
+        assert np.allclose(theta, want, atol=2e-3), text
+        assert int(np.argmax(theta)) == int(np.argmax(want)), text
