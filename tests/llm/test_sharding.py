@@ -75,3 +75,29 @@ def test_query(spark):
     for r in got:
         raw = (docs[r.doc_id] or "").encode()
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+
+
+def plain_shards(docs, shards=8, bits=4):
+    """{doc_id: (shard, slot)} by sorting all rows: quantile cells, curve index, checksum, id, size."""
+    cells = []
+    for name in ("lang", "source", "n_chars"):
+        of = lambda v: v.encode() if isinstance(v, str) else v
+        known = sorted(of(d[name]) for d in docs if d[name] is not None)
+        bounds = {known[-(-k * len(known) // (1 << bits)) - 1] for k in range(1, 1 << bits)} if known else set()
+        cells.append([0 if d[name] is None else sum(of(d[name]) > b for b in bounds) for d in docs])
+    curve = S.hilbert_index(np.array(cells).T, bits)
+    first = lambda v: (v is not None, v if v is not None else 0)
+    order = sorted(range(len(docs)), key=lambda i: (
+        curve[i], first(None if docs[i]["text"] is None else zlib.crc32(docs[i]["text"].encode())), first(docs[i]["doc_id"]), len((docs[i]["text"] or "").encode())))
+    out, at = {}, 0
+    for shard in range(shards):
+        size = len(docs) // shards + (shard < len(docs) % shards)
+        out |= {docs[i]["doc_id"]: (shard, slot) for slot, i in enumerate(order[at:at + size])}
+        at += size
+    return out
+
+
+def test_query_equals_a_plain_sort(spark):
+    docs = [r.asDict() for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    got = {r.doc_id: (r.shard, r.slot) for r in S.op8_hilbert_sharding(spark, SF_SMALL).collect()}
+    assert got == plain_shards(docs)
