@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import bitslices as B
 from tessera.operators import checks as K
+from tessera.operators import columns as CO
 from tessera.operators import criteria as C
 from tessera.operators import infotheory as I
 from tessera.operators import recommend as RC
@@ -34,6 +35,7 @@ MAXREL_N = 10
 SLICE_DENSE = [3, 17, 40, 63]
 SLICE_SPARSE = [3, 5, 7, 11, 13, 60]
 TOP_K = 10
+COLUMN_CHUNK = 64      # rows of a column chunk in the queries, so that small tables have several
 SUBSET_N = 3
 SVM_STEPS = 3
 SVC_FULL_BATCH = 1_000_000_000     # >= rows: every iteration uses the whole table
@@ -229,6 +231,23 @@ def sparse_column_layout(spark, sf):
     return laid.select(F.col("k").cast("int").alias("k"), "id", F.col("v").cast("int").alias("v"))
 
 
+@query("sparse_column_chunks")
+def sparse_column_chunks(spark, sf):
+    """SPA columns as chunks of vectors: kind, size, number of stored values and a checksum of each."""
+    n = table(spark, sf, "embeddings").count()
+    chunks = CO.column_chunks(V.sparse_sign_entries(spark, sf).select("k", "id", "v"), n, COLUMN_CHUNK)
+    check = F.expr("aggregate(transform(vals, (v, i) -> (coalesce(positions[i], i) + 1) * CAST(v AS BIGINT)), 0L, (a, x) -> a + x)")
+    return chunks.select("k", "chunk", F.col("positions").isNull().alias("dense"), "size", check.alias("checksum"))
+
+
+@query("sparse_column_round_trip")
+def sparse_column_round_trip(spark, sf):
+    """The SPA non-zeros read back from their column chunks."""
+    n = table(spark, sf, "embeddings").count()
+    chunks = CO.column_chunks(V.sparse_sign_entries(spark, sf).select("k", "id", "v"), n, COLUMN_CHUNK)
+    return CO.column_entries(chunks, COLUMN_CHUNK).select("k", "id", F.col("v").cast("int").alias("v"))
+
+
 def _sparse_inputs(spark, sf):
     """(entries partitioned by row id, all rows, dimension) -- lazy, nothing persisted."""
     spa = V.sparse_sign_entries(spark, sf)

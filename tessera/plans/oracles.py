@@ -95,6 +95,13 @@ FROM spa GROUP BY k"""
 ORACLES["sparse_column_layout"] = f"""WITH {SPA}
 SELECT CAST(k AS INTEGER) AS k, id, CAST(v AS INTEGER) AS v FROM spa"""
 
+ORACLES["sparse_column_chunks"] = f"""WITH {SPA},
+n AS (SELECT count(*) AS n FROM embeddings),
+g AS (SELECT k, id // {Q.COLUMN_CHUNK} AS chunk, count(*) AS stored, sum((id % {Q.COLUMN_CHUNK} + 1) * v) AS checksum FROM spa GROUP BY 1, 2),
+s AS (SELECT *, least({Q.COLUMN_CHUNK}, (SELECT n FROM n) - chunk * {Q.COLUMN_CHUNK}) AS size FROM g)
+SELECT CAST(k AS INTEGER) AS k, CAST(chunk AS BIGINT) AS chunk, stored >= 0.5 * size AS dense, CAST(size AS INTEGER) AS size, CAST(checksum AS BIGINT) AS checksum FROM s"""
+ORACLES["sparse_column_round_trip"] = ORACLES["sparse_column_layout"]
+
 ORACLES["mi_relevance_sparse"] = f"""WITH {SPA},
 info AS ({info_select(REL_CELLS)})
 SELECT CAST(k AS INTEGER) AS k, {R('rel')} AS mi FROM info"""
