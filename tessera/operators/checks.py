@@ -61,17 +61,20 @@ def dimensions(df: DataFrame, features: str = "features") -> DataFrame:
                   F.count(F.lit(1)).alias("n"))
 
 
-def require_training_table(df: DataFrame, features: str = "features", label: str = "label",
-                           byte: bool = False) -> tuple[int, int]:
-    """P4 + P5 + A5 in one pass: labels, no nulls, one common dimension (``byte``: byte domain).
+def training_metrics(features: str = "features", label: str = "label", byte: bool = False, size: str | None = None) -> list[Column]:
+    """P4 + P5 + A5 as aggregates for ``check_training``; ``size`` names the vectors' size where it isn't the array's.
 
-    Returns (dimension, rows).
+    They fit ``agg`` and, so that a check rides on a write, ``DataFrame.observe``.
     """
-    size = F.when(F.col(features).isNotNull(), F.size(features))
-    row = df.agg(F.min(label_fault(label, byte)).alias("label"),
-                 F.min_by(label, label_fault(label, byte)).alias("example"),
-                 F.min(vector_fault(features, byte)).alias("fault"),
-                 F.min(size).alias("low"), F.max(size).alias("high"), F.count(F.lit(1)).alias("n")).first()
+    length = F.col(size) if size else F.size(features)
+    length = F.when(F.col(features).isNotNull(), length)
+    return [F.min(label_fault(label, byte)).alias("label"), F.min_by(label, label_fault(label, byte)).alias("example"),
+            F.min(vector_fault(features, byte)).alias("fault"),
+            F.min(length).alias("low"), F.max(length).alias("high"), F.count(F.lit(1)).alias("n")]
+
+
+def check_training(row, byte: bool = False) -> tuple[int, int]:
+    """(dimension, rows) of a training table, or an error that names its first fault."""
     if row["n"] == 0:
         raise ValueError("no training rows")
     if row["label"]:
@@ -82,3 +85,12 @@ def require_training_table(df: DataFrame, features: str = "features", label: str
     if row["low"] != row["high"]:
         raise ValueError(f"feature vectors differ in dimension: from {row['low']} to {row['high']}")
     return int(row["low"]), int(row["n"])
+
+
+def require_training_table(df: DataFrame, features: str = "features", label: str = "label",
+                           byte: bool = False) -> tuple[int, int]:
+    """P4 + P5 + A5 in one pass: labels, no nulls, one common dimension (``byte``: byte domain).
+
+    Returns (dimension, rows).
+    """
+    return check_training(df.agg(*training_metrics(features, label, byte)).first(), byte)

@@ -18,6 +18,7 @@ from tessera.operators import criteria as C
 from tessera.operators import infotheory as I
 from tessera.operators import recommend as RC
 from tessera.operators import selection as S
+from tessera.operators import sparse_svm as SS
 from tessera.operators import svm as SV
 from tessera.operators.als import fit_chunked_als
 from tessera.operators.split import exact_split, hash_cut, hash_split, key_hash, with_row_id
@@ -798,3 +799,32 @@ def svm_accuracy(spark, sf):
     acc = SV.accuracy(SV.predict(test, w))
     return acc.select(r6(F.col("accuracy")).alias("accuracy"),
                       F.lit(n_train).cast("bigint").alias("n_train"), F.col("n").alias("n_test"))
+
+
+@query("svm_sparse_weights")
+def svm_sparse_weights(spark, sf):
+    """E7/P3 on sparse rows: the weight table after 3 steps on SVMS, without zeros."""
+    w, _ = SS.sgd(V.svm_sparse_vectors(spark, sf), SVM_STEPS)
+    return w.select("k", r6(F.col("w")).alias("w"))
+
+
+@query("svm_sparse_minibatch")
+def svm_sparse_minibatch(spark, sf):
+    """E7 on sparse rows with miniBatchFraction 0.5, by md5 of the id."""
+    w, _ = SS.sgd(V.svm_sparse_vectors(spark, sf), SVM_STEPS, fraction=0.5, key="id")
+    return w.select("k", r6(F.col("w")).alias("w"))
+
+
+@query("svc_sparse_elastic_net")
+def svc_sparse_elastic_net(spark, sf):
+    """E8 on sparse rows: weighted full-batch steps with elastic net (lr 0.5, reg 0.01, alpha 0.5)."""
+    w, _ = SS.svc(V.svm_sparse_vectors(spark, sf), SVM_STEPS, lr=0.5, reg=0.01, alpha=0.5, weight="wt")
+    return w.select("k", r6(F.col("w")).alias("w"))
+
+
+@query("svm_sparse_predict")
+def svm_sparse_predict(spark, sf):
+    """P16 on sparse rows: the weight table after 3 steps scores SVMS."""
+    rows = V.svm_sparse_vectors(spark, sf)
+    w, d = SS.sgd(rows, SVM_STEPS)
+    return SS.predict(rows.select("id", "label", "features"), w, d).select("id", "prediction", "label")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessera.plans import catalog as Q
+from tessera.plans.views import SPA_THRESHOLD
 from tessera.operators.criteria import CRITERIA
 from tessera.operators.split import HASH_SPACE
 from tessera.plans.oracle_sql import (EMB, FAC, LIN, RAT, RATLINE, REL_CELLS, ROW_HASH, SPA, SPLIT,
@@ -372,3 +373,30 @@ f AS (SELECT doc_id, CASE WHEN x IS NULL THEN 'null vector' WHEN len(list_filter
                           WHEN len(x) <> (SELECT len(x) FROM v WHERE x IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) THEN 'length'
                           WHEN len(list_filter(x, lambda e: e < -128 OR e > 127 OR e % 1 <> 0)) > 0 THEN 'not a byte' END AS fault FROM v)
 SELECT doc_id, fault FROM f WHERE fault IS NOT NULL"""
+
+# Sparse rows: the same recurrences over the embeddings with small entries as zeros.
+SVMS = f"""svmv AS (
+  SELECT vec_id AS id, CAST(label < 5 AS DOUBLE) AS y, CAST(label % 3 + 1 AS DOUBLE) AS wt,
+         list_transform(embedding, lambda v: CASE WHEN abs(CAST(v AS DOUBLE)) < {SPA_THRESHOLD} THEN 0.0::DOUBLE ELSE CAST(v AS DOUBLE) END) AS features
+  FROM embeddings),
+svm_train AS (SELECT id, y, WT AS wt, features FROM svmv)"""
+SVMS_UNWEIGHTED, SVMS_WEIGHTED = SVMS.replace("WT AS wt", "1.0::DOUBLE AS wt"), SVMS.replace("WT AS wt", "wt")
+_NONZERO = f"SELECT CAST(k AS INTEGER) AS k, {R('w')} AS w FROM w{Q.SVM_STEPS} WHERE w <> 0"
+
+ORACLES["svm_sparse_weights"] = f"""WITH {SVMS_UNWEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'sgd')}
+{_NONZERO}"""
+
+ORACLES["svm_sparse_minibatch"] = f"""WITH {SVMS_UNWEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'sgd', fraction='0.5::DOUBLE')}
+{_NONZERO}"""
+
+ORACLES["svc_sparse_elastic_net"] = f"""WITH {SVMS_WEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'svc', lr=0.5, reg=0.01, alpha=0.5, tol=1e-6)}
+{_NONZERO}"""
+
+ORACLES["svm_sparse_predict"] = f"""WITH {SVMS_UNWEIGHTED},
+{sgd_chain(Q.SVM_STEPS, 'sgd')},
+pm AS (SELECT xk.id, any_value(xk.y) AS label, sum(xk.x * w.w) AS margin
+       FROM xk JOIN w{Q.SVM_STEPS} w ON xk.k = w.k GROUP BY xk.id)
+SELECT id, CAST(margin > 0 AS DOUBLE) AS prediction, label FROM pm"""

@@ -125,6 +125,16 @@ def svm_vectors(spark: SparkSession, sf: str) -> DataFrame:
                     F.transform("embedding", lambda v: v.cast("double")).alias("features"))
 
 
+def svm_sparse_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """SVMS: (id, label, wt, features vector): SVMV with entries below SPA_THRESHOLD as zeros, mostly-zero rows stored sparse."""
+    from pyspark.ml.feature import VectorAssembler
+    v = svm_vectors(spark, sf)
+    d = sparse_dimension(spark, sf)
+    cut = v.select("id", F.col("y").alias("label"), "wt",
+                   *[F.when(F.abs(F.col("features")[i]) < SPA_THRESHOLD, 0.0).otherwise(F.col("features")[i]).alias(f"e{i}") for i in range(d)])
+    return VectorAssembler(inputCols=[f"e{i}" for i in range(d)], outputCol="features").transform(cut).select("id", "label", "wt", "features")
+
+
 def svm_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     """(label double 0/1, features array<double> of 5): the numeric columns of every lineitem row, returned or not."""
     li = table(spark, sf, "lineitem")
