@@ -7,11 +7,12 @@ documents that contain it.  Logistic regression on these values gives the weight
 
 Training.  The labelled rows are sampled by a hash of their id to about TRAIN_ROWS (the
 documented bound; all are used while there are fewer).  Counts are combined in the tasks.
-The sample is dealt by hash into groups of about GROUP_ROWS rows; every group is fitted in
-a task of its own and the weights are averaged, so no task holds more than a group and
-TRAIN_ROWS may be raised freely.  Features whose ratio is within SIGMAS standard errors of 0
-are noise and get the value 0; of the others the FEATURES surest are kept, which bounds what
-is broadcast.
+The sample is stored, and its rows are dealt by a hash of their place in the stored table into
+groups of about GROUP_ROWS rows (rows that repeat an id are dealt like any others); every group
+is fitted in a task of its own and the weights are averaged, so no task holds more than a group and
+TRAIN_ROWS may be raised freely.  No feature is left out: a ratio of z standard errors is shrunk by
+the factor 1 / (1 + (SIGMAS / z)^8), so what chance alone explains weighs little; the
+2^DIM_BITS of the hash bound what is broadcast.
 
 Scoring reads every whole text once, without a shuffle.
 
@@ -35,14 +36,14 @@ from tessera.session import scratch_path
 
 NGRAMS = (4, 5)
 DIM_BITS = 18
-FEATURES = 1 << 14
 TRAIN_ROWS = 24_000
-GROUP_ROWS = 3_000
+GROUP_ROWS = 2_000
 SMOOTHING = 1.0
 SIGMAS = 4.0
 L2 = 3e-4
 _CHUNK = 1 << 20          # bytes of text whose n-grams are held at a time
-STEPS = 200
+STEPS = 100
+RATE = 0.04
 
 _GAPS = np.array([not chr(c).isalnum() for c in range(128)])
 
@@ -94,17 +95,24 @@ def _fit(ratio: np.ndarray):
             r, f = grams(part.column(0), used)
             rows.append(r + at), feats.append(f)
             at += part.num_rows
+            rows[-1], feats[-1] = rows[-1].astype(np.int32), f.astype(np.int32)
         r, f = np.concatenate(rows), np.concatenate(feats)
-        ids, f = np.unique(f, return_inverse=True)
-        x = ratio[ids][f]
+        del rows, feats
+        ids = np.flatnonzero(np.bincount(f, minlength=len(ratio)))
+        place = np.zeros(len(ratio), np.int32)
+        place[ids] = np.arange(len(ids))
+        f, x = place[f], ratio[ids]
+        some, starts = np.unique(r, return_index=True)            # r ascends
         w, b, n = np.zeros(len(ids)), np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), len(y)
         m, v = np.zeros(len(ids) + 1), np.zeros(len(ids) + 1)
         for t in range(1, STEPS + 1):
-            z = b + np.bincount(r, w[f] * x, minlength=n)
+            z = np.full(n, b)
+            if len(r):
+                z[some] += np.add.reduceat((w * x).astype(np.float32)[f], starts)
             e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
-            g = np.append(np.bincount(f, e[r] * x, minlength=len(ids)) + L2 * w, e.sum())
+            g = np.append(np.bincount(f, e[r], minlength=len(ids)) * x + L2 * w, e.sum())
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-            step = 0.02 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
+            step = RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
             w, b = w - step[:-1], b - step[-1]
         return pd.DataFrame({"f": np.append(ids, -1), "w": np.append(w, b)})
     return run
@@ -123,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = known.where(F.pmod(F.xxhash64(F.lit("train"), "id"), F.lit(1 << 30)) < int(part * (1 << 30)) + (part >= 1))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # The sample holds about `rows` ids, so it may be broadcast; the texts are not shuffled.
-    texts.join(F.broadcast(sample), "id").select("id", "y", "text").write.parquet(path)
+    texts.join(F.broadcast(sample), "id").select("y", "text", F.monotonically_increasing_id().alias("row")).write.parquet(path)
     data = spark.read.parquet(path)
 
     counts = data.select("y", "text").mapInArrow(_counts, "f long, other long, toxic long") \
@@ -137,15 +145,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     q, p = counts.other.to_numpy() + SMOOTHING, counts.toxic.to_numpy() + SMOOTHING
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
     sure = np.abs(ratio) / np.sqrt(1 / p + 1 / q)                  # ratio over its standard error
-    strong = np.argsort(-sure, kind="stable")[:FEATURES]
-    strong = strong[sure[strong] >= SIGMAS]
     values = np.zeros(1 << DIM_BITS)
-    values[counts.f.to_numpy()[strong]] = ratio[strong]
+    values[counts.f.to_numpy()] = ratio * sure ** 8 / (sure ** 8 + SIGMAS ** 8)
 
     groups = max(1, round(size.sum() / GROUP_ROWS))
-    fitted = data.withColumn("g", F.pmod(F.xxhash64(F.lit("group"), "id"), F.lit(groups))).groupBy("g").applyInPandas(_fit(values), "f long, w double")
-    mean = fitted.groupBy("f").agg(F.sum("w").alias("w")).toPandas()                                     # at most FEATURES + 1 rows
-    used = data.select(F.pmod(F.xxhash64(F.lit("group"), "id"), F.lit(groups))).distinct().count()
+    fitted = data.withColumn("g", F.pmod(F.xxhash64(F.lit("group"), "row"), F.lit(groups))).groupBy("g").applyInPandas(_fit(values), "f long, w double")
+    mean = fitted.groupBy("f").agg(F.sum("w").alias("w")).toPandas()                                     # at most 2^DIM_BITS + 1 rows
+    used = data.select(F.pmod(F.xxhash64(F.lit("group"), "row"), F.lit(groups))).distinct().count()
     got = mean[mean.f >= 0]
     weights[got.f.to_numpy()] = got.w.to_numpy() / used
     return weights * values, float(mean[mean.f < 0].w.iloc[0] / used)

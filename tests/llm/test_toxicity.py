@@ -35,6 +35,8 @@ def test_held_out_accuracy_and_cases(spark):
     assert len(rows) == len(docs) + len(odd) and all(0 <= r.score <= 1 for r in rows)
     held = [r for r in rows if r.id is not None and r.id < 400 and zlib.crc32(str(r.id).encode()) % 3 == 1]
     assert sum((r.score >= 0.7) == (r.id % 4 == 0) for r in held) >= 0.95 * len(held)
+    toxic = [r for r in held if r.id % 4 == 0]
+    assert sum(r.score >= 0.7 for r in toxic) >= 0.9 * len(toxic)
     by = {r.id: r.score for r in rows}
     assert by[1000] == by[1001] and by[1000] < 0.5 and by[1003] > 0.7 and by[None] > 0.7
     kept = X.without_toxic(df, model, 0.7)
@@ -59,6 +61,22 @@ def test_sample_is_bounded(spark):
     assert np.count_nonzero(weights) > 0
 
 
+def test_every_feature_with_a_ratio_has_a_weight_and_repeated_ids_are_dealt(spark, tmp_path):
+    docs, labels = made(300)
+    again = [docs[0]] * 5_000                                    # one labelled id, most of the rows
+    df = spark.createDataFrame(docs + again, "doc_id long, text string").repartition(4)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    weights, _ = X.train(df, lab)
+    seen = np.unique(X.grams(pa.array([t for _, t in docs]))[1])
+    assert np.count_nonzero(weights[seen]) >= 0.95 * len(seen) and not weights[np.setdiff1d(np.arange(len(weights)), seen)].any()
+
+
+def test_texts_without_features_only(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else "") for i in range(10)], "doc_id long, text string")
+    model = X.train(df, spark.createDataFrame([(i, int(i < 4)) for i in range(10)], "doc_id long, toxic int"))
+    assert {0.3 < r.score < 0.5 for r in X.score(df, model).collect()} == {True}
+
+
 def test_grams_are_distinct_and_of_one_text():
     row, f = X.grams(pa.array(["abcdefab", "abc", None, "ABCDE abcde"]))
     assert len(set(zip(row, f))) == len(f)
@@ -70,5 +88,9 @@ def test_query(spark):
     lab = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_SMALL}/labels.parquet").collect()}
     got = X.op3_toxicity(spark, SF_SMALL).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == (r.score >= 0.7) for r in got)
+    toxic = [r for r in X.op3_toxicity(spark, SF_SMALL.replace("0.001", "0.01")).collect() if r.held_out]
+    marked = {r.doc_id for r in spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/labels.parquet").where("toxic = 1").collect()}
+    toxic = [r for r in toxic if r.doc_id in marked]
+    assert toxic and sum(r.predicted for r in toxic) >= 0.3 * len(toxic)
     clean = [r for r in got if lab.get(r.doc_id) == 0]
     assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
