@@ -49,9 +49,9 @@ _GAPS = np.array([not chr(c).isalnum() for c in range(128)])
 
 
 def grams(col: pa.Array, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature) of the distinct n-grams, ordered; of the features marked in `used` only."""
+    """(row, feature) of the distinct n-grams, by row; of the features marked in `used` only."""
     texts = [(t or "").lower() for t in col.to_pylist()]
-    off = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    off = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
     code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     code = np.where((code < 128) & _GAPS[np.minimum(code, 127)], np.uint32(32), code)
     row = np.repeat(np.arange(len(texts)), np.diff(off))
@@ -67,9 +67,16 @@ def grams(col: pa.Array, used: np.ndarray | None = None) -> tuple[np.ndarray, np
         inside = row[:len(h)] == row[n - 1:]
         if used is not None:
             inside &= used[h]
-        found.append((row[:len(h)][inside] << DIM_BITS) | h[inside])
-    both = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
-    return both >> DIM_BITS, both & ((1 << DIM_BITS) - 1)
+        mine = row[:len(h)][inside]
+        found.append((h[inside], np.searchsorted(mine, np.arange(len(texts) + 1))))
+    last, each = np.empty(1 << DIM_BITS, np.int64), []              # place where a feature was last put
+    for i in range(len(texts)):
+        f = np.concatenate([h[at[i]:at[i + 1]] for h, at in found]) if found else np.empty(0, np.uint32)
+        places = np.arange(len(f))
+        last[f] = places
+        each.append(f[last[f] == places])                           # of equal features the last one
+    sizes = [len(f) for f in each]
+    return np.repeat(np.arange(len(texts)), sizes), np.concatenate(each).astype(np.int64) if each else np.empty(0, np.int64)
 
 
 def _counts(batches):
