@@ -23,6 +23,5 @@ QUERIES = {
 ORACLES = {
     "op1_decontamination": decontamination.ORACLE,
     "op5_chat_formatting": chat.ORACLE,
-    "op12_conversation_repair": repair.op12_conversation_repair,
     "op13_merkle_manifest": merkle.ORACLE,
 }
