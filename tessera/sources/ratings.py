@@ -19,17 +19,17 @@ CSV_SCHEMA = "userid bigint, movieid bigint, rating double, timestamp string"
 _TYPES = (("user", "int"), ("item", "int"), ("rating", "float"), ("ts", "bigint"))
 
 
-def _fields(value: str = "value"):
+def _parsed(df: DataFrame, value: str = "value") -> DataFrame:
+    """(line, user, item, rating, ts), null fields if the line does not have four.
+
+    Every line is split and cast once: the fields come out of a generator, and expressions
+    over its columns aren't merged with what makes the line and its fields.
+    """
     # Spark's split keeps trailing empty fields, so "1::2::3::" has four
     # fields with an empty last one; the empty field then fails to parse (Q13).
-    return F.split(F.col(value), RATING_SEPARATOR, -1)
-
-
-def _parsed(df: DataFrame, value: str = "value") -> DataFrame:
-    f = _fields(value)
-    cols = [F.when(F.size(f) == RATING_FIELDS, f.getItem(i).try_cast(t)).alias(n)
-            for i, (n, t) in enumerate(_TYPES)]
-    return df.select(F.col(value).alias("line"), *cols)
+    fields = F.transform(F.array(F.split("line", RATING_SEPARATOR, -1)), lambda f: F.struct(
+        *[F.when(F.size(f) == RATING_FIELDS, f.getItem(i).try_cast(t)).alias(n) for i, (n, t) in enumerate(_TYPES)]))
+    return df.select(F.col(value).alias("line")).select("line", F.inline(fields))
 
 
 def _good():

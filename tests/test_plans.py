@@ -9,6 +9,7 @@ from tessera.operators import infotheory as I
 from tessera.operators import recommend as RC
 from tessera.operators import svm as SV
 from tessera.plans import views as V
+from tessera.sources import ratings as RS
 from tests.conftest import SF_SMALL
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables absent")
@@ -25,6 +26,12 @@ def test_ratings_scan_is_pruned(spark):
     assert "partial_avg" in p                     # map-side combine before the exchange
 
 
+def test_rating_lines_are_made_and_split_once(spark):
+    for rows in RS.split_rating_lines(V.rating_lines(spark, SF_SMALL)):
+        p = plan_of(rows)
+        assert p.count("md5(") == 1 and p.count("split(") == p.count("Generate inline") == 1      # the fields of a line come from one pass over it
+
+
 def test_measures_need_two_exchanges(spark):
     cells = I.dense_cells_many(V.byte_matrix(spark, SF_SMALL), [3, 5])
     p = plan_of(I.information(cells, keys=("j", "k")))
