@@ -481,7 +481,7 @@ def row_ids_orders(spark, sf):
 @query("subset_ids")
 def subset_ids(spark, sf):
     """T4/A4: the 3 smallest user ids and item ids of RAT."""
-    r = V.ratings(spark, sf)
+    r = V.stored_ratings(spark, sf, ("user", "item"))
     u = RC.first_ids(r, "user", SUBSET_N).select(F.lit("user").alias("kind"),
                                                   F.col("user").cast("bigint").alias("id"))
     i = RC.first_ids(r, "item", SUBSET_N).select(F.lit("item").alias("kind"),
@@ -494,7 +494,7 @@ def subset_ids(spark, sf):
 @query("factor_predict")
 def factor_predict(spark, sf):
     """Score every test pair; cold-start pairs get a null prediction."""
-    train, test = V.rating_split(spark, sf)
+    train, test = V.stored_split(spark, sf)
     uf, vf = V.factor_tables(spark, sf, train)
     p = RC.predict_pairs(test, uf, vf, drop_cold=False)
     return p.select("user", "item", "rating", r6(F.col("prediction")).alias("prediction"))
@@ -503,7 +503,7 @@ def factor_predict(spark, sf):
 @query("factor_predict_drop")
 def factor_predict_drop(spark, sf):
     """The same with cold-start pairs dropped."""
-    train, test = V.rating_split(spark, sf)
+    train, test = V.stored_split(spark, sf)
     uf, vf = V.factor_tables(spark, sf, train)
     p = RC.predict_pairs(test, uf, vf, drop_cold=True)
     return p.select("user", "item", "rating", r6(F.col("prediction")).alias("prediction"))
@@ -512,7 +512,7 @@ def factor_predict_drop(spark, sf):
 @query("rmse")
 def rmse(spark, sf):
     """A3: RMSE of the factor predictions on the test split."""
-    train, test = V.rating_split(spark, sf)
+    train, test = V.stored_split(spark, sf)
     uf, vf = V.factor_tables(spark, sf, train)
     return RC.rmse(RC.predict_pairs(test, uf, vf)).select(r6(F.col("rmse")).alias("rmse"))
 
@@ -547,23 +547,25 @@ def topk_pruned_counts(spark, sf):
 @query("topk_user_subset")
 def topk_user_subset(spark, sf):
     """10 best items for the 3 smallest user ids of RAT."""
-    uf, vf = V.factor_tables(spark, sf)
-    ids = RC.first_ids(V.ratings(spark, sf), "user", SUBSET_N).withColumnRenamed("user", "id")
+    pairs = V.stored_ratings(spark, sf, ("user", "item"))
+    uf, vf = V.factor_tables(spark, sf, hash_split(pairs, ["user", "item"], V.TRAIN_FRACTION)[0])
+    ids = RC.first_ids(pairs, "user", SUBSET_N).withColumnRenamed("user", "id")
     return _topk_out(RC.top_k_subset(ids, uf, vf, TOP_K), "user", "item")
 
 
 @query("topk_item_subset")
 def topk_item_subset(spark, sf):
     """10 best users for the 3 smallest item ids of RAT."""
-    uf, vf = V.factor_tables(spark, sf)
-    ids = RC.first_ids(V.ratings(spark, sf), "item", SUBSET_N).withColumnRenamed("item", "id")
+    pairs = V.stored_ratings(spark, sf, ("user", "item"))
+    uf, vf = V.factor_tables(spark, sf, hash_split(pairs, ["user", "item"], V.TRAIN_FRACTION)[0])
+    ids = RC.first_ids(pairs, "item", SUBSET_N).withColumnRenamed("item", "id")
     return _topk_out(RC.top_k_subset(ids, vf, uf, TOP_K), "item", "user")
 
 
 @query("als_rank1_steps")
 def als_rank1_steps(spark, sf):
     """ALS-WR update rule at rank 1: items start at 1, solve users, then items."""
-    train, _ = V.rating_split(spark, sf)
+    train, _ = V.stored_split(spark, sf)
     items0 = train.select(F.col("item").alias("id")).distinct().withColumn("f", F.lit(1.0))
     users = RC.rank1_half_step(train, items0, "user", "item", ALS_LAMBDA_RANK1)
     items = RC.rank1_half_step(train, users, "item", "user", ALS_LAMBDA_RANK1)
@@ -571,7 +573,7 @@ def als_rank1_steps(spark, sf):
 
 
 def _chunked_als(spark, sf):
-    train, test = V.rating_split(spark, sf)
+    train, test = V.stored_split(spark, sf)
     return fit_chunked_als(train, rank=2, maxIter=ALS_STEPS, regParam=ALS_REG), train, test
 
 
@@ -594,13 +596,13 @@ def als_chunked_rmse(spark, sf):
 @query("als_chunked_spark_setting")
 def als_chunked_spark_setting(spark, sf):
     """E5: 5 iterations, rank 10, lambda 0.01; whether each user's factors solve their normal equations."""
-    train, _ = V.rating_split(spark, sf)
+    train, _ = V.stored_split(spark, sf)
     model = fit_chunked_als(train, rank=10, **RC.SPARK_SETTING)
     return RC.fitted_users(model, train, RC.SPARK_SETTING["regParam"])
 
 
 def _als(spark, sf, setting=None):
-    train, test = V.rating_split(spark, sf)
+    train, test = V.stored_split(spark, sf)
     return RC.fit_als(train, setting=setting), train, test
 
 

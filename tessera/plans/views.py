@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.split import hash_split
+from tessera.session import scratch_path
 from tessera.sources.tables import table
 
 # Fixed view parameters (shared with the oracle SQL).
@@ -157,22 +158,37 @@ def rating_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return hash_split(ratings(spark, sf), ["user", "item"], TRAIN_FRACTION)
 
 
+def stored_ratings(spark: SparkSession, sf: str, columns: tuple[str, ...] = ("user", "item", "rating")) -> DataFrame:
+    """Columns of RAT, joined and grouped once and written under the checkpoint folder, for
+    queries that read the ratings several times."""
+    path = scratch_path(spark, "ratings")
+    ratings(spark, sf).select(*columns).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def stored_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) as ``rating_split`` without the time, from the stored ratings."""
+    return hash_split(stored_ratings(spark, sf), ["user", "item"], TRAIN_FRACTION)
+
+
 def factor_tables(spark: SparkSession, sf: str, train: DataFrame | None = None
                   ) -> tuple[DataFrame, DataFrame]:
     """FAC: (id int, features array<double>) for the users and for the items seen
     in the training split; the factor of id i is embedding row (i mod #rows).
 
     Users and items that occur only in the test split have no factors
-    (the cold-start case).  ``train`` reuses an already built training split."""
+    (the cold-start case).  ``train`` reuses an already built training split.  The distinct
+    ids of both sides are stored, so reading a side again does not group the ratings again."""
     if train is None:
-        train, _ = rating_split(spark, sf)
+        train, _ = hash_split(stored_ratings(spark, sf, ("user", "item")), ["user", "item"], TRAIN_FRACTION)
     e = table(spark, sf, "embeddings")
     n_emb = e.count()
     vecs = e.select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("features"))
 
     def side(col: str) -> DataFrame:
-        ids = train.select(F.col(col).alias("id")).distinct()
-        return (ids.join(vecs, F.pmod(F.col("id").cast("bigint"), F.lit(n_emb)) == F.col("vec_id"))
+        path = scratch_path(spark, f"{col}-ids")
+        train.select(F.col(col).alias("id")).distinct().write.parquet(path)
+        return (spark.read.parquet(path).join(vecs, F.pmod(F.col("id").cast("bigint"), F.lit(n_emb)) == F.col("vec_id"))
                 .select("id", "features"))
 
     return side("user"), side("item")

@@ -32,6 +32,12 @@ def test_rating_lines_are_made_and_split_once(spark):
         assert p.count("md5(") == 1 and p.count("split(") == p.count("Generate inline") == 1      # the fields of a line come from one pass over it
 
 
+def test_ratings_read_several_times_are_stored(spark):
+    for rows in (*V.stored_split(spark, SF_SMALL), *V.factor_tables(spark, SF_SMALL)):
+        p = plan_of(rows)
+        assert "lineitem" not in p and "Exchange hashpartitioning" not in p                     # neither joined nor grouped again
+
+
 def test_measures_need_two_exchanges(spark):
     cells = I.dense_cells_many(V.byte_matrix(spark, SF_SMALL), [3, 5])
     p = plan_of(I.information(cells, keys=("j", "k")))
