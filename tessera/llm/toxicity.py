@@ -41,7 +41,7 @@ GROUP_ROWS = 2_000
 SMOOTHING = 1.0
 SIGMAS = 4.0
 L2 = 3e-4
-_CHUNK = 1 << 20          # bytes of text whose n-grams are held at a time
+_CHUNK = 1 << 18          # bytes of text whose n-grams are held at a time
 STEPS = 100
 RATE = 0.04
 
@@ -97,27 +97,30 @@ def _fit(ratio: np.ndarray):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         used = ratio != 0
         y = frame["y"].to_numpy(float)
-        rows, feats, at = [], [], 0
+        parts, at, have = [], 0, np.zeros(len(ratio), bool)          # a part's rows are no other's: what a step holds is bounded by a part
         for part in T.chunks([pa.record_batch({"text": pa.array(frame["text"], pa.string())})], limit=_CHUNK):
             r, f = grams(part.column(0), used)
-            rows.append(r + at), feats.append(f)
+            if len(r):
+                starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))            # r ascends
+                parts.append(((r + at).astype(np.int32), f.astype(np.int32), starts))
+                have[f] = True
             at += part.num_rows
-            rows[-1], feats[-1] = rows[-1].astype(np.int32), f.astype(np.int32)
-        r, f = np.concatenate(rows), np.concatenate(feats)
-        del rows, feats
-        ids = np.flatnonzero(np.bincount(f, minlength=len(ratio)))
+        ids = np.flatnonzero(have)
         place = np.zeros(len(ratio), np.int32)
         place[ids] = np.arange(len(ids))
-        f, x = place[f], ratio[ids]
-        some, starts = np.unique(r, return_index=True)            # r ascends
+        x = ratio[ids]
+        parts = [(r, place[f], starts) for r, f, starts in parts]
         w, b, n = np.zeros(len(ids)), np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), len(y)
         m, v = np.zeros(len(ids) + 1), np.zeros(len(ids) + 1)
         for t in range(1, STEPS + 1):
-            z = np.full(n, b)
-            if len(r):
-                z[some] += np.add.reduceat((w * x).astype(np.float32)[f], starts)
+            z, values = np.full(n, b), (w * x).astype(np.float32)
+            for r, f, starts in parts:
+                z[r[starts]] += np.add.reduceat(values[f], starts)
             e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
-            g = np.append(np.bincount(f, e[r], minlength=len(ids)) * x + L2 * w, e.sum())
+            sums = np.zeros(len(ids))
+            for r, f, _ in parts:
+                np.add.at(sums, f, e[r])
+            g = np.append(sums * x + L2 * w, e.sum())
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             step = RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
             w, b = w - step[:-1], b - step[-1]

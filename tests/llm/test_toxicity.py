@@ -94,3 +94,20 @@ def test_query(spark):
     assert toxic and sum(r.predicted for r in toxic) >= 0.3 * len(toxic)
     clean = [r for r in got if lab.get(r.doc_id) == 0]
     assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
+
+
+def test_a_fit_holds_little_more_than_its_features():
+    import tracemalloc
+
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(3000)]
+    frame = pd.DataFrame({"y": [i % 2 for i in range(400)], "text": [" ".join(rng.choice(words, 1000)) for _ in range(400)]})
+    fit = X._fit(rng.normal(size=1 << X.DIM_BITS))
+    tracemalloc.start()
+    try:
+        assert len(fit(frame)) > 1
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 70e6, peak                    # about 3.2 million features of documents, 8 bytes each, and a part's arrays
