@@ -103,52 +103,94 @@ _LEFT_ROWS = 1024            # left rows that are searched together
 _SLACK = 1e-9                # of a bound, for floating point
 
 
-def _by_norm(rid: np.ndarray, V: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, rows, norms) in falling order of the norm."""
-    norms = np.sqrt((V * V).sum(axis=1))
-    order = np.lexsort((rid, -norms))
-    return rid[order], V[order], norms[order]
+def _norms(V: np.ndarray) -> np.ndarray:
+    return np.sqrt((V * V).sum(axis=1))
+
+
+def _by_norm(rid: np.ndarray, V: np.ndarray, cell: np.ndarray | None = None) -> list[tuple]:
+    """Pieces (ids, rows, largest norm, centre, radius) of at most _PRUNE_ROWS rows, cell by cell,
+    in falling order of the norm."""
+    norms = _norms(V)
+    cell = np.zeros(len(rid), np.int64) if cell is None else cell
+    order = np.lexsort((rid, -norms, cell))
+    rid, V, norms, cell = rid[order], V[order], norms[order], cell[order]
+    starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    pieces = []
+    for lo, hi in zip(starts, np.append(starts[1:], len(rid))):
+        for at in range(lo, hi, _PRUNE_ROWS):
+            mine = slice(at, min(at + _PRUNE_ROWS, hi))
+            centre = V[mine].mean(axis=0)
+            pieces.append((rid[mine], V[mine], norms[at], centre, _norms(V[mine] - centre).max()))
+    return pieces
+
+
+def _bounds(U: np.ndarray, norm: np.ndarray, centres: np.ndarray, radii: np.ndarray, largest: np.ndarray) -> np.ndarray:
+    """What no score of a left row (down) with a row of a ball (across) exceeds.
+
+    u.v = u.c + u.(v - c) is at most u.c + |u| radius, and at most |u| times the largest norm.
+    """
+    reach = np.minimum(U @ centres.T + norm[:, None] * radii, norm[:, None] * largest)
+    return reach + norm[:, None] * (largest + radii) * _SLACK
 
 
 class _Best:
-    """The k best right ids of a set of left rows, found block by block.
+    """The k best right ids of a set of left rows, found piece by piece.
 
-    Right rows come in falling order of their norm.  By Cauchy-Schwarz no score of a block is above
-    |u| times its largest norm, so a left row whose k-th score (rounded, as all scores that are
-    compared) is above that bound is done with the block and all later ones.  ``floor`` is a
-    k-th score that is known already.
+    A piece of right rows has a centre, a radius and a largest norm, which bound its scores
+    (``_bounds``): a left row whose k-th score (rounded, as all scores that are compared) is above
+    the bound leaves the piece out.  Left rows are searched beside those that have the same
+    most promising piece, such pieces first.  ``floor`` is a k-th score that is known already.
     """
 
     def __init__(self, lid: np.ndarray, U: np.ndarray, k: int, digits: int, floor: np.ndarray | None = None):
         self.lid, self.U, self.k, self.digits = lid, U, k, digits
-        self.norm = np.sqrt((U * U).sum(axis=1))
+        self.norm = _norms(U)
         self.score = np.full((len(lid), k), -np.inf)
         self.id = np.full((len(lid), k), np.iinfo(np.int64).max)
         self.floor = np.full(len(lid), -np.inf) if floor is None else floor
         self.scored = np.zeros(len(lid), np.int64)
         self.half = 0.5 * 10.0 ** -digits
 
-    def add(self, rid: np.ndarray, V: np.ndarray, norms: np.ndarray) -> None:
-        for lo in range(0, len(self.lid), _LEFT_ROWS):
-            alive = np.arange(lo, min(lo + _LEFT_ROWS, len(self.lid)))
-            for at in range(0, len(rid), _PRUNE_ROWS):
-                kth = np.maximum(self.score[alive, -1], self.floor[alive])
-                alive = alive[self.norm[alive] * norms[at] * (1 + _SLACK) + self.half >= kth]
-                if not len(alive):
-                    break
-                block = slice(at, at + _PRUNE_ROWS)
-                S = np.round(self.U[alive] @ V[block].T, self.digits) + 0.0      # +0.0 folds -0.0
-                self.scored[alive] += S.shape[1]
-                kth = np.maximum(self.score[alive, -1], self.floor[alive])
-                some = (S >= kth[:, None]).any(axis=1)
-                rows = alive[some]
-                if not len(rows):
-                    continue
-                score = np.hstack((self.score[rows], S[some]))
-                ids = np.hstack((self.id[rows], np.broadcast_to(rid[block], (len(rows), S.shape[1]))))
-                order = np.lexsort((ids, -score), axis=1)[:, :self.k]            # score desc, id asc
-                self.score[rows] = np.take_along_axis(score, order, axis=1)
-                self.id[rows] = np.take_along_axis(ids, order, axis=1)
+    def kth(self, rows: np.ndarray) -> np.ndarray:
+        return np.maximum(self.score[rows, -1], self.floor[rows])
+
+    def add(self, pieces: list[tuple]) -> None:
+        _, _, largest, centres, radii = (np.array(x) if i > 1 else x for i, x in enumerate(zip(*pieces)))
+        first = np.concatenate([_bounds(self.U[lo:lo + _LEFT_ROWS], self.norm[lo:lo + _LEFT_ROWS], centres, radii, largest).argmax(axis=1)
+                                for lo in range(0, len(self.lid), _LEFT_ROWS)])
+        order = np.argsort(first, kind="stable")
+        for lo in range(0, len(order), _LEFT_ROWS):
+            rows = order[lo:lo + _LEFT_ROWS]
+            reach = _bounds(self.U[rows], self.norm[rows], centres, radii, largest) + self.half
+            for p in np.argsort(-reach.mean(axis=0), kind="stable"):
+                alive = rows[reach[:, p] >= self.kth(rows)]
+                if len(alive):
+                    self._score(alive, pieces[p][0], pieces[p][1])
+
+    def _score(self, alive: np.ndarray, rid: np.ndarray, V: np.ndarray) -> None:
+        S = self.U[alive] @ V.T
+        self.scored[alive] += S.shape[1]
+        kth = self.kth(alive)
+        top = S.max(axis=1)
+        some = top + self.half + _SLACK * np.abs(top) >= kth                     # others round to less
+        if not some.any():
+            return
+        rows = alive[some]
+        S = np.round(S[some], self.digits) + 0.0                                 # +0.0 folds -0.0
+        least = kth[some]
+        if S.shape[1] > self.k:
+            least = np.maximum(least, np.partition(S, -self.k, axis=1)[:, -self.k])
+        r, c = np.nonzero(S >= least[:, None])
+        old_r, old_c = np.nonzero(np.isfinite(self.score[rows]))
+        row = np.concatenate((old_r, r))
+        score = np.concatenate((self.score[rows[old_r], old_c], S[r, c]))
+        ids = np.concatenate((self.id[rows[old_r], old_c], rid[c]))
+        order = np.lexsort((ids, -score, row))                                   # score desc, id asc
+        row, score, ids = row[order], score[order], ids[order]
+        place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(rows)))[row]
+        keep = place < self.k
+        at = rows[row[keep]], place[keep]
+        self.score[at], self.id[at] = score[keep], ids[keep]
 
     def rows(self) -> pd.DataFrame:
         """(lid, rid, score, rank, scored): a row per candidate, at least one per left id (rid null); `scored` stands on the first."""
@@ -176,7 +218,7 @@ def _block_top_k(k: int, digits: int):
         if left.empty or right.empty:
             return _empty_scores()
         best = _Best(left["lid"].to_numpy(), _matrix(left["lf"]), k, digits, left["kth"].to_numpy(dtype=np.float64, na_value=-np.inf))
-        best.add(*_by_norm(right["rid"].to_numpy(), _matrix(right["rf"])))
+        best.add(_by_norm(right["rid"].to_numpy(), _matrix(right["rf"]), right["cell"].to_numpy()))
         return best.rows()
     return score
 
@@ -186,24 +228,48 @@ def _broadcast_right(bc, k: int, digits: int):
         for pdf in batches:
             if not pdf.empty:
                 best = _Best(pdf["lid"].to_numpy(), _matrix(pdf["lf"]), k, digits)
-                best.add(*bc.value)
+                best.add(bc.value)
                 yield best.rows()
     return run
 
 
-def _first_block(bc, k: int, digits: int):
-    """Left rows with their k-th score among the right rows of the largest norms, and those k."""
+def _best_block(bc):
+    """Left rows with the right block that holds their most promising cell."""
     def run(batches):
+        balls, block = bc.value
         for pdf in batches:
-            if not pdf.empty:
-                best = _Best(pdf["lid"].to_numpy(), _matrix(pdf["lf"]), k, digits)
-                best.add(*bc.value)
-                full = np.isfinite(best.score)
-                yield pd.DataFrame({"lid": pdf["lid"], "lf": pdf["lf"], "norm": best.norm, "kth": np.where(full[:, -1], best.score[:, -1], -np.inf), "scored": best.scored,
-                                    "rids": [i[f] for i, f in zip(best.id, full)], "scores": [s[f] for s, f in zip(best.score, full)]})
+            for lo in range(0, len(pdf), _LEFT_ROWS):
+                part = pdf.iloc[lo:lo + _LEFT_ROWS]
+                U = _matrix(part["lf"])
+                yield part.assign(rb=block[(U @ balls[0].T).argmax(axis=1)].astype(np.int32))
     return run
 
 
+def _first_block(bc, k: int, digits: int):
+    """Left rows after one right block: the k best in it, and the other blocks that may hold better."""
+    def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        balls, block = bc.value
+        blocks = int(block.max()) + 1
+        U = _matrix(left["lf"]) if len(left) else np.empty((0, 1))
+        best = _Best(left["lid"].to_numpy(), U, k, digits)
+        if len(left) and len(right):
+            best.add(_by_norm(right["rid"].to_numpy(), _matrix(right["rf"]), right["cell"].to_numpy()))
+        asks = []
+        for lo in range(0, len(left), _LEFT_ROWS):
+            mine = slice(lo, lo + _LEFT_ROWS)
+            may = _bounds(U[mine], best.norm[mine], *balls) + best.half >= best.score[mine, -1:]
+            per = np.zeros((len(may), blocks), bool)
+            r, c = np.nonzero(may)
+            per[r, block[c]] = True
+            per[:, int(key[0])] = False
+            asks += [np.flatnonzero(p).astype(np.int32) for p in per]
+        full = np.isfinite(best.score)
+        lists = {"rids": [i[f] for i, f in zip(best.id, full)], "scores": [s[f] for s, f in zip(best.score, full)], "asks": asks}
+        return pd.DataFrame({"lid": left["lid"], "lf": left["lf"], "kth": np.where(full[:, -1], best.score[:, -1], -np.inf), "scored": best.scored,
+                             **{n: pd.Series(x, dtype=object, index=left.index) for n, x in lists.items()}})
+    return search
+
+
 def _broadcast_left(bc, k: int, digits: int):
     """The k best of a partition of right rows for every left id, batch by batch."""
     def run(batches):
@@ -212,7 +278,7 @@ def _broadcast_left(bc, k: int, digits: int):
         for pdf in batches:
             if not pdf.empty:
                 best = best or _Best(lid, U, k, digits)
-                best.add(*_by_norm(pdf["rid"].to_numpy(), _matrix(pdf["rf"])))
+                best.add(_by_norm(pdf["rid"].to_numpy(), _matrix(pdf["rf"])))
         if best is not None:
             yield best.rows()
     return run
@@ -236,47 +302,108 @@ def _merged(cand: DataFrame, k: int) -> DataFrame:
             .filter(F.col("rank") <= k))
 
 
-def _two_big_sides(L: DataFrame, R: DataFrame, n_left: int, n_right: int, k: int, digits: int, block_rows: int, tasks: int) -> DataFrame:
-    """Candidates from blocks of both sides; the right side's are ranges of the norm, largest first.
+SAMPLE_ROWS = 16_384          # right rows that the cells are fitted to
+MAX_CELLS = 2_048
+_CELL_STEPS = 6
+
+
+def _nearest(V: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The centre nearest to every row."""
+    half = 0.5 * (centres * centres).sum(axis=1)
+    return np.concatenate([(V[lo:lo + 4096] @ centres.T - half).argmax(axis=1) for lo in range(0, len(V), 4096)])
+
+
+def _cell_centres(V: np.ndarray, cells: int) -> np.ndarray:
+    """At most `cells` centres of sampled rows (Lloyd's steps), in an order in which neighbours are near."""
+    rng = np.random.default_rng(0)
+    different = np.unique(V, axis=0)
+    centres = different[rng.permutation(len(different))[:cells]]
+    for _ in range(_CELL_STEPS):
+        near = _nearest(V, centres)
+        n = np.bincount(near, minlength=len(centres))
+        sums = np.zeros_like(centres)
+        np.add.at(sums, near, V)
+        centres = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres)
+
+    def ordered(ids: np.ndarray) -> list[int]:                                   # halves along the widest direction
+        if len(ids) < 3:
+            return list(ids)
+        X = centres[ids] - centres[ids].mean(axis=0)
+        along = ids[np.argsort(X @ np.linalg.svd(X, full_matrices=False)[2][0], kind="stable")]
+        return ordered(along[:len(ids) // 2]) + ordered(along[len(ids) // 2:])
+    return centres[ordered(np.arange(len(centres)))]
+
+
+def _in_cells(bc):
+    """Right rows with the cell of their nearest centre, the distance to it and their norm."""
+    def run(batches):
+        for pdf in batches:
+            if not pdf.empty:
+                V = _matrix(pdf["rf"])
+                cell = _nearest(V, bc.value)
+                yield pdf.assign(cell=cell.astype(np.int32), far=_norms(V - bc.value[cell]), norm=_norms(V))
+    return run
+
+
+def _two_big_sides(L: DataFrame, R: DataFrame, n_left: int, n_right: int, k: int, digits: int, block_rows: int) -> DataFrame:
+    """Candidates from blocks of both sides.
 
-    The first block goes to all left rows and gives each a k-th score; a left row is then sent
-    only to blocks whose largest norm may still beat it, and a right block only to left blocks
-    that ask for it.  Many equal norms are dealt to several blocks by hash.
+    Right rows are stored with the nearest of some cells, whose centres are fitted to a bounded
+    sample; radius and largest norm of a cell are taken over all its rows, so the bounds hold
+    whatever the centres.  Neighbouring cells form a right block; a cell of more rows than a block
+    is dealt to several by hash.  Every left row is searched in the block of its most
+    promising cell, which gives it a k-th score, and then in the blocks of those cells that may
+    still beat it.  A block's left rows are dealt to as many tasks as their number asks for.
     """
     spark = L.sparkSession
-    R = R.withColumn("norm", F.sqrt(F.aggregate("rf", F.lit(0.0), lambda a, x: a + x * x)))
-    parts = max(1, math.ceil(n_right / block_rows))
-    edges = sorted(set(R.agg(F.percentile_approx("norm", [j / parts for j in range(1, parts)], 10_000)).first()[0] or [])) if parts > 1 else []
-    bucket = sum([(F.col("norm") <= F.lit(e)).cast("int") for e in edges], F.lit(0))
-    R = R.withColumn("bucket", bucket)
-    counts = {r.bucket: r.n for r in R.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}             # one row per block
-    subs = F.element_at(F.create_map(*[F.lit(x) for b, n in counts.items() for x in (b, max(1, math.ceil(n / (2 * block_rows))))]), F.col("bucket"))
-    R = R.withColumn("sub", F.pmod(F.xxhash64("rid"), subs).cast("int"))
-    blocks = sorted(R.groupBy("bucket", "sub").agg(F.max("norm").alias("norm")).collect(), key=lambda r: (-r.norm, r.bucket, r.sub))
-    names = F.element_at(F.create_map(*[F.lit(x) for i, r in enumerate(blocks) for x in (f"{r.bucket}/{r.sub}", i)]),
-                         F.concat_ws("/", F.col("bucket").cast("string"), F.col("sub").cast("string")))
-    R = R.withColumn("rb", names.cast("int"))
-    head = R.where("rb = 0").selectExpr("rid AS id", "rf AS features")
-    bc = spark.sparkContext.broadcast(_by_norm(*_factors(head, len(head.first()["features"]))))
     base = scratch_path(spark, "top-k")
-    (L.repartition(tasks, "lid").mapInPandas(_first_block(bc, k, digits), "lid bigint, lf array<double>, norm double, kth double, scored bigint, rids array<bigint>, scores array<double>")
-     .write.parquet(base))
-    found = spark.read.parquet(base)
-    first = found.select("lid", "scored", F.explode_outer(F.arrays_zip("rids", "scores")).alias("c"), F.size("rids").alias("n"))
-    first = first.select("lid", F.col("c.rids").alias("rid"), F.col("c.scores").alias("score"), F.lit(0).alias("rank"),
-                         (F.col("scored") / F.greatest("n", F.lit(1))).alias("scored"))
-    if len(blocks) == 1:
-        return first
-    bl = max(1, math.ceil(n_left / block_rows))
-    tops = F.array(*[F.lit(float(r.norm)) for r in blocks])
-    ask = F.size(F.filter(tops, lambda m: m * F.col("norm") * (1 + _SLACK) + 0.5 * 10.0 ** -digits >= F.col("kth")))
-    # Block ids must have ONE type on both sides: the cogroup hash-partitions each side by its
-    # key values, and an int 3 and a bigint 3 hash apart.
-    Lb = found.withColumn("ask", ask).where("ask > 1").selectExpr("lid", "lf", "kth", f"CAST(pmod(xxhash64(lid), {bl}) AS INT) AS lb", "explode(sequence(1, ask - 1)) AS rb")
-    asked = Lb.select(F.col("lb").alias("from"), F.col("rb").alias("to")).distinct()
-    Rb = R.where("rb > 0").join(asked, F.col("rb") == F.col("to")).select("rid", "rf", F.col("from").alias("lb"), F.col("to").alias("rb"))
-    more = Lb.groupBy("lb", "rb").cogroup(Rb.groupBy("lb", "rb")).applyInPandas(_block_top_k(k, digits), SCORES_SCHEMA)
-    return first.unionByName(more)
+    share = min(1.0, SAMPLE_ROWS / n_right)
+    sample = R.where(F.pmod(F.xxhash64(F.lit("cells"), "rid"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + (share >= 1))).limit(2 * SAMPLE_ROWS).toPandas()
+    sample = sample if len(sample) else R.limit(1).toPandas()
+    cells = max(1, min(MAX_CELLS, len(sample) // 4, math.ceil(n_right / min(_PRUNE_ROWS, block_rows))))
+    sample = sample.sort_values("rid")
+    centres = _cell_centres(_matrix(sample["rf"]), cells)
+    spread = spark.sparkContext.defaultParallelism
+    (R.repartition(max(spread, math.ceil(n_right / block_rows)), "rid").mapInPandas(_in_cells(spark.sparkContext.broadcast(centres)), "rid bigint, rf array<double>, cell int, far double, norm double")
+     .write.parquet(f"{base}/right"))
+    R = spark.read.parquet(f"{base}/right")
+    stats = sorted(R.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far"), F.max("norm").alias("norm")).collect(), key=lambda r: r.cell)  # a row per cell
+    block, first, subs, filled = 0, {}, {}, 0                                     # first block and number of blocks of a cell
+    for r in stats:
+        if filled and filled + r.n > block_rows:
+            block, filled = block + 1, 0
+        first[r.cell], subs[r.cell] = block, max(1, math.ceil(r.n / (2 * block_rows)))
+        filled += math.ceil(r.n / subs[r.cell])
+        if subs[r.cell] > 1:
+            block, filled = block + subs[r.cell], 0
+    place = lambda of: F.element_at(F.create_map(*[F.lit(x) for c, v in of.items() for x in (c, v)]), F.col("cell"))
+    R = R.select("rid", "rf", "cell", (place(first) + F.pmod(F.xxhash64("rid"), place(subs))).cast("int").alias("rb"))
+    balls = [(centres[r.cell], r.far, r.norm, first[r.cell] + j) for r in stats for j in range(subs[r.cell])]
+    balls = tuple(np.array(x) for x in zip(*balls))
+    bc = spark.sparkContext.broadcast((balls[:3], balls[3]))
+
+    def met(left: DataFrame, search, schema: str) -> DataFrame:
+        """Left rows and the right block `rb` that they ask for, searched together."""
+        lots = {r.rb: max(1, math.ceil(r.n / block_rows)) for r in left.groupBy("rb").agg(F.count(F.lit(1)).alias("n")).collect()}     # a row per block
+        if not lots:
+            return spark.createDataFrame([], schema)
+        dealt = spark.createDataFrame(list(lots.items()), "rb int, lots int")
+        # Block ids must have ONE type on both sides: the cogroup hash-partitions each side by its
+        # key values, and an int 3 and a bigint 3 hash apart.
+        Lb = left.join(F.broadcast(dealt), "rb").withColumn("lb", F.pmod(F.xxhash64("lid"), "lots").cast("int")).drop("lots")
+        Rb = R.join(F.broadcast(dealt), "rb").withColumn("lb", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
+        n = max(spread, 2 * sum(lots.values()))                                   # groups differ in size, few should share a task
+        return Lb.repartition(n, "rb", "lb").groupBy("rb", "lb").cogroup(Rb.repartition(n, "rb", "lb").groupBy("rb", "lb")).applyInPandas(search, schema)
+
+    L.repartition(max(spread, math.ceil(n_left / block_rows)), "lid").mapInPandas(_best_block(bc), "lid bigint, lf array<double>, rb int").write.parquet(f"{base}/left")
+    met(spark.read.parquet(f"{base}/left"), _first_block(bc, k, digits), "lid bigint, lf array<double>, kth double, scored bigint, rids array<bigint>, scores array<double>, asks array<int>") \
+        .write.parquet(f"{base}/found")
+    found = spark.read.parquet(f"{base}/found")
+    top = found.select("lid", "scored", F.explode_outer(F.arrays_zip("rids", "scores")).alias("c"), F.size("rids").alias("n"))
+    top = top.select("lid", F.col("c.rids").alias("rid"), F.col("c.scores").alias("score"), F.lit(0).alias("rank"),
+                     (F.col("scored") / F.greatest("n", F.lit(1))).alias("scored"))
+    more = met(found.select("lid", "lf", "kth", F.explode("asks").alias("rb")), _block_top_k(k, digits), SCORES_SCHEMA)
+    return top.unionByName(more)
 
 
 def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int = BLOCK_ROWS,
@@ -316,7 +443,7 @@ def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int
         if counts:
             ranked = ranked.withColumn("scored", F.sum("scored").over(Window.partitionBy("lid")))
     else:
-        ranked = _merged(_two_big_sides(L, R, n_left, n_right, k, digits, block_rows, tasks), k)
+        ranked = _merged(_two_big_sides(L, R, n_left, n_right, k, digits, block_rows), k)
     ranked = ranked.where("rid IS NOT NULL")
     more = [F.round("scored").cast("bigint").alias("scored"), (F.lit(n_right) - F.round("scored")).cast("bigint").alias("skipped")] if counts else []
     return ranked.select(F.col("lid").alias("id"), F.col("rank").cast("int").alias("rank"),

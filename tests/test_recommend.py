@@ -189,3 +189,15 @@ def test_few_left_rows_and_large_k(spark):
     few = RC.top_k(right, left, 10, max_broadcast_bytes=8, block_rows=2, counts=True).collect()
     assert len(few) == 600 and all(r.scored == 3 for r in few)
     assert sorted((r.id, r["rank"], r.other, r.score) for r in few) == best_by_hand(range(200), V, range(3), U, 10)
+
+
+def test_equal_norms_in_clusters_are_skipped_by_their_balls(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 16))
+    V = centres[np.arange(2400) % 60] + 0.01 * rng.normal(size=(2400, 16))
+    V /= np.sqrt((V * V).sum(axis=1))[:, None]
+    U, lids, rids = V[::30] * 2, np.arange(80), rng.permutation(2400) + 3
+    got = RC.top_k(factors(spark, lids, U), factors(spark, rids, V), 5, counts=True, max_broadcast_bytes=8, block_rows=200).collect()
+    assert sorted((r.id, r["rank"], r.other, r.score) for r in got) == best_by_hand(lids, U, rids, V, 5)
+    assert all(r.scored + r.skipped == 2400 for r in got)
+    assert sum({r.id: r.skipped for r in got}.values()) > 0.5 * 80 * 2400         # the norms alone skip nothing
