@@ -1,18 +1,21 @@
 """Alternating least squares over chunked ratings.
 
 Both copies of the ratings, sorted by user and by item, are cut into chunks of at most
-``CHUNK`` ratings, each stored as one row of arrays under the checkpoint folder.  A half step
+``CHUNK`` ratings, each stored as one row under the checkpoint folder.  Consecutive chunks
+form blocks of equally many ratings.  A half step
 
-* sends every chunk the factors of the other side's ids it names, once per chunk and id
-  (one equi-join and one grouping by chunk; a chunk bounds what is gathered);
-* forms, inside the chunk, the Gram matrix and right side of every id's normal equations;
+* sends every block the factors of the other side's ids that its chunks name, once per block
+  and id (one equi-join with the stored list of an id's blocks), and its chunks, packed;
+* forms, chunk by chunk, the Gram matrix and right side of every id's normal equations;
 * solves at once what is complete.  Ratings are sorted, so only a chunk's first and last id
   can go on in a neighbour; their partial sums, two rows a chunk at most, are added up by a
   pre-aggregated sum per matrix cell and solved then.
 
-A user or item that holds a third of all ratings is therefore a third of the chunks, spread
-over tasks like any other, and adds one partial row per chunk.  Nothing passes through the
-driver.  The loss is the sum of squared errors with regularisation weighted by an id's number
+What is sent grows with the number of blocks, so there are few: ``BLOCKS``, or as many as
+hold ``BLOCK_RATINGS`` ratings each.  A task holds the factors that its block names, at most
+one per rating, and its packed chunks.  A user or item that holds a third of all ratings is
+a third of the chunks and blocks, and adds one partial row per chunk.  Nothing passes through
+the driver.  The loss is the sum of squared errors with regularisation weighted by an id's number
 of ratings (ALS-WR, as Spark's own ALS for explicit ratings); every iteration solves the
 items, then the users.
 
@@ -24,9 +27,11 @@ repeated rows count each.  An empty table gives empty factor tables.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +41,24 @@ from tessera.operators.split import HASH_SPACE, text_hash
 from tessera.session import scratch_path
 
 CHUNK = 8192
+BLOCKS = 6                     # fewest blocks of a half step
+BLOCK_RATINGS = 1 << 25        # most ratings of a block, which bound what its task holds
 FACTORS = "id bigint, features array<double>"
-_CHUNKS = "chunk bigint, ids array<bigint>, others array<bigint>, ratings array<double>"
+_CHUNKS = "chunk bigint, ids array<bigint>, others array<bigint>, packed binary"
+_COLUMNS = ("ids", "others", "ratings")
+
+
+def _packed(rows: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, ...]:
+    """(ids, others, ratings) of a chunk."""
+    rows = pa.ipc.open_stream(packed).read_next_batch()
+    return tuple(rows.column(i).to_numpy() for i in range(len(_COLUMNS)))
 
 
 def _cut(batches):
@@ -47,14 +68,16 @@ def _cut(batches):
         if not n:
             continue
         cuts = np.linspace(0, n, math.ceil(n / CHUNK) + 1).astype(np.int32)      # of equal size
+        rows = pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(_COLUMNS))], names=_COLUMNS)
         yield pa.record_batch({
             "chunk": pa.array((part << 33) + number + np.arange(len(cuts) - 1)),
-            **{name: pa.ListArray.from_arrays(pa.array(cuts), batch.column(i)) for i, name in enumerate(("ids", "others", "ratings"))}})
+            **{name: pa.ListArray.from_arrays(pa.array(cuts), batch.column(i)) for i, name in enumerate(_COLUMNS[:2])},
+            "packed": pa.array([_packed(rows.slice(lo, hi - lo)) for lo, hi in zip(cuts.tolist(), cuts[1:].tolist())], pa.binary())})
         number += len(cuts) - 1
 
 
 def rating_chunks(ratings: DataFrame, solve: str, other: str, rating: str, path: str) -> DataFrame:
-    """(chunk, ids, others, ratings): the ratings in order of (solve, other), cut into chunks and stored."""
+    """(chunk, ids, others, packed): the ratings in order of (solve, other), cut into chunks and stored; packed: all three columns."""
     view = ratings.selectExpr(f"CAST(`{solve}` AS BIGINT) AS ids", f"CAST(`{other}` AS BIGINT) AS others", f"CAST(`{rating}` AS DOUBLE) AS ratings") \
         .where("ids IS NOT NULL AND others IS NOT NULL AND ratings IS NOT NULL")
     spread = view.withColumn("spread", F.spark_partition_id())                   # a pair rated very often is dealt out
@@ -63,6 +86,45 @@ def rating_chunks(ratings: DataFrame, solve: str, other: str, rating: str, path:
     return ratings.sparkSession.read.parquet(path)
 
 
+class Blocks(NamedTuple):
+    """Chunks with their `block`, the number of blocks, and where the chunks are stored."""
+    chunks: DataFrame
+    count: int
+    path: str
+
+
+def in_blocks(chunks: DataFrame, path: str) -> Blocks:
+    """Consecutive chunks in blocks of equally many chunks."""
+    part = F.shiftright("chunk", 33)
+    per = {r.part: r for r in chunks.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("ratings")).collect()}  # a row per task
+    if not per:
+        return Blocks(chunks.withColumn("block", F.lit(0)), 1, path)
+    total = sum(r.n for r in per.values())
+    count = min(total, max(BLOCKS, math.ceil(sum(r.ratings for r in per.values()) / BLOCK_RATINGS)))
+    before = np.cumsum([0] + [per[p].n if p in per else 0 for p in range(max(per))]).tolist()
+    place = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in before]), (part + 1).cast("int")) + F.col("chunk") - F.shiftleft(part, 33)
+    return Blocks(chunks.withColumn("block", F.floor(place * count / total).cast("int")), count, path)
+
+
+def block_needs(blocks: Blocks, column: str) -> DataFrame:
+    """(id, blocks): the blocks in whose chunks an id of the column stands, stored."""
+    path = f"{blocks.path}-{column}"
+    (blocks.chunks.select("block", F.explode(F.array_distinct(column)).alias("id")).distinct()
+     .groupBy("id").agg(F.collect_list("block").alias("blocks")).write.parquet(path))
+    return blocks.chunks.sparkSession.read.parquet(path)
+
+
+def _met(blocks: Blocks, *fed: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """The chunks of a block in one task with the factors of the ids it needs; `side` is the place of (needs, factors) in ``fed``."""
+    rows = blocks.chunks.selectExpr("block", "packed", "CAST(NULL AS TINYINT) AS side", "CAST(NULL AS BIGINT) AS id", "CAST(NULL AS ARRAY<DOUBLE>) AS features")
+    for side, (needs, factors) in enumerate(fed):
+        sent = needs.join(factors, "id").select(
+            F.explode("blocks").alias("block"), F.lit(None).cast("binary").alias("packed"), F.lit(side).cast("tinyint").alias("side"),
+            "id", F.col("features").cast("array<double>").alias("features"))
+        rows = rows.unionByName(sent)
+    return rows.repartitionById(blocks.count, F.col("block")).drop("block")
+
+
 def _lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(flat values, offsets) of a list column."""
     if isinstance(col, pa.ChunkedArray):
@@ -91,32 +153,54 @@ def _array(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
 
 
+class _Factors:
+    """The factors of one side that were sent to a task."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]], rank: int):
+        self.ids = np.concatenate([np.empty(0, np.int64), *[i for i, _ in parts]])
+        self.rows = np.concatenate([np.empty((0, rank)), *[x for _, x in parts]])
+        self.order = np.argsort(self.ids)
+        self.sorted = self.ids[self.order]
+
+    def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the ids' rows, whether they have one)."""
+        if not len(self.ids):
+            return np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+        at = np.minimum(np.searchsorted(self.sorted, ids), len(self.ids) - 1)
+        return self.order[at], self.sorted[at] == ids
+
+
+def _gathered(batches, rank: int, sides: int) -> tuple[list[bytes], list[_Factors]]:
+    """The packed chunks and the factors, side by side, that a task was sent."""
+    chunks, parts = [], [[] for _ in range(sides)]
+    for batch in batches:
+        packed, side, ids, features = batch.columns
+        chunks += packed.drop_null().to_pylist()
+        for k in range(sides):
+            mine = pa.compute.fill_null(pa.compute.equal(side, k), False)
+            if mine.true_count:
+                parts[k].append((ids.filter(mine).to_numpy(), _lists(features.filter(mine))[0].reshape(-1, rank)))
+    return chunks, [_Factors(parts.pop(0), rank) for _ in range(sides)]
+
+
 def _half(rank: int, reg: float):
     """Chunks with their factors -> solved ids (features) and partial sums (Gram matrix, right side and count in one array)."""
     def run(batches):
-        for batch in batches:
-            col = lambda name: _lists(batch.column(batch.schema.names.index(name)))
-            (ids, at), (others, _), (ratings, _), (named, named_at) = col("ids"), col("others"), col("ratings"), col("named")
-            flat = batch.column(batch.schema.names.index("factors"))
-            X = _lists(pa.array(flat.values.slice(flat.offsets[0].as_py(), len(named))) if len(named) else flat.values)[0].reshape(-1, rank)
-            for c in range(batch.num_rows):
-                mine = slice(at[c], at[c + 1])
-                have = named[named_at[c]:named_at[c + 1]]
-                order = np.argsort(have)
-                place = np.searchsorted(have, others[mine], sorter=order)
-                place = order[np.minimum(place, len(order) - 1)] if len(order) else np.zeros(0, np.int64)
-                known = have[place] == others[mine] if len(order) else np.zeros(at[c + 1] - at[c], bool)
-                if not known.any():
-                    continue
-                u, n, gram, right = _equations(ids[mine][known], X[named_at[c]:named_at[c + 1]][place[known]], ratings[mine][known])
-                whole = (u != ids[mine][0]) & (u != ids[mine][-1])
-                if whole.any():
-                    got = _solved(n[whole], gram[whole], right[whole], reg)
-                    yield pa.record_batch({"id": pa.array(u[whole]), "features": _array(got), "sums": pa.nulls(len(got), pa.list_(pa.float64()))})
-                open_ = ~whole
-                if open_.any():
-                    sums = np.hstack((gram[open_].reshape(-1, rank * rank), right[open_], n[open_, None].astype(float)))
-                    yield pa.record_batch({"id": pa.array(u[open_]), "features": pa.nulls(len(sums), pa.list_(pa.float64())), "sums": _array(sums)})
+        chunks, (other,) = _gathered(batches, rank, 1)
+        for packed in chunks:
+            ids, others, ratings = _unpacked(packed)
+            place, known = other.of(others)
+            if not known.any():
+                continue
+            u, n, gram, right = _equations(ids[known], other.rows[place[known]], ratings[known])
+            whole = (u != ids[0]) & (u != ids[-1])
+            if whole.any():
+                got = _solved(n[whole], gram[whole], right[whole], reg)
+                yield pa.record_batch({"id": pa.array(u[whole]), "features": _array(got), "sums": pa.nulls(len(got), pa.list_(pa.float64()))})
+            open_ = ~whole
+            if open_.any():
+                sums = np.hstack((gram[open_].reshape(-1, rank * rank), right[open_], n[open_, None].astype(float)))
+                yield pa.record_batch({"id": pa.array(u[open_]), "features": pa.nulls(len(sums), pa.list_(pa.float64())), "sums": _array(sums)})
     return run
 
 
@@ -131,21 +215,48 @@ def _finish(rank: int, reg: float):
     return run
 
 
-def half_step(chunks: DataFrame, needs: DataFrame, factors: DataFrame, rank: int, reg: float, path: str) -> DataFrame:
+def half_step(blocks: Blocks, needs: DataFrame, factors: DataFrame, rank: int, reg: float, path: str) -> DataFrame:
     """Factors (id, features) of the chunks' ids, the other side's being fixed.
 
-    ``needs`` is (chunk, id): the other side's ids that a chunk names.  A rating whose other id
+    ``needs`` is (id, blocks): the blocks that name the other side's ids.  A rating whose other id
     has no factors is left out.
     """
-    fed = needs.join(factors, "id").groupBy("chunk").agg(F.collect_list(F.struct("id", "features")).alias("f"))
-    met = chunks.join(fed, "chunk").select("ids", "others", "ratings", F.col("f.id").alias("named"), F.col("f.features").alias("factors"))
-    met.mapInArrow(_half(rank, reg), f"{FACTORS}, sums array<double>").write.parquet(path)
-    half = chunks.sparkSession.read.parquet(path)
+    _met(blocks, (needs, factors)).mapInArrow(_half(rank, reg), f"{FACTORS}, sums array<double>").write.parquet(path)
+    half = factors.sparkSession.read.parquet(path)
     cells = half.where("sums IS NOT NULL").select("id", F.posexplode("sums").alias("at", "v")).groupBy("id", "at").agg(F.sum("v").alias("v"))
     sums = cells.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "v"))).alias("s")).select("id", F.col("s.v").alias("sums"))
     return half.where("features IS NOT NULL").select("id", "features").unionByName(sums.mapInArrow(_finish(rank, reg), FACTORS))
 
 
+def _residuals(rank: int, reg: float):
+    """Chunks with both sides' factors -> (id, sums): sum v (v.u - r) + reg n u in `rank` places and sum |r|, per chunk and id."""
+    def run(batches):
+        chunks, (other, own) = _gathered(batches, rank, 2)
+        for packed in chunks:
+            ids, others, ratings = _unpacked(packed)
+            (v, met), (u, fitted) = other.of(others), own.of(ids)
+            known = met & fitted
+            if not known.any():
+                continue
+            V, U, ratings = other.rows[v[known]], own.rows[u[known]], ratings[known]
+            given = ~np.isnan(ratings)
+            error = np.where(given, (U * V).sum(axis=1) - ratings, 0.0)
+            rows = np.hstack((error[:, None] * V + reg * U, np.where(given, np.abs(ratings), 0.0)[:, None]))
+            starts = np.flatnonzero(np.concatenate(([True], ids[known][1:] != ids[known][:-1])))
+            yield pa.record_batch({"id": pa.array(ids[known][starts]), "sums": _array(np.add.reduceat(rows, starts, axis=0))})
+    return run
+
+
+def equation_residuals(train: DataFrame, userFactors: DataFrame, itemFactors: DataFrame, rank: int, reg: float, user: str, item: str, rating: str) -> DataFrame:
+    """(id, g, scale): per user sum v (v.u - r) + reg n u over the pairs of known ids, and sum |r|; a null rating only counts in n."""
+    base = scratch_path(train.sparkSession, "residuals")
+    rated = train.select(user, item, F.coalesce(F.col(rating).cast("double"), F.lit(float("nan"))).alias(rating))
+    blocks = in_blocks(rating_chunks(rated, user, item, rating, f"{base}/users"), f"{base}/users")
+    met = _met(blocks, (block_needs(blocks, "others"), itemFactors), (block_needs(blocks, "ids"), userFactors))
+    sums = met.mapInArrow(_residuals(rank, reg), "id bigint, sums array<double>").groupBy("id").agg(*[F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(rank + 1)])
+    return sums.select("id", F.array(*[f"s{k}" for k in range(rank)]).alias("g"), F.col(f"s{rank}").alias("scale"))
+
+
 def start_factors(ids: DataFrame, rank: int, seed: int) -> DataFrame:
     """(id, features) in (0, 1): the hash of seed, id and dimension."""
     one = lambda d: text_hash(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"), F.lit(str(d)))) / F.lit(float(HASH_SPACE))
@@ -190,10 +301,11 @@ def fit_chunked_als(train: DataFrame, user: str = "user", item: str = "item", ra
     base = scratch_path(train.sparkSession, "als")
     sides, needs = {}, {}
     for name, solve, other in (("user", user, item), ("item", item, user)):
-        sides[name] = rating_chunks(train, solve, other, rating, f"{base}/{name}s")
-        needs[name] = sides[name].select("chunk", F.explode(F.array_distinct("others")).alias("id"))
+        path = f"{base}/{name}s"
+        sides[name] = in_blocks(rating_chunks(train, solve, other, rating, path), path)
+        needs[name] = block_needs(sides[name], "others")
     if start is None:
-        start = start_factors(sides["user"].select(F.explode(F.array_distinct("ids")).alias("id")).distinct(), rank, seed)
+        start = start_factors(sides["user"].chunks.select(F.explode(F.array_distinct("ids")).alias("id")).distinct(), rank, seed)
     users = start
     for step in range(maxIter):
         items = half_step(sides["item"], needs["item"], users, rank, regParam, f"{base}/items-{step}")

@@ -494,16 +494,10 @@ def fitted_users(model: ALSModel, train: DataFrame, reg: float, user: str = "use
 
     ALS ends with the users' half step, so sum v (v.u - r) + reg n u is 0 but for single precision.
     """
-    rank = model.rank
-    u = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("_u"))
-    v = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_v"))
-    rows = train.select(user, item, F.col(rating).cast("double").alias("_r")).join(v, item).join(u, user)
-    rows = rows.withColumn("_e", dot("_u", "_v") - F.col("_r"))
-    sums = rows.groupBy(user).agg(
-        F.first("_u").alias("_u"), F.count(F.lit(1)).alias("_n"), F.sum(F.abs("_r")).alias("_scale"),
-        F.array(*[F.sum(F.col("_e") * F.col("_v")[k]) for k in range(rank)]).alias("_g"))
-    worst = F.expr(f"array_max(transform(_g, (g, i) -> abs(g + {float(reg)!r}D * _n * _u[i])))")
-    return sums.select(F.col(user).alias("id"), (worst <= FACT_TOLERANCE * (1 + F.col("_scale"))).alias("solved"))
+    from tessera.operators.als import equation_residuals                         # which builds on this module
+    sums = equation_residuals(train, model.userFactors, model.itemFactors, model.rank, reg, user, item, rating)
+    worst = F.array_max(F.transform("g", F.abs))
+    return sums.select(F.col("id").cast(train.schema[user].dataType).alias("id"), (worst <= FACT_TOLERANCE * (1 + F.col("scale"))).alias("solved"))
 
 
 def prediction_facts(model: ALSModel, test: DataFrame, user: str = "user", item: str = "item") -> DataFrame:

@@ -117,3 +117,66 @@ def test_empty(spark):
     df = spark.createDataFrame([], "user long, item long, rating double")
     model = A.fit_chunked_als(df, rank=2, maxIter=1)
     assert model.userFactors.count() == 0 and model.itemFactors.count() == 0 and model.transform(df).count() == 0
+
+
+def test_factors_go_to_a_block_once(spark, tmp_dir, monkeypatch):
+    """Of many chunks, equally many form a block; a block is sent what its chunks name, once, and no id more often than there are blocks."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        pairs = spark.range(6000).selectExpr("id % 300 AS user", "pmod(xxhash64(id), 200) AS item", "1.0D AS rating")
+        chunks = A.rating_chunks(pairs, "user", "item", "rating", f"{tmp_dir}/chunks")
+        blocks = A.in_blocks(chunks, f"{tmp_dir}/chunks")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = blocks.chunks.orderBy("chunk").collect()
+    of = [r.block for r in rows]
+    assert len(rows) >= 120 and blocks.count == A.BLOCKS and of == sorted(of)
+    sizes = [of.count(b) for b in range(A.BLOCKS)]
+    assert max(sizes) - min(sizes) <= 1
+    needs = A.block_needs(blocks, "others")
+    assert {(r.id, b) for r in needs.collect() for b in r.blocks} == {(i, r.block) for r in rows for i in r.others}
+    factors = A.start_factors(needs.select("id"), 2, 1)
+    sent = A._met(blocks, (needs, factors)).where("id IS NOT NULL").collect()
+    assert len(sent) == len({(r.block, i) for r in rows for i in r.others}) <= A.BLOCKS * needs.count()
+    assert sum(len(set(r.others)) for r in rows) > 2 * len(sent)
+    assert A._met(blocks, (needs, factors)).where("packed IS NOT NULL").count() == len(rows)
+
+
+def test_more_blocks_for_more_ratings(spark, monkeypatch):
+    """Blocks hold a bounded number of ratings, and a fit in many of them is the same."""
+    monkeypatch.setattr(A, "BLOCK_RATINGS", 60)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 25)
+    rows = made(4, hot=200)
+    df = spark.createDataFrame(rows, "user long, item long, rating double").repartition(3)
+    try:
+        model = A.fit_chunked_als(df, rank=2, maxIter=2, regParam=0.1)
+        users, items = factors(model.userFactors), factors(model.itemFactors)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want_users, want_items = plain_als(rows, start_of(spark, rows, 2), 2, 2, 0.1)
+    assert set(users) == set(want_users) and set(items) == set(want_items)
+    assert all(np.allclose(users[u], want_users[u], atol=1e-8) for u in users)
+
+
+def test_residuals_of_the_normal_equations(spark):
+    """Per user over the pairs of known ids, as plain sums; a null rating counts in n, repeated pairs count each."""
+    rnd = np.random.default_rng(5)
+    U = {u: rnd.random(2) for u in range(20)}
+    V = {i: rnd.random(2) for i in range(15)}
+    rows = [(int(u), int(i), float(r)) for u, i, r in zip(rnd.integers(0, 25, 400), rnd.integers(0, 18, 400), rnd.integers(1, 6, 400))]
+    rows += [(3, 4, None), (3, 4, None), (None, 4, 1.0), (3, None, 1.0), (5, 5, 2.0), (5, 5, 2.0)]
+    df = spark.createDataFrame(rows, "user int, item int, rating double")
+    table = lambda t: spark.createDataFrame([(k, [float(x) for x in f]) for k, f in t.items()], "id int, features array<float>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 30)
+    try:
+        got = {r.id: r for r in A.equation_residuals(df, table(U), table(V), 2, 0.1, "user", "item", "rating").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for u, i, r in rows:
+        if u in U and i in V:
+            g, scale = want.get(u, (np.zeros(2), 0.0))
+            g = g + 0.1 * U[u] + (V[i] * (U[u] @ V[i] - r) if r is not None else 0)
+            want[u] = g, scale + abs(r or 0.0)
+    assert set(got) == set(want)
+    assert all(np.allclose(got[u].g, g, atol=1e-4) and abs(got[u].scale - s) < 1e-9 for u, (g, s) in want.items())
