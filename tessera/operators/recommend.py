@@ -111,12 +111,14 @@ def _norms(V: np.ndarray) -> np.ndarray:
 
 def _by_norm(rid: np.ndarray, V: np.ndarray, cell: np.ndarray | None = None) -> list[tuple]:
     """Pieces (ids, rows, largest norm, centre, radius) of at most _PRUNE_ROWS rows, cell by cell,
-    in falling order of the norm."""
+    in falling order of the norm; a piece's norms are within a power of two, so one long row loosens
+    the bound of few."""
     norms = _norms(V)
     cell = np.zeros(len(rid), np.int64) if cell is None else cell
     order = np.lexsort((rid, -norms, cell))
     rid, V, norms, cell = rid[order], V[order], norms[order], cell[order]
-    starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    level = np.floor(np.log2(np.maximum(norms, np.finfo(float).tiny)))
+    starts = np.flatnonzero(np.concatenate(([True], (cell[1:] != cell[:-1]) | (level[1:] != level[:-1]))))
     pieces = []
     for lo, hi in zip(starts, np.append(starts[1:], len(rid))):
         for at in range(lo, hi, _PRUNE_ROWS):
