@@ -85,6 +85,20 @@ def test_first_ids(spark):
     assert [r.user for r in RC.first_ids(df, "user", 3).collect()] == [2, 5, 7]
 
 
+def test_first_ids_are_found_once(spark):
+    """Reading the ids again, as the subset queries do, does not go over the table again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+    got = RC.first_ids(spark.range(100).selectExpr("id % 7 AS u").mapInPandas(count, "u bigint"), "u", 3)
+    for _ in range(3):
+        assert [r.u for r in got.collect()] == [0, 1, 2]
+    assert seen.value == 100
+
+
 def test_rank1_half_step(spark):
     r = spark.createDataFrame([(1, 10, 4.0), (1, 11, 2.0), (2, 10, 5.0)],
                               "user int, item int, rating double")
