@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import recommend as RC
 from tessera.operators.split import hash_split, with_row_id
@@ -99,6 +100,32 @@ def test_first_ids_are_found_once(spark):
     assert seen.value == 100
 
 
+def test_pairs_are_joined_in_the_precision_of_the_factors(spark):
+    """Single-precision factors are shuffled as they are, and widened for the dot product."""
+    rng = np.random.default_rng(2)
+    single = [(k, [float(x) for x in rng.random(3).astype(np.float32)]) for k in range(9)]
+    uf = spark.createDataFrame(single, "id int, features array<float>")
+    pairs = spark.createDataFrame([(a, b) for a in range(9) for b in range(9)], "user int, item int")
+    got = RC.predict_pairs(pairs, uf, uf)
+    assert all(r.prediction == sum(x * y for x, y in zip(single[r.user][1], single[r.item][1])) for r in got.collect())
+    class Model:
+        userFactors = itemFactors = uf
+        transform = staticmethod(lambda test: test.withColumn("prediction", F.lit(0.0)))
+        getPredictionCol = staticmethod(lambda: "prediction")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = RC.prediction_facts(Model, pairs)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "array<double>" not in plan[plan.index("Join"):]
+
+
+def test_als_has_few_blocks(spark):
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(30) for i in range(20) if (u + i) % 3]
+    model = RC.fit_als(spark.createDataFrame(rows, "user int, item int, rating double"), setting={"maxIter": 1, "rank": 2, "regParam": 0.1})
+    assert {t.rdd.getNumPartitions() for t in (model.userFactors, model.itemFactors)} == {RC.ALS_BLOCKS}
+
+
 def test_rank1_half_step(spark):
     r = spark.createDataFrame([(1, 10, 4.0), (1, 11, 2.0), (2, 10, 5.0)],
                               "user int, item int, rating double")
