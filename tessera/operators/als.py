@@ -15,7 +15,8 @@ What is sent grows with the number of blocks, so there are few: ``BLOCKS``, or a
 hold ``BLOCK_RATINGS`` ratings each.  A task holds the factors that its block names, at most
 one per rating, and its packed chunks.  A user or item that holds a third of all ratings is
 a third of the chunks and blocks, and adds one partial row per chunk.  Nothing passes through
-the driver.  The loss is the sum of squared errors with regularisation weighted by an id's number
+the driver.  A model scores pairs in the same way: sorted, cut and packed, and met by both sides'
+factors in few blocks, so no pair is shuffled with a factor.  The loss is the sum of squared errors with regularisation weighted by an id's number
 of ratings (ALS-WR, as Spark's own ALS for explicit ratings); every iteration solves the
 items, then the users.
 
@@ -35,14 +36,16 @@ import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tessera.operators.recommend import predict_pairs, recommend_for_all
+from tessera.operators.recommend import recommend_for_all
 from tessera.operators.split import HASH_SPACE, text_hash
 from tessera.session import scratch_path
 
 CHUNK = 8192
 BLOCKS = 6                     # fewest blocks of a half step
 BLOCK_RATINGS = 1 << 25        # most ratings of a block, which bound what its task holds
+BLOCK_BYTES = 1 << 28          # most bytes of its packed chunks, as pairs to score may have wide columns
 FACTORS = "id bigint, features array<double>"
 _CHUNKS = "chunk bigint, ids array<bigint>, others array<bigint>, packed binary"
 _COLUMNS = ("ids", "others", "ratings")
@@ -86,6 +89,16 @@ def rating_chunks(ratings: DataFrame, solve: str, other: str, rating: str, path:
     return ratings.sparkSession.read.parquet(path)
 
 
+def pair_chunks(pairs: DataFrame, user: str, item: str, path: str) -> DataFrame:
+    """As ``rating_chunks`` by user, with all rows; packed: user and item id (null if it is no integer), and the whole row."""
+    whole = lambda c: F.expr(f"CASE WHEN try_cast(`{c}` AS BIGINT) = `{c}` THEN try_cast(`{c}` AS BIGINT) END")
+    spread = pairs.withColumn("__spread", F.spark_partition_id())
+    ordered = spread.repartitionByRange(F.col(f"`{user}`"), F.col(f"`{item}`"), "__spread").sortWithinPartitions(F.col(f"`{user}`"), F.col(f"`{item}`"))
+    rows = ordered.select(whole(user).alias("ids"), whole(item).alias("others"), F.struct(*[F.col(f"`{c}`") for c in pairs.columns]).alias("row"))
+    rows.mapInArrow(_cut, _CHUNKS).write.parquet(path)
+    return pairs.sparkSession.read.parquet(path)
+
+
 class Blocks(NamedTuple):
     """Chunks with their `block`, the number of blocks, and where the chunks are stored."""
     chunks: DataFrame
@@ -96,11 +109,12 @@ class Blocks(NamedTuple):
 def in_blocks(chunks: DataFrame, path: str) -> Blocks:
     """Consecutive chunks in blocks of equally many chunks."""
     part = F.shiftright("chunk", 33)
-    per = {r.part: r for r in chunks.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("ratings")).collect()}  # a row per task
+    sizes = F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("ratings"), F.sum(F.length("packed")).alias("bytes")
+    per = {r.part: r for r in chunks.groupBy(part.alias("part")).agg(*sizes).collect()}                                                 # a row per task
     if not per:
         return Blocks(chunks.withColumn("block", F.lit(0)), 1, path)
     total = sum(r.n for r in per.values())
-    count = min(total, max(BLOCKS, math.ceil(sum(r.ratings for r in per.values()) / BLOCK_RATINGS)))
+    count = min(total, max(BLOCKS, math.ceil(sum(r.ratings for r in per.values()) / BLOCK_RATINGS), math.ceil(sum(r.bytes for r in per.values()) / BLOCK_BYTES)))
     before = np.cumsum([0] + [per[p].n if p in per else 0 for p in range(max(per))]).tolist()
     place = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in before]), (part + 1).cast("int")) + F.col("chunk") - F.shiftleft(part, 33)
     return Blocks(chunks.withColumn("block", F.floor(place * count / total).cast("int")), count, path)
@@ -257,6 +271,34 @@ def equation_residuals(train: DataFrame, userFactors: DataFrame, itemFactors: Da
     return sums.select("id", F.array(*[f"s{k}" for k in range(rank)]).alias("g"), F.col(f"s{rank}").alias("scale"))
 
 
+def _scored(rank: int, drop_cold: bool, prediction: str):
+    """Chunks of pairs with both sides' factors -> the pairs' rows and their score, null if an id has no factors (dropped if ``drop_cold``)."""
+    def run(batches):
+        chunks, (other, own) = _gathered(batches, rank, 2)
+        for packed in chunks:
+            ids, others, row = pa.ipc.open_stream(packed).read_next_batch().columns
+            known = ids.is_valid().to_numpy(zero_copy_only=False) & others.is_valid().to_numpy(zero_copy_only=False)
+            (v, met), (u, fitted) = other.of(others.fill_null(0).to_numpy()), own.of(ids.fill_null(0).to_numpy())
+            known &= met & fitted
+            score = np.zeros(len(known))
+            score[known] = (own.rows[u[known]] * other.rows[v[known]]).sum(axis=1)
+            columns = [*row.flatten(), pa.array(score, mask=~known)]
+            rows = pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in row.type), prediction])
+            yield rows.filter(pa.array(known)) if drop_cold else rows
+    return run
+
+
+def score_pairs(pairs: DataFrame, userFactors: DataFrame, itemFactors: DataFrame, rank: int, user: str, item: str,
+                drop_cold: bool = True, prediction: str = "prediction") -> DataFrame:
+    """J1/J2 as ``predict_pairs``, in blocks of packed pairs; factor ids are unique.  Cold-start pairs are dropped or get null."""
+    path = f"{scratch_path(pairs.sparkSession, 'pairs')}/users"
+    pairs = pairs.drop(prediction)
+    blocks = in_blocks(pair_chunks(pairs, user, item, path), path)
+    met = _met(blocks, (block_needs(blocks, "others"), itemFactors), (block_needs(blocks, "ids"), userFactors))
+    scored = met.mapInArrow(_scored(rank, drop_cold, prediction), StructType([*pairs.schema.fields, StructField(prediction, DoubleType())]))
+    return scored.select(*[F.col(f"`{c}`") for c in dict.fromkeys((item, user, *scored.columns))])               # in the order of two joins
+
+
 def start_factors(ids: DataFrame, rank: int, seed: int) -> DataFrame:
     """(id, features) in (0, 1): the hash of seed, id and dimension."""
     one = lambda d: text_hash(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"), F.lit(str(d)))) / F.lit(float(HASH_SPACE))
@@ -281,7 +323,7 @@ class ChunkedALSModel:
 
     def transform(self, pairs: DataFrame) -> DataFrame:
         """Scored pairs; those of unseen ids are dropped, or get null if ``cold_start`` is "nan"."""
-        return predict_pairs(pairs, self.userFactors, self.itemFactors, self._user, self._item, drop_cold=self._cold == "drop", prediction=self._prediction)
+        return score_pairs(pairs, self.userFactors, self.itemFactors, self.rank, self._user, self._item, drop_cold=self._cold == "drop", prediction=self._prediction)
 
     def recommendForAllUsers(self, k: int) -> DataFrame:
         return recommend_for_all(self, k, users=True)

@@ -180,3 +180,41 @@ def test_residuals_of_the_normal_equations(spark):
             want[u] = g, scale + abs(r or 0.0)
     assert set(got) == set(want)
     assert all(np.allclose(got[u].g, g, atol=1e-4) and abs(got[u].scale - s) < 1e-9 for u, (g, s) in want.items())
+
+
+@pytest.mark.parametrize("cold", ["drop", "nan"])
+def test_pairs_are_scored_in_blocks(spark, cold):
+    """Every row with its own columns, as joined with the factors; ids null, unseen or repeated; no pair is joined with a factor."""
+    rows = made(6)
+    model = A.fit_chunked_als(spark.createDataFrame(rows, "user long, item long, rating double"), rank=3, maxIter=1, cold_start=cold)
+    pairs = spark.createDataFrame([(*r, f"n{k}", [k, None]) for k, r in enumerate([*rows, (999, 2, 1.0), (1, 999, None), (None, None, 1.0)])],
+                                  "user int, item int, rating double, note string, list array<int>").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 40)
+    try:
+        scored = model.transform(pairs)
+        got = scored.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plain = RC.predict_pairs(pairs, model.userFactors, model.itemFactors, drop_cold=cold == "drop")
+    assert scored.dtypes == plain.dtypes
+    want = {r.note: r for r in plain.collect()}
+    assert len(got) == len(want) == (len(rows) - 2 if cold == "drop" else len(rows) + 3)
+    for r in got:
+        w = want[r.note]
+        assert tuple(r)[:-1] == tuple(w)[:-1] and (r.prediction is None) == (w.prediction is None)
+        assert r.prediction is None or abs(r.prediction - w.prediction) < 1e-9
+    joins = [line for line in scored._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+    assert joins and not any("user#" in line or "item#" in line for line in joins)
+
+
+def test_wide_pairs_make_more_blocks(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(A, "BLOCK_BYTES", 20_000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        pairs = spark.range(1000).selectExpr("id % 50 AS user", "id % 30 AS item", "sha2(string(id), 512) AS note")
+        chunks = A.pair_chunks(pairs, "user", "item", f"{tmp_dir}/pairs")
+        blocks = A.in_blocks(chunks, f"{tmp_dir}/pairs")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert blocks.count > A.BLOCKS
+    assert blocks.chunks.groupBy("block").agg(F.sum(F.length("packed")).alias("n")).agg(F.max("n")).first()[0] < 40_000
