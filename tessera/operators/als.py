@@ -16,7 +16,8 @@ hold ``BLOCK_RATINGS`` ratings each.  A task holds the factors that its block na
 one per rating, and its packed chunks.  A user or item that holds a third of all ratings is
 a third of the chunks and blocks, and adds one partial row per chunk.  Nothing passes through
 the driver.  A model scores pairs in the same way: sorted, cut and packed, and met by both sides'
-factors in few blocks, so no pair is shuffled with a factor.  The loss is the sum of squared errors with regularisation weighted by an id's number
+factors in few blocks, so no pair is shuffled with a factor; its training pairs are scored in the
+chunks that the fit stored.  The loss is the sum of squared errors with regularisation weighted by an id's number
 of ratings (ALS-WR, as Spark's own ALS for explicit ratings); every iteration solves the
 items, then the users.
 
@@ -36,7 +37,7 @@ import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tessera.operators.recommend import recommend_for_all
 from tessera.operators.split import HASH_SPACE, text_hash
@@ -49,6 +50,8 @@ BLOCK_BYTES = 1 << 28          # most bytes of its packed chunks, as pairs to sc
 FACTORS = "id bigint, features array<double>"
 _CHUNKS = "chunk bigint, ids array<bigint>, others array<bigint>, packed binary"
 _COLUMNS = ("ids", "others", "ratings")
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+_EXACT = (*_INTEGERS[:3], "float", "double")                     # what comes back from the doubles of a chunk as it was
 
 
 def _packed(rows: pa.RecordBatch) -> bytes:
@@ -271,8 +274,8 @@ def equation_residuals(train: DataFrame, userFactors: DataFrame, itemFactors: Da
     return sums.select("id", F.array(*[f"s{k}" for k in range(rank)]).alias("g"), F.col(f"s{rank}").alias("scale"))
 
 
-def _scored(rank: int, drop_cold: bool, prediction: str):
-    """Chunks of pairs with both sides' factors -> the pairs' rows and their score, null if an id has no factors (dropped if ``drop_cold``)."""
+def _scored(rank: int, drop_cold: bool, names: list[str], prediction: str):
+    """Chunks of pairs or ratings with both sides' factors -> the pairs' rows and their score, null if an id has no factors (dropped if ``drop_cold``)."""
     def run(batches):
         chunks, (other, own) = _gathered(batches, rank, 2)
         for packed in chunks:
@@ -282,20 +285,26 @@ def _scored(rank: int, drop_cold: bool, prediction: str):
             known &= met & fitted
             score = np.zeros(len(known))
             score[known] = (own.rows[u[known]] * other.rows[v[known]]).sum(axis=1)
-            columns = [*row.flatten(), pa.array(score, mask=~known)]
-            rows = pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in row.type), prediction])
+            columns = row.flatten() if pa.types.is_struct(row.type) else [ids, others, row]
+            rows = pa.RecordBatch.from_arrays([*columns, pa.array(score, mask=~known)], names=[*names, prediction])
             yield rows.filter(pa.array(known)) if drop_cold else rows
     return run
 
 
+def score_blocks(blocks: Blocks, itemNeeds: DataFrame, userFactors: DataFrame, itemFactors: DataFrame, rank: int,
+                 schema: StructType, drop_cold: bool, prediction: str) -> DataFrame:
+    """The rows of stored chunks, by ``schema``, with their score."""
+    met = _met(blocks, (itemNeeds, itemFactors), (block_needs(blocks, "ids"), userFactors))
+    return met.mapInArrow(_scored(rank, drop_cold, schema.names, prediction), StructType([*schema.fields, StructField(prediction, DoubleType())]))
+
+
 def score_pairs(pairs: DataFrame, userFactors: DataFrame, itemFactors: DataFrame, rank: int, user: str, item: str,
                 drop_cold: bool = True, prediction: str = "prediction") -> DataFrame:
     """J1/J2 as ``predict_pairs``, in blocks of packed pairs; factor ids are unique.  Cold-start pairs are dropped or get null."""
     path = f"{scratch_path(pairs.sparkSession, 'pairs')}/users"
     pairs = pairs.drop(prediction)
     blocks = in_blocks(pair_chunks(pairs, user, item, path), path)
-    met = _met(blocks, (block_needs(blocks, "others"), itemFactors), (block_needs(blocks, "ids"), userFactors))
-    scored = met.mapInArrow(_scored(rank, drop_cold, prediction), StructType([*pairs.schema.fields, StructField(prediction, DoubleType())]))
+    scored = score_blocks(blocks, block_needs(blocks, "others"), userFactors, itemFactors, rank, pairs.schema, drop_cold, prediction)
     return scored.select(*[F.col(f"`{c}`") for c in dict.fromkeys((item, user, *scored.columns))])               # in the order of two joins
 
 
@@ -305,10 +314,20 @@ def start_factors(ids: DataFrame, rank: int, seed: int) -> DataFrame:
     return ids.select("id", F.array(*[one(d) for d in range(rank)]).alias("features"))
 
 
+class Trained(NamedTuple):
+    """What a fit stored of its training pairs: their blocks by user, and which of these name an item."""
+    pairs: DataFrame
+    rating: str
+    blocks: Blocks
+    itemNeeds: DataFrame
+
+
 class ChunkedALSModel:
     """Factor tables (id, features) with the scoring surface of a fitted ALS model."""
 
-    def __init__(self, userFactors: DataFrame, itemFactors: DataFrame, rank: int, user: str, item: str, cold_start: str, prediction: str = "prediction"):
+    def __init__(self, userFactors: DataFrame, itemFactors: DataFrame, rank: int, user: str, item: str, cold_start: str, prediction: str = "prediction",
+                 trained: Trained | None = None):
+        self._trained = trained
         self.userFactors, self.itemFactors, self.rank = userFactors, itemFactors, rank
         self._user, self._item, self._cold, self._prediction = user, item, cold_start, prediction
 
@@ -321,9 +340,26 @@ class ChunkedALSModel:
     def getPredictionCol(self) -> str:
         return self._prediction
 
+    def _stored(self, pairs: DataFrame) -> bool:
+        """Whether the chunks of the fit hold these pairs: the same table, of these columns only, and no row was left out for a null."""
+        if self._trained is None or pairs.columns != self._trained.pairs.columns or not pairs.sameSemantics(self._trained.pairs):
+            return False                                                         # the same plan may have other column names
+        ids, rating = (self._user, self._item), self._trained.rating
+        types = dict(pairs.dtypes)
+        if len(pairs.columns) != 3 or set(types) != {*ids, rating} or types[rating] not in _EXACT or any(types[c] not in _INTEGERS for c in ids):
+            return False
+        return pairs.where(" OR ".join(f"`{c}` IS NULL" for c in pairs.columns)).isEmpty()
+
     def transform(self, pairs: DataFrame) -> DataFrame:
         """Scored pairs; those of unseen ids are dropped, or get null if ``cold_start`` is "nan"."""
-        return score_pairs(pairs, self.userFactors, self.itemFactors, self.rank, self._user, self._item, drop_cold=self._cold == "drop", prediction=self._prediction)
+        drop = self._cold == "drop"
+        if not self._stored(pairs):
+            return score_pairs(pairs, self.userFactors, self.itemFactors, self.rank, self._user, self._item, drop_cold=drop, prediction=self._prediction)
+        _, rating, blocks, needs = self._trained
+        names = (self._item, self._user, rating)
+        schema = StructType([StructField(c, t) for c, t in ((self._user, LongType()), (self._item, LongType()), (rating, DoubleType()))])
+        scored = score_blocks(blocks, needs, self.userFactors, self.itemFactors, self.rank, schema, drop, self._prediction)
+        return scored.select(*[F.col(f"`{c}`").cast(pairs.schema[c].dataType).alias(c) for c in names], F.col(f"`{self._prediction}`"))
 
     def recommendForAllUsers(self, k: int) -> DataFrame:
         return recommend_for_all(self, k, users=True)
@@ -352,4 +388,4 @@ def fit_chunked_als(train: DataFrame, user: str = "user", item: str = "item", ra
     for step in range(maxIter):
         items = half_step(sides["item"], needs["item"], users, rank, regParam, f"{base}/items-{step}")
         users = half_step(sides["user"], needs["user"], items, rank, regParam, f"{base}/users-{step}")
-    return ChunkedALSModel(users, items, rank, user, item, cold_start)
+    return ChunkedALSModel(users, items, rank, user, item, cold_start, trained=Trained(train, rating, sides["user"], needs["user"]))

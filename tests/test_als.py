@@ -218,3 +218,23 @@ def test_wide_pairs_make_more_blocks(spark, tmp_dir, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert blocks.count > A.BLOCKS
     assert blocks.chunks.groupBy("block").agg(F.sum(F.length("packed")).alias("n")).agg(F.max("n")).first()[0] < 40_000
+
+
+def test_training_pairs_are_scored_where_they_are_stored(spark, tmp_dir):
+    """The fit's table again, of other types and with repeated rows: no new chunks; with a null in it, or other columns, all rows come by the other way."""
+    rows = [r for r in made(7) if None not in r]
+    for name, table in (("whole", rows), ("null", [*rows, (3, 4, None)])):
+        spark.createDataFrame(table, "user int, item int, rating float").write.parquet(f"{tmp_dir}/{name}")
+        df = spark.read.parquet(f"{tmp_dir}/{name}")
+        model = A.fit_chunked_als(df, rank=2, maxIter=1)
+        for pairs in (df, df.withColumn("twice", F.col("rating") * 2)):
+            assert model._stored(pairs) == (name == "whole" and pairs is df)
+            got, plain = model.transform(pairs), RC.predict_pairs(pairs, model.userFactors, model.itemFactors)
+            assert got.dtypes == plain.dtypes and got.count() == len(table)
+            order = lambda t: sorted(((*r[:-1], r[-1]) for r in t.collect()), key=str)
+            assert [r[:-1] for r in order(got)] == [r[:-1] for r in order(plain)]
+            assert np.allclose([r[-1] for r in order(got)], [r[-1] for r in order(plain)], atol=1e-9)
+        assert not model._stored(df.selectExpr("item AS user", "user AS item", "rating"))
+    ids = spark.range(30).selectExpr("id AS a", "id * 7 % 30 AS b", "1.0D AS rating")
+    model = A.fit_chunked_als(ids.selectExpr("a AS user", "b AS item", "rating"), rank=2, maxIter=1)
+    assert model._stored(ids.selectExpr("a AS user", "b AS item", "rating")) and not model._stored(ids.selectExpr("a AS item", "b AS user", "rating"))
