@@ -14,16 +14,20 @@ lists are also available natively over any factor tables
   shipped once (a broadcast variable): few left ids go to the right
   partitions, which each keep k per left id; otherwise a small right side goes
   to the left rows, dealt to as many tasks as the number of scores asks for.
-  Two big sides are cut into blocks, and only pairs of blocks that may hold a
-  better score become ``applyInPandas`` tasks.
+  Two big sides are cut into few large blocks, which travel packed, and a left row is
+  sent to the blocks that may hold a better score.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
@@ -36,8 +40,8 @@ from tessera.session import scratch_path
 SPARK_SETTING = {"maxIter": 5, "regParam": 0.01}            # rank left at its default, 10
 FLINK_SETTING = {"maxIter": 10, "rank": 10, "regParam": 0.1}
 DEFAULT_K = 10
-BLOCK_ROWS = 32768       # ids per block: replication (shuffle) falls as blocks grow;
-                         # task memory is block x rank x 8 bytes plus one score chunk
+BLOCK_BYTES = 128 << 20  # of a block of either side with its lists of the best: a row is sent to every block that may
+                         # hold a better score, so the shuffle falls as blocks grow; a task holds one block of each side
 RECOMMEND_ROWS = 32768   # factor rows that Spark's own recommendForAll multiplies at a time: every block of
                          # the other side adds k rows per id to a shuffle
 ALS_BLOCKS = 6           # user and item blocks of Spark's ALS: a half step sends an id's factors to every block
@@ -108,10 +112,13 @@ MAX_BROADCAST_BYTES = 64 << 20   # right-side factor matrix small enough to ship
 _PRUNE_ROWS = 512            # right rows between two looks at the bound
 _LEFT_ROWS = 1024            # left rows that are searched together
 _SLACK = 1e-9                # of a bound, for floating point
+_GROUP_ROWS = 1024           # most right rows that are scored together
+_ALIKE = 0.9                 # least share of left rows that two pieces of such a group have in common
+_SINGLE = 1e30               # largest norms and scores that single precision is used for
 
 
 def _norms(V: np.ndarray) -> np.ndarray:
-    return np.sqrt((V * V).sum(axis=1))
+    return np.sqrt(np.einsum("ij,ij->i", V, V, dtype=np.float64))
 
 
 def _by_norm(rid: np.ndarray, V: np.ndarray, cell: np.ndarray | None = None) -> list[tuple]:
@@ -128,7 +135,7 @@ def _by_norm(rid: np.ndarray, V: np.ndarray, cell: np.ndarray | None = None) ->
     for lo, hi in zip(starts, np.append(starts[1:], len(rid))):
         for at in range(lo, hi, _PRUNE_ROWS):
             mine = slice(at, min(at + _PRUNE_ROWS, hi))
-            centre = V[mine].mean(axis=0)
+            centre = V[mine].mean(axis=0, dtype=np.float64)
             pieces.append((rid[mine], V[mine], norms[at], centre, _norms(V[mine] - centre).max()))
     return pieces
 
@@ -148,7 +155,10 @@ class _Best:
     A piece of right rows has a centre, a radius and a largest norm, which bound its scores
     (``_bounds``): a left row whose k-th score (rounded, as all scores that are compared) is above
     the bound leaves the piece out.  Left rows are searched beside those that have the same
-    most promising piece, such pieces first.  ``floor`` is a k-th score that is known already.
+    most promising piece, such pieces first, and pieces that the same rows ask for are scored together.
+    Scores are first formed in single precision; those that its error leaves a chance are
+    formed again in double precision, and only these are compared.
+    ``floor`` is a k-th score that is known already.
     """
 
     def __init__(self, lid: np.ndarray, U: np.ndarray, k: int, digits: int, floor: np.ndarray | None = None):
@@ -164,72 +174,162 @@ class _Best:
         return np.maximum(self.score[rows, -1], self.floor[rows])
 
     def add(self, pieces: list[tuple]) -> None:
-        _, _, largest, centres, radii = (np.array(x) if i > 1 else x for i, x in enumerate(zip(*pieces)))
+        if not len(self.lid):
+            return
+        ids, right, largest, centres, radii = (np.array(x) if i > 1 else x for i, x in enumerate(zip(*pieces)))
+        small = max(largest.max(), self.norm.max(), largest.max() * self.norm.max()) < _SINGLE
+        self.type = np.float32 if small else np.float64
+        quick = [V.astype(self.type, copy=False) for V in right]
         first = np.concatenate([_bounds(self.U[lo:lo + _LEFT_ROWS], self.norm[lo:lo + _LEFT_ROWS], centres, radii, largest).argmax(axis=1)
                                 for lo in range(0, len(self.lid), _LEFT_ROWS)])
         order = np.argsort(first, kind="stable")
         for lo in range(0, len(order), _LEFT_ROWS):
             rows = order[lo:lo + _LEFT_ROWS]
             reach = _bounds(self.U[rows], self.norm[rows], centres, radii, largest) + self.half
+            some, alive, length, done = [], None, 0, 0                           # pieces to score together, and who asks for them
             for p in np.argsort(-reach.mean(axis=0), kind="stable"):
-                alive = rows[reach[:, p] >= self.kth(rows)]
-                if len(alive):
-                    self._score(alive, pieces[p][0], pieces[p][1])
-
-    def _score(self, alive: np.ndarray, rid: np.ndarray, V: np.ndarray) -> None:
-        S = self.U[alive] @ V.T
+                ask = reach[:, p] >= self.kth(rows)
+                n = np.count_nonzero(ask)
+                if not n:
+                    continue
+                if some and (length + len(ids[p]) > min(done, _GROUP_ROWS) or np.count_nonzero(ask & alive) < _ALIKE * max(n, np.count_nonzero(alive))):
+                    self._score(rows[alive], some, ids, right, quick, largest)
+                    done += length
+                    some, length, ask = [], 0, reach[:, p] >= self.kth(rows)
+                    if not ask.any():
+                        continue
+                alive = ask | alive if some else ask
+                some.append(p)
+                length += len(ids[p])
+            if some:
+                self._score(rows[alive], some, ids, right, quick, largest)
+
+    def _score(self, alive: np.ndarray, some: list[int], ids: tuple, right: tuple, quick: list, largest: np.ndarray) -> None:
+        """Left rows against pieces."""
+        join = lambda parts: parts[some[0]] if len(some) == 1 else np.concatenate([parts[p] for p in some])
+        fast = join(quick)
+        S = self.U[alive].astype(self.type, copy=False) @ fast.T
         self.scored[alive] += S.shape[1]
+        # twice the error of a sum of products in this precision, and of what is rounded to it
+        error = 2 * (fast.shape[1] + 8) * float(np.finfo(self.type).eps) * self.norm[alive] * largest[some].max()
         kth = self.kth(alive)
-        top = S.max(axis=1)
-        some = top + self.half + _SLACK * np.abs(top) >= kth                     # others round to less
-        if not some.any():
+        least = kth - self.half - error - _SLACK * np.abs(kth)                   # others round to less
+        best = S.max(axis=1) >= least
+        if not best.any():
             return
-        rows = alive[some]
-        S = np.round(S[some], self.digits) + 0.0                                 # +0.0 folds -0.0
-        least = kth[some]
-        if S.shape[1] > self.k:
-            least = np.maximum(least, np.partition(S, -self.k, axis=1)[:, -self.k])
-        r, c = np.nonzero(S >= least[:, None])
+        rows, kth, least = alive[best], kth[best], least[best]
+        S = S[best] if len(rows) < len(S) else S
+        V, rid = join(right), join(ids)
+        hits = S >= least[:, None]
+        if S.shape[1] > self.k and np.count_nonzero(hits) > 4 * self.k * len(rows):
+            r, c, score = self._few(rows, V, rid)
+        else:
+            r, c = np.nonzero(hits)
+            score = np.round((self.U[rows[r]].astype(np.float64, copy=False) * V[c].astype(np.float64, copy=False)).sum(axis=1), self.digits) + 0.0     # +0.0 folds -0.0
+        real = (score >= kth[r]) & (score > -np.inf)
+        r, score, found = r[real], score[real], rid[c[real]]
         old_r, old_c = np.nonzero(np.isfinite(self.score[rows]))
         row = np.concatenate((old_r, r))
-        score = np.concatenate((self.score[rows[old_r], old_c], S[r, c]))
-        ids = np.concatenate((self.id[rows[old_r], old_c], rid[c]))
-        order = np.lexsort((ids, -score, row))                                   # score desc, id asc
-        row, score, ids = row[order], score[order], ids[order]
+        score = np.concatenate((self.score[rows[old_r], old_c], score))
+        found = np.concatenate((self.id[rows[old_r], old_c], found))
+        order = np.lexsort((found, -score, row))                                 # score desc, id asc
+        row, score, found = row[order], score[order], found[order]
         place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(rows)))[row]
         keep = place < self.k
         at = rows[row[keep]], place[keep]
-        self.score[at], self.id[at] = score[keep], ids[keep]
-
-    def rows(self) -> pd.DataFrame:
+        self.score[at], self.id[at] = score[keep], found[keep]
+
+    def _few(self, rows: np.ndarray, V: np.ndarray, rid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(left row, right row, score) of the k best of more than k right rows; of equal scores those of smaller ids."""
+        order = np.argsort(rid, kind="stable")
+        S = np.round(self.U[rows].astype(np.float64, copy=False) @ V[order].astype(np.float64, copy=False).T, self.digits) + 0.0
+        S[np.isnan(S)] = -np.inf
+        kth = np.partition(S, -self.k, axis=1)[:, [-self.k]]
+        more, tie = S > kth, S == kth
+        tie &= np.cumsum(tie, axis=1, dtype=np.int32) <= self.k - np.count_nonzero(more, axis=1)[:, None]
+        r, c = np.nonzero(more | tie)
+        return r, order[c], S[r, c]
+
+    def rows(self, mine: slice = slice(None)) -> pd.DataFrame:
         """(lid, rid, score, rank, scored): a row per candidate, at least one per left id (rid null); `scored` stands on the first."""
-        found = np.isfinite(self.score)
+        score, ids = self.score[mine], self.id[mine]
+        found = np.isfinite(score)
         found[:, 0] = True
         r, c = np.nonzero(found)
-        real = np.isfinite(self.score[r, c])
-        return pd.DataFrame({"lid": self.lid[r], "rid": pd.arrays.IntegerArray(np.where(real, self.id[r, c], 0), ~real),
-                             "score": np.where(real, self.score[r, c], np.nan), "rank": (c + 1).astype(np.int32),
-                             "scored": np.where(c == 0, self.scored[r], 0)})
+        real = np.isfinite(score[r, c])
+        return pd.DataFrame({"lid": self.lid[mine][r], "rid": pd.arrays.IntegerArray(np.where(real, ids[r, c], 0), ~real),
+                             "score": np.where(real, score[r, c], np.nan), "rank": (c + 1).astype(np.int32),
+                             "scored": np.where(c == 0, self.scored[mine][r], 0)})
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def _empty_scores() -> pd.DataFrame:
-    return pd.DataFrame({"lid": pd.Series([], dtype="int64"), "rid": pd.Series([], dtype="int64"),
-                         "score": pd.Series([], dtype="float64"),
-                         "rank": pd.Series([], dtype="int32"), "scored": pd.Series([], dtype="int64")})
+def _packed(ids: np.ndarray, rows: np.ndarray, **more: np.ndarray) -> bytes:
+    """Ids, vectors (in single precision if that loses nothing) and more values of each row."""
+    with np.errstate(over="ignore"):
+        single = rows.astype(np.float32)
+    rows = single if np.array_equal(single, rows) else rows
+    columns = {"ids": ids, "rows": rows, **more}
+    batch = pa.record_batch({n: pa.array(x) if x.ndim == 1 else pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]) for n, x in columns.items()})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packed: bytes) -> dict[str, np.ndarray]:
+    batch = pa.ipc.open_stream(packed).read_next_batch()
+    flat = lambda c: c.flatten().to_numpy().reshape(len(c), -1) if pa.types.is_fixed_size_list(c.type) else c.to_numpy()
+    return {n: flat(c) for n, c in zip(batch.schema.names, batch.columns)}
+
+
+def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {n: np.concatenate([p.pop(n) for p in parts]) for n in list(parts[0])}
+
 
+def _vectors(batch: pa.RecordBatch):
+    """(ids, vectors) of a batch, at most _CHUNK_ROWS at a time."""
+    for lo in range(0, batch.num_rows, _CHUNK_ROWS):
+        ids, col = batch.slice(lo, _CHUNK_ROWS).columns
+        sizes = pa.compute.list_value_length(col)
+        if ids.null_count or col.null_count or pa.compute.min(sizes) != pa.compute.max(sizes):
+            raise ValueError("an id or a vector is null, or vectors differ in length")
+        yield ids.to_numpy(), col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
 
-def _block_top_k(k: int, digits: int):
-    def score(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return _empty_scores()
-        best = _Best(left["lid"].to_numpy(), _matrix(left["lf"]), k, digits, left["kth"].to_numpy(dtype=np.float64, na_value=-np.inf))
-        best.add(_by_norm(right["rid"].to_numpy(), _matrix(right["rf"]), right["cell"].to_numpy()))
-        return best.rows()
-    return score
+
+def _searched(batches) -> tuple[int, dict | None, list[tuple]]:
+    """The right block, left rows and pieces of right rows that a task was sent."""
+    block, sides = 0, ([], [])
+    for batch in batches:
+        for rb, left, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            block = rb
+            sides[left].append(_unpacked(packed))
+    if not sides[0] or not sides[1]:
+        return block, None, []
+    right = _joined(sides[0])
+    pieces = _by_norm(right.pop("ids"), right.pop("rows"), right.pop("cells"))
+    return block, _joined(sides[1]), pieces
+
+
+def _listed(best: _Best, counts: bool):
+    """The rows of ``best``; those without a right id only for the counts."""
+    for lo in range(0, len(best.lid), _CHUNK_ROWS):
+        rows = best.rows(slice(lo, lo + _CHUNK_ROWS))
+        yield rows if counts else rows[rows["rid"].notna()]
+
+
+def _block_top_k(k: int, digits: int, counts: bool):
+    """The k best of a right block for left rows with a k-th score."""
+    def run(batches):
+        _, left, pieces = _searched(batches)
+        if left:
+            best = _Best(left["ids"], left["rows"], k, digits, left["kth"])
+            best.add(pieces)
+            for rows in _listed(best, counts):
+                yield pa.RecordBatch.from_pandas(rows, _SCORES, preserve_index=False)
+    return run
 
 
 def _broadcast_right(bc, k: int, digits: int):
@@ -243,40 +343,79 @@ def _broadcast_right(bc, k: int, digits: int):
 
 
 def _best_block(bc):
-    """Left rows with the right block that holds their most promising cell."""
+    """Left rows, packed by the right block that holds their most promising cell."""
     def run(batches):
         balls, block = bc.value
-        for pdf in batches:
-            for lo in range(0, len(pdf), _LEFT_ROWS):
-                part = pdf.iloc[lo:lo + _LEFT_ROWS]
-                U = _matrix(part["lf"])
-                yield part.assign(rb=block[(U @ balls[0].T).argmax(axis=1)].astype(np.int32))
+        turn = Counter()
+        for batch in batches:
+            for ids, U in _vectors(batch):
+                mine = block[np.concatenate([(U[lo:lo + _LEFT_ROWS] @ balls[0].T).argmax(axis=1) for lo in range(0, len(U), _LEFT_ROWS)])]
+                yield _dealt(turn, {b: _packed(ids[mine == b], U[mine == b]) for b in np.unique(mine).tolist()}, np.bincount(mine))
     return run
 
 
+def _dealt(turn: Counter, packed: dict[int, bytes], n: np.ndarray) -> pa.RecordBatch:
+    """(rb, n, turn, packed): what goes to a block, with the number of its rows and its turn among the block's chunks."""
+    turns = []
+    for b in packed:
+        turns.append(TaskContext.get().partitionId() + turn[b])
+        turn[b] += 1
+    return pa.record_batch({"rb": pa.array(list(packed), pa.int32()), "n": pa.array([int(n[b]) for b in packed], pa.int64()),
+                            "turn": pa.array(turns, pa.int64()), "packed": pa.array(list(packed.values()), pa.binary())})
+
+
 def _first_block(bc, k: int, digits: int):
-    """Left rows after one right block: the k best in it, and the other blocks that may hold better."""
-    def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Left rows after one right block: the k best in it; and, packed, those that other blocks may hold better for, `asks` by block."""
+    def run(batches):
+        key, left, pieces = _searched(batches)
+        if not left:
+            return
         balls, block = bc.value
         blocks = int(block.max()) + 1
-        U = _matrix(left["lf"]) if len(left) else np.empty((0, 1))
-        best = _Best(left["lid"].to_numpy(), U, k, digits)
-        if len(left) and len(right):
-            best.add(_by_norm(right["rid"].to_numpy(), _matrix(right["rf"]), right["cell"].to_numpy()))
-        asks = []
-        for lo in range(0, len(left), _LEFT_ROWS):
+        best = _Best(left["ids"], left["rows"], k, digits)
+        best.add(pieces)
+        for rows in _listed(best, True):
+            yield pa.RecordBatch.from_pandas(rows.assign(asks=None, packed=None), _FOUND, preserve_index=False)
+        for lo in range(0, len(best.lid), _LEFT_ROWS):
             mine = slice(lo, lo + _LEFT_ROWS)
-            may = _bounds(U[mine], best.norm[mine], *balls) + best.half >= best.score[mine, -1:]
+            may = _bounds(best.U[mine], best.norm[mine], *balls) + best.half >= best.score[mine, -1:]
             per = np.zeros((len(may), blocks), bool)
             r, c = np.nonzero(may)
             per[r, block[c]] = True
-            per[:, int(key[0])] = False
-            asks += [np.flatnonzero(p).astype(np.int32) for p in per]
-        full = np.isfinite(best.score)
-        lists = {"rids": [i[f] for i, f in zip(best.id, full)], "scores": [s[f] for s, f in zip(best.score, full)], "asks": asks}
-        return pd.DataFrame({"lid": left["lid"], "lf": left["lf"], "kth": np.where(full[:, -1], best.score[:, -1], -np.inf), "scored": best.scored,
-                             **{n: pd.Series(x, dtype=object, index=left.index) for n, x in lists.items()}})
-    return search
+            per[:, key] = False
+            some = per.any(axis=1)
+            if some.any():
+                packed = _packed(best.lid[mine][some], best.U[mine][some], kth=best.score[mine, -1][some], asks=per[some].astype(np.uint8))
+                yield pa.RecordBatch.from_pylist([{"asks": per.sum(axis=0).tolist(), "packed": packed}], _FOUND)
+    return run
+
+
+def _asked(batches):
+    """Packed left rows for every block that they ask for."""
+    turn = Counter()
+    for batch in batches:
+        for chunk in batch.column(0):
+            left = _unpacked(chunk.as_py())
+            asks = left.pop("asks").astype(bool)
+            per = {b: {n: x[asks[:, b]] for n, x in left.items()} for b in np.flatnonzero(asks.any(axis=0)).tolist()}
+            yield _dealt(turn, {b: _packed(**x) for b, x in per.items()}, asks.sum(axis=0))
+
+
+def _right_lots(bc, lots: dict[int, int], start: dict[int, int]):
+    """Packed right rows for every lot of left rows that meets their block."""
+    def run(batches):
+        first, subs = bc.value
+        for batch in batches:
+            for chunk in batch.column(0):
+                right = _unpacked(chunk.as_py())
+                block = first[right["cells"]] + np.arange(len(right["ids"])) % subs[right["cells"]]
+                for b in np.unique(block).tolist():
+                    n = lots.get(b, 0)
+                    if n:
+                        packed = _packed(**{name: x[block == b] for name, x in right.items()})
+                        yield pa.record_batch({"pid": pa.array([start[b] + i for i in range(n)], pa.int32()), "rb": pa.array([b] * n, pa.int32()),
+                                               "left": pa.array([False] * n), "packed": pa.array([packed] * n, pa.binary())})
+    return run
 
 
 def _broadcast_left(bc, k: int, digits: int):
@@ -294,7 +433,11 @@ def _broadcast_left(bc, k: int, digits: int):
 
 
 SCORES_SCHEMA = "lid bigint, rid bigint, score double, rank int, scored bigint"
+_SCORES = pa.schema([("lid", pa.int64()), ("rid", pa.int64()), ("score", pa.float64()), ("rank", pa.int32()), ("scored", pa.int64())])
+_FOUND = pa.schema([*_SCORES, ("asks", pa.list_(pa.int64())), ("packed", pa.binary())])
+_CHUNK_ROWS = 8192             # rows that are packed together
 TASK_FLOPS = 4_000_000_000     # multiply-adds of one scoring task
+LOTS = 2                       # of two big sides: least tasks for each that can run at once
 FEW_LEFT = 16                  # left ids are few if the right side has so many times more rows
 
 
@@ -344,25 +487,35 @@ def _cell_centres(V: np.ndarray, cells: int) -> np.ndarray:
 
 
 def _in_cells(bc):
-    """Right rows with the cell of their nearest centre, the distance to it and their norm."""
+    """Packed right rows with the cell of their nearest centre; per cell their number, largest distance to it and largest norm."""
     def run(batches):
-        for pdf in batches:
-            if not pdf.empty:
-                V = _matrix(pdf["rf"])
+        for batch in batches:
+            for ids, V in _vectors(batch):
                 cell = _nearest(V, bc.value)
-                yield pdf.assign(cell=cell.astype(np.int32), far=_norms(V - bc.value[cell]), norm=_norms(V))
+                order = np.argsort(cell, kind="stable")
+                ids, V, cell = ids[order], V[order], cell[order]
+                starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+                stats = (cell[starts].tolist(), np.diff(np.append(starts, len(cell))).tolist(),
+                         np.maximum.reduceat(_norms(V - bc.value[cell]), starts).tolist(), np.maximum.reduceat(_norms(V), starts).tolist())
+                yield pa.RecordBatch.from_pylist([{"stats": [dict(zip(("cell", "n", "far", "norm"), x)) for x in zip(*stats)],
+                                                   "packed": _packed(ids, V, cells=cell.astype(np.int32))}], _CELLS)
     return run
 
 
-def _two_big_sides(L: DataFrame, R: DataFrame, n_left: int, n_right: int, k: int, digits: int, block_rows: int) -> DataFrame:
+_CELLS = pa.schema([("stats", pa.list_(pa.struct([("cell", pa.int32()), ("n", pa.int64()), ("far", pa.float64()), ("norm", pa.float64())]))), ("packed", pa.binary())])
+
+
+def _two_big_sides(L: DataFrame, R: DataFrame, n_left: int, n_right: int, k: int, digits: int, block_rows: int, counts: bool) -> DataFrame:
     """Candidates from blocks of both sides.
 
     Right rows are stored with the nearest of some cells, whose centres are fitted to a bounded
     sample; radius and largest norm of a cell are taken over all its rows, so the bounds hold
     whatever the centres.  Neighbouring cells form a right block; a cell of more rows than a block
-    is dealt to several by hash.  Every left row is searched in the block of its most
-    promising cell, which gives it a k-th score, and then in the blocks of those cells that may
-    still beat it.  A block's left rows are dealt to as many tasks as their number asks for.
+    is dealt to several.  Every left row is searched in the block of its most promising cell, which
+    gives it a k-th score, and then in the blocks of those cells that may still beat it.  A block's left
+    rows are dealt to lots, each a task that is sent the block.  All rows travel packed.  If nothing can be
+    left out, the left side is sent once per block and the right side once per lot; so blocks and lots are as large as
+    a task can hold, and only as many as keep all tasks busy.
     """
     spark = L.sparkSession
     base = scratch_path(spark, "top-k")
@@ -372,50 +525,47 @@ def _two_big_sides(L: DataFrame, R: DataFrame, n_left: int, n_right: int, k: int
     cells = max(1, min(MAX_CELLS, len(sample) // 4, math.ceil(n_right / min(_PRUNE_ROWS, block_rows))))
     sample = sample.sort_values("rid")
     centres = _cell_centres(_matrix(sample["rf"]), cells)
-    spread = spark.sparkContext.defaultParallelism
-    (R.repartition(max(spread, math.ceil(n_right / block_rows)), "rid").mapInPandas(_in_cells(spark.sparkContext.broadcast(centres)), "rid bigint, rf array<double>, cell int, far double, norm double")
-     .write.parquet(f"{base}/right"))
+    R.mapInArrow(_in_cells(spark.sparkContext.broadcast(centres)), "stats array<struct<cell: int, n: bigint, far: double, norm: double>>, packed binary").write.parquet(f"{base}/right")
     R = spark.read.parquet(f"{base}/right")
-    stats = sorted(R.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far"), F.max("norm").alias("norm")).collect(), key=lambda r: r.cell)  # a row per cell
-    block, first, subs, filled = 0, {}, {}, 0                                     # first block and number of blocks of a cell
+    stats = R.select(F.inline("stats")).groupBy("cell").agg(F.sum("n").alias("n"), F.max("far").alias("far"), F.max("norm").alias("norm"))
+    stats = sorted(stats.collect(), key=lambda r: r.cell)                         # a row per cell
+    block, first, subs, filled = 0, np.zeros(len(centres), np.int64), np.ones(len(centres), np.int64), 0   # first block and number of blocks of a cell
     for r in stats:
         if filled and filled + r.n > block_rows:
             block, filled = block + 1, 0
         first[r.cell], subs[r.cell] = block, max(1, math.ceil(r.n / (2 * block_rows)))
         filled += math.ceil(r.n / subs[r.cell])
         if subs[r.cell] > 1:
-            block, filled = block + subs[r.cell], 0
-    place = lambda of: F.element_at(F.create_map(*[F.lit(x) for c, v in of.items() for x in (c, v)]), F.col("cell"))
-    R = R.select("rid", "rf", "cell", (place(first) + F.pmod(F.xxhash64("rid"), place(subs))).cast("int").alias("rb"))
+            block, filled = block + int(subs[r.cell]), 0
     balls = [(centres[r.cell], r.far, r.norm, first[r.cell] + j) for r in stats for j in range(subs[r.cell])]
     balls = tuple(np.array(x) for x in zip(*balls))
-    bc = spark.sparkContext.broadcast((balls[:3], balls[3]))
+    bc, places = (spark.sparkContext.broadcast(x) for x in ((balls[:3], balls[3]), (first, subs)))
 
-    def met(left: DataFrame, search, schema: str) -> DataFrame:
-        """Left rows and the right block `rb` that they ask for, searched together."""
-        lots = {r.rb: max(1, math.ceil(r.n / block_rows)) for r in left.groupBy("rb").agg(F.count(F.lit(1)).alias("n")).collect()}     # a row per block
+    def met(left: DataFrame, number: DataFrame, search, schema: str) -> DataFrame:
+        """Packed left rows (rb, turn, packed) and the right block `rb` that they ask for, searched together; `number` has their count by block."""
+        sent = {r.rb: r.n for r in number.collect() if r.n}                                                                              # a row per block
+        lot_rows = max(1, min(block_rows, math.ceil(sum(sent.values()) / (LOTS * spark.sparkContext.defaultParallelism))))
+        lots = {b: math.ceil(n / lot_rows) for b, n in sent.items()}
         if not lots:
             return spark.createDataFrame([], schema)
-        dealt = spark.createDataFrame(list(lots.items()), "rb int, lots int")
-        # Block ids must have ONE type on both sides: the cogroup hash-partitions each side by its
-        # key values, and an int 3 and a bigint 3 hash apart.
-        Lb = left.join(F.broadcast(dealt), "rb").withColumn("lb", F.pmod(F.xxhash64("lid"), "lots").cast("int")).drop("lots")
-        Rb = R.join(F.broadcast(dealt), "rb").withColumn("lb", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
-        n = max(spread, 2 * sum(lots.values()))                                   # groups differ in size, few should share a task
-        return Lb.repartition(n, "rb", "lb").groupBy("rb", "lb").cogroup(Rb.repartition(n, "rb", "lb").groupBy("rb", "lb")).applyInPandas(search, schema)
-
-    L.repartition(max(spread, math.ceil(n_left / block_rows)), "lid").mapInPandas(_best_block(bc), "lid bigint, lf array<double>, rb int").write.parquet(f"{base}/left")
-    met(spark.read.parquet(f"{base}/left"), _first_block(bc, k, digits), "lid bigint, lf array<double>, kth double, scored bigint, rids array<bigint>, scores array<double>, asks array<int>") \
-        .write.parquet(f"{base}/found")
+        start = dict(zip(lots, np.cumsum([0, *lots.values()]).tolist()))
+        of = lambda per: F.element_at(F.create_map(*[F.lit(x) for b in per.items() for x in b]), F.col("rb"))
+        left = left.select((of({b: start[b] for b in lots}) + F.pmod("turn", of(lots))).cast("int").alias("pid"), "rb", F.lit(True).alias("left"), "packed")
+        right = R.select("packed").mapInArrow(_right_lots(places, lots, start), "pid int, rb int, left boolean, packed binary")
+        return left.unionByName(right).repartitionById(sum(lots.values()), F.col("pid")).select("rb", "left", "packed").mapInArrow(search, schema)
+
+    dealt = "rb int, n bigint, turn bigint, packed binary"
+    L.mapInArrow(_best_block(bc), dealt).write.parquet(f"{base}/left")
+    L = spark.read.parquet(f"{base}/left")
+    met(L, L.groupBy("rb").agg(F.sum("n").alias("n")), _first_block(bc, k, digits), f"{SCORES_SCHEMA}, asks array<bigint>, packed binary").write.parquet(f"{base}/found")
     found = spark.read.parquet(f"{base}/found")
-    top = found.select("lid", "scored", F.explode_outer(F.arrays_zip("rids", "scores")).alias("c"), F.size("rids").alias("n"))
-    top = top.select("lid", F.col("c.rids").alias("rid"), F.col("c.scores").alias("score"), F.lit(0).alias("rank"),
-                     (F.col("scored") / F.greatest("n", F.lit(1))).alias("scored"))
-    more = met(found.select("lid", "lf", "kth", F.explode("asks").alias("rb")), _block_top_k(k, digits), SCORES_SCHEMA)
-    return top.unionByName(more)
+    asks = found.where("packed IS NOT NULL")
+    number = asks.select(F.posexplode("asks").alias("rb", "n")).groupBy("rb").agg(F.sum("n").alias("n"))
+    more = met(asks.select("packed").mapInArrow(_asked, dealt), number, _block_top_k(k, digits, counts), SCORES_SCHEMA)
+    return found.where("packed IS NULL").drop("asks", "packed").unionByName(more)
 
 
-def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int = BLOCK_ROWS,
+def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int | None = None,
           digits: int = SCORE_DIGITS, max_broadcast_bytes: int = MAX_BROADCAST_BYTES, counts: bool = False) -> DataFrame:
     """T5/T6 (J5): for every left id, the k right ids of highest rounded dot product.
 
@@ -430,8 +580,8 @@ def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int
       are scored in place; a window merges k per left id and partition;
     * a small right side: it is shipped to the left rows, which are dealt
       over enough tasks for the number of scores; no merge;
-    * otherwise a blocked product: right blocks are ranges of the norm, and each
-      (left block, right block) pair that may hold a better score is one task;
+    * otherwise a blocked product: right blocks (of ``block_rows``, or of BLOCK_BYTES) hold
+      neighbouring rows, and a left row is searched in those that may hold a better score;
       a window merges the candidates of a left id.
     """
     spark = left.sparkSession
@@ -452,7 +602,8 @@ def top_k(left: DataFrame, right: DataFrame, k: int = DEFAULT_K, block_rows: int
         if counts:
             ranked = ranked.withColumn("scored", F.sum("scored").over(Window.partitionBy("lid")))
     else:
-        ranked = _merged(_two_big_sides(L, R, n_left, n_right, k, digits, block_rows), k)
+        block_rows = block_rows or max(1, BLOCK_BYTES // (8 * dim + 16 * k + 32))
+        ranked = _merged(_two_big_sides(L, R, n_left, n_right, k, digits, block_rows, counts), k)
     ranked = ranked.where("rid IS NOT NULL")
     more = [F.round("scored").cast("bigint").alias("scored"), (F.lit(n_right) - F.round("scored")).cast("bigint").alias("skipped")] if counts else []
     return ranked.select(F.col("lid").alias("id"), F.col("rank").cast("int").alias("rank"),

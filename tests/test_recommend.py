@@ -1,5 +1,7 @@
 """Factor scoring, blocked top-k, RMSE, ALS invariants, splits."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -242,3 +244,51 @@ def test_equal_norms_in_clusters_are_skipped_by_their_balls(spark):
     assert sorted((r.id, r["rank"], r.other, r.score) for r in got) == best_by_hand(lids, U, rids, V, 5)
     assert all(r.scored + r.skipped == 2400 for r in got)
     assert sum({r.id: r.skipped for r in got}.values()) > 0.5 * 80 * 2400         # the norms alone skip nothing
+
+
+def exchanged_bytes(plan):
+    """Bytes of all shuffles of an executed plan."""
+    kind = plan.getClass().getSimpleName()
+    below = [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if kind.endswith("QueryStageExec") else \
+        [plan.children().apply(i) for i in range(plan.children().size())]
+    own = plan.metrics().get("dataSize").get().value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(exchanged_bytes(p) for p in below)
+
+
+def test_rows_travel_packed_if_nothing_can_be_left_out(spark):
+    """Single-precision vectors of equal norm without clusters: nearly every left row asks for every block."""
+    rng = np.random.default_rng(11)
+    U, V = (rng.normal(size=(n, 64)) for n in (9000, 1600))
+    U, V = ((x / np.sqrt((x * x).sum(axis=1))[:, None]).astype(np.float32).astype(float) for x in (U, V))
+    got = RC.top_k(factors(spark, range(9000), U), factors(spark, range(1600), V), 5, max_broadcast_bytes=8, block_rows=400)
+    rows = sorted(tuple(r) for r in got.collect())
+    assert len(rows) == 45_000 and rows[:200] == best_by_hand(range(40), U[:40], range(1600), V, 5)
+    sent = 9000 * 3 + 1600 * math.ceil(9000 * 3 / 4 / 400)                       # three more blocks of each left row, every lot's block
+    assert sent * 256 < exchanged_bytes(got._jdf.queryExecution().executedPlan()) < 0.75 * sent * 64 * 8
+
+
+def test_default_blocks_are_as_large_as_a_task_can_hold(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(RC, "_two_big_sides", lambda L, R, n_left, n_right, k, digits, block_rows, *more: seen.append(block_rows) or L.selectExpr(
+        "lid", "1L AS rid", "0D AS score", "1 AS rank", "0L AS scored"))
+    for dim in (10, 64):
+        t = factors(spark, range(3), np.ones((3, dim)))
+        RC.top_k(t, t, 10, max_broadcast_bytes=8)
+    assert seen[0] > 400_000 and seen[1] > 150_000 and all(n * (8 * d + 192) <= RC.BLOCK_BYTES for n, d in zip(seen, (10, 64)))
+
+
+@pytest.mark.parametrize("size", [1.0, 1e3, 1e-3, 1e25])
+@pytest.mark.parametrize("how", STRATEGIES)
+def test_scores_closer_than_single_precision(spark, how, size):
+    """The single-precision scores only leave out what can't be among the best."""
+    rng = np.random.default_rng(12)
+    V = np.repeat(rng.normal(size=(4, 8)), 300, axis=0) * size
+    V[:, 0] += rng.integers(0, 40, 1200) * 2e-6
+    U = np.vstack([np.eye(8)[:1], rng.normal(size=(30, 8))])
+    got = RC.top_k(factors(spark, range(31), U), factors(spark, range(1200), V), 7, **STRATEGIES[how]).collect()
+    by_hand = {(i, n): (r, s) for i, n, r, s in best_by_hand(range(31), U, range(1200), V, 7)}
+    assert len(got) == 31 * 7
+    for r in got:
+        other, score = by_hand[r.id, r["rank"]]
+        assert r.score == pytest.approx(score, rel=1e-14, abs=1.1e-6)
+        assert size > 1 or r.other == other
