@@ -37,7 +37,7 @@ import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, LongType, StructField, StructType
 
 from tessera.operators.recommend import recommend_for_all
 from tessera.operators.split import HASH_SPACE, text_hash
@@ -46,6 +46,7 @@ from tessera.session import scratch_path
 CHUNK = 8192
 BLOCKS = 6                     # fewest blocks of a half step
 BLOCK_RATINGS = 1 << 25        # most ratings of a block, which bound what its task holds
+RESIDUAL_RATINGS = 1 << 23     # most ratings of a block when residuals are formed: once, with the factors of both sides
 BLOCK_BYTES = 1 << 28          # most bytes of its packed chunks, as pairs to score may have wide columns
 FACTORS = "id bigint, features array<double>"
 _CHUNKS = "chunk bigint, ids array<bigint>, others array<bigint>, packed binary"
@@ -109,15 +110,15 @@ class Blocks(NamedTuple):
     path: str
 
 
-def in_blocks(chunks: DataFrame, path: str) -> Blocks:
-    """Consecutive chunks in blocks of equally many chunks."""
+def in_blocks(chunks: DataFrame, path: str, most: int = BLOCK_RATINGS) -> Blocks:
+    """Consecutive chunks in blocks of equally many chunks, about ``most`` ratings at most."""
     part = F.shiftright("chunk", 33)
     sizes = F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("ratings"), F.sum(F.length("packed")).alias("bytes")
     per = {r.part: r for r in chunks.groupBy(part.alias("part")).agg(*sizes).collect()}                                                 # a row per task
     if not per:
         return Blocks(chunks.withColumn("block", F.lit(0)), 1, path)
     total = sum(r.n for r in per.values())
-    count = min(total, max(BLOCKS, math.ceil(sum(r.ratings for r in per.values()) / BLOCK_RATINGS), math.ceil(sum(r.bytes for r in per.values()) / BLOCK_BYTES)))
+    count = min(total, max(BLOCKS, math.ceil(sum(r.ratings for r in per.values()) / most), math.ceil(sum(r.bytes for r in per.values()) / BLOCK_BYTES)))
     before = np.cumsum([0] + [per[p].n if p in per else 0 for p in range(max(per))]).tolist()
     place = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in before]), (part + 1).cast("int")) + F.col("chunk") - F.shiftleft(part, 33)
     return Blocks(chunks.withColumn("block", F.floor(place * count / total).cast("int")), count, path)
@@ -133,11 +134,13 @@ def block_needs(blocks: Blocks, column: str) -> DataFrame:
 
 def _met(blocks: Blocks, *fed: tuple[DataFrame, DataFrame]) -> DataFrame:
     """The chunks of a block in one task with the factors of the ids it needs; `side` is the place of (needs, factors) in ``fed``."""
-    rows = blocks.chunks.selectExpr("block", "packed", "CAST(NULL AS TINYINT) AS side", "CAST(NULL AS BIGINT) AS id", "CAST(NULL AS ARRAY<DOUBLE>) AS features")
+    single = all(isinstance(factors.schema["features"].dataType.elementType, FloatType) for _, factors in fed)
+    kind = f"array<{'float' if single else 'double'}>"                            # single precision stays as it is
+    rows = blocks.chunks.selectExpr("block", "packed", "CAST(NULL AS TINYINT) AS side", "CAST(NULL AS BIGINT) AS id", f"CAST(NULL AS {kind}) AS features")
     for side, (needs, factors) in enumerate(fed):
         sent = needs.join(factors, "id").select(
             F.explode("blocks").alias("block"), F.lit(None).cast("binary").alias("packed"), F.lit(side).cast("tinyint").alias("side"),
-            "id", F.col("features").cast("array<double>").alias("features"))
+            "id", F.col("features").cast(kind).alias("features"))
         rows = rows.unionByName(sent)
     return rows.repartitionById(blocks.count, F.col("block")).drop("block")
 
@@ -174,16 +177,24 @@ class _Factors:
     """The factors of one side that were sent to a task."""
 
     def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]], rank: int):
-        self.ids = np.concatenate([np.empty(0, np.int64), *[i for i, _ in parts]])
-        self.rows = np.concatenate([np.empty((0, rank)), *[x for _, x in parts]])
-        self.order = np.argsort(self.ids)
-        self.sorted = self.ids[self.order]
+        """Empties ``parts``, so that they are not held twice."""
+        n = sum(len(i) for i, _ in parts)
+        ids, self.rows = np.empty(n, np.int64), np.empty((n, rank), parts[0][1].dtype if parts else float)
+        while parts:
+            i, x = parts.pop()
+            ids[n - len(i):n], self.rows[n - len(i):n] = i, x
+            n -= len(i)
+        self.order = np.argsort(ids).astype(np.int32 if len(ids) < 1 << 31 else np.int64)
+        self.sorted = ids[self.order]
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        return self.rows[places].astype(np.float64, copy=False)
 
     def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places of the ids' rows, whether they have one)."""
-        if not len(self.ids):
+        if not len(self.sorted):
             return np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
-        at = np.minimum(np.searchsorted(self.sorted, ids), len(self.ids) - 1)
+        at = np.minimum(np.searchsorted(self.sorted, ids), len(self.sorted) - 1)
         return self.order[at], self.sorted[at] == ids
 
 
@@ -209,7 +220,7 @@ def _half(rank: int, reg: float):
             place, known = other.of(others)
             if not known.any():
                 continue
-            u, n, gram, right = _equations(ids[known], other.rows[place[known]], ratings[known])
+            u, n, gram, right = _equations(ids[known], other.at(place[known]), ratings[known])
             whole = (u != ids[0]) & (u != ids[-1])
             if whole.any():
                 got = _solved(n[whole], gram[whole], right[whole], reg)
@@ -255,7 +266,7 @@ def _residuals(rank: int, reg: float):
             known = met & fitted
             if not known.any():
                 continue
-            V, U, ratings = other.rows[v[known]], own.rows[u[known]], ratings[known]
+            V, U, ratings = other.at(v[known]), own.at(u[known]), ratings[known]
             given = ~np.isnan(ratings)
             error = np.where(given, (U * V).sum(axis=1) - ratings, 0.0)
             rows = np.hstack((error[:, None] * V + reg * U, np.where(given, np.abs(ratings), 0.0)[:, None]))
@@ -268,7 +279,7 @@ def equation_residuals(train: DataFrame, userFactors: DataFrame, itemFactors: Da
     """(id, g, scale): per user sum v (v.u - r) + reg n u over the pairs of known ids, and sum |r|; a null rating only counts in n."""
     base = scratch_path(train.sparkSession, "residuals")
     rated = train.select(user, item, F.coalesce(F.col(rating).cast("double"), F.lit(float("nan"))).alias(rating))
-    blocks = in_blocks(rating_chunks(rated, user, item, rating, f"{base}/users"), f"{base}/users")
+    blocks = in_blocks(rating_chunks(rated, user, item, rating, f"{base}/users"), f"{base}/users", RESIDUAL_RATINGS)
     met = _met(blocks, (block_needs(blocks, "others"), itemFactors), (block_needs(blocks, "ids"), userFactors))
     sums = met.mapInArrow(_residuals(rank, reg), "id bigint, sums array<double>").groupBy("id").agg(*[F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(rank + 1)])
     return sums.select("id", F.array(*[f"s{k}" for k in range(rank)]).alias("g"), F.col(f"s{rank}").alias("scale"))
@@ -284,7 +295,7 @@ def _scored(rank: int, drop_cold: bool, names: list[str], prediction: str):
             (v, met), (u, fitted) = other.of(others.fill_null(0).to_numpy()), own.of(ids.fill_null(0).to_numpy())
             known &= met & fitted
             score = np.zeros(len(known))
-            score[known] = (own.rows[u[known]] * other.rows[v[known]]).sum(axis=1)
+            score[known] = (own.at(u[known]) * other.at(v[known])).sum(axis=1)
             columns = row.flatten() if pa.types.is_struct(row.type) else [ids, others, row]
             rows = pa.RecordBatch.from_arrays([*columns, pa.array(score, mask=~known)], names=[*names, prediction])
             yield rows.filter(pa.array(known)) if drop_cold else rows

@@ -1,6 +1,7 @@
 """Chunked ALS against plain least squares, whatever the chunks."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -238,3 +239,40 @@ def test_training_pairs_are_scored_where_they_are_stored(spark, tmp_dir):
     ids = spark.range(30).selectExpr("id AS a", "id * 7 % 30 AS b", "1.0D AS rating")
     model = A.fit_chunked_als(ids.selectExpr("a AS user", "b AS item", "rating"), rank=2, maxIter=1)
     assert model._stored(ids.selectExpr("a AS user", "b AS item", "rating")) and not model._stored(ids.selectExpr("a AS item", "b AS user", "rating"))
+
+
+def test_a_task_holds_its_factors_once():
+    """Single-precision factors are not widened, nor held twice while they are gathered."""
+    rng = np.random.default_rng(4)
+    made = [(rng.permutation(20_000) + 20_000 * k, rng.random((20_000, 10)).astype(np.float32)) for k in range(10)]
+    want = {int(i): x for ids, rows in made for i, x in zip(ids[:3], rows[:3])}
+    parts = [(i.copy(), x.copy()) for i, x in made]
+    del made
+    tracemalloc.start()
+    held = A._Factors(parts, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not parts and held.rows.dtype == np.float32 and peak < 200_000 * (10 * 4 + 8 * 4)
+    place, known = held.of(np.array([*want, -1]))
+    assert known.tolist() == [True] * len(want) + [False]
+    got = held.at(place[:-1])
+    assert got.dtype == np.float64 and np.array_equal(got, np.array(list(want.values())))
+
+
+def test_residuals_come_in_blocks_of_bounded_size_and_single_precision(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(u, i, float(u % 3 + 1)) for u in range(60) for i in range(10)], "user long, item long, rating double")
+    tables = [spark.createDataFrame([(k, [float(x) for x in rng.random(2).astype(np.float32)]) for k in range(n)], "id long, features array<float>") for n in (60, 10)]
+    wide = [t.selectExpr("id", "CAST(features AS array<double>) AS features") for t in tables]
+    want = {r.id: r for r in A.equation_residuals(df, *wide, 2, 0.1, "user", "item", "rating").collect()}
+    seen, met = [], A._met
+    monkeypatch.setattr(A, "RESIDUAL_RATINGS", 50)
+    monkeypatch.setattr(A, "_met", lambda blocks, *fed: seen.append((blocks.count, met(blocks, *fed))) or seen[-1][1])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)           # a chunk is at most a batch
+    try:
+        got = {r.id: r for r in A.equation_residuals(df, *tables, 2, 0.1, "user", "item", "rating").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    (count, rows), = seen
+    assert count == 12 and dict(rows.dtypes)["features"] == "array<float>"
+    assert set(got) == set(want) and all(np.allclose(got[u].g, want[u].g) and got[u].scale == want[u].scale for u in want)
